@@ -19,7 +19,12 @@ SPACED = re.compile(rf"\s*{_WORD}|\s*\S+|\s+")
 BARE = re.compile(rf"{_WORD}|\S+")
 #: White space to Python but not to Unicode's White_Space property, or the reverse.
 ODD = re.compile("[\x1c-\x1f\x85᠎​﻿]")
-CACHE = 600_000
+#: Texts with white space that is not single inner blanks or line ends are cut in Python instead.
+IRREGULAR_SPACED = "[\x01\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|[ \n][ \n]|^[ \n]|[ \n]$"
+IRREGULAR_BARE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
+CACHE = 700_000
+#: Bytes of text handled at once.
+SLICE = 6_000_000
 _held: dict = {}
 
 
@@ -41,6 +46,7 @@ class CachedTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        self.spaces_matter = spaces_matter
         self.cut = (SPACED if spaces_matter else BARE).findall
         self.ids: dict[str, bytes] = {}
 
@@ -53,11 +59,76 @@ class CachedTokenizer:
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, chunk by chunk in Python."""
         out: list[bytes] = []
         for at in range(0, len(texts), 200):
             out += self._some([t or "" for t in texts[at : at + 200]])
         return out
 
+    def batches(self, column) -> list[bytes]:
+        """The same for an Arrow column of strings; regular texts are cut, coded and joined in bulk."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        column = pc.fill_null(column, "")
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        out: list[bytes] = []
+        ends = pc.cumulative_sum(pc.binary_length(column).cast("int64")).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(column):
+            upto = max(at + 1, int(ends.searchsorted((ends[at - 1] if at else 0) + SLICE, "right")))
+            out += self._bulk(column.slice(at, upto - at))
+            at = upto
+        return out
+
+    def _bulk(self, texts) -> list[bytes]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        irregular = pc.match_substring_regex(texts, IRREGULAR_SPACED if self.spaces_matter else IRREGULAR_BARE).to_numpy(zero_copy_only=False)
+        out: list[bytes | None] = [None] * len(texts)
+        if irregular.any():
+            where = np.flatnonzero(irregular)
+            for i, ids in zip(where, self.encode(texts.take(pa.array(where)).to_pylist())):
+                out[i] = ids
+        where = np.flatnonzero(~irregular)
+        if not len(where):
+            return out
+        texts = texts.take(pa.array(where))
+        if self.spaces_matter:  # \x01 marks the first chunk, which has no space before it
+            texts = pc.replace_substring(pc.binary_join_element_wise("\x01", texts, ""), "\n", " \n")
+            pieces = pc.split_pattern(texts, " ")
+        else:
+            pieces = pc.ascii_split_whitespace(texts)
+        coded = pieces.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        if self.spaces_matter:
+            chunks = [c[1:] if c[:1] == "\x01" else c if c[:1] == "\n" else " " + c for c in chunks]
+        look = self.ids.get
+        known = list(map(look, chunks))
+        new = [c for c, k in zip(chunks, known) if k is None]
+        if new:
+            fresh = self._plain(new)
+            if len(self.ids) < CACHE:
+                self.ids.update(zip(new, fresh))
+            fresh = iter(fresh)
+            known = [next(fresh) if k is None else k for k in known]
+        lengths = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        pool = np.frombuffer(b"".join(known), "<u4")
+        starts = np.cumsum(lengths, dtype=np.int64) - lengths
+        codes = coded.indices.to_numpy()
+        each = lengths[codes]
+        ends = np.cumsum(each, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        index = np.repeat((starts[codes] - (ends - each)).astype(np.int32), each) + np.arange(total, dtype=np.int32)
+        ids = pool[index].tobytes()
+        bounds = np.concatenate([[0], ends])[pieces.offsets.to_numpy() - pieces.offsets[0].as_py()] * 4
+        for i, a, b in zip(where.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = ids[a:b]
+        return out
+
     def _some(self, texts: list[str]) -> list[bytes]:
         odd = [ODD.search(t) is not None for t in texts]
         cut = [None if o else self.cut(t) for t, o in zip(texts, odd)]
