@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["rans", "pack", "exact_dedup"]
+MODULES = ["rans", "pack", "exact_dedup", "privacy", "urls"]
 
 
 def _all(kind: str) -> dict:
