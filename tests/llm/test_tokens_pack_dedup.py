@@ -38,7 +38,7 @@ def test_segment_round_trip_and_checkpoints(n):
         assert (segment.block_ids(0, k) == ids[: segment.entries[0][1]][k * rans.STRIDE * rans.LANES :]).all()
         assert len(data) < 4 * n
         bad = bytearray(data)
-        bad[segment.entries[0][0] + 900] ^= 1
+        bad[segment.entries[0][0] + 8 * rans.LANES + segment.entries[0][3] * (4 + 8 * rans.LANES) + 40] ^= 1
         with pytest.raises(ValueError):
             rans.Segment(bytes(bad)).all_ids()
 
