@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["rans", "pack", "exact_dedup", "audio", "privacy", "urls", "warc"]
+MODULES = ["rans", "pack", "exact_dedup", "audio", "quality", "privacy", "urls", "warc"]
 
 
 def _all(kind: str) -> dict:
