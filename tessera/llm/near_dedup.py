@@ -79,10 +79,10 @@ def shingle_sets(texts, width: int = WIDTH):
             if b - a >= width:
                 yield np.unique(rolled[a : b - width + 1])
             elif b > a:
-                whole = np.uint64(b - a)
+                whole = np.array([b - a], np.uint64)
                 for w in words[a:b]:
                     whole = whole * _P + w
-                yield _mixed(np.array([whole], np.uint64))
+                yield _mixed(whole)
             else:
                 yield np.zeros(0, np.uint64)
         at = upto
