@@ -58,12 +58,16 @@ def record(page_id: int | None, uri: str, kind: str, digest: str, length: int, p
 
 def records(data: bytes):
     """(headers, payload) of each record of an archive; raises ValueError where one is damaged."""
-    while data:
-        opener = zlib.decompressobj(31)
-        raw = opener.decompress(data) + opener.flush()
-        if not opener.eof:
-            raise ValueError("cut record")
-        data = opener.unused_data
+    data, at = memoryview(data), 0
+    while at < len(data):
+        opener, parts = zlib.decompressobj(31), []
+        while not opener.eof:  # in small pieces: what is left of a piece is copied
+            piece = data[at : at + 8192]
+            if not len(piece):
+                raise ValueError("cut record")
+            parts.append(opener.decompress(piece))
+            at += len(piece) - len(opener.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines[1:])
@@ -155,7 +159,8 @@ def deduplicate(archives: DataFrame, least: int = LEAST, most: int = ARCHIVE) ->
 
     An archive meets its own list of revisits (ids only, at most one a record in it).
     """
-    lists = revisits(read_headers(archives), least).groupBy("archive").agg(F.collect_list(F.struct("page_id", "digest", "refers_to")).alias("again"))
+    headers = materialize(read_headers(archives), "warc-headers")  # both sides of the join read it
+    lists = revisits(headers, least).groupBy("archive").agg(F.collect_list(F.struct("page_id", "digest", "refers_to")).alias("again"))
     both = archives.join(lists, "archive", "left").select("archive", "data", "again")
 
     def run(stream):
