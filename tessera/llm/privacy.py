@@ -127,21 +127,29 @@ def contexts(base: DataFrame) -> DataFrame:
     return span.select("row_id", "entity", F.explode(terms).alias("t")).select("row_id", "entity", "t.term", "t.start", "t.end")
 
 
+def _share(size: int) -> Column:
+    """PMI(e, t) / IC(e) of the columns n_e, n_t, n_et; 0 where e is in every document."""
+    information = F.log2(F.lit(float(size)) / F.col("n_e"))
+    mutual = F.log2(F.lit(float(size)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    return F.when(information > 0, mutual / information).otherwise(0.0)
+
+
 def disclosing(docs: DataFrame, near: DataFrame, text_column: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, share) of the pairs whose share reaches ``generalise``; counts cover the whole corpus."""
     of_entity = near.select("row_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     pairs = near.select("row_id", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    pairs = materialize(pairs.filter(F.col("n_et") >= support).join(of_entity, "entity"), "pii-pairs")
+    # a term is in at least as many documents as contexts: what falls short with that count never gets there
+    in_near = near.select("row_id", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    size = docs.count()
+    pairs = pairs.filter(F.col("n_et") >= support).join(of_entity, "entity").join(in_near, "term")
+    pairs = materialize(pairs.filter(_share(size) >= generalise).drop("n_t"), "pii-pairs")
     terms = materialize(pairs.select("term").distinct(), "pii-terms")
     if terms.count() <= SMALL_TERMS:
         terms = F.broadcast(terms)
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     words = docs.select(F.explode(F.array_distinct(_matches(F.lower(text), r"\p{L}{3,}"))).alias("term"))
     of_term = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    size = docs.count()
-    information = F.log2(F.lit(float(size)) / F.col("n_e"))
-    mutual = F.log2(F.lit(float(size)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    shares = pairs.join(of_term, "term").select("entity", "term", F.when(information > 0, mutual / information).otherwise(0.0).alias("share"))
+    shares = pairs.join(of_term, "term").select("entity", "term", _share(size).alias("share"))
     return shares.filter(F.col("share") >= generalise)
 
 
