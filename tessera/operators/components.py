@@ -4,7 +4,8 @@ The algorithm of Kiveris et al. ("Connected Components in MapReduce and
 Beyond", SoCC 2014): every round is two grouped minima and two joins, needs
 O(log^2 n) rounds, and keeps at most one edge per input edge, so a chain, a
 hub or one giant component behave alike. Nothing but two checksums reaches the
-driver. Each round is written to the shared scratch folder.
+driver. Each round is written to the shared scratch folder. Edge lists of at most SMALL rows
+are read as one partition, which needs no exchange in any step of a round.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from tessera.session import drop_table, materialize
 
 
+SMALL = 200_000
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star round on (u, v) rows with u > v. Hubs are reduced map-side before the join."""
     if large:
@@ -53,6 +57,7 @@ def component_edges(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = _state(current)
     if before[0]:
         for _ in range(max_rounds):
+            current = current.coalesce(1) if before[0] <= SMALL else current
             following = materialize(_star(_star(current, True), False), "cc")
             after = _state(following)
             drop_table(current)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: list[str] = []
+MODULES = ["graph"]
 
 
 def _all(kind: str) -> dict:
