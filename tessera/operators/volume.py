@@ -181,7 +181,7 @@ def labelled(v: DataFrame, shape: tuple[int, int], label: str | None = None) ->
     runs = materialize(runs, "runs")
     links = None
     for a in ("z", "y"):
-        below = runs.select(*[(F.col(c) + (c == a)).alias(c) for c in AXES], *same, F.col("run").alias("v"))
+        below = runs.select(*[(F.col(c) + int(c == a)).alias(c) for c in AXES], *same, F.col("run").alias("v"))
         own = runs.join(below, [*AXES, *same]).select(F.col("run").alias("u"), "v").distinct()
         links = own if links is None else links.union(own)
     found = component_edges(links)
