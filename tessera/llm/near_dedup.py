@@ -6,15 +6,15 @@
    its own fixed random order, so that two documents' registers agree with the chance of
    their Jaccard similarity, however short they are.
 2. *Classes.* Equal shingle sets are one class from here on.
-3. *Candidates.* BANDS bands of compressed registers; classes that share a band are a bucket. Pairs are
-   never enumerated: in each round a bucket's few pivots (first one, then eight times
-   as many each round) are compared with its members that are in another component. A pivot
-   has then met all of its bucket and leaves it; buckets with one component are done.
-   Every pair of a bucket that links two components is thus met, and a bucket of n near
-   copies costs about n comparisons.
+3. *Candidates.* BANDS bands of compressed registers; classes that share a band are a bucket. First
+   each member of a bucket meets only the bucket's least member.
 4. *Estimate.* Registers agree by chance with probability CHANCE; the corrected share of
    equal registers must be within six deviations of the similarity.
-5. *Verification* on the full shingle sets; verified links give the components.
+5. *Verification* on the full shingle sets; verified links give components.
+6. *Rest.* Buckets that still hold more than one component are gone through whole: a kernel counts what
+   the members outside the largest component share with all others and names links
+   between components only, so that a bucket gives as many rows as it has components. Those links
+   are verified on the full sets, too.
 
 At similarity 0.75 a pair shares no band with probability (1 - 0.75**5)**40, about 2e-5.
 
@@ -34,12 +34,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.base import named, table
 from tessera.operators.components import component_edges
-from tessera.session import drop_table, materialize
+from tessera.session import materialize
 
 WIDTH, PERCENT = 5, 75
 BANDS, PER_BAND, MANTISSA, FRACTION = 40, 5, 10, 40
 REGISTERS = BANDS * PER_BAND
 SLICE = 3_000_000
+GROUP_ROWS, GROUP_SHINGLES = 1024, 400_000
 #: Chance that two unequal minima agree: both have the same count of zeros (sum of 4**-z, a third) and mantissa.
 CHANCE = 1 / 3 / (1 << MANTISSA)
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -207,43 +208,108 @@ def _unsettled(members: DataFrame) -> DataFrame:
     return members.join(mixed.filter("least <> most").select("key"), "key")
 
 
-def links(classes: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Verified links (u, v) that connect all classes (node, registers) whose similarity reaches ``percent``.
+def _sets32(width: int):
+    """Sorted low halves of the shingle hashes."""
+    def run(stream):
+        import pyarrow as pa
+
+        for batch in stream:
+            sets = [np.unique(own.astype(np.uint32)) for own in shingle_sets(batch.column("text"), width)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "n", "shingles"])
+
+    return run
+
+
+def cross_links(nodes: np.ndarray, components_: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Pairs of ``nodes`` in different components whose sets reach ``percent``; enough of them to join all such components.
+
+    Members of the largest component are only compared with others. A pair that a few
+    colliding hashes could have lifted over the bound is named, but joins nothing.
+    """
+    sizes = np.array([len(x) for x in sets])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    known, label, counts = np.unique(components_, return_inverse=True, return_counts=True)
+    label = label.astype(np.int64)
+    out, mark = [], np.zeros(int(codes.max()) + 1, np.int32)
+    for x in np.flatnonzero(label != int(np.argmax(counts))):
+        own = codes[starts[x] : starts[x] + sizes[x]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[codes], starts)
+        mark[own] = 0
+        enough = (100 * both >= percent * (sizes + sizes[x] - both)) & (label != label[x])
+        for y in np.flatnonzero(enough):
+            if label[y] != label[x]:
+                out.append((int(min(nodes[x], nodes[y])), int(max(nodes[x], nodes[y]))))
+                if 100 * (both[y] - 3) >= percent * (sizes[y] + sizes[x] - both[y] + 3):
+                    label[label == label[y]] = label[x]
+    return out
 
-    ``texts`` has (node, text). Not every linked pair is named, but every linked pair is connected.
+
+def _crossing(percent: int):
+    def run(group):
+        import pyarrow as pa
+
+        sets = [np.frombuffer(v, np.uint32) for v in group.column("shingles").to_pylist()]
+        found = cross_links(group.column("node").to_numpy(), group.column("component").to_numpy(), sets, percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(u, v) of the pairs (a, b) whose full sets reach ``percent``."""
+    sides = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    sides = sides.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+    sure = sides.mapInArrow(_verified(width, percent), "a bigint, b bigint")
+    return sure.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _rest(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) between the components that meet in a bucket; ``members`` are the unsettled buckets.
+
+    A bucket of up to GROUP_ROWS members and GROUP_SHINGLES shingles is one group; a larger one
+    is dealt to parts, and each two parts are a group, so that a task's memory has a bound.
     """
-    members = classes.select("node", "registers").mapInArrow(_banded, "key bigint, node bigint").withColumn("component", F.col("node"))
-    members = materialize(_unsettled(members), "near-buckets")
+    wanted = members.select("node").distinct()
+    sets = materialize(texts.join(wanted, "node").mapInArrow(_sets32(width), "node bigint, n bigint, shingles binary"), "near-sets")
+    sized = members.join(sets.select("node", "n"), "node")
+    weight = F.greatest(F.count(F.lit(1)) / GROUP_ROWS, F.sum("n") / GROUP_SHINGLES)
+    parts = sized.groupBy("key").agg(F.least(F.ceil(weight), F.count(F.lit(1))).cast("int").alias("parts"))
+    placed = members.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = F.explode(F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0))))
+    dealt = placed.select("key", "node", "component", "own", other.alias("other"))
+    dealt = dealt.select("key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    grouped = dealt.join(sets.select("node", "shingles"), "node").groupBy("key", "i", "j")
+    pairs = materialize(grouped.applyInArrow(_crossing(percent), "a bigint, b bigint"), "near-crossing")
+    return _confirmed(pairs.distinct(), texts, width, percent)
+
+
+def component_links(classes: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of all classes (node, registers) that are linked with another; ``texts`` has (node, text)."""
+    members = classes.select("node", "registers").mapInArrow(_banded, "key bigint, node bigint")
+    members = materialize(members.join(members.groupBy("key").count().filter("count > 1").select("key"), "key"), "near-buckets")
     wanted = members.select("node").distinct()
     texts = materialize(texts.join(wanted, "node"), "near-texts")
     registers = materialize(classes.select("node", "registers").join(wanted, "node"), "near-registers")
-    spark, floor = classes.sparkSession, estimate_floor(percent)
-    found = spark.createDataFrame([], "u bigint, v bigint")
-    tried, pivots_each = None, 1
-    while not members.isEmpty():
-        salt = F.pmod(F.xxhash64("node"), F.lit(pivots_each))
-        least = members.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("node", "component")).alias("p"))
-        pivots = least.select("key", F.col("p.node").alias("pivot"), F.col("p.component").alias("other"))
-        pairs = members.join(pivots, (members["key"] == pivots["key"]) & (F.col("component") != F.col("other")))
-        pairs = pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "near-pairs")
-        both = pairs.join(registers.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
-        both = both.join(registers.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b")
-        likely = materialize(both.select("a", "b", "ra", "rb").mapInArrow(_estimated(floor), "a bigint, b bigint"), "near-likely")
-        sides = likely.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-        sides = sides.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
-        sure = sides.mapInArrow(_verified(width, percent), "a bigint, b bigint")
-        found = materialize(found.union(sure.select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-links")
-        tried = pairs if tried is None else tried.union(pairs)
-        left = members.join(pivots.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").select("key", "node")
-        joined = component_edges(found)
-        left = left.join(joined.withColumnRenamed("component", "c"), "node", "left").select("key", "node", F.coalesce("c", "node").alias("component"))
-        following = materialize(_unsettled(left), "near-buckets")
-        drop_table(members)
-        members, pivots_each = following, pivots_each * 8
-    return found
+    pivots = members.groupBy("key").agg(F.min("node").alias("a"))
+    pairs = members.join(pivots, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    both = pairs.join(registers.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
+    both = both.join(registers.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b").select("a", "b", "ra", "rb")
+    likely = materialize(both.mapInArrow(_estimated(estimate_floor(percent)), "a bigint, b bigint"), "near-likely")
+    stars = materialize(component_edges(_confirmed(likely, texts, width, percent)), "near-stars")
+    placed = members.join(stars, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    unsettled = materialize(_unsettled(placed), "near-unsettled")
+    if unsettled.isEmpty():
+        return stars
+    more = materialize(_rest(unsettled, texts, width, percent), "near-rest")
+    top = lambda c: stars.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
+    lifted = more.join(top("u"), "u", "left").join(top("v"), "v", "left").select(F.coalesce("u_top", "u").alias("u"), F.coalesce("v_top", "v").alias("v"))
+    joined = component_edges(lifted).select(F.col("node").alias("mid"), F.col("component").alias("top"))
+    joined = materialize(joined, "near-joined")
+    moved = stars.join(joined, F.col("component") == F.col("mid"), "left").select("node", F.coalesce("top", "component").alias("component"))
+    alone = joined.join(stars.select(F.col("node").alias("mid")), "mid", "left_anti").select(F.col("mid").alias("node"), F.col("top").alias("component"))
+    return moved.union(alone)
 
 
 def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -252,7 +318,7 @@ def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     sets = own.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("registers").alias("registers"))
     sets = materialize(sets, "near-classes")
     texts = named(docs, node=id_column, text=text_column).dropDuplicates(["node"]) if _repeats(docs, id_column) else named(docs, node=id_column, text=text_column)
-    joined = component_edges(links(sets, texts, width, percent)).withColumnRenamed("node", "member")
+    joined = component_links(sets, texts, width, percent).withColumnRenamed("node", "member")
     of_class = sets.select("digest", "node").join(joined, F.col("node") == F.col("member"), "left").select("digest", F.coalesce("component", "node").alias("reached"))
     out = own.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "doc_id"))
