@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.base import named, table
 from tessera.llm.tokens import default_path, tokenizer
-from tessera.session import scratch_path
+from tessera.session import materialize, scratch_path
 
 BLOCK, LANES, STRIDE, SEGMENT, GROUP = 1 << 16, 64, 256, 1 << 22, 32
 HEAD = struct.Struct("<4sBBHIQIII")  # magic, version, bits, lanes, block tokens, tokens, blocks, table bytes, table crc
@@ -75,7 +75,11 @@ def _encode_blocks(symbols: np.ndarray, freq: np.ndarray, base: np.ndarray, bits
 def encode_segment(ids: np.ndarray) -> bytes:
     """uint32 ids to one segment."""
     ids = np.ascontiguousarray(ids, "<u4")
-    known, index, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    counts = np.bincount(ids)
+    known = np.flatnonzero(counts)
+    index = np.zeros(len(counts), np.int32)
+    index[known] = np.arange(len(known))
+    index, counts = index[ids], counts[known]
     bits = max(16, int(len(known)).bit_length() + 4)
     freq = quantised(counts, bits) if len(known) else np.zeros(0, np.int64)
     packed = zlib.compress(known.astype("<u4").tobytes() + freq.astype("<u4").tobytes(), 1)
@@ -271,6 +275,7 @@ def read_index(spark, path: str) -> DataFrame:
     """
     stored = spark.read.schema(SEGMENTS).parquet(path)
     pieces = stored.mapInArrow(_read, "part int, doc_id bigint, start bigint, n_tokens bigint, before bigint, size bigint, crc bigint")
+    pieces = materialize(pieces, "rans-index")  # read twice below; decoded once
     parts = sorted((r["part"], r["n"]) for r in stored.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     bases, total = [], 0
     for part, n in parts:
