@@ -165,3 +165,21 @@ def add_user_merges(edges: DataFrame, merges: DataFrame) -> DataFrame:
     """Append (u, v) merges made by hand with score 0; the edge of least score counts."""
     ordered = merges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u <> v").withColumn("merge_score", F.lit(0.0))
     return edges.select("u", "v", "merge_score").union(ordered).groupBy("u", "v").agg(F.min("merge_score").alias("merge_score"))
+
+
+def split_neighbours(edges: DataFrame, local: DataFrame, top: DataFrame) -> DataFrame:
+    """(u, v) edges whose ends share a segment of ``local`` (id, component) but not of ``top``: likely split errors."""
+    for name, lut in (("local", local), ("top", top)):
+        for side in ("u", "v"):
+            edges = edges.join(lut.select(F.col("id").alias(side), F.col("component").alias(f"{side}_{name}")), side)
+    return edges.filter("u_local = v_local and u_top <> v_top").select("u", "v")
+
+
+def associated(touches: DataFrame) -> DataFrame:
+    """(segment, skeleton, fragments): sorted fragments by which a skeleton touches a segment; ``touches`` has those three."""
+    return touches.groupBy("segment", "skeleton").agg(F.sort_array(F.collect_set("fragment")).alias("fragments"))
+
+
+def next_label(labels: DataFrame, column: str = "label") -> DataFrame:
+    """(next): one more than the largest label, 1 if there is none."""
+    return labels.agg((F.coalesce(F.max(column), F.lit(0)) + 1).alias("next"))

@@ -245,3 +245,53 @@ def projected_max(v: DataFrame, labels: DataFrame, ids: DataFrame, column: str =
 def emptiness(v: DataFrame, block: tuple[int, int, int], column: str = "value") -> DataFrame:
     """(z, y, x of the block, empty)."""
     return v.groupBy(*_cells(block)).agg((F.max(F.abs(F.col(column))) == 0).alias("empty"))
+
+
+def mask_of_labels(v: DataFrame, ids: DataFrame, inside: int = 1, outside: int = 0, label: str = "label") -> DataFrame:
+    """(z, y, x, mask): foreground where the label is one of ``ids`` (label)."""
+    own = ids.select(F.col("label").alias(label), F.lit(True).alias("__in")).distinct()
+    return v.join(own, label, "left").select(*AXES, F.when(F.col("__in"), inside).otherwise(outside).cast("bigint").alias("mask"))
+
+
+def unlabelled_mask(v: DataFrame, label: str = "label") -> DataFrame:
+    """(z, y, x, mask): 0 where nothing is labelled, else 1."""
+    return v.select(*AXES, (F.col(label) != 0).cast("bigint").alias("mask"))
+
+
+def touched_mask(v: DataFrame, points: DataFrame, voxel_size: tuple[int, int, int], label: str = "label") -> DataFrame:
+    """(z, y, x, mask): 1 in the segments, not 0, that some point lies in."""
+    hit = points_labelled(points, v.select(*AXES, F.col(label).alias("label")), voxel_size).filter("label <> 0")
+    return mask_of_labels(v, hit.select("label"), label=label)
+
+
+def strided(v: DataFrame, factor: tuple[int, int, int]) -> DataFrame:
+    """Every k-th voxel along each axis, from index 0. No exchange."""
+    keep = reduce(lambda p, q: p & q, [F.pmod(F.col(a), F.lit(k)) == 0 for a, k in zip(AXES, factor)])
+    rest = [c for c in v.columns if c not in AXES]
+    return v.filter(keep).select(*_cells(factor), *rest)
+
+
+def rescaled(v: DataFrame, scale: float, shift: float, low: int, high: int, column: str = "value") -> DataFrame:
+    """value * scale + shift, truncated and clipped to a whole range."""
+    value = (F.col(column) * scale + shift).cast("bigint")
+    return v.withColumn(column, F.least(F.greatest(value, F.lit(low)), F.lit(high)).cast("bigint"))
+
+
+def cleaned(v: DataFrame, labels: DataFrame, steps: int = 1, keep_inside: bool = False, column: str = "value") -> DataFrame:
+    """A prediction without what lies inside segments shrunk by ``steps`` (or only that)."""
+    inside = boundary_grown(labels.select(*AXES, "label"), steps).select(*AXES, (F.col("label") != 0).alias("__in"))
+    both = v.join(inside, list(AXES))
+    return both.withColumn(column, F.when(F.col("__in") == keep_inside, F.col(column)).otherwise(0)).drop("__in")
+
+
+def sampled_points(v: DataFrame, n: int, seed: int = 1) -> DataFrame:
+    """``n`` voxels of a mask, by the order of a seeded hash: the same ones however the rows are dealt."""
+    return v.orderBy(F.xxhash64(F.lit(seed), *AXES), *AXES).select(*AXES).limit(n)
+
+
+def object_centres(v: DataFrame, label: str = "object") -> DataFrame:
+    """(object, z, y, x): each object's voxel nearest to its mean; ties by place."""
+    mean = v.groupBy(label).agg(*[F.avg(a).alias(f"m{a}") for a in AXES])
+    d = reduce(lambda p, q: p + q, [(F.col(a) - F.col(f"m{a}")) * (F.col(a) - F.col(f"m{a}")) for a in AXES])
+    best = v.join(mean, label).groupBy(label).agg(F.min(F.struct(F.round(d, 9).alias("d"), *AXES)).alias("b"))
+    return best.select(label, *[f"b.{a}" for a in AXES])

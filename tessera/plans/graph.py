@@ -264,3 +264,23 @@ def rag_quantile_scores(v):
     WHERE below >= total * 0.5 GROUP BY 1, 2""")
 def rag_histogram_scores(v):
     return rag.histogram_quantile_scores(_samples(v), 0.5).withColumn("merge_score", F.round("merge_score", 6))
+
+
+_SPLIT = {
+    **{f"cut{t}": f"SELECT u, v FROM rag_edges WHERE merge_score <= {t / 100}" for t in (10, 30)},
+    **components_cte("cut10", "rag_nodes", "cc10"),
+    **components_cte("cut30", "rag_nodes", "cc30"),
+}
+
+
+@query(_cte("SELECT e.u, e.v FROM rag_edges e JOIN cc30 a ON a.id = e.u JOIN cc30 b ON b.id = e.v JOIN cc10 c ON c.id = e.u JOIN cc10 d ON d.id = e.v WHERE a.component = b.component AND c.component <> d.component", _SPLIT))
+def rag_split_neighbours(v):
+    n, e = v.rag_nodes(), v.rag_edges()
+    return rag.split_neighbours(e.select("u", "v"), rag.segments(n, e, 0.3), rag.segments(n, e, 0.1))
+
+
+@query(_cc(0.3, "SELECT component AS segment, o_custkey % 50 AS skeleton, list_sort(list(DISTINCT id)) AS fragments FROM cc JOIN orders ON o_orderkey = id GROUP BY 1, 2"))
+def segment_skeletons(v):
+    o = v.table("orders").select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 50).alias("skeleton"))
+    found = rag.segments(v.rag_nodes(), v.rag_edges(), 0.3).join(o, "id")
+    return rag.associated(found.select(F.col("component").alias("segment"), "skeleton", F.col("id").alias("fragment")))

@@ -291,3 +291,52 @@ def distance_transform(v):
 @query()
 def gaussian_smooth(v):
     return kernels.gaussian(v.voxels(), (50, 8, 8), (0.7, 1.0, 1.0))
+
+
+@query(_v("SELECT z, y, x, (CASE WHEN label IN (2, 5) THEN 1 ELSE 0 END)::BIGINT AS mask FROM label_voxels"))
+def foreground_mask(v):
+    return volume.mask_of_labels(v.label_voxels(), v.spark.createDataFrame([(2,), (5,)], "label bigint"))
+
+
+@query(_v("SELECT z, y, x, (CASE WHEN label = 0 THEN 0 ELSE 1 END)::BIGINT AS mask FROM label_voxels"))
+def unlabelled_mask(v):
+    return volume.unlabelled_mask(v.label_voxels())
+
+
+@query(_v("SELECT z, y, x, (CASE WHEN label <> 0 AND label IN (SELECT label FROM label_voxels WHERE z < 3) THEN 1 ELSE 0 END)::BIGINT AS mask FROM label_voxels"))
+def touched_mask(v):
+    points = v.voxels().filter("z < 3").select((F.col("z") * 40 + 5).alias("z"), (F.col("y") * 4 + 1).alias("y"), (F.col("x") * 4 + 2).alias("x"))
+    return volume.touched_mask(v.label_voxels(), points, (40, 4, 4))
+
+
+@query(_v("SELECT z, floor(y / 2)::BIGINT AS y, floor(x / 2)::BIGINT AS x, value FROM voxels WHERE y % 2 = 0 AND x % 2 = 0"))
+def volume_strided(v):
+    return volume.strided(v.voxels(), (1, 2, 2))
+
+
+@query(_v("SELECT z, y, x, least(greatest(trunc(value * 1.5 - 200)::BIGINT, -128), 127)::BIGINT AS value FROM voxels"))
+def volume_rescaled(v):
+    return volume.rescaled(v.voxels(), 1.5, -200.0, -128, 127)
+
+
+@query(_v(f"SELECT z, y, x, CASE WHEN inner_ <> 0 THEN 0 ELSE value END AS value FROM (SELECT z, y, x, value, CASE WHEN {_SAME} THEN label ELSE 0 END AS inner_ FROM {_beside('coarse', 'label')})", {"coarse": "SELECT z, y, x, value, CASE WHEN value > 100 THEN 1 ELSE 0 END::BIGINT AS label FROM voxels"}))
+def prediction_cleaned(v):
+    return volume.cleaned(v.voxels(), v.voxels().select("z", "y", "x", (F.col("value") > 100).cast("bigint").alias("label"))).select("z", "y", "x", "value")
+
+
+@query(_v("""SELECT object, z, y, x FROM (SELECT o.*, row_number() OVER (PARTITION BY o.object ORDER BY round(pow(z - mz, 2) + pow(y - my, 2) + pow(x - mx, 2), 9), z, y, x) AS rn
+    FROM objects o JOIN (SELECT object, avg(z) AS mz, avg(y) AS my, avg(x) AS mx FROM objects GROUP BY 1) m ON m.object = o.object) WHERE rn = 1""", _PROPS, recursive=True))
+def object_centres(v):
+    return volume.object_centres(_objects(v))
+
+
+@query()
+def sampled_points(v):
+    return volume.sampled_points(v.label_voxels().filter("label = 3"), 50)
+
+
+@query(_v("SELECT max(label) + 1 AS next FROM label_voxels"))
+def next_label(v):
+    from tessera.operators.rag import next_label as f
+
+    return f(v.label_voxels())
