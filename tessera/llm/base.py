@@ -37,3 +37,21 @@ def slices(stream, size: int = 2000):
     for batch in stream:
         for at in range(0, batch.num_rows, size):
             yield batch.slice(at, size)
+
+
+#: Caches of this worker process by owner; a worker outlives its tasks and serves several operators.
+_caches: dict = {}
+
+
+def claim(owner: str, cache):
+    """Register an operator's cache (anything with ``clear``) and empty those of the others."""
+    _caches[owner] = cache
+    release(owner)
+    return cache
+
+
+def release(owner: str) -> None:
+    """Empty the caches of all operators but ``owner`` in this worker process."""
+    for name, cache in _caches.items():
+        if name != owner:
+            cache.clear()

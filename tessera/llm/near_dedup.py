@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import named, table
+from tessera.llm.base import named, release, table
 from tessera.operators.components import component_edges
 from tessera.session import materialize
 
@@ -59,6 +59,7 @@ def shingle_sets(texts, width: int = WIDTH):
     import pyarrow.compute as pc
     import xxhash
 
+    release("near")
     texts = pc.ascii_lower(pc.fill_null(texts, ""))
     ends = pc.cumulative_sum(pc.binary_length(texts).cast("int64")).to_numpy(zero_copy_only=False) if len(texts) else []
     at = 0
@@ -342,4 +343,18 @@ def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_near_dedup": op10_near_dedup}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op10_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+        met AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both_ FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT u, v FROM met JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * both_ >= 75 * (a.size + b.size - both_)),
+        sides AS (SELECT u AS a, v AS b FROM links UNION ALL SELECT v, u FROM links),
+        walk(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, reached FROM walk JOIN sides ON a = doc_id WHERE reached < b)
+        SELECT doc_id, coalesce(any_value(size), 0) AS n_shingles, min(reached) AS component_id, doc_id = min(reached) AS kept
+        FROM walk LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+}

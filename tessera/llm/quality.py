@@ -27,12 +27,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import named, table
+from tessera.llm.base import claim, named, table
 
 WORDS, SHAPES, DIM, NONZERO, WINDOW = 32_768, 4_096, 32, 2, 2
 ROWS = WORDS + SHAPES
 SAMPLE, HIDDEN, THRESHOLD = 20_000, 32, 0.3
-SLICE, CHUNK, CACHE = 1_500_000, 100_000, 300_000
+SLICE, CHUNK, CACHE = 1_500_000, 100_000, 200_000
 _rows: dict[str, tuple[int, int]] = {}
 _RUN = re.compile(r"(.)\1+")
 _CLASS = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "0" for c in range(0x250) if chr(c).isalnum()}
@@ -53,6 +53,7 @@ def _slices(batch, column: str):
     """(first row, words' rows, shapes' rows, document starts) of parts of a batch; one array entry a word."""
     import pyarrow.compute as pc
 
+    claim("quality", _rows)
     texts = pc.fill_null(batch.column(column), "")
     ends = pc.cumulative_sum(pc.binary_length(texts).cast("int64")).to_numpy(zero_copy_only=False) if len(texts) else []
     at = 0

@@ -192,7 +192,10 @@ class _Both(dict):
 
 
 def tokenizer(path: str, spaces_matter: bool) -> CachedTokenizer:
-    """One tokenizer for each worker process and file."""
+    """One tokenizer for each worker process and file; it takes the memory of other operators' caches."""
+    from tessera.llm.base import claim
+
+    claim("tokens", _held)
     if (path, spaces_matter) not in _held:
         _held[path, spaces_matter] = CachedTokenizer(path, spaces_matter)
     return _held[path, spaces_matter]
