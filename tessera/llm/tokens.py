@@ -23,9 +23,10 @@ ODD = re.compile("[\x1c-\x1f\x85᠎​﻿]")
 #: Texts with white space that is not single inner blanks or line ends are cut in Python instead.
 IRREGULAR_SPACED = "[\x01\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|[ \n][ \n]|^[ \n]|[ \n]$"
 IRREGULAR_BARE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
-CACHE = 700_000
+CACHE = 500_000
+MARKS = ".,;:!?*#$%&|"
 #: Bytes of text handled at once.
-SLICE = 9_000_000
+SLICE = 7_000_000
 _held: dict = {}
 
 
@@ -51,7 +52,7 @@ class CachedTokenizer:
         self.cut = (SPACED if spaces_matter else BARE).findall
         self.ids: dict[str, bytes] = {}  # by chunk, for the path in Python
         self.pieces: dict[str, bytes] = {}  # by piece (a chunk without its blank), for the bulk path
-        self.marks = dict(zip(",.", self._plain([",", "."])))
+        self.marks: dict[str, bytes] = {}  # by run of marks
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, straight from the library."""
@@ -76,14 +77,17 @@ class CachedTokenizer:
     def _new(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces of the bulk path that the cache lacks.
 
-        A comma or full stop after a letter is a pre-token of its own: such a piece is its word and the mark.
+        A run of MARKS after a letter is a pre-token of its own: such a piece is its word and the marks.
         """
-        marked, plain, seen = [], {}, self.pieces
+        marked, plain, seen, tails = [], {}, self.pieces, {}
         for c in pieces:
-            if c[-1:] in ",." and c[-2:-1].isalpha() and c[-2] < "\u0100" and c[-2] not in "ªº":
-                marked.append(c)
-                if c[:-1] not in seen:
-                    plain[c[:-1]] = None
+            word = c.rstrip(MARKS)
+            if len(word) < len(c) and word[-1:].isalpha() and word[-1] < "\u0100" and word[-1] not in "ªº":
+                tail = c[len(word) :]
+                marked.append((c, word, tail))
+                if word not in seen:
+                    plain[word] = None
+                tails[tail] = None
             else:
                 plain[c] = None
         words = list(plain)
@@ -92,9 +96,12 @@ class CachedTokenizer:
         else:
             whole = words
         found = dict(zip(words, self._each(whole)))
-        for c in marked:
-            word = c[:-1]
-            found[c] = (seen.get(word) or found[word]) + self.marks[c[-1]]
+        for tail in tails:
+            tails[tail] = self.marks.get(tail) or self._plain([tail])[0]
+            if len(self.marks) < 10_000:
+                self.marks[tail] = tails[tail]
+        for c, word, tail in marked:
+            found[c] = (seen.get(word) or found[word]) + tails[tail]
         if len(seen) < CACHE:
             seen.update(found)
         return found
