@@ -23,6 +23,8 @@ from tessera.llm.base import named, table
 from tessera.session import materialize
 
 SALTS = 64
+#: Rows of the list of dropped rows up to which it is sent to every executor; beyond it, a shuffled join.
+SMALL_LIST = 200_000
 
 
 def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -60,16 +62,23 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
 
 def distinct(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", salts: int = SALTS) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that are not kept; of repeated rows one stays."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id_column}`").alias("doc_id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    texts, copied = copied_texts(rows.select("doc_id", "text", "digest"), salts)
-    found = rows.join(copied.select("digest", "keep_id", "n_texts"), "digest", "left")
-    several = found.filter("n_texts is not null")
-    if not copied.filter("n_texts > 1").isEmpty():
-        several = several.drop("keep_id").join(texts.select("digest", "text", "keep_id"), ["digest", "text"])
-    winners = several.filter("doc_id <=> keep_id").dropDuplicates(["digest", "text"])
-    return found.filter("n_texts is null").select("row.*").union(winners.select("row.*"))
+    """The rows of ``docs``, all columns, without those that are not kept; of repeated rows one stays.
+
+    Full rows are not shuffled while the list of dropped (id, digest) pairs is at most SMALL_LIST long.
+    """
+    copied = groups(docs, id_column, text_column, salts).filter("group_size > 1")
+    copied = materialize(copied.select("doc_id", "kept", F.unhex("text_sha256").alias("digest")), "copied-rows")
+    dropped = copied.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    if dropped.count() <= SMALL_LIST:
+        dropped = F.broadcast(dropped)
+    id_, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
+    same = lambda df: id_.eqNullSafe(df["__id"]) & (F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)) == df["__digest"])
+    out = docs.join(dropped, same(dropped), "left_anti")
+    again = copied.filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).count().filter("count > 1").drop("count")
+    if again.isEmpty():
+        return out
+    again = materialize(again, "repeated-rows")
+    return out.join(again, same(again), "left_anti").union(out.join(again, same(again), "left_semi").dropDuplicates([id_column, text_column]))
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:
