@@ -41,7 +41,7 @@ def rows(columns, values):
 def test_query(spark, duck, name):
     got = QUERIES[name](spark, SF)
     values = [tuple(r) for r in got.collect()]
-    assert values
+    assert values or name in SQL  # a table this small may leave none
     if name in SQL:
         want = duck.sql(SQL[name])
         assert rows(got.columns, values) == rows(want.columns, want.fetchall())
