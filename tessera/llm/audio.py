@@ -5,8 +5,9 @@ blocks (4 header bytes, then two 4-bit codes a byte, low one first) are decoded
 step at a time for all blocks of a batch together, across recordings.
 
 ``store`` puts a payload into a WAV without loss: as the samples of a companded file,
-or as the code bytes of ADPCM blocks of BLOCK data bytes. ``features`` reads the
-stored bytes back, decodes, resamples to 16-bit PCM and describes that.
+or as the code bytes of ADPCM blocks of BLOCK data bytes. ``expanded`` reads the
+stored bytes back, decodes and resamples to 16-bit PCM, ``store_pcm`` stores that,
+and ``pcm_features`` describes it.
 
 Edge cases: null and empty texts are one block of padding; payloads are padded with
 bytes 255 to a positive multiple of BLOCK; recordings of any length are decoded whole;
@@ -21,10 +22,9 @@ import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.llm.base import named, table
-from tessera.session import materialize
+from tessera.session import materialize, scratch_path
 
 BLOCK, RATE, TARGET = 576, 8000, 16000
 #: WAV format tags.
@@ -153,13 +153,12 @@ def decode_all(medias: list[bytes]) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-def described(rate: int, samples: np.ndarray, target: int = TARGET) -> tuple[str, bytes]:
-    """A feature text and the resampled PCM it describes."""
-    pcm = resample(samples, rate, target)
-    wide = pcm.astype(np.int64)
-    crossings = int(np.count_nonzero(np.diff(np.signbit(pcm))))
-    data = pcm.astype("<i2").tobytes()
-    return f"pcm16:{target}:n={len(pcm)}:rms={np.sqrt(float(wide @ wide) / len(pcm)):.2f}:peak={int(np.abs(wide).max())}:zc={crossings}:crc={zlib.crc32(data)}", data
+def described(pcm: bytes, target: int = TARGET) -> str:
+    """A feature text of resampled PCM."""
+    samples = np.frombuffer(pcm, "<i2")
+    wide = samples.astype(np.int64)
+    crossings = int(np.count_nonzero(np.diff(np.signbit(samples))))
+    return f"pcm16:{target}:n={len(samples)}:rms={np.sqrt(float(wide @ wide) / len(samples)):.2f}:peak={int(np.abs(wide).max())}:zc={crossings}:crc={zlib.crc32(pcm)}"
 
 
 CODECS = ("mulaw", "alaw", "adpcm")
@@ -198,37 +197,66 @@ def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     return named(docs, doc_id=id_column, text=text_column).mapInArrow(run, "doc_id bigint, n_bytes bigint, media binary")
 
 
-FEATURES = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, codec string, feature string"
+PAYLOAD = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, codec string"
+FEATURES = f"{PAYLOAD}, feature string"
+#: Of the stored files: the PCM is several times the payload, but tells no more.
+COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+#: Rows of PCM are long: few of them are held at once where they are read.
+SMALL_BATCHES = {"spark.sql.parquet.columnarReaderBatchSize": "128", "spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
-def features(media: DataFrame, with_pcm: bool = False, target: int = TARGET) -> DataFrame:
-    """Read stored media back: payload digests, and features of the resampled PCM; ``with_pcm`` adds it as bytes."""
+def expanded(media: DataFrame, target: int = TARGET) -> DataFrame:
+    """Read stored media back: payload digests, the sample rate and the resampled 16-bit PCM."""
     def run(stream):
         import pyarrow as pa
 
-        for batch in _by_bytes(stream, "media"):
+        for batch in _by_bytes(stream, "media", 1_000_000):
             files, rows = batch.column("media").to_pylist(), []
             for file, (rate, samples) in zip(files, decode_all(files)):
                 payload = stored_payload(file)
-                text, pcm = described(rate, samples, target)
-                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), open_wav(file)[0], text)
-                rows.append((*row, pcm) if with_pcm else row)
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()] + [pa.binary()] * with_pcm
-            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "codec", "feature"] + ["pcm"] * with_pcm
+                pcm = resample(samples, rate, target).astype("<i2").tobytes()
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), open_wav(file)[0], target, pcm))
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.binary()]
+            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "codec", "rate", "pcm"]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=["doc_id", "n_bytes", *names])
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, FEATURES + ", pcm binary" * with_pcm)
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, f"{PAYLOAD}, rate int, pcm binary")
 
 
-def store_pcm(media: DataFrame, path: str, target: int = TARGET) -> None:
-    """Write doc_id, sample rate and the resampled 16-bit PCM of stored media to Parquet."""
-    features(media, True, target).select("doc_id", F.lit(target).alias("rate"), "pcm").write.parquet(path)
+def pcm_features(pcm: DataFrame) -> DataFrame:
+    """The columns of ``expanded`` with the PCM described instead of given."""
+    kept = [c.split()[0] for c in PAYLOAD.split(", ")]
+
+    def run(stream):
+        import pyarrow as pa
+
+        for batch in _by_bytes(stream, "pcm"):
+            texts = [described(p, rate) for p, rate in zip(batch.column("pcm").to_pylist(), batch.column("rate").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(texts, pa.string())], names=[*kept, "feature"])
+
+    return pcm.select(*kept, "rate", "pcm").mapInArrow(run, FEATURES)
+
+
+def features(media: DataFrame, target: int = TARGET) -> DataFrame:
+    """Payload digests of stored media, and features of the resampled PCM, which is not kept."""
+    return pcm_features(expanded(media, target))
+
+
+def store_pcm(media: DataFrame, path: str, target: int = TARGET) -> DataFrame:
+    """Write the columns of ``expanded`` to Parquet, and read them back."""
+    pcm = expanded(media, target)
+    pcm.write.options(**COMPRESSION).parquet(path)
+    reading = media.sparkSession.newSession()  # the caller's settings stay as they are
+    for key, value in SMALL_BATCHES.items():
+        reading.conf.set(key, value)
+    return reading.read.schema(pcm.schema).parquet(path)
 
 
 def op5_telephony_audio(spark, sf_dir: str) -> DataFrame:
-    """Store all texts of ``documents`` as telephony audio and read them back."""
-    return features(materialize(encode(table(spark, sf_dir, "documents")), "media"))
+    """Store all texts of ``documents`` as telephony audio, store the resampled PCM of that, and describe what was stored."""
+    media = materialize(encode(table(spark, sf_dir, "documents")), "media", **COMPRESSION)
+    return pcm_features(store_pcm(media, scratch_path(spark, "pcm")))
 
 
 QUERIES = {"op5_telephony_audio": op5_telephony_audio}

@@ -37,10 +37,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage and survives lost executors."""
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write once to the shared folder and read back: cuts lineage and survives lost executors. ``options`` are the writer's."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -72,6 +72,19 @@ def test_media_columns(spark, tmp_path):
     assert audio.features(audio.encode(docs.limit(0))).count() == 0
 
 
+def test_the_query_stores_the_pcm_it_describes(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string").write.parquet(f"file://{tmp_path}/in/documents.parquet")
+    monkeypatch.setattr("tessera.session.scratch_root", lambda _: f"file://{tmp_path}/shared")
+    got = {r.doc_id: r for r in audio.op5_telephony_audio(spark, f"file://{tmp_path}/in").collect()}
+    stored = {r.doc_id: r for r in spark.read.parquet(f"file://{tmp_path}/shared/tessera/pcm-*").collect()}
+    media = {r.doc_id: r.media for r in spark.read.parquet(f"file://{tmp_path}/shared/tessera/media-*").collect()}
+    assert len(got) == len(stored) == len(media) == len(TEXTS)
+    for i, r in got.items():
+        (rate, samples), = audio.decode_all([media[i]])
+        assert stored[i].rate == 16000 and stored[i].pcm == audio.resample(samples, rate, 16000).astype("<i2").tobytes()
+        assert r.feature.endswith(f"crc={zlib.crc32(stored[i].pcm)}") and f":n={len(stored[i].pcm) // 2}:" in r.feature
+
+
 def test_archives(spark):
     big, other = "<p>" + "a" * 1000, "é" * 500
     rows = [(1, "http://a/ 1\n", big), (2, None, big), (3, "x", "small"), (4, "x", "small"), (5, "x", None), (6, "x", other), (7, "x", big), (7, "x", big), (8, "y", "WARC/1.1\r\n\r\n" * 300), (None, "z", big)]
