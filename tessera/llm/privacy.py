@@ -4,13 +4,14 @@ Base spans: the leftmost non-overlapping matches of each kind, found once by
 ``regexp_extract_all`` (the matches) and once by ``split`` (the text between),
 whose running lengths are the places. Places are code points, ends exclusive.
 
-Terms: the words within REACH code points of a base span are its context. Over
-the whole corpus, n(e) counts documents with entity e, n(e, t) those with term t in
-a context of e, n(t) all documents with t. The share of e that t discloses is
-PMI(e, t) / IC(e), with IC(e) = log2(N / n(e)) and PMI = log2(N n(e,t) / (n(e) n(t))).
-With at least SUPPORT such documents, a share of GENERALISE or more makes the term
-in that context a span ``term`` (to be generalised), REMOVE or more a span ``secret``
-(to be removed).
+Terms: whole words of three letters or more, in lower case. Over the whole corpus and
+whole documents, n(e) counts documents with entity e, n(t) those with term t, n(e, t)
+those with both, wherever they stand. The share of e that t discloses is PMI(e, t) / IC(e),
+with IC(e) = log2(N / n(e)) and PMI = log2(N n(e,t) / (n(e) n(t))). With at least SUPPORT
+such documents, a share of GENERALISE or more makes every occurrence of the term in the
+documents of the entity a span ``term`` (to be generalised), REMOVE or more a span
+``secret`` (to be removed); occurrences inside a base span are covered by that.
+As n(e,t) <= n(e), a pair needs n(t) <= N (n(e)/N)^GENERALISE: others are never formed.
 
 Edge cases: null text counts as empty; texts without matches have zero counts and
 empty lists (the digest of the empty string); repeated rows each get a row and
@@ -36,8 +37,8 @@ PATTERNS = {
 }
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{3,}(?![\p{L}\p{N}@_%+-]|\.\p{L})"
-REACH, SUPPORT, GENERALISE, REMOVE = 60, 3, 0.9, 0.98
-#: Candidate terms up to which they are sent to every executor; beyond it, a shuffled join.
+SUPPORT, GENERALISE, REMOVE = 3, 0.9, 0.98
+#: Entities, terms or pairs up to which they are sent to every executor; beyond it, a shuffled join.
 SMALL_TERMS = 50_000
 
 
@@ -80,51 +81,64 @@ def _matches(text: Column, pattern: str) -> Column:
 
 
 def found(text: Column, kind: str) -> Column:
-    """Array of (start, rank, kind, end, value, left, right) of the valid matches of a kind."""
+    """Array of (start, rank, kind, end, value) of the valid matches of a kind."""
     pattern = PATTERNS[kind]
     hits, between = _matches(text, pattern), F.split(text, pattern)
     ends = running(F.zip_with(F.slice(between, F.lit(1), F.size(hits)), hits, lambda p, m: F.length(p) + F.length(m)))
     spans = F.transform(
         F.arrays_zip(hits.alias("value"), ends.alias("stop")),
-        lambda x, i: F.struct(
+        lambda x: F.struct(
             (x["stop"] - F.length(x["value"])).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), x["stop"].alias("end"), x["value"].alias("value"),
-            F.substring(F.get(between, i), -REACH, REACH).alias("left"), F.substring(F.get(between, i + 1), 1, REACH).alias("right"),
         ),
     )
     spans = F.filter(spans, lambda x: valid(kind, x["value"]))
-    kind_of = "array<struct<start:int,rank:int,kind:string,end:int,value:string,left:string,right:string>>"
+    kind_of = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
     possible = F.contains(text, F.lit(NEEDS[kind])) if NEEDS[kind] else text.rlike("[0-9]")
     return F.when(possible, spans).otherwise(F.array().cast(kind_of)).cast(kind_of)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= SMALL_TERMS else df
+
+
 def base_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """row_id, doc_id and the sorted base spans of every row; written once, for row ids must not change."""
+    """row_id, doc_id, the sorted base spans of every row, and the text of those with any; written once, for row ids must not change."""
     rows = named(docs, doc_id=id_column, text=text_column).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     spans = F.array_sort(F.concat(*[found(F.col("text"), k) for k in KINDS]))
-    return materialize(rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", spans.alias("spans")), "pii-base")
+    rows = rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", spans.alias("spans"), "text")
+    return materialize(rows.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "pii-base")
 
 
-def _side(piece: Column, origin: Column) -> Column:
-    """Whole terms of one side of a span with their places; origin: the place of the side's first code point."""
-    hits = _matches(piece, TERM)
-    between = F.split(piece, TERM)
-    ends = running(F.zip_with(F.slice(between, F.lit(1), F.size(hits)), hits, lambda p, m: F.length(p) + F.length(m)))
-    return F.transform(
-        F.arrays_zip(hits.alias("word"), ends.alias("stop")),
-        lambda x: F.struct(F.lower(x["word"]).alias("term"), (origin + x["stop"] - F.length(x["word"])).alias("start"), (origin + x["stop"]).alias("end")),
-    )
+def terms(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(_matches(text, TERM), F.lower))
 
 
-def contexts(base: DataFrame) -> DataFrame:
-    """row_id, entity, term, start, end of the whole terms near each span; a word that the reach cuts is left out."""
-    span = base.select("row_id", F.explode("spans").alias("s")).select(
-        "row_id", F.concat_ws(":", "s.kind", "s.value").alias("entity"), "s.left", "s.right", F.col("s.start").alias("at"), F.col("s.end").alias("stop")
-    )
-    left = F.when(F.length("left") == REACH, F.regexp_replace("left", r"^[\p{L}\p{N}@._%+-]+", "")).otherwise(F.col("left"))
-    right = F.when(F.length("right") == REACH, F.regexp_replace("right", r"[\p{L}\p{N}@._%+-]+$", "")).otherwise(F.col("right"))
-    span = span.withColumn("left", left).withColumn("right", right)
-    terms = F.concat(_side(F.col("left"), F.col("at") - F.length("left")), _side(F.col("right"), F.col("stop")))
-    return span.select("row_id", "entity", F.explode(terms).alias("t")).select("row_id", "entity", "t.term", "t.start", "t.end")
+def places(text: Column) -> Column:
+    """All terms of a text with their places."""
+    hits, between = _matches(text, TERM), F.split(text, TERM)
+    ends = running(F.zip_with(F.slice(between, F.lit(1), F.size(hits)), hits, lambda p, m: F.length(p) + F.length(m)))
+    return F.transform(F.arrays_zip(hits.alias("word"), ends.alias("stop")), lambda x: F.struct(F.lower(x["word"]).alias("term"), (x["stop"] - F.length(x["word"])).alias("start"), x["stop"].alias("end")))
+
+
+def together(docs: DataFrame, base: DataFrame, size: int, text_column: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """row_id, entity, term, n_e, n_t of the entities and terms of each row, without pairs that cannot reach ``support`` and ``generalise``."""
+    own = base.select("row_id", F.explode(F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["value"])))).alias("entity"))
+    of_entity = materialize(own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support), "pii-entities")
+    top = of_entity.agg(F.max("n_e")).first()[0] or 0
+    own = own.join(_small(of_entity), "entity").groupBy("row_id").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities"))
+    held = materialize(own.join(base.select("row_id", "text"), "row_id").select("row_id", "entities", terms(F.col("text")).alias("terms")), "pii-held")
+    most = lambda n_e: size * F.pow(n_e / size, F.lit(generalise)) * (1 + 1e-9)
+    # a term is in at least as many documents as it is here: what falls short never gets there
+    known = materialize(held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") >= support) & (F.col("n") <= most(F.lit(top)))).select("term"), "pii-known")
+    words = docs.select(F.explode(terms(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))).alias("term"))
+    if known.count() <= SMALL_TERMS:
+        of_term = words.join(F.broadcast(known), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    else:  # counted before the exchange, for some words are in all documents
+        of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(known, "term", "left_semi")
+    of_term = materialize(of_term.filter(F.col("n_t") <= most(F.lit(top))), "pii-terms")
+    pairs = held.select("row_id", "entities", F.explode("terms").alias("term")).join(_small(of_term), "term").select("row_id", "term", "n_t", F.explode("entities").alias("e"))
+    return materialize(pairs.select("row_id", "e.entity", "term", "e.n_e", "n_t").filter(F.col("n_t") <= most(F.col("n_e"))), "pii-near")
 
 
 def _share(size: int) -> Column:
@@ -134,23 +148,10 @@ def _share(size: int) -> Column:
     return F.when(information > 0, mutual / information).otherwise(0.0)
 
 
-def disclosing(docs: DataFrame, near: DataFrame, text_column: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+def disclosing(near: DataFrame, size: int, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, share) of the pairs whose share reaches ``generalise``; counts cover the whole corpus."""
-    of_entity = near.select("row_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = near.select("row_id", "entity", "term").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    # a term is in at least as many documents as contexts: what falls short with that count never gets there
-    in_near = near.select("row_id", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    size = docs.count()
-    pairs = pairs.filter(F.col("n_et") >= support).join(of_entity, "entity").join(in_near, "term")
-    pairs = materialize(pairs.filter(_share(size) >= generalise).drop("n_t"), "pii-pairs")
-    terms = materialize(pairs.select("term").distinct(), "pii-terms")
-    if terms.count() <= SMALL_TERMS:
-        terms = F.broadcast(terms)
-    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    words = docs.select(F.explode(F.array_distinct(_matches(F.lower(text), r"\p{L}{3,}"))).alias("term"))
-    of_term = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    shares = pairs.join(of_term, "term").select("entity", "term", _share(size).alias("share"))
-    return shares.filter(F.col("share") >= generalise)
+    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t")).filter(F.col("n_et") >= support)
+    return materialize(pairs.select("entity", "term", _share(size).alias("share")).filter(F.col("share") >= generalise), "pii-pairs")
 
 
 def _joined(spans: Column) -> Column:
@@ -159,13 +160,18 @@ def _joined(spans: Column) -> Column:
 
 def detect(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """row_id, doc_id, base (array of kind, start, end, value), added (array of kind, start, end) for each row."""
-    base = base_spans(docs, id_column, text_column)
-    near = materialize(contexts(base), "pii-near")
-    reveal = disclosing(docs, near, text_column, support, generalise)
-    extra = near.join(reveal, ["entity", "term"]).groupBy("row_id", "start", "end").agg(F.max("share").alias("share"))
-    kind = F.when(F.col("share") >= remove, "secret").otherwise("term")
-    rank = F.lit(len(KINDS)) + (F.col("share") >= remove).cast("int")
-    added = extra.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", rank.alias("rank"), kind.alias("kind"), "end"))).alias("added"))
+    base, size = base_spans(docs, id_column, text_column), max(1, docs.count())
+    near = together(docs, base, size, text_column, support, generalise)
+    reveal = disclosing(near, size, support, generalise)
+    shares = near.join(_small(reveal), ["entity", "term"]).groupBy("row_id", "term").agg(F.max("share").alias("share"))
+    shares = shares.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
+    hits = F.transform(places(F.col("text")), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.try_element_at("shares", p["term"]).alias("share")))
+    hits = F.filter(hits, lambda p: p["share"].isNotNull())
+    hits = F.filter(hits, lambda p: ~F.exists("spans", lambda s: (s["start"] < p["end"]) & (p["start"] < s["end"])))
+    rank = lambda p: (F.lit(len(KINDS)) + (p["share"] >= remove).cast("int")).alias("rank")
+    kind = lambda p: F.when(p["share"] >= remove, "secret").otherwise("term").alias("kind")
+    added = F.array_sort(F.transform(hits, lambda p: F.struct(p["start"].alias("start"), rank(p), kind(p), p["end"].alias("end"))))
+    added = base.select("row_id", "spans", "text").join(shares, "row_id").select("row_id", added.alias("added"))
     return base.join(added, "row_id", "left").select(
         "row_id", "doc_id", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"))).alias("base"),
         F.coalesce("added", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")).alias("added"),

@@ -64,6 +64,35 @@ def test_terms_that_reveal(spark):
     assert {r.clean for r in clean.collect() if r.doc_id == 1} == {"the agent  wrote to [email] about the weather 1"}
 
 
+def test_terms_are_counted_and_marked_in_whole_documents(spark):
+    far = " and then some plain words" * 8
+    rows = [(i, f"Zorblax knows{far} other{i % 4}@x.org writes to spy@hide.org{far} zorblax again") for i in range(6)]
+    rows += [(i, f"knows writes again{far} {i}") for i in range(10, 60)] + [(60, "zorblax"), (61, "spy@hide.org")]
+    found = privacy.detect(spark.createDataFrame(rows, "doc_id bigint, text string"), generalise=0.7).collect()
+    for r in found:
+        text = dict(rows)[r.doc_id]
+        assert [text[s.start : s.end] for s in r.added] == (["Zorblax", "zorblax"] if r.doc_id < 6 else []), text
+
+
+def test_disclosing_pairs_equal_brute_force(spark):
+    import math
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, " ".join([*rng.choices([f"word{'abcdefghijkl'[k]}" for k in range(12)], k=5), "filler " * 30, *rng.choices([f"m{k}@x.org" for k in range(9)], k=rng.randrange(3))])) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = [(set(re.findall(r"m\d@x.org", t)), set(re.findall(r"(?<!\S)[a-z]{3,}(?!\S)", t))) for _, t in rows]
+    want, n = {}, len(rows)
+    for e in set().union(*[s[0] for s in sets]):
+        for t in set().union(*[s[1] for s in sets]):
+            n_e, n_t, n_et = sum(e in s[0] for s in sets), sum(t in s[1] for s in sets), sum(e in s[0] and t in s[1] for s in sets)
+            if n_et >= 3 and (share := math.log2(n * n_et / (n_e * n_t)) / math.log2(n / n_e)) >= 0.1:
+                want[f"email:{e}", t] = round(share, 9)
+    near = privacy.together(docs, privacy.base_spans(docs), n, generalise=0.1)
+    got = {(r.entity, r.term): round(r.share, 9) for r in privacy.disclosing(near, n, generalise=0.1).collect()}
+    assert got == want and want
+
+
 def test_running_sums(spark):
     got = spark.range(1).select(privacy.running(F.sequence(F.lit(1), F.lit(200))).alias("s"), privacy.running(F.array().cast("array<int>")).alias("e")).first()
     assert got.s == [i * (i + 1) // 2 for i in range(1, 201)] and got.e == []
