@@ -274,7 +274,7 @@ def mincut_split(v):
     from tessera.operators.rag import segments
 
     seg = segments(v.rag_nodes(), v.rag_edges(), 0.3)
-    seeds = seg.groupBy("component").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n")).filter("n between 3 and 60")
+    seeds = seg.groupBy("component").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n")).filter("n >= 2")
     return kernels.min_cut(e, seg, seeds)
 
 

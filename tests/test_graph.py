@@ -128,3 +128,28 @@ def test_min_cut_of_a_barbell(spark):
     apart = spark.createDataFrame([(1, 4)], "a bigint, b bigint")
     fixed = dict(map(tuple, kernels.reagglomerate(e, seg, apart, 1.0).collect()))
     assert fixed[1] == fixed[2] and fixed[3] == fixed[4] != fixed[1]
+
+
+def test_min_cut_splits_every_merged_segment(spark):
+    import itertools
+    import os
+
+    import numpy as np
+
+    from tessera.plans import volumes
+    from tessera.plans.fixtures import Views
+
+    rng = np.random.default_rng(3)
+    for _ in range(20):  # against all cuts of small graphs
+        links = [(int(u), int(v), int(rng.integers(1, 9))) for u, v in itertools.combinations(range(7), 2) if rng.random() < 0.5]
+        cost = lambda side: sum(c for u, v, c in links if (u in side) != (v in side))
+        least = min(cost({0, *more}) for k in range(6) for more in itertools.combinations(range(1, 6), k))
+        assert cost(kernels.cut_sides(links, {0}, {6})) == least
+    sf = "/root/testdata/sf0.01"
+    if os.path.isdir(sf):
+        v = Views(spark, sf)
+        merged = rag.segments(v.rag_nodes(), v.rag_edges(), 0.3).groupBy("component").count().filter("count >= 2")
+        sizes = dict(map(tuple, merged.collect()))
+        got = volumes.QUERIES["mincut_split"](spark, sf).groupBy("component").agg(F.count("id"), F.countDistinct("side")).collect()
+        assert {r[0]: r[1] for r in got} == sizes and max(sizes.values()) > 60 and min(sizes.values()) == 2
+        assert {r[2] for r in got} == {2}
