@@ -285,7 +285,7 @@ def local_descriptors(v):
 
 @query()
 def distance_transform(v):
-    return kernels.edt(v.label_voxels(), (50, 8, 8), (40, 4, 4), 2)
+    return kernels.edt(v.label_voxels(), (50, 8, 8), (40, 4, 4))
 
 
 @query()

@@ -132,6 +132,29 @@ def test_kernels_do_not_depend_on_blocks(spark):
     assert len(ids - {0}) >= 8
 
 
+@pytest.mark.parametrize("group", [250_000, 30])
+def test_distances_are_exact(spark, monkeypatch, group):
+    monkeypatch.setattr(kernels, "GROUP", group)
+    a = np.ones((5, 11, 12), int)
+    a[1:, 3:, 5:], a[2, 2, 11], a[4, 10, 0] = 2, 3, 1
+    rng = np.random.default_rng(4)
+    keep = rng.random(a.shape) < 0.7
+    keep[:, 6] = keep[3, :, 4:] = False  # whole lines are missing
+    for mask in (np.ones(a.shape, bool), keep):
+        at, voxel = np.argwhere(mask), np.array([40, 4, 4])
+        labels = a[mask]
+        apart = np.sqrt((((at[:, None] - at[None]) * voxel) ** 2).sum(-1))
+        want = np.where(labels[:, None] != labels[None], apart, np.inf).min(1)
+        assert want.max() > 20  # beyond five voxels
+        rows = spark.createDataFrame([(*map(int, p), int(k)) for p, k in zip(at, labels)], "z bigint, y bigint, x bigint, label bigint")
+        for block in ((50, 8, 8), (2, 3, 5)):
+            got = {(r.z, r.y, r.x): r.distance for r in kernels.edt(rows, block, (40, 4, 4)).collect()}
+            assert len(got) == len(at) and np.allclose([got[tuple(map(int, p))] for p in at], want)
+    one = rows.withColumn("label", F.lit(0))
+    assert {r.distance for r in kernels.edt(one, (50, 8, 8), (40, 4, 4)).collect()} == {None}
+    assert kernels.edt(one.limit(0), (50, 8, 8), (40, 4, 4)).count() == 0
+
+
 def test_section_steps_and_program(spark):
     a = np.arange(12).reshape(3, 2, 2)
     v = voxels(spark, a)
