@@ -14,14 +14,14 @@ def edges(treenodes: DataFrame) -> DataFrame:
     return treenodes.filter("parent_id is not null").select(F.col("treenode_id").alias("u"), F.col("parent_id").alias("v"), F.lit("").alias("error_type"))
 
 
-def interpolated(treenodes: DataFrame, step: int, most: int = 1_000_000) -> DataFrame:
+def interpolated(treenodes: DataFrame, step: int) -> DataFrame:
     """Nodes put between a node and its parent where their z differ by more than ``step``: one each step.
 
     (child_id, k, z, y, x), k from 1 at the parent's side; places are linear, truncated to whole units.
     """
     parent = treenodes.select(F.col("treenode_id").alias("parent_id"), *[F.col(a).alias(f"p{a}") for a in "zyx"])
     both = treenodes.join(parent, "parent_id").withColumn("steps", F.floor(F.abs(F.col("z") - F.col("pz")) / step))
-    between = both.filter("steps > 1").select("treenode_id", "z", "y", "x", "pz", "py", "px", "steps", F.explode(F.sequence(F.lit(1), F.least(F.col("steps") - 1, F.lit(most)).cast("int"))).alias("k"))
+    between = both.filter("steps > 1").select("treenode_id", "z", "y", "x", "pz", "py", "px", "steps", F.explode(F.sequence(F.lit(1), (F.col("steps") - 1).cast("int"))).alias("k"))
     place = [(F.col(f"p{a}") + ((F.col(a) - F.col(f"p{a}")) * F.col("k") / F.col("steps")).cast("bigint")).alias(a) for a in "zyx"]
     return between.select(F.col("treenode_id").alias("child_id"), "k", *place)
 

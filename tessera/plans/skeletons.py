@@ -39,7 +39,7 @@ def skeleton_edges(v):
     FROM (SELECT c.treenode_id AS child_id, c.z, c.y, c.x, p.z AS pz, p.y AS py, p.x AS px, floor(abs(c.z - p.z) / 400)::BIGINT AS steps, unnest(generate_series(1, least(floor(abs(c.z - p.z) / 400)::BIGINT - 1, 50))) AS k
     FROM treenodes c JOIN treenodes p ON p.treenode_id = c.parent_id)"""))
 def skeleton_interpolated(v):
-    return skeleton.interpolated(v.treenodes(), 400, 50)
+    return skeleton.interpolated(v.treenodes(), 400)
 
 
 _PRUNE = {

@@ -42,6 +42,15 @@ def test_interpolation_truncates(spark):
     assert sorted(map(tuple, skeleton.interpolated(t, 40).collect())) == [(2, 1, 40, 3, -3), (2, 2, 80, 6, -6)]
 
 
+def test_long_edges_are_interpolated_to_their_end(spark, monkeypatch):
+    from tessera.plans import skeletons
+
+    t = spark.createDataFrame([(1, None, 0, 0, 0), (2, 1, 400 * 56, 56, 0)], "treenode_id bigint, parent_id bigint, z bigint, y bigint, x bigint")
+    monkeypatch.setattr(skeletons.Views, "treenodes", lambda self: t)
+    got = sorted(map(tuple, skeletons.QUERIES["skeleton_interpolated"](spark, "").collect()))
+    assert got == [(2, k, 400 * k, k, 0) for k in range(1, 56)]
+
+
 def test_voi_and_rand(spark):
     same = spark.createDataFrame([(1, 1)] * 4 + [(2, 2)] * 4, "label bigint, skeleton_id bigint")
     half = spark.createDataFrame([(1, 1)] * 4 + [(2, 1)] * 4, "label bigint, skeleton_id bigint")
