@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no folder of its own (tests, a laptop).
+#: Used only by a local master whose session names no folder of its own (tests, a laptop).
 LOCAL_SCRATCH = "file:///tmp/checkpoints"
 
 
@@ -28,8 +28,11 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a folder under /tmp only where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_SCRATCH).rstrip("/")
+    """The shared folder of spark.checkpoint.dir; a folder under /tmp only where that is unset and all tasks run in this process."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (shared or LOCAL_SCRATCH).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -41,19 +44,30 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage and survives lost executors. ``options`` are the writer's."""
     path = scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_table(df: DataFrame) -> None:
-    """Delete the folder of a frame made by materialize() once nothing reads it any more."""
-    spark = df.sparkSession
-    files = df.inputFiles()
-    if not files or "/tessera/" not in files[0]:
-        return
-    folder = files[0].rsplit("/", 1)[0]
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def counted(df: DataFrame, name: str, *columns: str) -> tuple[DataFrame, int, int | None]:
+    """``materialize`` with the number of rows and an order-free checksum of some columns, taken while they are written."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    sums = [F.count(F.lit(1)).alias("n"), *([F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("s")] if columns else [])]
+    table = materialize(df.observe(seen, *sums), name)
+    return table, seen.get["n"], seen.get.get("s")
+
+
+def drop_table(*tables: DataFrame) -> None:
+    """Delete the folders of frames that materialize() returned, once nothing reads them any more."""
+    for df in tables:
+        folder = getattr(df, "_scratch", None)
+        if folder is not None:
+            context = df.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:
