@@ -4,6 +4,10 @@ Base spans: the leftmost non-overlapping matches of each kind, found once by
 ``regexp_extract_all`` (the matches) and once by ``split`` (the text between),
 whose running lengths are the places. Places are code points, ends exclusive.
 
+Protected entities: each base span stands for its exact value, for an attribute that others
+may share (the domain of an email, the first two parts of an ip, the issuer's six digits of
+a card, the first four digits of a phone), and for its kind as a class.
+
 Terms: whole words of three letters or more, in lower case. Over the whole corpus and
 whole documents, n(e) counts documents with entity e, n(t) those with term t, n(e, t)
 those with both, wherever they stand. The share of e that t discloses is PMI(e, t) / IC(e),
@@ -13,9 +17,13 @@ documents of the entity a span ``term`` (to be generalised), REMOVE or more a sp
 ``secret`` (to be removed); occurrences inside a base span are covered by that.
 As n(e,t) <= n(e), a pair needs n(t) <= N (n(e)/N)^GENERALISE: others are never formed.
 
+``sanitised`` puts ``[kind]`` for a run of overlapping spans, by the first one's kind, or
+nothing for a secret.
+
 Edge cases: null text counts as empty; texts without matches have zero counts and
-empty lists (the digest of the empty string); repeated rows each get a row and
-count as documents; an empty table gives no rows; other columns are ignored.
+empty lists (the digest of the empty string) and stay as they are; repeated rows each get a row and
+count as documents; an entity in every document discloses nothing; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,8 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import named, table
-from tessera.session import materialize
+from tessera.llm.base import for_salts, hot_keys, named, salted, table
+from tessera.session import drop_table, materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 #: The stated patterns with possessive repeats (nothing that follows could use what they took),
@@ -97,16 +105,29 @@ def found(text: Column, kind: str) -> Column:
     return F.when(possible, spans).otherwise(F.array().cast(kind_of)).cast(kind_of)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= SMALL_TERMS else df
+def _met(rows: DataFrame, keyed: DataFrame, key: str | list[str], n: str) -> DataFrame:
+    """Rows (with row_id) with the columns of their key; ``keyed`` has one row a key and in ``n`` a bound of its rows."""
+    if keyed.count() <= SMALL_TERMS:
+        return rows.join(F.broadcast(keyed), key)
+    hot, on = hot_keys(keyed, key, n), [key] if isinstance(key, str) else key
+    return salted(rows, key, hot, F.col("row_id")).join(for_salts(keyed, key, hot), [*on, "salt"]).drop("salt")
+
+
+def entities(spans: Column) -> Column:
+    """Distinct entities of base spans: kind:value, kind/attribute, kind."""
+    digits = lambda s, n: F.substring(_digits(s["value"]), 1, n)
+    attribute = lambda s: F.when(s["kind"] == "email", F.lower(F.substring_index(s["value"], "@", -1))).when(s["kind"] == "ip", F.substring_index(s["value"], ".", 2)).when(s["kind"] == "card", digits(s, 6)).otherwise(digits(s, 4))
+    named_ = lambda s: F.array(F.concat_ws(":", s["kind"], s["value"]), F.concat_ws("/", s["kind"], attribute(s)), s["kind"])
+    return F.array_distinct(F.flatten(F.transform(spans, named_)))
 
 
 def base_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """row_id, doc_id, the sorted base spans of every row, and the text of those with any; written once, for row ids must not change."""
+    """row_id, doc_id, the sorted base spans of every row, the text of those with any and the sha256 of the others; written once, for row ids must not change."""
     rows = named(docs, doc_id=id_column, text=text_column).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     spans = F.array_sort(F.concat(*[found(F.col("text"), k) for k in KINDS]))
     rows = rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", spans.alias("spans"), "text")
-    return materialize(rows.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "pii-base")
+    some = F.size("spans") > 0
+    return materialize(rows.select("row_id", "doc_id", "spans", F.when(~some, F.sha2("text", 256)).alias("plain_sha256"), F.when(some, F.col("text")).alias("text")), "pii-base")
 
 
 def terms(text: Column) -> Column:
@@ -123,10 +144,10 @@ def places(text: Column) -> Column:
 
 def together(docs: DataFrame, base: DataFrame, size: int, text_column: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
     """row_id, entity, term, n_e, n_t of the entities and terms of each row, without pairs that cannot reach ``support`` and ``generalise``."""
-    own = base.select("row_id", F.explode(F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["value"])))).alias("entity"))
+    own = base.select("row_id", F.explode(entities(F.col("spans"))).alias("entity"))
     of_entity = materialize(own.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support), "pii-entities")
     top = of_entity.agg(F.max("n_e")).first()[0] or 0
-    own = own.join(_small(of_entity), "entity").groupBy("row_id").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities"))
+    own = _met(own, of_entity, "entity", "n_e").groupBy("row_id").agg(F.collect_list(F.struct("entity", "n_e")).alias("entities"))
     held = materialize(own.join(base.select("row_id", "text"), "row_id").select("row_id", "entities", terms(F.col("text")).alias("terms")), "pii-held")
     most = lambda n_e: size * F.pow(n_e / size, F.lit(generalise)) * (1 + 1e-9)
     # a term is in at least as many documents as it is here: what falls short never gets there
@@ -137,8 +158,10 @@ def together(docs: DataFrame, base: DataFrame, size: int, text_column: str = "te
     else:  # counted before the exchange, for some words are in all documents
         of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(known, "term", "left_semi")
     of_term = materialize(of_term.filter(F.col("n_t") <= most(F.lit(top))), "pii-terms")
-    pairs = held.select("row_id", "entities", F.explode("terms").alias("term")).join(_small(of_term), "term").select("row_id", "term", "n_t", F.explode("entities").alias("e"))
-    return materialize(pairs.select("row_id", "e.entity", "term", "e.n_e", "n_t").filter(F.col("n_t") <= most(F.col("n_e"))), "pii-near")
+    pairs = _met(held.select("row_id", "entities", F.explode("terms").alias("term")), of_term, "term", "n_t").select("row_id", "term", "n_t", F.explode("entities").alias("e"))
+    near = materialize(pairs.select("row_id", "e.entity", "term", "e.n_e", "n_t").filter(F.col("n_t") <= most(F.col("n_e"))), "pii-near")
+    drop_table(of_entity, held, known, of_term)
+    return near
 
 
 def _share(size: int) -> Column:
@@ -151,7 +174,7 @@ def _share(size: int) -> Column:
 def disclosing(near: DataFrame, size: int, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, share) of the pairs whose share reaches ``generalise``; counts cover the whole corpus."""
     pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t")).filter(F.col("n_et") >= support)
-    return materialize(pairs.select("entity", "term", _share(size).alias("share")).filter(F.col("share") >= generalise), "pii-pairs")
+    return materialize(pairs.select("entity", "term", "n_et", _share(size).alias("share")).filter(F.col("share") >= generalise), "pii-pairs")
 
 
 def _joined(spans: Column) -> Column:
@@ -159,11 +182,11 @@ def _joined(spans: Column) -> Column:
 
 
 def detect(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """row_id, doc_id, base (array of kind, start, end, value), added (array of kind, start, end) for each row."""
+    """row_id, doc_id, base (array of start, rank, kind, end, value), added (array of start, rank, kind, end), text (null without spans), plain_sha256 (of a text without) for each row."""
     base, size = base_spans(docs, id_column, text_column), max(1, docs.count())
     near = together(docs, base, size, text_column, support, generalise)
     reveal = disclosing(near, size, support, generalise)
-    shares = near.join(_small(reveal), ["entity", "term"]).groupBy("row_id", "term").agg(F.max("share").alias("share"))
+    shares = _met(near.select("row_id", "entity", "term"), reveal, ["entity", "term"], "n_et").groupBy("row_id", "term").agg(F.max("share").alias("share"))
     shares = shares.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
     hits = F.transform(places(F.col("text")), lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.try_element_at("shares", p["term"]).alias("share")))
     hits = F.filter(hits, lambda p: p["share"].isNotNull())
@@ -174,26 +197,32 @@ def detect(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     added = base.select("row_id", "spans", "text").join(shares, "row_id").select("row_id", added.alias("added"))
     return base.join(added, "row_id", "left").select(
         "row_id", "doc_id", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"))).alias("base"),
-        F.coalesce("added", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")).alias("added"),
+        F.coalesce("added", F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")).alias("added"), "text", "plain_sha256",
     )
 
 
-def digests(detected: DataFrame) -> DataFrame:
-    """Counts and lists of spans, one row for each row of ``detect``."""
+def all_spans() -> Column:
+    """Base and added spans of a row of ``detect``, sorted."""
     plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.array_sort(F.concat(plain, "added"))
+
+
+def digests(detected: DataFrame) -> DataFrame:
+    """Counts, lists of spans and the sanitised text's sha256, one row for each row of ``detect``."""
     number = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
     counts = [number(k).alias(f"n_{k}") for k in KINDS]
-    return detected.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.array_sort(F.concat(plain, "added"))).alias("spans"))
+    clean = F.coalesce("plain_sha256", F.sha2(sanitised(F.col("text"), all_spans()), 256))
+    return detected.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(all_spans()).alias("spans"), F.size("added").cast("bigint").alias("n_added"), clean.alias("clean_sha256"))
 
 
 def sanitised(text: Column, spans: Column) -> Column:
-    """The text with spans (sorted; start, kind, end) replaced by ``[kind]``, those of kind ``secret`` by nothing; overlapping ones act once."""
+    """The text with spans (sorted; start, kind, end) replaced by ``[kind]``, those of kind ``secret`` by nothing; what overlapping ones cover goes whole."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(s, x):
         put = F.when(x["kind"] == "secret", "").otherwise(F.concat(F.lit("["), x["kind"], F.lit("]")))
         more = F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), put)
-        return F.when(x["start"] >= s["at"], F.struct(x["end"].alias("at"), more.alias("out"))).otherwise(s)
+        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], more).otherwise(s["out"]).alias("out"))
 
     return F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
 
