@@ -1,16 +1,25 @@
 """URL filter: fixed host and path rules first, mined token rules for the rest. DataFrame functions and Spark ML only.
 
 Spark's FP-growth mines combinations of URL tokens over labelled URLs, with the
-label as one more item. Sets whose confidence and support for "block" reach their
-bounds become rules; a rule is dropped if a rule on a part of its tokens is as
-confident. Rules are matched through an inverted index: URL tokens join the
-index's tokens, and a URL that meets all tokens of a rule is blocked. Without a
+label as one more item. Sets that occur in a share of SUPPORT of the URLs and whose confidence for
+"block" is CONFIDENCE or more, and by Wilson's lower bound (95 %) LEAST or more, become rules; a rule is
+dropped if a rule on a part of its tokens is as confident. One host in HELD_OUT is kept out of the mining: a rule that
+is wrong there more often than its confidence allows goes, and ``precision`` counts what
+the rest gets right there. All of these are shares, so they mean the same at every size; what is in
+fewer than SUPPORT of the labelled URLs is not mined. So the frequent tokens, which Spark's
+FP-growth keeps on the driver, are at most tokens a URL / SUPPORT.
+
+Tokens that always occur together are one item, and a rule needs all of them; tokens of every
+URL are no item. So a long list of tokens that only occur together is mined as one.
+
+Rules are matched through an inverted index: each rule stands under its rarest token,
+URL tokens join the index, and a URL that has all tokens of a rule is blocked. Without a
 match a URL is allowed. Labels are a table (url, verdict); ``op8`` takes those URLs
 that the fixed rules judge.
 
 Edge cases: a null URL or one without ``://`` has an empty host and path, fits no
-rule and is allowed; repeated rows each get the verdict; no labels mine no rules;
-an empty table gives no rows; other columns are ignored.
+rule and is allowed; URLs are read whole, however long; repeated rows each get the verdict; no labels mine no rules;
+an empty table gives no rows; other columns, also of the labels, are ignored.
 """
 
 from __future__ import annotations
@@ -18,16 +27,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import named, table
+from tessera.llm.base import for_salts, hot_keys, named, salted, table
 from tessera.session import materialize
 
 #: Verdict, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Index rows up to which the index is sent to every executor; beyond it, a shuffled join.
+#: Index rows up to which the index is sent to every executor; beyond it, a salted join.
 SMALL_INDEX = 20_000
-#: Labelled URLs that a token set must occur in, whatever its share.
-EVIDENCE = 20
+SUPPORT, CONFIDENCE, LEAST, HELD_OUT = 0.001, 0.9, 0.8, 5
+_RULES = "rule_id bigint, antecedent array<string>, confidence double, support double"
 
 
 def with_parts(df: DataFrame, url: str = "url") -> DataFrame:
@@ -57,54 +66,98 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
     return F.array_distinct(F.concat(mark("h:", labels), mark("w:", words), mark("p:", F.split(path, "/")), mark("q:", keys)))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9) -> DataFrame:
-    """(url, verdict) rows to rules: rule_id, antecedent, confidence, support. Null verdicts are left out.
+def _own(df: DataFrame) -> DataFrame:
+    """url and verdict rows with their tokens."""
+    parts = with_parts(df)
+    return parts.select("url", "verdict", "host", tokens(F.col("host"), F.col("path"), F.col("url")).alias("tokens"))
 
-    A set must also occur EVIDENCE times: on a few hundred URLs a share alone is no evidence.
-    """
+
+def _items(labelled: DataFrame, support: float) -> tuple[DataFrame, DataFrame, int]:
+    """Transactions (items: class heads and the label), token classes (head, members, n) and the number of transactions."""
+    rows = materialize(labelled.select(F.monotonically_increasing_id().alias("row"), F.concat(F.lit("="), "verdict").alias("label"), "tokens"), "url-labelled")
+    size = rows.count()
+    each = rows.select("row", F.explode("tokens").alias("token"))
+    where = F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("where")
+    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), where).filter((F.col("n") >= support * size) & (F.col("n") < size))
+    classes = materialize(often.groupBy("n", "where").agg(F.sort_array(F.collect_list("token")).alias("members")).select(F.col("members")[0].alias("head"), "members", "n"), "url-classes")
+    heads = rows.select("row", "label", F.explode_outer("tokens").alias("head")).join(F.broadcast(classes.select("head", F.lit(True).alias("known"))), "head", "left")
+    items = heads.groupBy("row", "label").agg(F.collect_list(F.when(F.col("known"), F.col("head"))).alias("heads"))
+    return materialize(items.select(F.concat("heads", F.array("label")).alias("items")), "url-items"), classes, size
+
+
+def _lower_bound(confidence: Column, n: Column) -> Column:
+    """Wilson's 95 % lower bound of a share seen in n cases."""
+    z2 = 1.96**2
+    return (confidence + z2 / (2 * n) - 1.96 * F.sqrt(confidence * (1 - confidence) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def mine(labelled: DataFrame, min_support: float = SUPPORT, min_confidence: float = CONFIDENCE, least: float = LEAST) -> DataFrame:
+    """(url, verdict) rows to rules: rule_id, antecedent, confidence, support. Null verdicts are left out."""
     from pyspark.ml.fpm import FPGrowth
 
-    items = with_parts(labelled.filter("verdict is not null")).select(
-        F.concat(tokens(F.col("host"), F.col("path"), F.col("url")), F.array(F.concat(F.lit("="), "verdict"))).alias("items")
-    )
-    items = materialize(items, "url-items")
-    size = items.count()
+    own = _own(labelled.select("url", "verdict").filter("verdict is not null"))
+    kept_out = F.pmod(F.xxhash64("host"), F.lit(HELD_OUT)) == 0
+    items, classes, size = _items(own.filter(~kept_out), min_support)
     if not size:
-        return items.sparkSession.createDataFrame([], "rule_id bigint, antecedent array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, EVIDENCE / size)), minConfidence=min_confidence).fit(items)
+        return items.sparkSession.createDataFrame([], _RULES)
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = model.associationRules.filter(F.col("consequent") == F.array(F.lit("=block"))).filter(~F.exists("antecedent", lambda x: x.startswith("=")))
-    rules = materialize(
-        found.select(F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), "antecedent", "confidence", "support"), "url-rules"
-    )
-    # a rule with another one inside it that is as confident says nothing new
-    part = rules.select(F.col("rule_id").alias("inner_id"), F.col("antecedent").alias("inner"), F.col("confidence").alias("least"), F.array_min("antecedent").alias("token"))
+    found = found.filter(_lower_bound(F.col("confidence"), F.col("support") * size / F.col("confidence")) >= least)
+    found = materialize(found.select(F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.explode("antecedent").alias("head"), "confidence", "support"), "url-found")
+    rules = found.join(F.broadcast(classes), "head").groupBy("rule_id").agg(F.flatten(F.collect_list("members")).alias("antecedent"), F.max("confidence").alias("confidence"), F.max("support").alias("support"), F.min_by("head", F.struct("n", "head")).alias("rarest"))
+    rules = materialize(rules, "url-rules")
+    # a rule with another one inside it that is as confident says nothing new; they meet under the inner one's rarest token
+    part = rules.select(F.col("antecedent").alias("inner"), F.col("confidence").alias("held"), F.col("rarest").alias("token"))
     whole = rules.select("rule_id", "antecedent", "confidence", F.explode("antecedent").alias("token"))
     idle = whole.join(part, "token").filter(
-        (F.size("inner") < F.size("antecedent")) & (F.size(F.array_except("inner", "antecedent")) == 0) & (F.col("least") >= F.col("confidence"))
+        (F.size("inner") < F.size("antecedent")) & (F.size(F.array_except("inner", "antecedent")) == 0) & (F.col("held") >= F.col("confidence"))
     )
-    return rules.join(idle.select("rule_id").distinct(), "rule_id", "left_anti")
+    rules = materialize(rules.join(idle.select("rule_id").distinct(), "rule_id", "left_anti"), "url-kept")
+    # wrong more often than allowed on hosts that the mining has not seen
+    seen = _hits(own.filter(kept_out), rules).groupBy("rule_id").agg(F.avg((F.col("verdict") == "block").cast("double")).alias("right"))
+    return materialize(rules.join(seen.filter(F.col("right") < min_confidence).select("rule_id"), "rule_id", "left_anti").select("rule_id", "antecedent", "confidence", "support"), "url-mined")
+
+
+def _hits(own: DataFrame, rules: DataFrame) -> DataFrame:
+    """The rows of ``own`` (url, tokens and more) with rule_id, for each rule all of whose tokens they have."""
+    frequency = rules.select(F.explode("antecedent").alias("token")).groupBy("token").count()
+    under = rules.select("rule_id", "antecedent", F.explode("antecedent").alias("token")).join(frequency, "token")
+    index = materialize(under.groupBy("rule_id").agg(F.first("antecedent").alias("antecedent"), F.min_by("token", F.struct("count", "token")).alias("token")), "url-index")
+    each = own.withColumn("token", F.explode("tokens"))
+    if index.count() <= SMALL_INDEX:
+        met = each.join(F.broadcast(index), "token")
+    else:
+        hot = hot_keys(each.join(index.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token")
+        met = salted(each, "token", hot, F.col("url")).join(for_salts(index, "token", hot), ["token", "salt"]).drop("salt")
+    return met.filter(F.size(F.array_except("antecedent", "tokens")) == 0).drop("token", "antecedent")
+
+
+def precision(labelled: DataFrame, rules: DataFrame) -> DataFrame:
+    """(labelled, blocked, matched, right): of the labelled URLs on hosts that ``mine`` kept out, how many are to be blocked, how many a rule matches, and how many of these are to be blocked."""
+    own = _own(labelled.select("url", "verdict").filter("verdict is not null")).filter(F.pmod(F.xxhash64("host"), F.lit(HELD_OUT)) == 0)
+    hit = _hits(own, rules).select("url").distinct().withColumn("hit", F.lit(True))
+    block = F.col("verdict") == "block"
+    return own.join(hit, "url", "left").agg(F.count(F.lit(1)).alias("labelled"), F.count_if(block).alias("blocked"), F.count("hit").alias("matched"), F.count_if(block & F.col("hit")).alias("right"))
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Distinct urls that meet all tokens of a rule."""
-    index = materialize(rules.select("rule_id", F.size("antecedent").alias("needs"), F.explode("antecedent").alias("token")), "url-index")
-    if index.count() <= SMALL_INDEX:
-        index = F.broadcast(index)
-    own = with_parts(urls.select("url").filter("url is not null").distinct())
-    own = own.select("url", F.explode(tokens(F.col("host"), F.col("path"), F.col("url"))).alias("token"))
-    met = own.join(index, "token").groupBy("url", "rule_id", "needs").count()
-    return met.filter("count = needs").select("url").distinct()
+    """Distinct urls that have all tokens of a rule."""
+    own = _own(urls.select("url").filter("url is not null").distinct().withColumn("verdict", F.lit(None).cast("string")))
+    return _hits(own, rules).select("url").distinct()
 
 
-def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: list[tuple[str, str, str]] = RULES, id_column: str = "page_id", url_column: str = "url", min_support: float = 0.01, min_confidence: float = 0.9) -> DataFrame:
+def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: list[tuple[str, str, str]] = RULES, id_column: str = "page_id", url_column: str = "url", min_support: float = SUPPORT, min_confidence: float = CONFIDENCE) -> DataFrame:
     """A row for each row of ``pages``: page_id, url, host, path, rule, verdict."""
     rows = with_parts(named(pages, page_id=id_column, url=url_column))
     name, verdict = fixed_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", name).withColumn("fixed", verdict)
     if labelled is None:
         labelled = rows.select("url", F.col("fixed").alias("verdict"))
-    blocked = matched(rows.filter("fixed is null"), mine(labelled, min_support, min_confidence)).withColumn("mined", F.lit("block"))
-    return rows.join(blocked, "url", "left").select(
+    open_ = rows.filter("fixed is null and url is not null").groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    blocked = materialize(open_.join(matched(open_, mine(labelled, min_support, min_confidence)), "url"), "url-blocked")
+    hot = hot_keys(blocked, "url")  # one url may be that of many rows
+    marks = for_salts(blocked.select("url", F.lit("block").alias("mined")), "url", hot)
+    return salted(rows, "url", hot, F.col("page_id")).join(marks, ["url", "salt"], "left").select(
         "page_id", "url", "host", "path", "rule", F.coalesce("fixed", "mined", F.lit("allow")).alias("verdict")
     )
 
