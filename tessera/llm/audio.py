@@ -10,7 +10,7 @@ stored bytes back, decodes and resamples to 16-bit PCM, ``store_pcm`` stores tha
 and ``pcm_features`` describes it.
 
 Edge cases: null and empty texts are one block of padding; payloads are padded with
-bytes 255 to a positive multiple of BLOCK; recordings of any length are decoded whole;
+bytes 255 to a positive multiple of BLOCK; recordings of any length, also empty ones, are decoded whole;
 repeated rows each get a row; an empty table gives no rows; other columns are ignored.
 """
 
@@ -82,16 +82,29 @@ def decode_adpcm(blocks: np.ndarray) -> np.ndarray:
     return out.T
 
 
+def low_passed(samples: np.ndarray, share: float, half: int = 16) -> np.ndarray:
+    """Samples without what lies above ``share`` of their own band: a sinc in a Hann window, ``half`` zeros to a side."""
+    reach = int(np.ceil(half / share))
+    at = np.arange(-reach, reach + 1)
+    taps = np.sinc(at * share) * np.hanning(2 * reach + 3)[1:-1]
+    wide = np.pad(samples.astype(np.float64), reach, mode="edge")
+    return np.convolve(wide, taps / taps.sum(), "valid")
+
+
 def resample(samples: np.ndarray, rate: int, target: int) -> np.ndarray:
-    """Linear interpolation on the target's grid, rounded to 16-bit."""
+    """Linear interpolation on the target's grid, rounded to 16-bit with halves to even; to a lower rate after a low-pass."""
     n = len(samples) * target // rate
     if target == 2 * rate:  # the usual case, without a search
         wide = samples.astype(np.int32)
+        both = wide + np.append(wide[1:], wide[-1:])
         out = np.empty(n, np.int16)
         out[0::2] = wide
-        out[1::2] = (wide + np.append(wide[1:], wide[-1:])) >> 1
+        out[1::2] = (both >> 1) + (both & both >> 1 & 1)
         return out
-    return np.round(np.interp(np.arange(n) * (rate / target), np.arange(len(samples)), samples)).astype(np.int16)
+    if target < rate and len(samples):
+        samples = low_passed(samples, target / rate)
+    placed = np.interp(np.arange(n) * (rate / target), np.arange(len(samples)), samples) if n else np.zeros(0)
+    return np.clip(np.round(placed), -32768, 32767).astype(np.int16)
 
 
 def wav(codec: str, data: bytes, rate: int = RATE, align: int = 1) -> bytes:
