@@ -10,17 +10,18 @@ the order of a hash of (seed, e, id); a row is taken if the tokens before it in
 prefix are fewer than the budget. Full epochs are counted, not ordered. In the last, the
 row that crosses the budget is found by a descent through hash ranges: token sums
 of FANOUT ranges, then of the ranges within the crossing one, and so on, so that no
-task ever orders more than the last range's rows, whatever a leaf's size.
+task ever orders more than FANOUT ranges or, in the last step, about SMALL rows of a leaf, whatever its size.
 
-Only sums by leaf and by range reach the driver; the number of leaves is that of the
-distinct (domain, language, source) combinations. Tokens are words between blanks.
+Of each leaf (a domain, language and source that occur together) one row with its token sum reaches the
+driver, which shares the budget out; all else stays distributed. The leaves' plan is broadcast up to
+SMALL_LEAVES leaves; beyond it, rows of hot leaves are salted. Tokens are words between blanks.
 
 Edge cases: null language or source is a leaf of its own named by the empty string;
 null or empty texts have no tokens and are taken with the rows before them (an
 epoch's order still holds them); repeated rows are taken together; a budget over all
 rows and epochs takes all; zero weights take nothing unless siblings fall short, and
-then only if all of them are zero; an empty table gives no rows; columns that clash
-with ``epoch`` are replaced.
+then only if all of them are zero; very long texts count with all their tokens; an empty table gives no
+rows; a column of the name of ``epoch_column`` is replaced, all others stay as they are.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import table
-from tessera.session import materialize
+from tessera.llm.base import for_salts, hot_keys, salted, table
+from tessera.session import drop_table, materialize
 
-EPOCHS, SEED, FANOUT, SMALL = 4, 17, 1 << 10, 20_000
+EPOCHS, SEED, FANOUT, SMALL, SMALL_LEAVES = 4, 17, 1 << 10, 20_000, 20_000
+KEYS = ["domain", "lang_", "source_"]
 #: Weights of the query: domains, then languages, then sources ("*": any other).
 WEIGHTS = {
     "head": (0.3, {"en": (0.6, {}), "*": (0.2, {})}),
@@ -96,78 +98,83 @@ def _rank(seed: int, epoch: Column, id_: Column, more: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), epoch, id_, more), 1)
 
 
-def _cuts(rows: DataFrame, need: dict[tuple, int]) -> dict[tuple, int]:
-    """Leaf -> the rank up to which its rows make ``need`` tokens, found by descent through ranges of ranks.
+def _of_leaf(rows: DataFrame, plan: DataFrame, leaves: DataFrame, few: bool) -> DataFrame:
+    """Rows with the columns of their leaf's row in ``plan``; ``leaves`` has the number of rows of each leaf."""
+    if few:
+        return rows.join(F.broadcast(plan), KEYS)
+    hot = hot_keys(leaves, KEYS, "rows")
+    return salted(rows, KEYS, hot, F.col("id_")).join(for_salts(plan, KEYS, hot), [*KEYS, "salt"]).drop("salt")
 
-    ``rows`` has the leaf's columns, rank and n. Ranges that hold at most SMALL rows in all are read out.
+
+def _cuts(rows: DataFrame, need: DataFrame, leaves: DataFrame, few: bool) -> DataFrame:
+    """(leaf, bound): the rank up to which a leaf's rows make ``need`` tokens, found by descent through ranges of ranks.
+
+    ``rows`` has the leaf's columns, id_, rank and n; ``need`` the leaf's columns and need, at most its tokens.
     """
-    span, low, need, keys = 1 << 63, {leaf: 0 for leaf in need}, dict(need), ["domain", "lang_", "source_"]
-    while need and span > 1:
+    from pyspark.sql import Window as W
+
+    by = W.partitionBy(*KEYS)
+    state, span = need.withColumn("low", F.lit(0).cast("bigint")), 1 << 63
+
+    def crossing(near: DataFrame, column: str) -> DataFrame:
+        """Of each leaf the first group along a column within which the need is met."""
+        sums = near.groupBy(*KEYS, "low", "need", column).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+        sums = sums.withColumn("upto", F.sum("n").over(by.orderBy(column)))
+        return sums.filter((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
+
+    while span > 1:
         step = max(1, span // FANOUT)
-        frame = rows.sparkSession.createDataFrame([(*leaf, low[leaf]) for leaf in need], "domain string, lang_ string, source_ string, low bigint")
-        near = rows.join(F.broadcast(frame), keys).filter((F.col("rank") >= F.col("low")) & (F.col("rank") - F.col("low") <= F.lit(span - 1)))
-        part = F.shiftright(F.col("rank") - F.col("low"), step.bit_length() - 1)
-        by: dict = {leaf: [] for leaf in need}
-        for r in near.groupBy(*keys, part.alias("part")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")).collect():
-            by[r[0], r[1], r[2]].append((r["part"], r["n"], r["rows"]))
-        left = 0
-        for leaf, parts in by.items():
-            for at, n, count in sorted(parts):
-                if need[leaf] <= n:
-                    low[leaf] += at * step
-                    left += count
-                    break
-                need[leaf] -= n
-        span = step
-        if left <= SMALL:
+        off = F.col("rank") - F.col("low")
+        near = _of_leaf(rows, state, leaves, few).filter((off >= 0) & (off <= F.lit(span - 1))).withColumn("part", F.shiftright(off, step.bit_length() - 1))
+        found = crossing(near, "part")
+        following = materialize(found.select(*KEYS, (F.col("need") - F.col("upto") + F.col("n")).alias("need"), (F.col("low") + F.col("part") * step).alias("low"), "rows"), "mix-ranges")
+        drop_table(state)
+        state, span = following.drop("rows"), step
+        state._scratch = following._scratch
+        if (following.agg(F.max("rows")).first()[0] or 0) <= SMALL:
             break
-    if need and span > 1:
-        frame = rows.sparkSession.createDataFrame([(*leaf, low[leaf]) for leaf in need], "domain string, lang_ string, source_ string, low bigint")
-        near = rows.join(F.broadcast(frame), keys).filter((F.col("rank") >= F.col("low")) & (F.col("rank") - F.col("low") <= F.lit(span - 1)))
-        for *leaf, rank, n in sorted(map(tuple, near.select(*keys, "rank", "n").collect())):
-            leaf = tuple(leaf)
-            if need[leaf] > 0:
-                low[leaf] = rank
-                need[leaf] -= n
-    return low
+    off = F.col("rank") - F.col("low")
+    near = _of_leaf(rows, state, leaves, few).filter((off >= 0) & (off <= F.lit(span - 1)))
+    bounds = materialize(crossing(near, "rank").select(*KEYS, F.col("rank").alias("bound")), "mix-bounds")
+    drop_table(state)
+    return bounds
 
 
-def mix(docs: DataFrame, weights: Mapping, budget: int | float, domain: Column | None = None, seed: int = SEED, epochs: int = EPOCHS, default: float = 1.0, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", source_column: str = "source") -> DataFrame:
-    """All columns of the taken rows and ``epoch`` (from 0), one row for each time a row is taken.
+def mix(docs: DataFrame, weights: Mapping, budget: int | float, domain: Column | None = None, seed: int = SEED, epochs: int = EPOCHS, default: float = 1.0, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", source_column: str = "source", epoch_column: str | None = "epoch") -> DataFrame:
+    """All columns of the taken rows and the epoch (from 0; left out if ``epoch_column`` is None), one row for each time a row is taken.
 
     ``budget``: tokens, or a share of all tokens if below 1 (a float).
     """
     id_, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
     source = F.coalesce(F.col(f"`{source_column}`").cast("string"), F.lit(""))
-    leafed = docs.drop("epoch").select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "epoch"]).alias("row"), id_.alias("id_"), F.coalesce(domain if domain is not None else domain_of(source), F.lit("")).alias("domain"),
+    leafed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != epoch_column]).alias("row"), id_.alias("id_"), F.coalesce(domain if domain is not None else domain_of(source), F.lit("")).alias("domain"),
         F.coalesce(F.col(f"`{lang_column}`").cast("string"), F.lit("")).alias("lang_"), source.alias("source_"), F.xxhash64(text).alias("of_text"), tokens_of(text).alias("n"),
     )
+    named_epoch = [F.col("__epoch").alias(epoch_column)] if epoch_column else []
     slim = materialize(leafed.drop("row"), "mix-leaves")
-    keys = ["domain", "lang_", "source_"]
-    available = {tuple(r)[:3]: r["n"] for r in slim.groupBy(*keys).agg(F.sum("n").alias("n")).collect()}
+    leaves = materialize(slim.groupBy(*KEYS).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")), "mix-sums")
+    available = {tuple(r)[:3]: r["n"] for r in leaves.collect()}  # one row a leaf
     total = sum(available.values())
     want = budgets(available, budget * total if isinstance(budget, float) and budget < 1 else budget, weights, epochs, default)
     plan: list[tuple] = []
-    rest: dict[tuple, int] = {}
     for leaf, tokens in want.items():
         n = available[leaf]
         full = min(epochs, tokens // n) if n else 0
-        if n and full < epochs and tokens - full * n > 0:
-            rest[leaf] = tokens - full * n
-        plan.append((*leaf, full))
+        plan.append((*leaf, full, tokens - full * n if n and full < epochs else 0))
     if not plan:
-        return leafed.limit(0).select("row.*", F.lit(0).alias("epoch"))
-    spark = docs.sparkSession
-    frame = spark.createDataFrame(plan, "domain string, lang_ string, source_ string, full int")
+        return leafed.limit(0).withColumn("__epoch", F.lit(0)).select("row.*", *named_epoch)
+    few = len(plan) <= SMALL_LEAVES
+    frame = docs.sparkSession.createDataFrame(plan, "domain string, lang_ string, source_ string, full int, need bigint")
     ranked = lambda df: df.withColumn("rank", _rank(seed, F.col("full"), F.col("id_"), F.col("of_text")))
-    cuts = _cuts(ranked(slim.join(F.broadcast(frame), keys)), rest)
-    frame = spark.createDataFrame([(*p, cuts.get(p[:3], 0), p[:3] in cuts) for p in plan], "domain string, lang_ string, source_ string, full int, bound bigint, cut boolean")
-    found = ranked(leafed.join(F.broadcast(frame), keys))
-    part = F.col("cut") & (F.col("rank") <= F.col("bound"))
+    cut = frame.filter("need > 0")
+    cuts = _cuts(ranked(_of_leaf(slim, cut.select(*KEYS, "full"), leaves, few)).drop("full"), cut.select(*KEYS, "need"), leaves, few)
+    whole = frame.select(*KEYS, "full").join(cuts, KEYS, "left")
+    found = ranked(_of_leaf(leafed, whole, leaves, few))
+    part = F.coalesce(F.col("rank") <= F.col("bound"), F.lit(False))
     times = F.col("full") + part.cast("int")
-    out = found.filter(times > 0).select("row", F.explode(F.sequence(F.lit(0), times - 1)).alias("epoch"))
-    return out.select("row.*", "epoch")
+    out = found.filter(times > 0).select("row", F.explode(F.sequence(F.lit(0), times - 1)).alias("__epoch"))
+    return out.select("row.*", *named_epoch)
 
 
 def op3_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -25,9 +25,10 @@ def sources(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, epoch int")
 
 
-@pytest.mark.parametrize(("budget", "small"), [(0.4, 20_000), (0.4, 3), (25_000, 50), (10**9, 5)])
-def test_mix_equals_brute_force(spark, sources, monkeypatch, budget, small):
+@pytest.mark.parametrize(("budget", "small", "few"), [(0.4, 20_000, 100), (0.4, 3, 1), (25_000, 50, 100), (10**9, 5, 100)])
+def test_mix_equals_brute_force(spark, sources, monkeypatch, budget, small, few):
     monkeypatch.setattr(mixing, "SMALL", small)
+    monkeypatch.setattr(mixing, "SMALL_LEAVES", few)
     weights = {"head": (0.5, {"en": (3.0, {}), "*": (1.0, {})}), "tail": (0.5, {})}
     got = Counter((r.doc_id, r.epoch) for r in mixing.mix(sources, weights, budget).collect())
     slim = sources.select("doc_id", "text", "lang", "source")
@@ -43,20 +44,30 @@ def test_mix_equals_brute_force(spark, sources, monkeypatch, budget, small):
     want = Counter()
     for leaf, tokens in mixing.budgets(have, budget * sum(have.values()) if budget < 1 else budget, weights).items():
         for e in range(mixing.EPOCHS):
-            for i, n in sorted(leaves[leaf], key=lambda x: ranks[x[0], e]):
-                whole = have[leaf] and tokens >= have[leaf]
-                if whole or tokens > 0 and have[leaf]:
-                    want[i, e] += 1
-                if not whole:
-                    tokens -= n
-            if have[leaf] and tokens >= have[leaf]:
-                tokens -= have[leaf]
-            else:
+            whole = have[leaf] and tokens >= have[leaf]
+            by_rank = defaultdict(list)  # repeated rows have one rank and are taken together
+            for i, n in leaves[leaf]:
+                by_rank[ranks[i, e]].append((i, n))
+            left = tokens
+            for _, rows in sorted(by_rank.items()):
+                if whole or left > 0 and have[leaf]:
+                    want.update((i, e) for i, _ in rows)
+                left -= sum(n for _, n in rows)
+            if not whole:
                 break
-    assert set(got) == set(want)
+            tokens -= have[leaf]
+    assert got == want
     assert mixing.mix(sources.limit(0), weights, 0.5).count() == 0
 
 
+def test_mix_keeps_columns_and_whole_texts(spark):
+    rows = [(1, "w " * 300_000, "en", "src0", "mine"), (2, "a b", "en", "src1", "mine")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, epoch string")
+    kept = mixing.mix(docs, {}, 10**9, epochs=1, epoch_column=None)
+    assert kept.columns == docs.columns and {(r.doc_id, r.epoch, len(r.text)) for r in kept.collect()} == {(1, "mine", 600_000), (2, "mine", 3)}
+    assert sorted(r.epoch for r in mixing.mix(docs, {}, 10**9, epochs=2).collect()) == [0, 0, 1, 1]
+
+
 def brute(rows, width=5, percent=75):
     up = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     import re
@@ -110,6 +121,55 @@ def test_near_copies_equal_brute_force(spark):
     assert sorted((str(r.component_id), r.kept) for r in near_dedup.components(odd).collect()) == [("3", True), ("None", True), ("None", True)]
 
 
+def test_ids_that_repeat_with_other_texts(spark):
+    random = np.random.default_rng(8)
+    a, b = (" ".join(f"{k}{x}" for x in random.integers(0, 9999, 40)) for k in "ab")
+    rows = [(5, a), (5, b), (7, a + " more"), (8, b + " more"), (9, "alone " + " ".join(f"c{i}" for i in range(30))), (3, None), (3, "alone " + " ".join(f"c{i}" for i in range(31))), (None, a)]
+    got = near_dedup.components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id) == [(3, 0, 3), (3, 28, 3), (5, 36, 5), (5, 36, 5), (7, 37, 5), (8, 37, 5), (9, 27, 3)]
+    assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
+    kept = near_dedup.distinct(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["3", "3", "5", "5", "None"]
+
+
+def test_large_buckets_are_dealt_to_parts(spark, monkeypatch):
+    """Hot band keys, salts and parts: many small components that share all of a passage, beside one large component."""
+    from tessera.llm import base
+
+    monkeypatch.setattr(base, "HOT_ROWS", 3)
+    monkeypatch.setattr(near_dedup, "GROUP_ROWS", 7)
+    random = np.random.default_rng(9)
+    shared = [f"p{k}" for k in range(70)]
+    rows = [(k, " ".join(shared + [f"q{x}" for x in random.integers(0, 9999, 28)])) for k in range(60)]
+    rows += [(100 + k, rows[k % 20][1] + f" r{k}") for k in range(60)]
+    rows += [(300 + k, " ".join(shared + [f"t{j}" for j in range(20)] + [f"u{k}"])) for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.components(docs).collect()} == want
+    assert len({c for _, c in want.values()}) > 20
+
+
+def test_cross_links_join_all_components_that_meet():
+    random = np.random.default_rng(10)
+    base = random.integers(0, 2**32, 60, dtype=np.uint32)
+    sets = [np.unique(np.concatenate([base[: 60 - k % 13], random.integers(0, 2**32, k % 5, dtype=np.uint32)])) for k in range(30)]
+    every = np.ones(30, bool)
+    found = near_dedup.cross_links(np.arange(30), np.arange(30), sets, every, every, 75)
+    root = list(range(30))
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for a, b in found:
+        both = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both)
+        root[max(top(a), top(b))] = min(top(a), top(b))
+    for a in range(30):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            assert 100 * both < 75 * (len(sets[a]) + len(sets[b]) - both) or top(a) == top(b)
+
+
 def test_estimate_follows_similarity():
     random = np.random.default_rng(6)
     for share in (0.5, 0.75, 0.9):
