@@ -4,8 +4,12 @@ Online: a piece goes to the open bin with the least free space that holds it. Th
 open bins are kept as stacks by free space, and a bitset (one Python integer) marks
 which free spaces have a bin, so the best fit is one shift and one lowest-bit
 search. With ``open_bins`` open, a new bin closes the fullest open one. Each Arrow
-batch is offered longest piece first. Bins never leave their task, so nothing is
-shuffled and memory is the open bins alone.
+batch is offered longest piece first. Texts never leave their task, and memory is
+the open bins alone.
+
+Bins that a task leaves open with a share of SPARE or more free are packed once more, whole, as if each
+were a piece, TASKS tasks' bins at a time: so tables of many small partitions do not end
+in one part-filled sequence each. Only the bins' lengths move.
 
 A document's ids and its end id are cut into pieces of ``width`` only if they are
 longer; the last piece may be shorter. Edge cases: null text counts as empty (one
@@ -23,8 +27,11 @@ from pyspark.sql import functions as F
 
 from tessera.llm.base import named, slices, table
 from tessera.llm.tokens import default_path, tokenizer
+from tessera.session import materialize
 
-OPEN_BINS = 4096
+OPEN_BINS, SPARE, TASKS = 4096, 1 / 64, 256
+#: Moved bins up to which their list is sent to every executor; beyond it, a shuffled join.
+SMALL_LIST = 200_000
 
 
 class BestFit:
@@ -88,14 +95,41 @@ def _packer(path: str, end_id: int, width: int, open_bins: int, with_ids: bool):
             columns[5:5] = [[base + n for n, _ in placed], [o for _, o in placed]]
             if pieces:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        # a row without a piece for each bin that another one's content may fit in
+        left = [(base + n, width - f) for f in range(max(1, int(SPARE * width)), width) for n in bins.stacks[f]]
+        if left:
+            empty = {"sequence_id": [n for n, _ in left], "length": [n for _, n in left]}
+            yield pa.RecordBatch.from_arrays([pa.array(empty.get(c, [None] * len(left)), k) for c, k in zip(names, kinds)], names=names)
 
     return run
 
 
+def _moved(left: DataFrame, width: int) -> DataFrame:
+    """(sequence_id, into, shift): bins (sequence_id, length) put behind others, longest first; those that stay are left out."""
+    def run(rows):
+        import pandas as pd
+
+        rows, bins, first, out = rows.sort_values(["length", "sequence_id"], ascending=[False, True]), BestFit(width, len(rows) + 1), {}, []
+        for own, length in zip(rows.sequence_id.tolist(), rows.length.tolist()):
+            number, shift = bins.put(length)
+            if first.setdefault(number, own) != own:
+                out.append((own, first[number], shift))
+        return pd.DataFrame(out, columns=["sequence_id", "into", "shift"]).astype("int64")
+
+    few = F.floor(F.shiftright("sequence_id", 40) / TASKS).alias("few")
+    return left.select("sequence_id", "length", few).groupBy("few").applyInPandas(lambda rows: run(rows), "sequence_id bigint, into bigint, shift bigint")
+
+
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 4096, open_bins: int = OPEN_BINS, with_ids: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset; ``with_ids`` adds the ids (uint32, little endian)."""
     rows = named(docs, doc_id=id_column, text=text_column)
-    return rows.mapInArrow(_packer(tokenizer_path, end_id, width, open_bins, with_ids), PACKED + ", ids binary" * with_ids)
+    placed = materialize(rows.mapInArrow(_packer(tokenizer_path, end_id, width, open_bins, with_ids), PACKED + ", ids binary" * with_ids), "packed")
+    moved = materialize(_moved(placed.filter("piece is null"), width), "packed-moved")
+    if moved.count() <= SMALL_LIST:
+        moved = F.broadcast(moved)
+    both = placed.filter("piece is not null").join(moved, "sequence_id", "left")
+    new = {"sequence_id": F.coalesce("into", "sequence_id"), "offset": F.col("offset") + F.coalesce("shift", F.lit(0))}
+    return both.select(*[new[c].alias(c) if c in new else F.col(c) for c in placed.columns])
 
 
 def sequences(packed: DataFrame) -> DataFrame:
