@@ -182,6 +182,21 @@ class Segment:
         return out
 
 
+def block_groups(data: bytes, blocks: int) -> list[tuple[int, bytes]]:
+    """(first token, segment) for each run of ``blocks`` blocks: a segment of its own, with the same table, that any task can decode."""
+    whole = Segment(data)
+    packed, crc = HEAD.unpack_from(data)[7:]
+    table_ = data[HEAD.size : HEAD.size + packed]
+    ends = [e[0] for e in whole.entries[1:]] + [len(data)]
+    out = []
+    for a in range(0, len(whole.entries), blocks):
+        own, place = whole.entries[a : a + blocks], HEAD.size + packed + ENTRY.size * len(whole.entries[a : a + blocks])
+        head = HEAD.pack(b"RANS", 1, whole.bits, whole.lanes, whole.block, sum(e[1] for e in own), len(own), packed, crc)
+        shifted = b"".join(ENTRY.pack(e[0] - own[0][0] + place, *e[1:]) for e in own)
+        out.append((a * whole.block, head + table_ + shifted + data[own[0][0] : ends[a + len(own) - 1]]))
+    return out
+
+
 def _times(a: int, b: int) -> int:
     """Product of two polynomials over GF(2) modulo the crc32 polynomial, bits reflected."""
     out = 0
@@ -288,6 +303,32 @@ def read_index(spark, path: str) -> DataFrame:
     return whole.union(cut)
 
 
+def read_blocks(spark, path: str, blocks: int = 8) -> DataFrame:
+    """Decode by runs of blocks, each in any task: part, start (of the run in its part), n_tokens, ids (uint32, little endian).
+
+    For few large segments on many executors: a segment's blocks are dealt out, coded, and decoded apart.
+    """
+    def cut(stream):
+        import pyarrow as pa
+
+        for batch in stream:
+            for row in batch.select(["part", "start", "payload"]).to_pylist():
+                runs = block_groups(row["payload"], blocks)
+                columns = [pa.array([row["part"]] * len(runs), pa.int32()), pa.array([row["start"] + a for a, _ in runs], pa.int64()), pa.array([d for _, d in runs], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "start", "payload"])
+
+    def decode(stream):
+        import pyarrow as pa
+
+        for batch in stream:
+            for i in range(batch.num_rows):
+                ids = Segment(batch.column("payload")[i].as_py()).all_ids()
+                yield pa.RecordBatch.from_arrays([batch.column("part").slice(i, 1), batch.column("start").slice(i, 1), pa.array([len(ids)], pa.int64()), pa.array([ids.tobytes()], pa.binary())], names=["part", "start", "n_tokens", "ids"])
+
+    runs = spark.read.schema(SEGMENTS).parquet(path).mapInArrow(cut, "part int, start bigint, payload binary")
+    return runs.repartition("part", "start").mapInArrow(decode, "part int, start bigint, n_tokens bigint, ids binary")
+
+
 def op1_token_ids_rans(spark, sf_dir: str) -> DataFrame:
     """Encode ``documents``, write the segments, read them back."""
     out = scratch_path(spark, "rans")
