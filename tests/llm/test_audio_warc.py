@@ -47,6 +47,17 @@ def test_resampling():
     assert audio.resample(x, 8000, 16000).tolist() == [0, 50, 100, 25, -50, -50]
     assert audio.resample(x, 8000, 8000).tolist() == x.tolist()
     assert len(audio.resample(np.arange(800, dtype=np.int16), 8000, 11025)) == 1102
+    x = np.random.default_rng(3).integers(-32768, 32768, 999).astype(np.int16)  # one rule at all rates, halves to even
+    placed = np.interp(np.arange(1998) / 2, np.arange(999), x)
+    assert audio.resample(x, 8000, 16000).tolist() == np.round(placed).astype(np.int16).tolist()
+    assert audio.resample(x[:0], 8000, 4000).tolist() == audio.resample(x[:0], 8000, 16000).tolist() == []
+
+
+def test_downsampling_takes_out_what_the_lower_rate_cannot_hold():
+    t = np.arange(8000) / 8000
+    low, high = (np.round(10_000 * np.sin(2 * np.pi * f * t)).astype(np.int16) for f in (300, 3400))
+    kept, gone = (audio.resample(x, 8000, 4000)[200:-200].astype(float) for x in (low, high))
+    assert np.sqrt((kept**2).mean()) > 6900 and np.sqrt((gone**2).mean()) < 100
 
 
 @pytest.mark.parametrize("codec", audio.CODECS)
@@ -85,6 +96,37 @@ def test_the_query_stores_the_pcm_it_describes(spark, tmp_path, monkeypatch):
         assert r.feature.endswith(f"crc={zlib.crc32(stored[i].pcm)}") and f":n={len(stored[i].pcm) // 2}:" in r.feature
 
 
+def test_headers_follow_the_standard(spark):
+    big = "<p>" + "a" * 1000
+    rows = [(1, "http://a/x y\r\nWARC-Type: bad", big), (2, "http://b/ü%20", big), (3, " ", "s" * 2_000_000), (4, "http://c", None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    final = materialize(warc.deduplicate(materialize(warc.write_archives(pages), "warc")), "warc")
+    found = {h["X-Page-ID"]: (h, p) for r in final.collect() for h, p in warc.records(bytes(r.data))}
+    assert [found[k][0]["WARC-Target-URI"] for k in "1234"] == ["http://a/x%20y%0D%0AWARC-Type:%20bad", "http://b/%C3%BC%20", "urn:page:3", "http://c"]
+    again, first = found["1"][0], found["2"][0]
+    assert again["WARC-Type"] == "revisit" and found["1"][1] == b"" and again["WARC-Refers-To"] == first["WARC-Record-ID"]
+    assert again["WARC-Refers-To-Target-URI"] == first["WARC-Target-URI"] and again["WARC-Refers-To-Date"] == first["WARC-Date"]
+    assert found["2"][1] == big.encode() and len(found["3"][1]) == 2_000_000 and found["4"][1] == b""
+    assert {h["Content-Type"] for h, _ in found.values()} == {"application/http;msgtype=response"}
+
+
+def test_lists_of_revisits_beyond_the_broadcast(spark, monkeypatch):
+    from tessera.llm import base
+
+    pages = spark.createDataFrame([(i, f"u{i}", "x" * 1200 if i % 3 else f"{i}" * 1200) for i in range(60)], "page_id bigint, url string, html string")
+    crawl = materialize(warc.write_archives(pages.repartition(4), most=500), "warc")
+    want = sorted((r.page_id, r.record_type, r.refers_to) for r in warc.read_headers(warc.deduplicate(crawl)).collect())
+    monkeypatch.setattr(warc, "SMALL_LIST", 0)
+    monkeypatch.setattr(base, "HOT_ROWS", 3)
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in warc.read_headers(warc.deduplicate(crawl)).collect()) == want
+    assert sum(w[1] == "revisit" for w in want) == 39
+
+
+def test_the_whole_query_on_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(f"file://{tmp_path}/pages.parquet")
+    assert warc.op9_warc_revisits(spark, f"file://{tmp_path}").count() == 0
+
+
 def test_archives(spark):
     big, other = "<p>" + "a" * 1000, "é" * 500
     rows = [(1, "http://a/ 1\n", big), (2, None, big), (3, "x", "small"), (4, "x", "small"), (5, "x", None), (6, "x", other), (7, "x", big), (7, "x", big), (8, "y", "WARC/1.1\r\n\r\n" * 300), (None, "z", big)]

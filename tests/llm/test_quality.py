@@ -41,6 +41,18 @@ def test_without_labels_or_rows(spark, made):
     assert quality.score(docs.limit(0), quality.fit(docs.limit(0), labels)).count() == 0
 
 
+def test_an_id_with_both_labels_is_not_learnt_from(spark, made):
+    docs, labels = made
+    both = labels.union(spark.createDataFrame([(i, 0, "z") for i in range(600) if i % 3], labels.schema))
+    model = quality.fit(docs, both)
+    assert not model.layers and model.prior == 0.0  # only label 0 is left
+
+
+def test_whole_words_count(spark):
+    long = "ab1-" * 50_000
+    assert quality._row(long + "x") != quality._row(long + "X9") and quality._row(long)[1] != quality._row(long[:12])[1]
+
+
 def test_vector_sums_equal_brute_force(spark):
     text = "a b b c A! d9"
     sums = quality.vector_sums(spark.createDataFrame([(text,), ("x",)], "text string"))

@@ -69,6 +69,21 @@ def test_token_file(spark, docs, tmp_path):
     assert rans.read_index(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_blocks_decode_in_any_task(spark, docs, tmp_path):
+    ids = (np.random.default_rng(1).zipf(1.3, 2 * rans.BLOCK + 4000) % 50_000).astype("<u4")
+    runs = rans.block_groups(rans.encode_segment(ids), 1)
+    assert [a for a, _ in runs] == [0, rans.BLOCK, 2 * rans.BLOCK]
+    assert (np.concatenate([rans.Segment(d).all_ids() for _, d in reversed(runs)][::-1]) == ids).all()
+    path = default_path("byte_bpe_50k.json")
+    rans.write_tokens(docs.coalesce(1), f"file://{tmp_path}/b", path, 2, segment=70_000)
+    parts = {}
+    for r in rans.read_blocks(spark, f"file://{tmp_path}/b", 1).collect():
+        assert len(r.ids) == 4 * r.n_tokens
+        parts[r.part, r.start] = r.ids
+    whole = b"".join(parts[k] for k in sorted(parts))
+    assert whole == b"".join(plain("byte_bpe_50k.json", 2, r.text).tobytes() for r in sorted(docs.collect(), key=lambda r: r.doc_id))
+
+
 def test_pack(spark, docs):
     width = 256
     packed = pack.pack(docs, default_path("word_bpe_49k.json"), 1, width, 8, with_ids=True)
@@ -93,6 +108,48 @@ def test_pack(spark, docs):
     assert pack.pack(docs.limit(0), default_path("word_bpe_49k.json"), 1).count() == 0
 
 
+def test_bins_left_open_by_many_tasks_are_packed_once_more(spark, monkeypatch):
+    rows = [(i, " ".join(["word"] * (10 + i % 50))) for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(32)
+    for few in (pack.TASKS, 4):
+        monkeypatch.setattr(pack, "TASKS", few)
+        packed = pack.pack(docs, default_path("word_bpe_49k.json"), 1, 1024).collect()
+        assert len(packed) == 64
+        total, bins = sum(r.length for r in packed), {}
+        for r in packed:
+            bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert all(sum(n for _, n in sorted(parts)[:k]) == o for parts in bins.values() for k, (o, _) in enumerate(sorted(parts)))
+        assert max(sum(n for _, n in parts) for parts in bins.values()) <= 1024
+        assert len(bins) <= -(-total // 1024) + (1 if few > 4 else 8)
+
+
+def slow_best_fit(lengths, width, most):
+    """The rule, by looking at all bins: the tightest open bin that holds a length; of equal ones the one opened or filled last."""
+    free, order, out, made, at = {}, [], [], 0, 0
+    for n in lengths:
+        at += 1
+        fits = [b for b in free if free[b][0] >= n]
+        if fits:
+            b = min(fits, key=lambda b: (free[b][0], -free[b][1]))
+        else:
+            b, made = made, made + 1
+            if n < width and len(free) >= most:
+                del free[min(free, key=lambda b: (free[b][0], -free[b][1]))]
+            free[b] = (width, at)
+        out.append((b, width - free[b][0]))
+        free[b] = (free[b][0] - n, at)
+        if not free[b][0]:
+            del free[b]
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 3, 50])
+def test_best_fit_equals_a_search_of_all_bins(most):
+    lengths = np.random.default_rng(most).integers(1, 41, 500).tolist()
+    bins = pack.BestFit(40, most)
+    assert [bins.put(n) for n in lengths] == slow_best_fit(lengths, 40, most)
+
+
 def test_best_fit_takes_the_tightest_and_closes_the_fullest():
     bins = pack.BestFit(10, 2)
     assert [bins.put(n) for n in (6, 7, 3)] == [(0, 0), (1, 0), (1, 7)]  # 3 fits 7 exactly
@@ -112,3 +169,17 @@ def test_exact_dedup(spark, docs):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(max(ids) for ids in by.values())
     assert exact_dedup.groups(docs.limit(0)).count() == exact_dedup.distinct(docs.limit(0)).count() == 0
+
+
+def test_hot_digests_are_salted_and_repeated_rows_have_a_rule(spark, monkeypatch):
+    from tessera.llm import base
+
+    monkeypatch.setattr(base, "HOT_ROWS", 3)
+    rows = [(i, "hot" if i % 3 else f"text {i % 40}", i % 7) for i in range(300)] + [(None, "hot", 0), (7000, "hot", 2), (7000, "hot", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, digest int")
+    got = exact_dedup.groups(docs).collect()
+    hot = [r for r in got if r.text_sha256 == hashlib.sha256(b"hot").hexdigest()]
+    assert {(r.keep_id, r.group_size) for r in hot} == {(7000, 203)} and len(got) == len(rows)
+    kept = [exact_dedup.distinct(docs.repartition(n)).collect() for n in (1, 5)]
+    assert sorted(map(str, kept[0])) == sorted(map(str, kept[1]))
+    assert len([r for r in kept[0] if r.text == "hot"]) == 1
