@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows it is given; all but
 the last return the columns of ``documents``. A row taken more than once by the mixture
 is packed as often.
+
+Edge cases, in all stages: a null or empty text is scored like any other, is a copy of other
+empty texts, has no near copies, no tokens, and is one piece (the end id) if taken; a null id is no near
+copy of anything; texts of any length are read whole; of ties in exact copies the largest id stays,
+in near copies the least; repeated rows are copies of each other; further columns, whatever their names, are kept
+up to the last stage; an empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import exact_dedup, mixing, near_dedup, pack, quality
 from tessera.llm.base import table
 from tessera.llm.tokens import default_path
-from tessera.session import materialize
+from tessera.session import drop_table, materialize
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A token budget of half of what is left, by the mixture's weights."""
-    return mixing.mix(docs, mixing.WEIGHTS, mixing.SHARE).drop("epoch")
+    return mixing.mix(docs, mixing.WEIGHTS, mixing.SHARE, epoch_column=None)
 
 
 def pack_best(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,5 +61,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+        drop_table(before)
     return STAGES[-1][1](spark, docs, sf_dir)
