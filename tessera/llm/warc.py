@@ -8,9 +8,15 @@ Revisit resolution: the records' headers (no payloads) are read from the archive
 and shuffled by payload digest and length; each group's response is the record with
 the largest id; payloads under ``LEAST`` bytes are responses always. Members that
 become revisits are joined to their originals and every record gets fresh headers
-in new archives. Groups are reduced within each task before the exchange.
+in new archives. Groups are reduced within each task before the exchange. Archives
+stay where they are while the list of revisits is at most SMALL_LIST long; beyond it,
+they are shuffled to their lists.
 
-Edge cases: null html is an empty payload; a null url is ``urn:page:<id>``; a record
+A response's block is an HTTP head and the payload; a revisit's is the head alone, with the
+original's record id, target URI and date.
+
+Edge cases: null html is an empty payload; a null or blank url is ``urn:page:<id>``, and what no URI may
+hold is percent-encoded; an html of any length is one record; a record
 that already is a revisit has no payload of its own and is resolved by its digest;
 a record
 with the id of its group's response stays a response, also if rows are repeated; a
@@ -22,42 +28,53 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import batches, named, table
+from tessera.llm.base import batches, for_salts, hot_keys, named, salted, table
 from tessera.session import materialize
 
 LEAST, ARCHIVE = 1000, 4_000_000
+#: Revisits up to which their list is sent to every executor; beyond it, archives are shuffled to their lists.
+SMALL_LIST = 200_000
+DATE = "1970-01-01T00:00:00Z"
 ARCHIVES = "archive string, data binary"
 HEADERS = "archive string, page_id bigint, uri string, record_type string, digest string, length bigint, refers_to bigint"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record(page_id: int | None, uri: str, kind: str, digest: str, length: int, payload: bytes, refers_to: int | None = None) -> bytes:
-    """One gzip member. ``length`` is the full payload's, also for a revisit, whose block is empty."""
+def record_id(page_id: int | None, kind: str, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{kind}:{digest}')}>"
+
+
+def record(page_id: int | None, uri: str, kind: str, digest: str, length: int, payload: bytes, refers_to: int | None = None, refers_uri: str | None = None) -> bytes:
+    """One gzip member. ``length`` is the full payload's, also for a revisit, whose block is the HTTP head."""
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{kind}:{digest}')}>",
-        "WARC-Date: 1970-01-01T00:00:00Z",
+        f"WARC-Record-ID: {record_id(page_id, kind, digest)}",
+        f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {uri}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {length}",
-        "Content-Type: text/html; charset=utf-8",
+        "Content-Type: application/http;msgtype=response",
     ]
     if page_id is not None:
         lines.append(f"X-Page-ID: {page_id}")
     if kind == "revisit":
-        lines += [f"WARC-Profile: {PROFILE}"] + [f"X-Refers-To-Page-ID: {refers_to}"] * (refers_to is not None)
-    head = "\r\n".join([*lines, f"Content-Length: {len(payload)}", "", ""]).encode()
+        lines.append(f"WARC-Profile: {PROFILE}")
+        if refers_to is not None:
+            lines += [f"WARC-Refers-To: {record_id(refers_to, 'response', digest)}", f"WARC-Refers-To-Target-URI: {refers_uri}", f"WARC-Refers-To-Date: {DATE}", f"X-Refers-To-Page-ID: {refers_to}"]
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
+    head = "\r\n".join([*lines, f"Content-Length: {len(http) + len(payload)}", "", ""]).encode()
     packer = zlib.compressobj(1, zlib.DEFLATED, 31)
-    return packer.compress(head) + packer.compress(payload) + packer.compress(b"\r\n\r\n") + packer.flush()
+    return packer.compress(head + http) + packer.compress(payload) + packer.compress(b"\r\n\r\n") + packer.flush()
 
 
 def records(data: bytes):
-    """(headers, payload) of each record of an archive; raises ValueError where one is damaged."""
+    """(headers, payload) of each record of an archive, the payload behind the HTTP head; raises ValueError where one is damaged."""
     data, at = memoryview(data), 0
     while at < len(data):
         opener, parts = zlib.decompressobj(31), []
@@ -74,7 +91,7 @@ def records(data: bytes):
         size = int(headers["Content-Length"])
         if lines[0] != "WARC/1.1" or rest[size:] != b"\r\n\r\n":
             raise ValueError("damaged record")
-        yield headers, rest[:size]
+        yield headers, rest[rest.index(b"\r\n\r\n") + 4 : size]
 
 
 def _page(headers: dict) -> int | None:
@@ -107,7 +124,8 @@ def _name(kind: str) -> str:
 
 
 def _uri(page_id, url: str | None) -> str:
-    return "".join(c for c in url if c > " ") if url and url.strip() else f"urn:page:{page_id}"
+    """The url with blanks, control and other signs that no URI may hold percent-encoded."""
+    return quote(url, safe="%/:?#[]@!$&'()*+,;=-._~", errors="replace") if url and url.strip() else f"urn:page:{page_id}"
 
 
 def write_archives(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", most: int = ARCHIVE) -> DataFrame:
@@ -147,31 +165,35 @@ def read_headers(archives: DataFrame, check: bool = False) -> DataFrame:
 
 
 def revisits(headers: DataFrame, least: int = LEAST) -> DataFrame:
-    """(archive, page_id, digest, refers_to) of the records that are to be revisits."""
+    """(archive, page_id, digest, refers_to, refers_uri) of the records that are to be revisits."""
     big = headers.drop("refers_to").filter((F.col("length") >= least) | (F.col("record_type") == "revisit"))
-    held = F.when(F.col("record_type") == "response", F.col("page_id"))
-    original = big.groupBy("digest", "length").agg(F.max(held).alias("refers_to")).filter("refers_to is not null")
-    return big.join(original, ["digest", "length"]).filter("page_id <> refers_to").select("archive", "page_id", "digest", "refers_to")
+    held = F.when((F.col("record_type") == "response") & F.col("page_id").isNotNull(), F.struct("page_id", "uri"))
+    original = big.groupBy("digest", "length").agg(F.max(held).alias("o"), F.count(F.lit(1)).alias("n")).filter("o is not null and n > 1")
+    original = materialize(original.select("digest", "length", F.col("o.page_id").alias("refers_to"), F.col("o.uri").alias("refers_uri"), "n"), "warc-originals")
+    hot = hot_keys(original, ["digest", "length"])  # one payload may be that of many records
+    met = salted(big, ["digest", "length"], hot, F.col("page_id")).join(for_salts(original, ["digest", "length"], hot), ["digest", "length", "salt"])
+    return met.filter("page_id <> refers_to").select("archive", "page_id", "digest", "refers_to", "refers_uri")
 
 
 def deduplicate(archives: DataFrame, least: int = LEAST, most: int = ARCHIVE) -> DataFrame:
     """Archives with fresh headers: copies become revisits. ``archives`` must be a written table.
 
-    An archive meets its own list of revisits (ids only, at most one a record in it).
+    An archive meets its own list of revisits (at most one a record in it).
     """
     headers = materialize(read_headers(archives), "warc-headers")  # both sides of the join read it
-    lists = revisits(headers, least).groupBy("archive").agg(F.collect_list(F.struct("page_id", "digest", "refers_to")).alias("again"))
-    both = archives.join(lists, "archive", "left").select("archive", "data", "again")
+    again = materialize(revisits(headers, least), "warc-again")
+    lists = again.groupBy("archive").agg(F.collect_list(F.struct("page_id", "digest", "refers_to", "refers_uri")).alias("again"))
+    both = archives.join(F.broadcast(lists) if again.count() <= SMALL_LIST else lists, "archive", "left").select("archive", "data", "again")
 
     def run(stream):
         def members():
             for batch in stream:
                 for i in range(batch.num_rows):
-                    to = {(r["page_id"], r["digest"]): r["refers_to"] for r in batch.column(2)[i].as_py() or []}
+                    to = {(r["page_id"], r["digest"]): (r["refers_to"], r["refers_uri"]) for r in batch.column(2)[i].as_py() or []}
                     for h, payload in records(batch.column(1)[i].as_py()):
                         key = _page(h), h["WARC-Payload-Digest"].split(":")[1]
                         again = key in to or h["WARC-Type"] == "revisit"
-                        yield record(key[0], h["WARC-Target-URI"], "revisit" if again else "response", key[1], int(h["X-Payload-Length"]), b"" if again else payload, to.get(key))
+                        yield record(key[0], h["WARC-Target-URI"], "revisit" if again else "response", key[1], int(h["X-Payload-Length"]), b"" if again else payload, *to.get(key, ()))
 
         yield from batches(_packed(members(), _name("dedup"), most), _schema(), 1)
 
