@@ -14,13 +14,15 @@
 6. *Rest.* Buckets that still hold more than one component are gone through whole: a kernel counts what
    the members outside the largest component share with all others and names links
    between components only, so that a bucket gives as many rows as it has components. Those links
-   are verified on the full sets, too.
+   are verified on the full sets, too. Only the members outside the largest component are copied to
+   several groups, and joins by band key deal the members of a hot key over many tasks.
 
 At similarity 0.75 a pair shares no band with probability (1 - 0.75**5)**40, about 2e-5.
 
 Edge cases: null, empty and blank texts have no shingles and are linked with nothing;
 fewer words than a shingle are one shingle of the whole sequence; a null id has no
-component and stays; rows that share an id are one node; an empty table gives no
+component and stays; rows that share an id are one node, linked with all that any of
+their texts is linked with, and each row has its own text's n_shingles; an empty table gives no
 rows; other columns are ignored by ``components`` and kept by ``distinct``.
 """
 
@@ -32,9 +34,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import named, release, table
+from tessera.llm.base import for_salts, hot_keys, named, release, salted, table
 from tessera.operators.components import component_edges
-from tessera.session import materialize
+from tessera.session import drop_table, materialize
 
 WIDTH, PERCENT = 5, 75
 BANDS, PER_BAND, MANTISSA, FRACTION = 40, 5, 10, 40
@@ -203,10 +205,15 @@ def _verified(width: int, percent: int):
     return run
 
 
+def _of_key(members: DataFrame, per_key: DataFrame) -> DataFrame:
+    """Salted members with the columns of their key's row, dealt by (key, salt)."""
+    return members.join(members.select("key", "salt").distinct().join(per_key, "key"), ["key", "salt"])
+
+
 def _unsettled(members: DataFrame) -> DataFrame:
-    """Rows (key, node, component) of the buckets with more than one component."""
+    """Rows (key, salt, node, component) of the buckets with more than one component."""
     mixed = members.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return members.join(mixed.filter("least <> most").select("key"), "key")
+    return _of_key(members, mixed.filter("least <> most").select("key"))
 
 
 def _sets32(width: int):
@@ -221,28 +228,31 @@ def _sets32(width: int):
     return run
 
 
-def cross_links(nodes: np.ndarray, components_: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Pairs of ``nodes`` in different components whose sets reach ``percent``; enough of them to join all such components.
+def cross_links(nodes: np.ndarray, components_: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of a ``left`` and a ``right`` node in different components whose sets reach ``percent``; enough of them to join all such components.
 
-    Members of the largest component are only compared with others. A pair that a few
-    colliding hashes could have lifted over the bound is named, but joins nothing.
+    A pair that a few colliding hashes could have lifted over the bound is named, but joins nothing.
     """
-    sizes = np.array([len(x) for x in sets])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    known, label, counts = np.unique(components_, return_inverse=True, return_counts=True)
-    label = label.astype(np.int64)
+    ends = np.cumsum([len(x) for x in sets])
+    own = [codes[b - len(x) : b] for b, x in zip(ends, sets)]
+    label = np.unique(components_, return_inverse=True)[1].astype(np.int64)
+    others = np.flatnonzero(right)
+    sizes = np.array([len(sets[y]) for y in others])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    every = np.concatenate([own[y] for y in others])
     out, mark = [], np.zeros(int(codes.max()) + 1, np.int32)
-    for x in np.flatnonzero(label != int(np.argmax(counts))):
-        own = codes[starts[x] : starts[x] + sizes[x]]
-        mark[own] = 1
-        both = np.add.reduceat(mark[codes], starts)
-        mark[own] = 0
-        enough = (100 * both >= percent * (sizes + sizes[x] - both)) & (label != label[x])
-        for y in np.flatnonzero(enough):
+    for x in np.flatnonzero(left):
+        size = len(own[x])
+        mark[own[x]] = 1
+        both = np.add.reduceat(mark[every], starts)
+        mark[own[x]] = 0
+        enough = (100 * both >= percent * (sizes + size - both)) & (label[others] != label[x])
+        for k in np.flatnonzero(enough):
+            y = others[k]
             if label[y] != label[x]:
                 out.append((int(min(nodes[x], nodes[y])), int(max(nodes[x], nodes[y]))))
-                if 100 * (both[y] - 3) >= percent * (sizes[y] + sizes[x] - both[y] + 3):
+                if 100 * (both[k] - 3) >= percent * (sizes[k] + size - both[k] + 3):
                     label[label == label[y]] = label[x]
     return out
 
@@ -252,7 +262,8 @@ def _crossing(percent: int):
         import pyarrow as pa
 
         sets = [np.frombuffer(v, np.uint32) for v in group.column("shingles").to_pylist()]
-        found = cross_links(group.column("node").to_numpy(), group.column("component").to_numpy(), sets, percent)
+        left, right = (group.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
+        found = cross_links(group.column("node").to_numpy(), group.column("component").to_numpy(), sets, left, right, percent) if left.any() and right.any() else []
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
@@ -269,66 +280,114 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 def _rest(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (u, v) between the components that meet in a bucket; ``members`` are the unsettled buckets.
 
-    A bucket of up to GROUP_ROWS members and GROUP_SHINGLES shingles is one group; a larger one
-    is dealt to parts, and each two parts are a group, so that a task's memory has a bound.
+    Members outside a bucket's largest component (outer ones) meet all others, members of it only them.
+    Both are dealt to parts of about GROUP_ROWS members and GROUP_SHINGLES shingles, and a group is two
+    parts, one of them of outer members: so a task's memory has a bound, and the many members of a
+    large component are copied once for each part of the few others.
     """
     wanted = members.select("node").distinct()
     sets = materialize(texts.join(wanted, "node").mapInArrow(_sets32(width), "node bigint, n bigint, shingles binary"), "near-sets")
     sized = members.join(sets.select("node", "n"), "node")
-    weight = F.greatest(F.count(F.lit(1)) / GROUP_ROWS, F.sum("n") / GROUP_SHINGLES)
-    parts = sized.groupBy("key").agg(F.least(F.ceil(weight), F.count(F.lit(1))).cast("int").alias("parts"))
-    placed = members.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    other = F.explode(F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0))))
-    dealt = placed.select("key", "node", "component", "own", other.alias("other"))
-    dealt = dealt.select("key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    of_component = sized.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
+    inner = F.max(F.struct("rows", "component", "n"))
+    of_key = of_component.groupBy("key").agg(inner.alias("top"), F.sum("rows").alias("rows"), F.sum("n").alias("n"))
+    parts = lambda rows, n: F.least(F.ceil(F.greatest(rows / GROUP_ROWS, n / GROUP_SHINGLES)), rows).cast("int")
+    rest = (F.col("rows") - F.col("top.rows"), F.col("n") - F.col("top.n"))
+    of_key = of_key.select("key", F.col("top.component").alias("largest"), parts(*rest).alias("outer_parts"), parts(F.col("top.rows"), F.col("top.n")).alias("inner_parts"))
+    placed = _of_key(members, of_key).withColumn("outer", F.col("component") != F.col("largest"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("outer"), F.col("outer_parts")).otherwise(F.col("inner_parts"))).cast("int")
+    placed = placed.withColumn("own", own)
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    group = lambda i, j, left, right: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), left.alias("left"), right.alias("right"))
+    me, yes, no = F.col("own"), F.lit(True), F.lit(False)
+    # outer parts i <= j meet under (i, j); outer part i and inner part j under (i, -1 - j)
+    with_outer = F.transform(upto("outer_parts"), lambda o: group(F.least(me, o), F.greatest(me, o), me <= o, me >= o))
+    with_inner = F.transform(upto("inner_parts"), lambda p: group(me, -1 - p, yes, no))
+    of_inner = F.transform(upto("outer_parts"), lambda o: group(o, -1 - me, no, yes))
+    dealt = placed.select("key", "node", "component", F.explode(F.when(F.col("outer"), F.concat(with_outer, with_inner)).otherwise(of_inner)).alias("g")).select("key", "node", "component", "g.*")
     grouped = dealt.join(sets.select("node", "shingles"), "node").groupBy("key", "i", "j")
     pairs = materialize(grouped.applyInArrow(_crossing(percent), "a bigint, b bigint"), "near-crossing")
+    drop_table(sets)
     return _confirmed(pairs.distinct(), texts, width, percent)
 
 
 def component_links(classes: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of all classes (node, registers) that are linked with another; ``texts`` has (node, text)."""
-    members = classes.select("node", "registers").mapInArrow(_banded, "key bigint, node bigint")
-    members = materialize(members.join(members.groupBy("key").count().filter("count > 1").select("key"), "key"), "near-buckets")
+    """(node, component) of all classes (node, registers) that are linked with another; ``texts`` has (node, text).
+
+    Buckets are joined by (key, salt): the members of a hot key are dealt over many tasks.
+    """
+    every = classes.select("node", "registers").mapInArrow(_banded, "key bigint, node bigint")
+    buckets = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a")).filter("n > 1"), "near-keys")
+    hot = hot_keys(buckets, "key")
+    members = salted(every, "key", hot, F.col("node")).join(for_salts(buckets.select("key", "a"), "key", hot), ["key", "salt"])
+    members = materialize(members.select("key", "salt", "node", "a"), "near-buckets")
     wanted = members.select("node").distinct()
     texts = materialize(texts.join(wanted, "node"), "near-texts")
     registers = materialize(classes.select("node", "registers").join(wanted, "node"), "near-registers")
-    pivots = members.groupBy("key").agg(F.min("node").alias("a"))
-    pairs = members.join(pivots, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
+    pairs = members.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
     both = pairs.join(registers.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
     both = both.join(registers.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b").select("a", "b", "ra", "rb")
     likely = materialize(both.mapInArrow(_estimated(estimate_floor(percent)), "a bigint, b bigint"), "near-likely")
     stars = materialize(component_edges(_confirmed(likely, texts, width, percent)), "near-stars")
-    placed = members.join(stars, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = members.join(stars, "node", "left").select("key", "salt", "node", F.coalesce("component", "node").alias("component"))
     unsettled = materialize(_unsettled(placed), "near-unsettled")
+    drop_table(buckets, members, registers, likely)
     if unsettled.isEmpty():
+        drop_table(texts, unsettled)
         return stars
     more = materialize(_rest(unsettled, texts, width, percent), "near-rest")
     top = lambda c: stars.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
     lifted = more.join(top("u"), "u", "left").join(top("v"), "v", "left").select(F.coalesce("u_top", "u").alias("u"), F.coalesce("v_top", "v").alias("v"))
     joined = component_edges(lifted).select(F.col("node").alias("mid"), F.col("component").alias("top"))
     joined = materialize(joined, "near-joined")
+    drop_table(texts, unsettled, more)
     moved = stars.join(joined, F.col("component") == F.col("mid"), "left").select("node", F.coalesce("top", "component").alias("component"))
     alone = joined.join(stars.select(F.col("node").alias("mid")), "mid", "left_anti").select(F.col("mid").alias("node"), F.col("top").alias("component"))
     return moved.union(alone)
 
 
-def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, n_shingles, component_id (the least id reachable), kept."""
-    own = materialize(sketches(docs, id_column, text_column, width), "near-sketches")
-    sets = own.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("registers").alias("registers"))
+def _unique_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, reached (the least id of the component, null without an id) of rows (doc_id, text) whose ids do not repeat."""
+    own = materialize(sketches(docs, "doc_id", "text", width), "near-sketches")
+    sets = own.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("registers").alias("registers"), F.count(F.lit(1)).alias("n"))
     sets = materialize(sets, "near-classes")
-    texts = named(docs, node=id_column, text=text_column).dropDuplicates(["node"]) if _repeats(docs, id_column) else named(docs, node=id_column, text=text_column)
-    joined = component_links(sets, texts, width, percent).withColumnRenamed("node", "member")
+    joined = component_links(sets, docs.withColumnRenamed("doc_id", "node"), width, percent).withColumnRenamed("node", "member")
     of_class = sets.select("digest", "node").join(joined, F.col("node") == F.col("member"), "left").select("digest", F.coalesce("component", "node").alias("reached"))
-    out = own.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    hot = hot_keys(sets, "digest")
+    rows = salted(own.select("doc_id", "n_shingles", "digest"), "digest", hot, F.col("doc_id"))
+    out = rows.join(for_salts(of_class, "digest", hot), ["digest", "salt"], "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "doc_id")).alias("reached"))
+
+
+def _repeated_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """As ``_unique_components`` for ids that repeat: rows are numbered and linked, then components with an id in common are one."""
+    number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    rows = materialize(docs.select(number.alias("row"), "doc_id", "text"), "near-rows")
+    found = _unique_components(rows.select(F.col("row").alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("row"), "n_shingles", F.col("reached").alias("part"))
+    found = materialize(rows.select("row", "doc_id").filter("row is not null").join(found, "row"), "near-parts")
+    first = found.groupBy("doc_id").agg(F.min("part").alias("u"), F.max("part").alias("v")).filter("u <> v")
+    links = found.select("doc_id", "part").distinct().join(first.select("doc_id", "u"), "doc_id").select("u", F.col("part").alias("v"))
+    of_part = component_edges(links).select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    parts = found.groupBy("part").agg(F.min("doc_id").alias("least")).join(of_part, "part", "left").withColumn("whole", F.coalesce("whole", "part"))
+    parts = materialize(parts, "near-wholes")
+    reached = parts.join(parts.groupBy("whole").agg(F.min("least").alias("reached")), "whole").select("part", "reached")
+    counts = found.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(counts, "part")
+    out = salted(found, "part", hot, F.col("row")).join(for_salts(reached, "part", hot), ["part", "salt"]).select("doc_id", "n_shingles", "reached")
+    nameless = sketches(rows.filter("row is null"), "doc_id", "text", width).select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("reached"))
+    return out.union(nameless)
+
+
+def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """A row for each row of ``docs``: doc_id, n_shingles, component_id (the least id reachable), kept."""
+    rows = named(docs, doc_id=id_column, text=text_column)
+    found = (_repeated_components if _repeats(rows) else _unique_components)(rows, width, percent)
+    return found.select("doc_id", "n_shingles", F.col("reached").alias("component_id"), F.coalesce(F.col("reached") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _repeats(docs: DataFrame, id_column: str) -> bool:
+def _repeats(rows: DataFrame) -> bool:
     """Whether an id occurs twice."""
-    return not docs.groupBy(F.col(f"`{id_column}`").alias("i")).count().filter("count > 1 and i is not null").isEmpty()
+    return not rows.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").isEmpty()
 
 
 def distinct(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
