@@ -13,8 +13,9 @@
 
 Edge cases: null and empty texts have zero vectors and a score like any other;
 without labelled rows of both classes the score is the share of label 1 (0.5 without
-any label); repeated rows each get a score; labels without a document, null labels
-and repeated labels are ignored; an empty table gives no rows.
+any label); repeated rows each get a score; labels without a document and null labels
+are ignored, a label given twice counts once, and an id labelled both 0 and 1 is not learnt
+from; an empty table gives no rows; other columns, also of the labels, are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ _CLASS = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "0" for c
 
 
 def _row(word: str) -> tuple[int, int]:
-    shape = _RUN.sub(r"\1\1", word.translate(_CLASS))[:12]
+    shape = _RUN.sub(r"\1\1", word.translate(_CLASS))
     return zlib.crc32(word.lower().encode()) % WORDS, WORDS + 1 + zlib.crc32(shape.encode()) % (SHAPES - 1)
 
 
@@ -91,20 +92,23 @@ def vector_sums(docs: DataFrame, text_column: str = "text") -> np.ndarray:
         import pyarrow as pa
 
         place, sign = index_vectors()
-        sums, seen = np.zeros(ROWS * DIM), np.zeros(ROWS)
+        sums, seen = np.zeros((ROWS, DIM)), np.zeros(ROWS)
         for batch in stream:
             for _, words, shapes, starts in _slices(batch, "text"):
                 doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-                for rows in (words, shapes):
-                    seen += np.bincount(rows, minlength=ROWS)
+                for rows, first, size in ((words, 0, WORDS), (shapes, WORDS, SHAPES)):
+                    seen[first : first + size] += np.bincount(rows - first, minlength=size)
+                    ends = []
                     for step in range(1, WINDOW + 1):
                         same = doc[step:] == doc[:-step]
                         left, right = rows[:-step][same], rows[step:][same]
-                        for one, other in ((left, right), (right, left)):
-                            for k in range(NONZERO):
-                                sums += np.bincount(one * DIM + place[other, k], sign[other, k], ROWS * DIM)
+                        ends += [(left, right), (right, left)]
+                    one, other = (np.concatenate(x) for x in zip(*ends))
+                    one = (one - first) * DIM
+                    for k in range(NONZERO):
+                        sums[first : first + size] += np.bincount(one + place[other, k], sign[other, k], size * DIM).reshape(size, DIM)
         used = np.flatnonzero(seen)
-        table_ = sums.reshape(ROWS, DIM)[used].astype(np.int64)
+        table_ = sums[used].astype(np.int64)
         columns = [pa.array(used.astype(np.int32)), pa.array(seen[used].astype(np.int64)), *[pa.array(table_[:, k]) for k in range(DIM)]]
         if len(used):
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -209,7 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     weights = 1e-3 / (1e-3 + seen / max(1.0, seen[:WORDS].sum()))
     model = Model(vectors, weights, np.zeros(1), np.ones(1), (), 1.0, 0.5)
     known = named(labels, label_id="doc_id", label=label_column).filter("label in (0, 1)").filter(~held_out("label_id"))
-    chosen = known.dropDuplicates(["label_id"]).orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
+    known = known.groupBy("label_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most").drop("most")
+    chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     rows = named(docs, doc_id=id_column, text=text_column).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
