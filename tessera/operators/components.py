@@ -3,9 +3,13 @@
 The algorithm of Kiveris et al. ("Connected Components in MapReduce and
 Beyond", SoCC 2014): every round is two grouped minima and two joins, needs
 O(log^2 n) rounds, and keeps at most one edge per input edge, so a chain, a
-hub or one giant component behave alike. Nothing but two checksums reaches the
-driver. Each round is written to the shared scratch folder. Edge lists of at most SMALL rows
-are read as one partition, which needs no exchange in any step of a round.
+hub or one giant component behave alike. Nothing but two checksums, taken while a round is
+written, reaches the driver. Each round is written to the shared scratch folder. The minima are
+combined before the exchange; the join that hands a node's least neighbour to its links deals
+a hub's links by its id, and AQE splits that task.
+
+Edge lists of at most SMALL rows are finished by union-find in one task: SMALL bounds its memory. Longer ones
+come to that after some rounds, where stars shrink them, or run to the end.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import drop_table, materialize
+from tessera.session import counted, drop_table, materialize
 
 
 SMALL = 200_000
@@ -34,12 +38,41 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter(F.col("u") != F.col("v")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"),
-    ).first()
-    return row["n"], row["s"]
+def _united(edges: DataFrame) -> DataFrame:
+    """(node, component) of at most SMALL edges, in one task."""
+    def run(stream):
+        import numpy as np
+        import pyarrow as pa
+
+        u, v = [], []
+        for batch in stream:
+            u.append(batch.column("u").to_numpy())
+            v.append(batch.column("v").to_numpy())
+        if not u:
+            return
+        nodes, ends = np.unique(np.concatenate([*u, *v]), return_inverse=True)
+        half = len(ends) // 2
+        root = list(range(len(nodes)))
+        for a, b in zip(ends[:half].tolist(), ends[half:].tolist()):
+            while root[a] != a:
+                root[a] = root[root[a]]
+                a = root[a]
+            while root[b] != b:
+                root[b] = root[root[b]]
+                b = root[b]
+            if a < b:  # nodes are sorted: the lesser place is the lesser id
+                root[b] = a
+            else:
+                root[a] = b
+        top = np.array(root)
+        while True:
+            above = top[top]
+            if (above == top).all():
+                break
+            top = above
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[top])], names=["node", "component"])
+
+    return edges.coalesce(1).mapInArrow(run, "node bigint, component bigint")
 
 
 def component_edges(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -47,26 +80,26 @@ def component_edges(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Self links and null ends are ignored; repeated and reversed links count once.
     """
-    current = materialize(
+    links = (
         edges.select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v"))
         .filter("u <> v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct(),
-        "cc",
+        .distinct()
     )
-    before = _state(current)
-    if before[0]:
-        for _ in range(max_rounds):
-            current = current.coalesce(1) if before[0] <= SMALL else current
-            following = materialize(_star(_star(current, True), False), "cc")
-            after = _state(following)
+    current, *before = counted(links, "cc", "u", "v")
+    for _ in range(max_rounds):
+        if before[0] <= SMALL:
+            found = materialize(_united(current), "cc-united")
             drop_table(current)
-            current = following
-            if after == before:
-                break
-            before = after
-        else:
-            raise RuntimeError("components did not converge")
+            return found
+        following, *after = counted(_star(_star(current, True), False), "cc", "u", "v")
+        drop_table(current)
+        current = following
+        if after == before:
+            break
+        before = after
+    else:
+        raise RuntimeError("components did not converge")
     members = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.union(roots)

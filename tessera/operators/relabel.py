@@ -40,20 +40,25 @@ def without_identity(lut: DataFrame) -> DataFrame:
     return lut.filter("src <> dst")
 
 
-def compact_labels(labels: DataFrame, column: str = "label", start: int = 1) -> DataFrame:
-    """(label, compact): dense numbers in label order, without sorting all labels in one task.
+def running_total(rows: DataFrame, order: str, value: str) -> DataFrame:
+    """Rows (a unique ``order``) with ``before``: the sum of ``value`` over all rows that come before, without sorting all rows in one task.
 
-    Distinct labels are dealt by range; a part's first number is the count of the parts before it.
+    Rows are dealt by range; a part starts from the sum of the parts before it, one row of which reaches the driver.
     """
     from pyspark.sql import Window as W
 
-    parts = labels.select(F.col(column).alias("label")).filter("label is not null").distinct().repartitionByRange("label")
-    parts = materialize(parts.withColumn("part", F.spark_partition_id()), "compact")
-    sizes = sorted((r["part"], r["count"]) for r in parts.groupBy("part").count().collect())
-    bases, total = [], start - 1
+    parts = materialize(rows.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "running")
+    sizes = sorted((r["part"], r["n"]) for r in parts.groupBy("part").agg(F.sum(value).alias("n")).collect())
+    bases, total = [], 0
     for part, n in sizes:
         bases.append((part, total))
         total += n
     base = parts.sparkSession.createDataFrame(bases, "part int, base bigint")
-    numbered = parts.withColumn("rn", F.row_number().over(W.partitionBy("part").orderBy("label")))
-    return numbered.join(F.broadcast(base), "part").select("label", (F.col("base") + F.col("rn")).cast("bigint").alias("compact"))
+    upto = F.sum(value).over(W.partitionBy("part").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow))
+    return parts.withColumn("upto", upto).join(F.broadcast(base), "part").withColumn("before", (F.col("base") + F.col("upto") - F.col(value)).cast("bigint")).drop("part", "base", "upto")
+
+
+def compact_labels(labels: DataFrame, column: str = "label", start: int = 1) -> DataFrame:
+    """(label, compact): dense numbers in label order, without sorting all labels in one task."""
+    own = labels.select(F.col(column).alias("label")).filter("label is not null").distinct().withColumn("one", F.lit(1))
+    return running_total(own, "label", "one").select("label", (F.col("before") + start).cast("bigint").alias("compact"))
