@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["graph", "connectome", "skeletons", "volumes"]
+MODULES = ["graph", "connectome", "skeletons", "volumes", "chunked"]
 
 
 def _all(kind: str) -> dict:

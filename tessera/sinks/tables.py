@@ -19,7 +19,11 @@ def write_lut(lut: DataFrame, path: str, kind: str, merge_fn: str, threshold: fl
 
 
 def read_lut(spark: SparkSession, path: str, kind: str, merge_fn: str, threshold: float, blocks: list[int] | None = None) -> DataFrame:
-    """A table written by ``write_lut``; kind, function, threshold and blocks prune partitions."""
+    """A table written by ``write_lut``; kind, function, threshold and blocks prune partitions. Blocks or a folder that are not there give no rows."""
+    from tessera.sources.datasets import _exists
+
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "block_id bigint, src bigint, dst bigint")
     rows = spark.read.parquet(path).filter((F.col("kind") == kind) & (F.col("merge_fn") == merge_fn) & (F.col("threshold") == threshold_key(threshold)))
     return (rows if blocks is None else rows.filter(F.col("block_id").isin(blocks))).select("block_id", "src", "dst")
 
@@ -62,6 +66,28 @@ def error_report(splits: DataFrame, merges: DataFrame) -> DataFrame:
     return splits.select("error_type", F.col("u").alias("node_a"), F.col("v").alias("node_b")).union(merges.select(F.lit("merge"), "a", "b"))
 
 
+def write_error_report(splits: DataFrame, merges: DataFrame, path: str) -> None:
+    """The error table as CSV under ``csv`` and as lines of text under ``txt``."""
+    rows = error_report(splits, merges)
+    rows.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    line = F.concat_ws(" ", "error_type", F.lit("between"), "node_a", F.lit("and"), "node_b")
+    rows.select(line.alias("value")).write.mode("overwrite").text(f"{path}/txt")
+
+
+def match_lists(truth: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
+    """(kind, u, v, pre_label, post_label, matches): a line for each true site (tp with its predictions, fn) and each prediction that nothing met (fp)."""
+    hits = met.groupBy(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).agg(F.sort_array(F.collect_set(F.struct("pred_u", "pred_v"))).alias("matches"))
+    keys = ["u", "v", "pre_label", "post_label"]
+    of_truth = truth.select(*keys).join(hits, ["u", "v"], "left").select(F.when(F.col("matches").isNull(), "fn").otherwise("tp").alias("kind"), *keys, F.to_json("matches").alias("matches"))
+    used = met.select(F.col("pred_u").alias("u"), F.col("pred_v").alias("v")).distinct()
+    return of_truth.union(found.select(*keys).join(used, ["u", "v"], "left_anti").select(F.lit("fp"), *keys, F.lit(None).cast("string")))
+
+
+def problem_fragments(fragments: DataFrame, path: str, column: str = "id") -> None:
+    """Distinct fragment ids as JSON rows with the id as text."""
+    fragments.select(F.col(column).cast("string").alias("id")).distinct().write.mode("overwrite").json(path)
+
+
 def match_report(truth: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
     """(pre_label, post_label, n_gt, n_tp, n_fn, n_fp): one line a cell pair."""
     hit = truth.join(met.select(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).distinct().withColumn("hit", F.lit(1)), ["u", "v"], "left")
@@ -99,22 +125,63 @@ def mesh_blobs(faces: DataFrame, least: int = 1) -> DataFrame:
     return faces.join(enough, "label", "left_semi").groupBy("label").applyInPandas(run, "label bigint, n_faces bigint, vertices binary, triangles binary")
 
 
-def tile_images(voxels: DataFrame, tile: int) -> DataFrame:
-    """(z, row, column, image): sections cut to tile x tile grey images in the portable graymap format."""
+def mesh_obj(blobs: DataFrame, base: int = 10, digits: int = 3) -> DataFrame:
+    """(label, path, obj): each mesh as OBJ text, and a folder path by the digits of its label."""
+    import numpy as np
+
+    from tessera.geometry import base_path
+
+    def run(stream):
+        for rows in stream:
+            texts = []
+            for v, t in zip(rows.vertices, rows.triangles):
+                points, corners = np.frombuffer(v, "<f4").reshape(-1, 3), np.frombuffer(t, "<u4").reshape(-1, 3) + 1
+                texts.append("\n".join([*(f"v {x:g} {y:g} {z:g}" for z, y, x in points), *(f"f {a} {b} {c}" for a, b, c in corners), ""]))
+            yield rows[["label", "path"]].assign(obj=texts)
+
+    return blobs.select("label", base_path(F.col("label"), base, digits).alias("path"), "vertices", "triangles").mapInPandas(run, "label bigint, path string, obj string")
+
+
+def tiff(values) -> bytes:
+    """Grey pixels of 8 or 16 bits as a baseline TIFF of one strip."""
+    import struct
+
+    height, width = values.shape
+    data = values.astype("<u2" if values.dtype.itemsize == 2 else "u1").tobytes()
+    tags = [(256, 4, width), (257, 4, height), (258, 3, 8 * len(data) // max(1, values.size)), (259, 3, 1), (262, 3, 1), (273, 4, 8), (277, 3, 1), (278, 4, height), (279, 4, len(data))]
+    table_ = struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", tag, kind, 1, value) for tag, kind, value in tags) + struct.pack("<I", 0)
+    pad = b"\0" * (len(data) % 2)
+    return b"II" + struct.pack("<HI", 42, 8 + len(data) + len(pad)) + data + pad + table_
+
+
+def tile_images(voxels: DataFrame, tile: int, form: str = "pgm", plane: str = "xy") -> DataFrame:
+    """(z, row, column, image): sections cut to tile x tile grey images, as ``pgm`` or ``tiff``.
+
+    ``plane`` xz or yz cuts along another axis: the rows' z is then the place on that axis.
+    """
     import numpy as np
 
+    depth, down, across = {"xy": ("z", "y", "x"), "xz": ("y", "z", "x"), "yz": ("x", "z", "y")}[plane]
+    voxels = voxels.select(F.col(depth).alias("z"), F.col(down).alias("y"), F.col(across).alias("x"), "value")
+
     def run(key, rows):
         import pandas as pd
 
         z, row, column = (int(k) for k in key)
         data = np.zeros((tile, tile), np.uint8)
         data[(rows.y - row * tile).to_numpy(), (rows.x - column * tile).to_numpy()] = rows.value.to_numpy()
-        return pd.DataFrame([[z, row, column, b"P5 %d %d 255\n" % (tile, tile) + data.tobytes()]], columns=["z", "row", "column", "image"])
+        image = tiff(data) if form == "tiff" else b"P5 %d %d 255\n" % (tile, tile) + data.tobytes()
+        return pd.DataFrame([[z, row, column, image]], columns=["z", "row", "column", "image"])
 
     keys = [F.floor(F.col(a) / F.lit(tile)).cast("bigint").alias(n) for a, n in (("y", "row"), ("x", "column"))]
     return voxels.select("z", "y", "x", "value", *keys).groupBy("z", "row", "column").applyInPandas(run, "z bigint, row bigint, column bigint, image binary")
 
 
+def databases(spark: SparkSession, pattern: str = "*") -> DataFrame:
+    """(name): the databases of the catalogue."""
+    return spark.sql(f"SHOW DATABASES LIKE '{pattern}'").toDF("name")
+
+
 def drop_database(spark: SparkSession, name: str, protected: tuple[str, ...] = PROTECTED) -> None:
     """Drop a database of tables unless it is protected."""
     if name in protected:

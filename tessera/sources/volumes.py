@@ -11,23 +11,25 @@ from tessera.geometry import AXES, Roi
 CHUNKS = "bz bigint, by bigint, bx bigint, z bigint, y bigint, x bigint, nz int, ny int, nx int, dtype string, data binary"
 
 
-def chunks_of(voxels: DataFrame, size: tuple[int, int, int], dtype: str = "uint8", column: str = "value") -> DataFrame:
-    """Dense chunk rows from voxel rows; absent voxels are 0."""
+def chunks_of(voxels: DataFrame, size: tuple[int, int, int], dtype: str = "uint8", column: str = "value", roi: Roi | None = None) -> DataFrame:
+    """Dense chunk rows from voxel rows; absent voxels are 0. Chunks end where a box (in voxels) does, if one is given."""
     keys = [F.floor(F.col(a) / F.lit(n)).cast("bigint").alias(f"b{a}") for a, n in zip(AXES, size)]
 
     def run(key, rows):
         import pandas as pd
 
         begin = [int(k) * n for k, n in zip(key, size)]
-        data = np.zeros(size, dtype)
+        shape = [n if roi is None else min(n, e - b) for n, b, e in zip(size, begin, roi.end if roi else size)]
+        data = np.zeros(shape, dtype)
         data[tuple((rows[a].to_numpy() - b).astype(int) for a, b in zip(AXES, begin))] = rows[column].to_numpy()
-        return pd.DataFrame([[*key, *begin, *size, dtype, data.tobytes()]], columns=[c.split()[0] for c in CHUNKS.split(", ")])
+        return pd.DataFrame([[*key, *begin, *shape, dtype, data.tobytes()]], columns=[c.split()[0] for c in CHUNKS.split(", ")])
 
     return voxels.select(*AXES, column, *keys).groupBy("bz", "by", "bx").applyInPandas(run, CHUNKS)
 
 
-def voxels_of(chunks: DataFrame, keep_zero: bool = False) -> DataFrame:
-    """Voxel rows of chunk rows; zeros are left out unless asked for."""
+def voxels_of(chunks: DataFrame, keep_zero: bool = False, kind: str = "bigint") -> DataFrame:
+    """Voxel rows of chunk rows; zeros are left out unless asked for. A column ``channel`` stays."""
+    more = [c for c in chunks.columns if c == "channel"]
     def run(stream):
         import pandas as pd
 
@@ -35,9 +37,9 @@ def voxels_of(chunks: DataFrame, keep_zero: bool = False) -> DataFrame:
             for r in rows.itertuples(index=False):
                 data = np.frombuffer(r.data, r.dtype).reshape(r.nz, r.ny, r.nx)
                 at = np.nonzero(np.ones_like(data, bool) if keep_zero else data)
-                yield pd.DataFrame({"z": at[0] + r.z, "y": at[1] + r.y, "x": at[2] + r.x, "value": data[at].astype(np.int64)})
+                yield pd.DataFrame({"z": at[0] + r.z, "y": at[1] + r.y, "x": at[2] + r.x, "value": data[at].astype(np.int64 if kind == "bigint" else np.float64)} | {c: getattr(r, c) for c in more})
 
-    return chunks.mapInPandas(run, "z bigint, y bigint, x bigint, value bigint")
+    return chunks.mapInPandas(run, f"z bigint, y bigint, x bigint, value {kind}" + ", channel string" * len(more))
 
 
 def chunks_in(chunks: DataFrame, roi: Roi, size: tuple[int, int, int]) -> DataFrame:
@@ -65,6 +67,70 @@ def tiles(spark: SparkSession, path: str, pattern: str, tile: tuple[int, int]) -
     return files.filter(F.col("path").rlike(pattern)).select("path", part(1).alias("z"), (part(2) * tile[0]).alias("y"), (part(3) * tile[1]).alias("x"))
 
 
+def decoded(content: bytes) -> np.ndarray:
+    """Pixels of a grey image: a binary graymap (P5) or an uncompressed TIFF of 8 or 16 bits."""
+    if content[:2] == b"P5":
+        fields, at = [], 2
+        while len(fields) < 3:
+            while content[at : at + 1].isspace() or content[at : at + 1] == b"#":
+                at = content.index(b"\n", at) + 1 if content[at : at + 1] == b"#" else at + 1
+            end = at
+            while not content[end : end + 1].isspace():
+                end += 1
+            fields.append(int(content[at:end]))
+            at = end
+        width, height, most = fields
+        return np.frombuffer(content, ">u2" if most > 255 else np.uint8, width * height, at + 1).reshape(height, width)
+    order = {b"II": "<", b"MM": ">"}.get(content[:2])
+    if order is None:
+        raise ValueError("neither a graymap nor a TIFF")
+    import struct
+
+    at = struct.unpack_from(order + "I", content, 4)[0]
+    tags = {}
+    for k in range(struct.unpack_from(order + "H", content, at)[0]):
+        tag, kind, count = struct.unpack_from(order + "HHI", content, at + 2 + 12 * k)
+        form, place = {1: "B", 3: "H", 4: "I"}.get(kind), at + 10 + 12 * k
+        if form is None:
+            continue
+        if struct.calcsize(form) * count > 4:
+            place = struct.unpack_from(order + "I", content, place)[0]
+        tags[tag] = struct.unpack_from(f"{order}{count}{form}", content, place)
+    if tags.get(259, (1,))[0] != 1 or tags.get(277, (1,))[0] != 1:
+        raise ValueError("compressed or coloured TIFF")
+    width, height = tags[256][0], tags[257][0]
+    pixels = b"".join(content[a : a + n] for a, n in zip(tags[273], tags[279]))
+    return np.frombuffer(pixels, order + "u2" if tags.get(258, (8,))[0] == 16 else np.uint8, width * height).reshape(height, width)
+
+
+def tile_voxels(spark: SparkSession, path: str, pattern: str, tile: tuple[int, int], bad: tuple[int, ...] = ()) -> DataFrame:
+    """Voxel rows (z, y, x, value) of the tiles that ``tiles`` names. A section that is listed as bad, or black all over, takes the one before that is not."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    part = lambda i: F.regexp_extract("path", pattern, i).cast("bigint")
+    own = files.filter(F.col("path").rlike(pattern)).select(part(1).alias("z"), (part(2) * tile[0]).alias("y"), (part(3) * tile[1]).alias("x"), "content")
+
+    def look(stream):
+        for rows in stream:
+            yield rows[["z"]].assign(usable=[bool(decoded(c).any()) for c in rows.content])
+
+    sections = own.select("z", "content").mapInPandas(look, "z bigint, usable boolean").groupBy("z").agg((F.max("usable") & ~F.col("z").isin(*bad) if bad else F.max("usable")).alias("usable"))
+    ends = sections.agg(F.min("z"), F.max("z")).first()
+
+    def pixels(stream):
+        import pandas as pd
+
+        for rows in stream:
+            for r in rows.itertuples(index=False):
+                values = decoded(r.content)
+                at = np.indices(values.shape)
+                yield pd.DataFrame({"z": r.to_z, "y": r.y + at[0].ravel(), "x": r.x + at[1].ravel(), "value": values.ravel().astype(np.int64)})
+
+    if ends[0] is None:
+        return spark.createDataFrame([], "z bigint, y bigint, x bigint, value bigint")
+    carried = sections_carried(sections, ends[0], ends[1]).select(F.col("from_z").alias("z"), F.col("z").alias("to_z"))
+    return own.join(carried, "z").select("to_z", "y", "x", "content").mapInPandas(pixels, "z bigint, y bigint, x bigint, value bigint")
+
+
 def sections_carried(sections: DataFrame, first: int, last: int) -> DataFrame:
     """(z, from_z): for each section the nearest usable one at or before it; ``sections`` has z and usable."""
     from pyspark.sql import Window as W
