@@ -57,6 +57,35 @@ def neuron_synapses(synapses: DataFrame, mapping: DataFrame, min_score: float |
     return synapses.filter("pre <> post")
 
 
+def weights_of(edge_list: DataFrame, weights_: DataFrame) -> DataFrame:
+    """(pre, post, weight) of a list of edges (pre, post); edges without synapses are left out."""
+    return edge_list.select("pre", "post").distinct().join(weights_, ["pre", "post"])
+
+
+def debug_edges(edges: DataFrame, pre: DataFrame, post: DataFrame) -> DataFrame:
+    """Edges from one of ``pre`` to one of ``post`` (neuron): the two lists need no product."""
+    return adjacency(edges, pre, post)
+
+
+def graph(neurons: DataFrame, edges: DataFrame, attributes: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(neuron, attributes, in_degree, out_degree) and (pre, post, weight): a weighted directed graph. Neurons that only edges name have null attributes."""
+    ends = edges.select(F.col("pre").alias("neuron"), F.lit(1).alias("o"), F.lit(0).alias("i")).union(edges.select("post", F.lit(0), F.lit(1)))
+    degrees = ends.groupBy("neuron").agg(F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree"))
+    nodes = neurons.select("neuron", *attributes).join(degrees, "neuron", "full_outer").fillna(0, ["in_degree", "out_degree"])
+    return nodes.select("neuron", *attributes, "in_degree", "out_degree"), edges.select("pre", "post", "weight")
+
+
+def checked_ids(synapses: DataFrame) -> DataFrame:
+    """(n, n_ids, out_of_range): ids are sound if the first two are equal and the last is 0 (coordinates beyond 21 bits or below zero)."""
+    bad = ~(F.col("z").between(0, (1 << 21) - 1) & F.col("y").between(0, (1 << 21) - 1) & F.col("x").between(0, (1 << 21) - 1))
+    return with_ids(synapses).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("n_ids"), F.count_if(bad).alias("out_of_range"))
+
+
+def sorted_ids(rows: DataFrame, column: str = "neuron") -> DataFrame:
+    """Distinct values in order."""
+    return rows.select(column).distinct().orderBy(column)
+
+
 def partner_edges(rollup: DataFrame, mapping: DataFrame) -> DataFrame:
     """Distinct (pre, post) neuron pairs from superfragments' partner lists."""
     near = mapping.select(F.col("sf").alias("id"), "neuron")
@@ -143,17 +172,16 @@ def dense(edges: DataFrame, columns: list[str]) -> DataFrame:
 def clustered(pairs: DataFrame, reach: float, fuse: str = "mean", with_equal_points: bool = False) -> DataFrame:
     """Synapses of a (pre, post) pair whose post ends are within ``reach`` of each other are one.
 
-    The pair join is cut into cells of size ``reach``, so a pair with very many synapses is
-    not compared all with all. Points that coincide are linked only on request. ``mean`` averages
+    The pair join is cut into cells of size ``reach``, and each cell meets itself and the thirteen neighbours that come
+    after it, so a pair with very many synapses is not compared all with all. Points that coincide are linked only on request. ``mean`` averages
     the post ends, ``max_score`` takes the best one's (ties: least id).
     """
     cell = [F.floor(F.col(f"post_{a}") / F.lit(reach)).cast("bigint") for a in AXES]
     own = pairs.select("id", "pre", "post", *[f"post_{a}" for a in AXES], *[c.alias(f"c{a}") for c, a in zip(cell, AXES)])
-    near = [F.sequence(F.col(f"c{a}") - 1, F.col(f"c{a}") + 1) for a in AXES]
-    other = own.select(F.col("id").alias("other"), "pre", "post", *[F.col(f"post_{a}").alias(f"o_{a}") for a in AXES], *[c.alias(f"n{a}") for c, a in zip(near, AXES)])
-    for a in AXES:
-        other = other.withColumn(f"c{a}", F.explode(f"n{a}")).drop(f"n{a}")
-    met = own.join(other, ["pre", "post", *[f"c{a}" for a in AXES]]).filter("id < other").withColumn("d", distance("post_", "o_"))
+    after = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
+    near = F.explode(F.array(*[F.struct(*[(F.col(f"c{a}") + d).alias(f"c{a}") for a, d in zip(AXES, step)], F.lit(step == (0, 0, 0)).alias("same")) for step in after]))
+    other = own.select(F.col("id").alias("other"), "pre", "post", *[F.col(f"post_{a}").alias(f"o_{a}") for a in AXES], near.alias("n")).select("other", "pre", "post", *[f"o_{a}" for a in AXES], "n.*")
+    met = own.join(other, ["pre", "post", *[f"c{a}" for a in AXES]]).filter("not same or id < other").withColumn("d", distance("post_", "o_"))
     met = met.filter((F.col("d") <= reach) & (F.lit(with_equal_points) | (F.col("d") > 0)))
     groups = component_edges(met.select(F.col("id").alias("u"), F.col("other").alias("v")))
     joined = pairs.join(groups, F.col("id") == F.col("node"), "left").withColumn("cluster", F.coalesce("component", "id"))

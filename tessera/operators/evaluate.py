@@ -30,6 +30,45 @@ def breaking_nodes(links: DataFrame, labels: DataFrame) -> DataFrame:
     return found.filter("n >= 2 and least = most").join(labels.select("id", "label"), "id").filter("label <> least").select("id", "label")
 
 
+def breaking_edges(links: DataFrame, labels: DataFrame, most: int = 1) -> DataFrame:
+    """(u, v), u < v: split edges that only interrupt a segment, by breaks of at most ``most`` steps.
+
+    From a split edge (a, b), tried both ways, a break grows from b through neighbours whose label is not a's. If all nodes at
+    its border have a's label, its border edges and the split edges within it are breaks. Neighbours come by joins, a step each.
+    """
+    from tessera.session import materialize
+
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("label").alias(f"l{c}"))
+    both = links.select(F.col("u").alias("a"), F.col("v").alias("b")).union(links.select("v", "u")).distinct()
+    both = materialize(both.join(of("a"), "a").join(of("b"), "b").select("a", "b", "la", "lb"), "break-links")
+    split = both.filter("la <> lb")
+    inside = split.select(F.col("a").alias("e"), F.col("b").alias("f"), F.col("la").alias("label"), F.col("b").alias("node"))
+    for _ in range(most - 1):
+        more = inside.join(both, F.col("node") == F.col("a")).filter("lb <> label").select("e", "f", "label", F.col("b").alias("node"))
+        inside = materialize(inside.union(more).distinct(), "break-inside")
+    around = inside.join(both, F.col("node") == F.col("a")).select("e", "f", "label", "a", "b", "la", "lb")
+    around = around.join(inside.select("e", "f", F.col("node").alias("b"), F.lit(True).alias("within")), ["e", "f", "b"], "left")
+    around = materialize(around.withColumn("border", F.col("within").isNull()), "break-around")
+    whole = around.groupBy("e", "f").agg(F.count_if("border").alias("n"), F.count_if(F.col("border") & (F.col("lb") != F.col("label"))).alias("other")).filter("n > 0 and other = 0")
+    marked = around.join(whole.select("e", "f"), ["e", "f"]).filter("border or la <> lb")
+    return marked.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+
+
+def segment_clusters(links: DataFrame, nodes: DataFrame, same_skeleton: bool = True) -> DataFrame:
+    """(id, label, cluster): pieces of skeletons within each segment label; label -1 is none. The cluster is its least node.
+
+    Nodes are joined by edges inside a label, and with ``same_skeleton`` also all pieces of a skeleton in a label.
+    """
+    own = nodes.filter("label <> -1").select("id", "label", "skeleton_id")
+    side = lambda c: own.select(F.col("id").alias(c), F.col("label").alias(f"{c}_label"))
+    inner = links.select("u", "v").join(side("u"), "u").join(side("v"), "v").filter("u_label = v_label").select("u", "v")
+    if same_skeleton:
+        first = own.groupBy("label", "skeleton_id").agg(F.min("id").alias("v"))
+        inner = inner.union(own.join(first, ["label", "skeleton_id"]).select(F.col("id").alias("u"), "v"))
+    found = component_edges(inner)
+    return own.join(found, F.col("id") == F.col("node"), "left").select("id", "label", F.coalesce("component", "id").alias("cluster"))
+
+
 def classified(errors: DataFrame, breaking: DataFrame) -> DataFrame:
     """Split errors with error_type: breaking if an end is a breaking node, else split."""
     marks = breaking.select("id").withColumn("mark", F.lit(True))
@@ -44,11 +83,13 @@ def merged_labels(labels: DataFrame) -> DataFrame:
     return labels.filter("label <> -1").groupBy("label").agg(F.countDistinct("skeleton_id").alias("n_skeletons")).filter("n_skeletons > 1")
 
 
-def merge_sites(nodes: DataFrame) -> DataFrame:
+def merge_sites(nodes: DataFrame, z_weight: int = 1) -> DataFrame:
     """(label, skeleton_a, skeleton_b, a, b, d): the closest pair of nodes for each two skeletons in a label.
 
-    Squared distance; ties by node ids. ``nodes`` has id, skeleton_id, label, z, y, x.
+    Squared distance, z times ``z_weight``; ties by node ids. ``nodes`` has id, skeleton_id, label, z, y, x; to pair
+    clusters, give their ids as skeleton_id.
     """
+    nodes = nodes.withColumn("z", F.col("z") * z_weight)
     bad = nodes.join(merged_labels(nodes).select("label"), "label", "left_semi")
     side = lambda s: bad.select("label", F.col("skeleton_id").alias(f"skeleton_{s}"), F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in "zyx"])
     pairs = side("a").join(side("b"), "label").filter("skeleton_a < skeleton_b")

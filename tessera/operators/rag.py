@@ -59,6 +59,11 @@ def local_lut(nodes: DataFrame, edges: DataFrame, threshold: float, block: str =
     return nodes.join(found, F.col("id") == F.col("node"), "left").select(block, F.col("id").alias("src"), F.coalesce("component", "id").alias("dst"))
 
 
+def slicewise_segments(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
+    """(id, center_z, component): segments that stay within a section."""
+    return local_lut(nodes, edges, threshold, "center_z").select(F.col("src").alias("id"), "center_z", F.col("dst").alias("component"))
+
+
 def outward_edges(nodes: DataFrame, edges: DataFrame, lut: DataFrame, threshold: float, block: str = "block_id") -> DataFrame:
     """(block, local, fragment): edges that leave a block, the inner end as its local segment, from both sides."""
     out = with_blocks(nodes, under_threshold(edges, threshold), (block,)).filter(F.col(f"u_{block}") != F.col(f"v_{block}"))
@@ -130,6 +135,40 @@ def grow(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return reached
 
 
+def grow_loop(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, threshold: float, block: str = "block_id", most: int | None = None, max_rounds: int = 1000) -> DataFrame:
+    """(id, round) of all nodes that growth from the seeds (id) reaches, block by block, with the round in which its block segment was taken.
+
+    A work queue holds block segments. A round takes all of it (or the ``most`` least), labels their nodes, and puts in
+    for each face and segment beyond it one continuation, if it is not labelled yet.
+    """
+    lut = materialize(local_lut(nodes, edges, threshold, block), "grow-local")
+    segment = lambda c, n: lut.select(F.col("src").alias(c), F.col("dst").alias(n))
+    own = under_threshold(edges, threshold).select("u", "v")
+    cross = own.join(segment("u", "a"), "u").join(segment("v", "b"), "v").filter("a <> b").select("a", "b").distinct()
+    cross = materialize(cross.union(cross.select("b", "a")).distinct(), "grow-cross")
+    queue = materialize(seeds.select("id").join(segment("id", "segment"), "id").select("segment").distinct(), "grow-queue")
+    done = None
+    for number in range(max_rounds):
+        taken = queue if most is None else first_n(queue, "segment", most)
+        step = materialize(taken.select("segment", F.lit(number).alias("round")), "grow-step")
+        if step.isEmpty():
+            break
+        done = step if done is None else done.union(step)
+        found = cross.join(step.select(F.col("segment").alias("a")), "a").select(F.col("b").alias("segment"))
+        rest = queue.join(step, "segment", "left_anti")
+        queue = materialize(rest.union(found).distinct().join(done, "segment", "left_anti"), "grow-queue")
+    else:
+        raise RuntimeError("growth did not end")
+    if done is None:
+        return seeds.select("id", F.lit(0).alias("round")).limit(0)
+    return lut.join(done, F.col("dst") == F.col("segment")).select(F.col("src").alias("id"), "round")
+
+
+def first_n(queue: DataFrame, column: str, n: int) -> DataFrame:
+    """The ``n`` least entries of a queue."""
+    return queue.orderBy(column).limit(n)
+
+
 def continuations(nodes: DataFrame, edges: DataFrame, segments_: DataFrame) -> DataFrame:
     """(component, dz, dy, dx, node): for each segment and face direction one node through which growth goes on.
 
@@ -161,6 +200,41 @@ def histogram_quantile_scores(pairs: DataFrame, quantile: float, bins: int = 256
     return ranked.filter(F.col("below") >= F.col("total") * quantile).groupBy("u", "v").agg((1 - F.min("bin") / F.lit(bins - 1)).alias("merge_score"))
 
 
+def mean_scores(pairs: DataFrame) -> DataFrame:
+    """One minus the mean affinity."""
+    return pairs.groupBy("u", "v").agg((1 - F.avg("aff")).alias("merge_score"))
+
+
+def init_max_scores(pairs: DataFrame, bins: int = 256) -> DataFrame:
+    """One minus the largest affinity, on the histogram's bins: the first score of the variants that start from the maximum."""
+    most = F.least(F.floor(F.max("aff") * (bins - 1)), F.lit(bins - 1))
+    return pairs.groupBy("u", "v").agg((1 - most / F.lit(bins - 1)).alias("merge_score"))
+
+
+def edge_scores(pairs: DataFrame, name: str) -> DataFrame:
+    """Scores by function name: ``mean``, ``hist_quant_<q>`` or ``hist_quant_<q>_initmax``."""
+    if name == "mean":
+        return mean_scores(pairs)
+    head, _, rest = name.partition("hist_quant_")
+    quantile, _, variant = rest.partition("_")
+    if head or not quantile.isdigit() or variant not in ("", "initmax"):
+        raise ValueError(name)
+    return init_max_scores(pairs) if variant else histogram_quantile_scores(pairs, int(quantile) / 100)
+
+
+def merge_segments(segments_: DataFrame, points: DataFrame) -> DataFrame:
+    """Segments (id, component) after merges made by hand: ``points`` (a, b) are fragments; the least segment id stays, and only touched segments are gone through."""
+    side = lambda c: segments_.select(F.col("id").alias(c), F.col("component").alias(f"{c}_s"))
+    links = points.select("a", "b").join(side("a"), "a").join(side("b"), "b").select(F.col("a_s").alias("u"), F.col("b_s").alias("v"))
+    lut = component_edges(links).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return segments_.join(lut, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+
+
+def existing(nodes: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """Nodes that an outside set (a table of mesh ids, say) has."""
+    return nodes.join(ids.select(F.col(key)).distinct(), key, "left_semi")
+
+
 def add_user_merges(edges: DataFrame, merges: DataFrame) -> DataFrame:
     """Append (u, v) merges made by hand with score 0; the edge of least score counts."""
     ordered = merges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u <> v").withColumn("merge_score", F.lit(0.0))

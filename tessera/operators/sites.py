@@ -30,6 +30,41 @@ def above_score(edges: DataFrame, score: float) -> DataFrame:
     return edges.filter(F.col("score") > score)
 
 
+def without_low_nodes(edges: DataFrame, scores: DataFrame, least: float) -> DataFrame:
+    """Edges with neither end among the nodes (id, score) of ``least`` or less, nor among their mirrors -id."""
+    low = scores.filter(F.col("score") <= least).select(F.explode(F.array(F.col("id"), -F.col("id"))).alias("n")).distinct()
+    return _without(edges, low)
+
+
+def nodes_without(nodes: DataFrame, edges: DataFrame, kind: str) -> DataFrame:
+    """Nodes (id) that are no end of an edge on the side ``presyn`` (u) or ``postsyn`` (v)."""
+    return nodes.join(edges.select(F.col("u" if kind == "presyn" else "v").alias("id")).distinct(), "id", "left_anti")
+
+
+def postsynaptic(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes with an edge that comes in, and the edges between two such."""
+    own = nodes.join(edges.select(F.col("v").alias("id")).distinct(), "id", "left_semi")
+    for end in ("u", "v"):
+        edges = edges.join(own.select(F.col("id").alias(end)), end, "left_semi")
+    return own, edges
+
+
+def near_far(truth: DataFrame, found: DataFrame, met: DataFrame, reach: float) -> DataFrame:
+    """(gt_u, gt_v, near, far) of the true sites that nothing met: predictions with the same post label and another pre label, those within ``reach``, as sorted [u, v] pairs, and the number of all.
+
+    Near ones come from a cell join; far ones are counted by label, so that no list of them is made.
+    """
+    missed = truth.join(met.select(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).distinct(), ["u", "v"], "left_anti")
+    close = node_matches(missed, found, reach).join(missed.select(F.col("u").alias("gt_u"), F.col("v").alias("gt_v"), F.col("pre_label").alias("gt_pre")), ["gt_u", "gt_v"])
+    close = close.join(found.select(F.col("u").alias("pred_u"), F.col("v").alias("pred_v"), "pre_label"), ["pred_u", "pred_v"]).filter("pre_label <> gt_pre")
+    near = close.groupBy(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).agg(F.sort_array(F.collect_set(F.array("pred_u", "pred_v"))).alias("near"))
+    pairs = found.groupBy("pre_label", "post_label").agg(F.count(F.lit(1)).alias("same"))
+    posts = pairs.groupBy("post_label").agg(F.sum("same").alias("all_"))
+    out = missed.select("u", "v", "pre_label", "post_label").join(near, ["u", "v"], "left").join(pairs, ["pre_label", "post_label"], "left").join(posts, "post_label", "left")
+    far = F.coalesce("all_", F.lit(0)) - F.coalesce("same", F.lit(0))
+    return out.select(F.col("u").alias("gt_u"), F.col("v").alias("gt_v"), F.coalesce("near", F.array().cast("array<array<bigint>>")).alias("near"), far.alias("far"))
+
+
 def matches(truth: DataFrame, found: DataFrame, reach: float) -> DataFrame:
     """(gt_u, gt_v, pred_u, pred_v, pre_d, post_d): equal labels at both ends and both ends within ``reach``.
 
@@ -70,6 +105,35 @@ def errors(truth: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
     return hit.join(F.broadcast(n_gt)).join(F.broadcast(n_pred)).select("tp", (F.col("n_gt") - F.col("tp")).alias("fn"), (F.col("n_pred") - F.col("tp")).alias("fp"), (F.col("n_pred") - F.col("used")).alias("fp_distinct"))
 
 
+def node_errors(truth: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
+    """(tp, fn, fp) in node mode: true nodes met and not, and predicted nodes that no true one met. ``met`` is of ``node_matches``."""
+    return errors(truth, found, met).select("tp", "fn", F.col("fp_distinct").alias("fp"))
+
+
+def full_sweep(truth: DataFrame, found: DataFrame, metrics: list[str], thresholds: list[float], reaches: list[float]) -> DataFrame:
+    """(model, min_inf, metric, threshold, reach, tp, fp, fn) over all combinations, from one match at the widest reach.
+
+    ``found`` has the predictions of all models and inference values (columns model, min_inf, which may hold a site once each)
+    and a score for each metric; a site counts if its score is above the threshold.
+    """
+    sets = ["model", "min_inf"]
+    spread = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("score")) for m in metrics])).alias("m")
+    grid = F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.lit(float(r)).alias("reach")) for t in thresholds for r in reaches])).alias("p")
+    scored = found.select(*sets, "u", "v", spread).select(*sets, "u", "v", "m.*")
+    sites = found.select("u", "v", "pre_label", "post_label", *[f"{k}_{a}" for k in ("pre", "post") for a in AXES]).dropDuplicates(["u", "v"])
+    met = matches(truth, sites, max(reaches)).join(scored.withColumnsRenamed({"u": "pred_u", "v": "pred_v"}), ["pred_u", "pred_v"])
+    keys = [*sets, "metric", "p"]
+    hit = met.select("*", grid).filter("score > p.threshold and pre_d <= p.reach and post_d <= p.reach").groupBy(*keys).agg(F.countDistinct("gt_u", "gt_v").alias("tp"))
+    preds = scored.select(*sets, "metric", "score", grid).groupBy(*keys).agg(F.count_if(F.col("score") > F.col("p.threshold")).alias("n_pred"))
+    both = preds.join(hit, keys, "left").join(F.broadcast(truth.agg(F.count(F.lit(1)).alias("n_gt")))).withColumn("tp", F.coalesce("tp", F.lit(0)).cast("bigint"))
+    return both.select(*sets, "metric", "p.threshold", "p.reach", "tp", (F.col("n_pred") - F.col("tp")).alias("fp"), (F.col("n_gt") - F.col("tp")).alias("fn"))
+
+
+def error_curve(sweep: DataFrame) -> DataFrame:
+    """A sweep's rows in the order of their thresholds."""
+    return sweep.orderBy(*[c for c in ("model", "min_inf", "metric", "reach", "min_score", "threshold") if c in sweep.columns])
+
+
 def error_sweep(truth: DataFrame, found: DataFrame, scores: list[float], reaches: list[float]) -> DataFrame:
     """(min_score, reach, tp, fp, fn) of all combinations from one match at the widest reach."""
     met = matches(truth, found.drop("score"), max(reaches)).join(found.select(F.col("u").alias("pred_u"), F.col("v").alias("pred_v"), "score"), ["pred_u", "pred_v"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.components import connected_components
+from tessera.operators.relabel import running_total
 from tessera.session import materialize
 
 
@@ -26,6 +27,45 @@ def interpolated(treenodes: DataFrame, step: int) -> DataFrame:
     return between.select(F.col("treenode_id").alias("child_id"), "k", *place)
 
 
+def rechained(treenodes: DataFrame, step: int, first_id: int | None = None) -> DataFrame:
+    """treenode_id, skeleton_id, parent_id, z, y, x with new nodes wherever a node and its parent are more than ``step`` apart in z.
+
+    From the node on, a new node follows at each ``step`` of z until the parent's z is reached or passed; each has the next one as its
+    parent, and the last has the old parent. New ids count up from ``first_id`` (one more than the largest id), by node and place.
+    """
+    base = (treenodes.agg(F.max("treenode_id")).first()[0] or 0) + 1 if first_id is None else first_id
+    parent = treenodes.select(F.col("treenode_id").alias("parent_id"), *[F.col(a).alias(f"p{a}") for a in "zyx"])
+    both = treenodes.join(parent, "parent_id", "left").withColumn("gap", F.abs(F.col("pz") - F.col("z")))
+    n = F.when(F.col("gap") > step, F.greatest(F.lit(2), F.ceil(F.col("gap") / step))).otherwise(0).cast("bigint")
+    both = materialize(both.withColumn("n", n), "rechain")
+    start = running_total(both.filter("n > 0").select("treenode_id", "n"), "treenode_id", "n")
+    own = both.join(start.select("treenode_id", "before"), "treenode_id", "left").withColumn("first", F.col("before") + base)
+    old = own.select("treenode_id", "skeleton_id", F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("parent_id")).alias("parent_id"), *[F.col(a).cast("double").alias(a) for a in "zyx"])
+    new = own.filter("n > 0").select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("k"))
+    place = [(F.col(a) + F.col("k") * step * (F.col(f"p{a}") - F.col(a)) / F.col("gap")).alias(a) for a in "zyx"]
+    following = F.when(F.col("k") < F.col("n"), F.col("first") + F.col("k")).otherwise(F.col("parent_id"))
+    return old.union(new.select((F.col("first") + F.col("k") - 1).alias("treenode_id"), "skeleton_id", following.alias("parent_id"), *place))
+
+
+def between_sections(pairs: DataFrame, section: int = 40) -> DataFrame:
+    """(a, b, k, z, y, x): whole places at each section between two nodes (a, b, their z, y, x as a_z, b_z and so on); z must be on sections, else an error."""
+    off = pairs.filter((F.col("a_z") % section != 0) | (F.col("b_z") % section != 0))
+    if not off.isEmpty():
+        raise ValueError(f"z is not a multiple of {section}")
+    own = pairs.withColumn("steps", F.floor(F.abs(F.col("b_z") - F.col("a_z")) / section)).filter("steps > 1")
+    own = own.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("steps") - 1)).alias("k"))
+    return own.select("a", "b", "k", *[(F.col(f"a_{c}") + F.col("k") * ((F.col(f"b_{c}") - F.col(f"a_{c}")).cast("double") / F.col("steps"))).cast("bigint").alias(c) for c in "zyx"])
+
+
+def in_box(treenodes: DataFrame, begin: tuple[int, int, int], end: tuple[int, int, int], offset: tuple[int, int, int] = (0, 0, 0)) -> DataFrame:
+    """All nodes of the skeletons with a node in a half-open box, places less ``offset``."""
+    from tessera.geometry import Roi
+
+    touched = treenodes.filter(Roi(begin, end).contains()).select("skeleton_id").distinct()
+    own = treenodes.join(touched, "skeleton_id", "left_semi")
+    return own.withColumns({a: F.col(a) - o for a, o in zip("zyx", offset)})
+
+
 def pruned(nodes: DataFrame, links: DataFrame, depth: int) -> DataFrame:
     """(id) left after taking away nodes of degree one or less, ``depth`` times."""
     left, now = nodes.select("id").distinct(), links.select("u", "v")

@@ -28,18 +28,99 @@ def t_statistic(df: DataFrame, group: str, column: str, a: str, b: str) -> DataF
     return s.select(((F.col("m_a") - F.col("m_b")) / F.sqrt(shared * (1 / F.col("n_a") + 1 / F.col("n_b")))).alias("t"), free.alias("df"))
 
 
-def density(points: DataFrame, at: DataFrame, reach: float = 5.0) -> DataFrame:
-    """(i, density) at points ``at`` (i, x, y) of a Gaussian kernel estimate with Scott's bandwidth (n ** -1/6), diagonal covariance.
+def density(points: DataFrame, at: DataFrame, reach: float | None = None, most: int = 2_000) -> DataFrame:
+    """(i, density) at points ``at`` (i, x, y) of a Gaussian kernel estimate with the points' full covariance times Scott's factor n ** (-1/3).
 
-    Points meet only where they are within ``reach`` bandwidths, by cells; what is farther adds less than 4e-6 of a kernel.
+    Every point counts at every place, so the work is their product: places are sent out in lists of ``most`` at most,
+    and each point meets them where it lies. With ``reach``, only points within so many bandwidths along each axis count.
     """
-    s = points.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy")).first()
-    hx, hy = s["sx"] * s["n"] ** (-1 / 6), s["sy"] * s["n"] ** (-1 / 6)
-    cell = lambda c, h: F.floor(F.col(c) / F.lit(reach * h)).cast("bigint")
-    own = points.select(F.col("x").alias("px"), F.col("y").alias("py")).withColumn("cx", cell("px", hx)).withColumn("cy", cell("py", hy))
-    near = at.withColumn("cx", F.explode(F.sequence(cell("x", hx) - 1, cell("x", hx) + 1))).withColumn("cy", F.explode(F.sequence(cell("y", hy) - 1, cell("y", hy) + 1)))
-    dx, dy = (F.col("x") - F.col("px")) / hx, (F.col("y") - F.col("py")) / hy
-    both = near.join(own, ["cx", "cy"]).filter((F.abs(dx) <= reach) & (F.abs(dy) <= reach))
     import math
 
-    return both.groupBy("i").agg((F.sum(F.exp(-(dx * dx + dy * dy) / 2)) / F.lit(2 * math.pi * hx * hy * s["n"])).alias("density"))
+    s = points.agg(F.count(F.lit(1)).alias("n"), *[F.covar_samp(a, b).alias(a + b) for a, b in (("x", "x"), ("x", "y"), ("y", "y"))]).first()
+    h = s["n"] ** (-1 / 3)
+    xx, xy, yy = s["xx"] * h, s["xy"] * h, s["yy"] * h
+    det = xx * yy - xy * xy
+    dx, dy = F.col("p.x") - F.col("px"), F.col("p.y") - F.col("py")
+    form = (dx * dx * yy - 2 * dx * dy * xy + dy * dy * xx) / det
+    own = points.select(F.col("x").alias("px"), F.col("y").alias("py"))
+    parts, out = max(1, -(-at.count() // most)), None
+    for k in range(parts):
+        few = at.filter(F.pmod(F.xxhash64("i"), F.lit(parts)) == k) if parts > 1 else at
+        places = few.agg(F.collect_list(F.struct("i", "x", "y")).alias("places"))  # one row of a bounded list
+        both = own.join(F.broadcast(places)).select("px", "py", F.explode("places").alias("p"))
+        if reach is not None:
+            both = both.filter((F.abs(dx) <= reach * math.sqrt(xx)) & (F.abs(dy) <= reach * math.sqrt(yy)))
+        found = both.groupBy(F.col("p.i").alias("i")).agg((F.sum(F.exp(-form / 2)) / F.lit(2 * math.pi * math.sqrt(det) * s["n"])).alias("density"))
+        out = found if out is None else out.union(found)
+    return out
+
+
+def auto_bins(df: DataFrame, column: str) -> tuple[int, float, float]:
+    """Number of bins, least and most value: the narrower of Sturges' and Freedman and Diaconis' widths."""
+    import math
+
+    quartile = lambda q: F.percentile(column, F.lit(q))
+    s = df.agg(F.count(column).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"), (quartile(0.75) - quartile(0.25)).alias("iqr")).first()
+    if not s["n"] or s["low"] == s["high"]:
+        return 1, float(s["low"] or 0) - 0.5 * (s["n"] > 0), float(s["high"] or 1) + 0.5 * (s["n"] > 0)
+    widths = [(s["high"] - s["low"]) / (math.log2(s["n"]) + 1), 2 * s["iqr"] / s["n"] ** (1 / 3)]
+    return math.ceil((s["high"] - s["low"]) / min(w for w in widths if w > 0)), float(s["low"]), float(s["high"])
+
+
+def auto_histogram(df: DataFrame, column: str, running: bool = False) -> DataFrame:
+    """(bin, n) in automatic bins; ``running`` adds the share of all values up to each bin."""
+    bins, low, high = auto_bins(df, column)
+    found = histogram(df, column, bins, low, high)
+    return found if not running else cumulative(found).withColumn("share", F.col("total") / F.sum("n").over(W.partitionBy()))
+
+
+def paired_histograms(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
+    """(kind, bin, n): both frames' automatic histograms, each in its own bins."""
+    return auto_histogram(a, column).select(F.lit("a").alias("kind"), "bin", "n").union(auto_histogram(b, column).select(F.lit("b"), "bin", "n"))
+
+
+def node_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """(bin, low, n) with whole-number edges from 0 to the largest value; ten equal bins from least to most if it is smaller than ``bins``."""
+    low, most = df.agg(F.min(column), F.max(column)).first()
+    if most is None:
+        return df.select(F.lit(0).cast("bigint").alias("bin"), F.lit(0.0).alias("low"), F.lit(0).cast("bigint").alias("n")).limit(0)
+    edges = [low + (most - low) * i / 10 for i in range(11)] if bins > most else [float(int(i * most / bins)) for i in range(bins + 1)]
+    if edges[0] == edges[-1]:
+        edges = [edges[0] - 0.5 + i / 10 for i in range(11)]
+    places = F.array(*[F.lit(float(e)) for e in edges[:-1]])
+    own = df.filter(F.col(column).between(edges[0], edges[-1])).select((F.size(F.filter(places, lambda e: e <= F.col(column))) - 1).cast("bigint").alias("bin"))
+    return own.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).select("bin", F.element_at(places, (F.col("bin") + 1).cast("int")).alias("low"), "n")
+
+
+def _beta_share(x: float, a: float, b: float) -> float:
+    """The regularised incomplete beta function, by its continued fraction."""
+    import math
+
+    if x in (0.0, 1.0):
+        return x
+    if x > (a + 1) / (a + b + 2):
+        return 1 - _beta_share(1 - x, b, a)
+    tiny, c, d = 1e-300, 1.0, 1 / (1 - (a + b) * x / (a + 1))
+    out = d
+    for m in range(1, 10_000):
+        for even in (True, False):
+            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) if even else -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            d = 1 / ((1 + term * d) or tiny)
+            c = (1 + term / c) or tiny
+            out *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return out * math.exp(a * math.log(x) + b * math.log1p(-x) - math.lgamma(a) - math.lgamma(b) + math.lgamma(a + b)) / a
+
+
+def t_test(df: DataFrame, group: str, column: str, a: str, b: str) -> DataFrame:
+    """(t, df, p): the statistic and its two-sided probability; one row reaches the driver."""
+    row = t_statistic(df, group, column, a, b).first()
+    p = None if row["t"] is None else _beta_share(row["df"] / (row["df"] + row["t"] ** 2), row["df"] / 2, 0.5)
+    return df.sparkSession.createDataFrame([(row["t"], row["df"], p)], "t double, df bigint, p double")
+
+
+def density_by_area(points: DataFrame, mask: DataFrame, column: str = "mask") -> DataFrame:
+    """(density): points for each unit of a mask's sum."""
+    area = mask.agg(F.sum(column).alias("area"))
+    return points.agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(area)).select((F.col("n") / F.col("area")).alias("density"))

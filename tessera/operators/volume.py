@@ -28,9 +28,9 @@ def clamped(v: DataFrame, low: float, column: str = "value") -> DataFrame:
     return v.withColumn(column, F.when(F.col(column) < low, 0).otherwise(255).cast("bigint"))
 
 
-def masked(v: DataFrame, mask: DataFrame, how: str = "multiply", constant: int = 0, column: str = "value") -> DataFrame:
-    """By a mask (z, y, x, mask): ``multiply``, ``and`` (both non-zero), or ``set`` a constant where the mask is 0."""
-    both = v.join(mask, list(AXES))
+def masked(v: DataFrame, mask: DataFrame, how: str = "multiply", constant: int = 0, column: str = "value", absent: int = 0) -> DataFrame:
+    """By a mask (z, y, x, mask): ``multiply``, ``and`` (both non-zero), or ``set`` a constant where the mask is 0. A voxel that the mask lacks has ``absent`` there."""
+    both = v.join(mask.select(*AXES, "mask"), list(AXES), "left").withColumn("mask", F.coalesce("mask", F.lit(absent)))
     value = {
         "multiply": F.col(column) * F.col("mask"),
         "and": ((F.col(column) != 0) & (F.col("mask") != 0)).cast("bigint"),
@@ -39,6 +39,26 @@ def masked(v: DataFrame, mask: DataFrame, how: str = "multiply", constant: int =
     return both.withColumn(column, value).drop("mask")
 
 
+def constant(grid: DataFrame, value: int = 0, column: str = "mask") -> DataFrame:
+    """One value at every point of a grid: null, dummy and constant masks."""
+    return grid.select(*AXES, F.lit(value).cast("bigint").alias(column))
+
+
+def ground_truth(segments: DataFrame, background: DataFrame, fragments: DataFrame | None = None, ignored: DataFrame | None = None) -> DataFrame:
+    """(z, y, x, label, myelin, mask) from segments (z, y, x, label): label 0 for background ids (label) and 0, else 1; myelin 255 times that.
+
+    The mask is 1 on background, but for voxels whose fragment (z, y, x, label) is one of ``ignored`` (label).
+    """
+    ids = background.select(F.col("label").cast("bigint")).union(background.sparkSession.createDataFrame([(0,)], "label bigint"))
+    out = mask_of_labels(segments, ids, 0, 1).withColumnRenamed("mask", "label")
+    if ignored is None or fragments is None:
+        left = out.withColumn("keep", F.lit(1))
+    else:
+        left = out.join(mask_of_labels(fragments, ignored, 0, 1).withColumnRenamed("mask", "keep"), list(AXES), "left").withColumn("keep", F.coalesce("keep", F.lit(1)))
+    mask = ((F.col("label") == 0) & (F.col("keep") == 1)).cast("bigint")
+    return left.select(*AXES, "label", (F.col("label") * 255).alias("myelin"), mask.alias("mask"))
+
+
 def filled(grid: DataFrame, v: DataFrame, fill: int = 0, column: str = "value") -> DataFrame:
     """A value for every point of a grid."""
     return grid.join(v, list(AXES), "left").withColumn(column, F.coalesce(column, F.lit(fill)))
@@ -87,6 +107,16 @@ def next_factor(voxel: tuple[int, int, int]) -> tuple[int, int, int]:
     return finer if 2 in finer else (2, 2, 2)
 
 
+def near_isotropic(voxel: tuple[int, int, int], most: int) -> tuple[int, ...]:
+    """A chunk of about ``most`` voxels that is as long along every axis: the axis that is shortest so far doubles."""
+    dims, length, count = [1] * len(voxel), list(voxel), 1
+    while count < most:
+        for i in range(len(voxel)):
+            if count < most and length[i] == min(length):
+                dims[i], length[i], count = 2 * dims[i], 2 * length[i], 2 * count
+    return tuple(dims)
+
+
 def pooled(v: DataFrame, k: int, how: str, column: str = "value") -> DataFrame:
     """max, min or mean over k x k in each section; nulls are left out and the rest at the edge is pooled too."""
     f = {"max": F.max, "min": F.min, "mean": F.avg}[how]
@@ -210,6 +240,13 @@ def local_maxima(v: DataFrame, radius: tuple[float, float, float], least: float,
     return strong.join(spread, list(AXES)).filter(F.col("most") <= F.col(column)).select(*AXES, column)
 
 
+def maxima_centres(v: DataFrame, radius: tuple[float, float, float], least: float, shape: tuple[int, int], column: str = "value") -> DataFrame:
+    """(object, z, y, x, size, score): the mean place, number of voxels and value of each face-connected plateau of maxima."""
+    top = local_maxima(v, radius, least, column)
+    objects = labelled(top, shape).join(top, list(AXES))
+    return objects.groupBy("object").agg(*[F.avg(a).alias(a) for a in AXES], F.count(F.lit(1)).alias("size"), F.max(column).alias("score"))
+
+
 def targets(points: DataFrame, scale: float, voxel_size: tuple[int, int, int], least: float, without_z: bool = False) -> DataFrame:
     """Adds tz, ty, tx: location plus scaled direction (dz, dy, dx), snapped to voxels with ties to even; nearer than ``least`` is dropped."""
     moved = {}
@@ -280,7 +317,7 @@ def rescaled(v: DataFrame, scale: float, shift: float, low: int, high: int, colu
 def cleaned(v: DataFrame, labels: DataFrame, steps: int = 1, keep_inside: bool = False, column: str = "value") -> DataFrame:
     """A prediction without what lies inside segments shrunk by ``steps`` (or only that)."""
     inside = boundary_grown(labels.select(*AXES, "label"), steps).select(*AXES, (F.col("label") != 0).alias("__in"))
-    both = v.join(inside, list(AXES))
+    both = v.join(inside, list(AXES), "left").withColumn("__in", F.coalesce("__in", F.lit(False)))
     return both.withColumn(column, F.when(F.col("__in") == keep_inside, F.col(column)).otherwise(0)).drop("__in")
 
 
@@ -289,6 +326,74 @@ def sampled_points(v: DataFrame, n: int, seed: int = 1) -> DataFrame:
     return v.orderBy(F.xxhash64(F.lit(seed), *AXES), *AXES).select(*AXES).limit(n)
 
 
+def boundary_map(v: DataFrame, label: str = "label") -> DataFrame:
+    """(z, y, x) on the grid of 2 n - 1 points an axis: between two neighbours of different labels, 0 included, lies a boundary point."""
+    out = None
+    for i, a in enumerate(AXES):
+        own = v.withColumn("__next", _beside(a, label, 1)).filter(F.col("__next") != F.col(label))
+        own = own.select(*[(F.col(b) * 2 + int(i == j)).alias(b) for j, b in enumerate(AXES)])
+        out = own if out is None else out.union(own)
+    return out
+
+
+def synapse_areas(objects: DataFrame, voxel: tuple[int, int, int], erosions: tuple[int, ...] = (0, 1, 2), label: str = "object") -> DataFrame:
+    """(label, area_erode0 and so on): voxels of each object times a pixel's area, after as many erosions in the plane."""
+    out = None
+    for k in erosions:
+        left = objects.select(*AXES, F.col(label).alias("label"))
+        points = left
+        for _ in range(k):  # a voxel without all four neighbours of its own object goes
+            for a in ("y", "x"):
+                for s in (-1, 1):
+                    points = points.withColumn(f"__{a}{s + 1}", F.coalesce(_beside(a, "label", s) == F.col("label"), F.lit(False)))
+            points = points.filter(" and ".join(f"__{a}{s}" for a in ("y", "x") for s in (0, 2))).select(*AXES, "label")
+        area = points.groupBy("label").agg((F.count(F.lit(1)) * voxel[1] * voxel[2]).alias(f"area_erode{k}"))
+        out = left.select("label").distinct().join(area, "label", "left") if out is None else out.join(area, "label", "left")
+    return out.fillna(0)
+
+
+def skeleton_pixels(mask) -> list[tuple[int, int]]:
+    """Pixels left by Zhang and Suen's thinning of a 2-d mask."""
+    import numpy as np
+
+    on = np.pad(np.asarray(mask, bool), 1)
+    while True:
+        before = on.copy()
+        for step in (0, 1):
+            n = [np.roll(on, s, (0, 1)) for s in ((1, 0), (1, -1), (0, -1), (-1, -1), (-1, 0), (-1, 1), (0, 1), (1, 1))]  # from above, clockwise
+            count = sum(x.astype(int) for x in n)
+            turns = sum((~n[i] & n[(i + 1) % 8]).astype(int) for i in range(8))
+            up, right, down, left = n[0], n[2], n[4], n[6]
+            ends = (~(up & right & down) & ~(right & down & left)) if step == 0 else (~(up & right & left) & ~(up & down & left))
+            on = on & ~((count >= 2) & (count <= 6) & (turns == 1) & ends)
+        if (on == before).all():
+            return [(int(y) - 1, int(x) - 1) for y, x in np.argwhere(on)]
+
+
+def slice_centres(objects: DataFrame, label: str = "object") -> DataFrame:
+    """(object, z, y, x): in each section of an object the thinned pixel nearest to the thinned pixels' mean; ties by place. A group is one object's section."""
+    def run(key, rows):
+        import numpy as np
+        import pandas as pd
+
+        low = (rows.y.min(), rows.x.min())
+        mask = np.zeros((rows.y.max() - low[0] + 1, rows.x.max() - low[1] + 1), bool)
+        mask[rows.y - low[0], rows.x - low[1]] = True
+        thin = skeleton_pixels(mask) or [tuple(p) for p in np.argwhere(mask)]
+        middle = np.mean(thin, axis=0)
+        y, x = min(thin, key=lambda p: (round(float((p[0] - middle[0]) ** 2 + (p[1] - middle[1]) ** 2), 9), p))
+        return pd.DataFrame([[int(key[0]), int(key[1]), int(low[0] + y), int(low[1] + x)]], columns=["object", "z", "y", "x"])
+
+    return objects.select(F.col(label).alias("object"), *AXES).groupBy("object", "z").applyInPandas(run, "object bigint, z bigint, y bigint, x bigint")
+
+
+def segment_volumes(v: DataFrame, found: DataFrame, column: str = "value") -> DataFrame:
+    """(threshold, z, y, x, segment) of fragments (z, y, x, value) and segments (threshold, id, component); a fragment that no segment has keeps its id."""
+    sets = found.select("threshold").distinct()
+    own = v.select(*AXES, F.col(column).alias("id")).join(F.broadcast(sets))  # a row a threshold
+    return own.join(found, ["threshold", "id"], "left").select("threshold", *AXES, F.coalesce("component", "id").alias("segment"))
+
+
 def object_centres(v: DataFrame, label: str = "object") -> DataFrame:
     """(object, z, y, x): each object's voxel nearest to its mean; ties by place."""
     mean = v.groupBy(label).agg(*[F.avg(a).alias(f"m{a}") for a in AXES])

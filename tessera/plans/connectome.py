@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tessera.geometry import Roi
 from tessera.operators import connectome as c
 from tessera.plans.fixtures import Views, with_views
+from tessera.session import scratch_path
+from tessera.sources import synapses as store
 
 QUERIES, ORACLE = {}, {}
 WRITE, READ = Roi((10_000, 0, 0), (60_000, 4_096, 8_192)), Roi((5_000, 0, 0), (70_000, 4_096, 8_192))
@@ -171,3 +173,56 @@ def synapse_dedup_mean(v):
 @query(_sql("SELECT cluster, pre, post, count(*) AS n, max(score) AS score, arg_max(post_z, (score, -id))::DOUBLE AS post_z, arg_max(post_y, (score, -id))::DOUBLE AS post_y, arg_max(post_x, (score, -id))::DOUBLE AS post_x FROM pairs JOIN groups USING (id) GROUP BY 1, 2, 3", _NEAR, recursive=True))
 def synapse_dedup_max(v):
     return c.clustered(_pairs(v), 8000.0, "max_score")
+
+
+_LIST = "SELECT DISTINCT a.neuron AS pre, b.neuron AS post FROM neurons a, neurons b WHERE a.cell_type = 'building' AND b.finished"
+
+
+@query(_sql("SELECT pre, post, weight FROM edges JOIN list_ USING (pre, post)", _COUNT | {"list_": _LIST}, "neurons"))
+def connectome_weights_of(v):
+    wanted = _some(v, "building").withColumnRenamed("neuron", "pre").crossJoin(v.neurons().filter("finished").select(F.col("neuron").alias("post")))
+    return c.weights_of(wanted, _edges(v)).select("pre", "post", "weight")
+
+
+@query(_sql("SELECT pre, post, weight FROM edges JOIN list_ USING (pre, post)", _COUNT | {"list_": _LIST}, "neurons"))
+def connectome_debug_edges(v):
+    return c.debug_edges(_edges(v), _some(v, "building"), v.neurons().filter("finished").select("neuron")).select("pre", "post", "weight")
+
+
+@query(_sql("SELECT coalesce(n.neuron, d.neuron) AS neuron, cell_type, finished, coalesce(i, 0)::BIGINT AS in_degree, coalesce(o, 0)::BIGINT AS out_degree FROM neurons n FULL JOIN (SELECT neuron, sum(i) AS i, sum(o) AS o FROM (SELECT pre AS neuron, 0 AS i, 1 AS o FROM edges UNION ALL SELECT post, 1, 0 FROM edges) GROUP BY 1) d ON d.neuron = n.neuron", _COUNT, "neurons"))
+def connectome_graph_nodes(v):
+    return c.graph(v.neurons(), _edges(v), ["cell_type", "finished"])[0]
+
+
+@query(with_views("SELECT count(*) AS n, count(DISTINCT id) AS n_ids, count(*) FILTER (greatest(z, y, x) >= 2097152 OR least(z, y, x) < 0) AS out_of_range FROM synapses", "synapses"))
+def synapse_id_check(v):
+    return c.checked_ids(v.synapses())
+
+
+@query(with_views("SELECT id, score FROM synapses WHERE id_superfrag_pre % 3 = 1 AND score > 0.5", "synapses"))
+def synapses_by_id(v):
+    s = v.synapses()
+    return store.by_ids(s, s.filter("id_superfrag_pre % 3 = 1").select("id"), 0.5).select("id", "score")
+
+
+@query(with_views("SELECT id_superfrag_pre AS id, list_sort(list(DISTINCT id_superfrag_post)) AS post_partners FROM synapses WHERE id_superfrag_pre IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') GROUP BY 1", "synapses"))
+def superfragments_by_id(v):
+    rows = c.superfragments(v.synapses()).filter(F.size("post_partners") > 0)
+    return store.by_ids(rows, v.seeds()).select("id", "post_partners")
+
+
+@query(_sql("SELECT neuron, cell_type FROM neurons WHERE neuron IN ('n_3', 'n_4', 'n_99')", {}, "neurons"))
+def neurons_by_name(v):
+    return store.neurons_by_name(v.neurons(), ["n_3", "n_4", "n_99"]).select("neuron", "cell_type")
+
+
+@query(with_views("SELECT id, score, pre_z, post_z FROM synapses WHERE post_z >= 10000 AND post_z < 60000 AND post_y >= 0 AND post_y < 4096 AND post_x >= 0 AND post_x < 8192 AND score > 0.4", "synapses"))
+def synapse_tree(v):
+    path, size = scratch_path(v.spark, "synapse-tree"), (20_000, 2_048, 4_096)
+    store.append_tree(v.synapses(), path, size)
+    return store.read_tree(v.spark, path, WRITE, size, 0.4).select("id", "score", "pre_z", "post_z")
+
+
+@query(_sql("SELECT DISTINCT pre AS neuron FROM edges", _COUNT))
+def sorted_neurons(v):
+    return c.sorted_ids(_edges(v), "pre").withColumnRenamed("pre", "neuron")

@@ -38,6 +38,9 @@ class Views:
         pairs = a.join(b, ["l_partkey", "s", "l_linenumber"]).filter("u < v")
         return pairs.groupBy("u", "v").agg(F.min(F.round(F.abs(F.col("du") - F.col("dv")) * 10, 1)).alias("merge_score"))
 
+    def seeds(self) -> DataFrame:
+        return self.table("orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").cast("bigint").alias("id"))
+
     def fragments(self) -> DataFrame:
         return self.table("lineitem").select(F.col("l_orderkey").cast("bigint").alias("value"))
 
@@ -103,6 +106,7 @@ SQL = {
                    (4 * (o_custkey % 1024))::BIGINT AS center_y, (4 * (o_orderkey % 2048))::BIGINT AS center_x FROM orders))""",
     "rag_edges": """SELECT a.l_orderkey::BIGINT AS u, b.l_orderkey::BIGINT AS v, min(round(abs(a.l_discount - b.l_discount) * 10, 1)) AS merge_score
         FROM lineitem a JOIN lineitem b ON a.l_partkey = b.l_partkey AND a.l_suppkey % 10 = b.l_suppkey % 10 AND a.l_linenumber = b.l_linenumber AND a.l_orderkey < b.l_orderkey GROUP BY 1, 2""",
+    "seeds": "SELECT o_orderkey::BIGINT AS id FROM orders WHERE o_orderstatus = 'P'",
     "sf_neurons": "SELECT o_orderkey::BIGINT AS sf, 'n_' || (o_custkey % 50)::VARCHAR AS neuron FROM orders",
     "neurons": """SELECT 'n_' || (c_custkey % 50)::VARCHAR AS neuron, lower(c_mktsegment) AS cell_type, (40 * c_nationkey)::BIGINT AS soma_z, (4 * (c_custkey % 1024))::BIGINT AS soma_y,
         (4 * (c_custkey % 2048))::BIGINT AS soma_x, n_name AS tag, c_custkey % 2 = 0 AS finished

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.geometry import Roi
-from tessera.operators import rag, relabel
+from tessera.operators import kernels, rag, relabel
 from tessera.operators.components import connected_components
-from tessera.plans.fixtures import Views, components_cte, with_views
+from tessera.plans.fixtures import SQL, Views, components_cte, with_views
 from tessera.session import materialize
 
 QUERIES, ORACLE = {}, {}
@@ -77,7 +77,7 @@ def _sweep_sql() -> str:
 
 @query(_sweep_sql())
 def component_sweep(v):
-    found = rag.segment_sweep(v.rag_nodes(), v.rag_edges(), [0.1, 0.3, 0.5])
+    found = rag.segment_sweep(v.rag_nodes(), materialize(rag.under_threshold(v.rag_edges(), 0.5), "sweep-edges"), [0.1, 0.3, 0.5])
     sizes = found.groupBy("threshold", "component").agg(F.count(F.lit(1)).alias("size"))
     return sizes.groupBy("threshold").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("largest"))
 
@@ -116,8 +116,9 @@ def _local(v, block="block_id"):
 
 
 def _resolved(v):
-    nodes, lut = v.rag_nodes(), _local(v)
-    out = rag.outward_edges(nodes, v.rag_edges(), lut, 0.3)
+    nodes, edges = v.rag_nodes(), materialize(rag.under_threshold(v.rag_edges(), 0.3), "resolve-edges")
+    lut = materialize(rag.local_lut(nodes, edges, 0.3), "local")
+    out = rag.outward_edges(nodes, edges, lut, 0.3)
     return lut, rag.resolve_outward(out, nodes, lut, nodes.select("block_id", "bz", "by", "bx").distinct())
 
 
@@ -207,27 +208,37 @@ def _inter_sql() -> str:
 
 @query(_inter_sql())
 def interthreshold_map(v):
-    return rag.between_thresholds(rag.segments(v.rag_nodes(), v.rag_edges(), 0.1), rag.segments(v.rag_nodes(), v.rag_edges(), 0.3))
+    edges = materialize(rag.under_threshold(v.rag_edges(), 0.3), "between-edges")
+    return rag.between_thresholds(rag.segments(v.rag_nodes(), edges, 0.1), rag.segments(v.rag_nodes(), edges, 0.3))
 
 
 def _reach(hops: int, tail: str) -> str:
     more = {
         "both_": "SELECT u AS a, v AS b FROM rag_edges WHERE merge_score <= 0.3 UNION SELECT v, u FROM rag_edges WHERE merge_score <= 0.3",
-        "walk(id, hop)": f"SELECT DISTINCT u, 0 FROM rag_edges WHERE merge_score <= 0.3 AND u % 500 = 7 UNION SELECT b, hop + 1 FROM walk JOIN both_ ON a = id WHERE hop < {hops}",
+        "walk(id, hop)": f"SELECT id, 0 FROM seeds UNION SELECT b, hop + 1 FROM walk JOIN both_ ON a = id WHERE hop < {hops}",
     }
-    return with_views(tail, "rag_edges", recursive=True, more=more)
+    return with_views(tail, "rag_edges", "seeds", recursive=True, more=more)
 
 
 def _seeds(v):
-    e = materialize(rag.under_threshold(v.rag_edges(), 0.3), "grow-cut")
-    return e, e.filter("u % 500 = 7").select(F.col("u").alias("id"))
+    return materialize(rag.under_threshold(v.rag_edges(), 0.3), "grow-cut"), v.seeds()
 
 
-@query(_cc(0.3, "SELECT id FROM cc WHERE component IN (SELECT component FROM cc WHERE id IN (SELECT u FROM cut WHERE u % 500 = 7))"))
+_SEEDED = {"seeds": SQL["seeds"]}
+_GROWN = "SELECT id FROM cc WHERE component IN (SELECT component FROM cc WHERE id IN (SELECT id FROM seeds))"
+
+
+@query(_cc(0.3, _GROWN, more=_SEEDED))
 def seed_component(v):
     return rag.seed_component(*_seeds(v))
 
 
+@query(_cc(0.3, _GROWN, more=_SEEDED))
+def growth_loop(v):
+    nodes, edges = v.rag_nodes(), materialize(v.rag_edges(), "grow-edges")
+    return rag.grow_loop(nodes, edges, v.seeds(), 0.3).select("id")
+
+
 @query(_reach(3, "SELECT id, min(hop) AS hop FROM walk GROUP BY id"))
 def grow_frontier(v):
     return rag.grow(*_seeds(v), 3)
@@ -266,6 +277,95 @@ def rag_histogram_scores(v):
     return rag.histogram_quantile_scores(_samples(v), 0.5).withColumn("merge_score", F.round("merge_score", 6))
 
 
+@query(f"SELECT u, v, round(1 - avg(aff), 6) AS merge_score FROM ({_AFF}) GROUP BY 1, 2")
+def rag_mean_scores(v):
+    return rag.edge_scores(_samples(v), "mean").withColumn("merge_score", F.round("merge_score", 6))
+
+
+@query(f"SELECT u, v, round(1 - least(floor(max(aff) * 255), 255) / 255, 6) AS merge_score FROM ({_AFF}) GROUP BY 1, 2")
+def rag_init_max_scores(v):
+    return rag.edge_scores(_samples(v), "hist_quant_50_initmax").withColumn("merge_score", F.round("merge_score", 6))
+
+
+_SLICES = {
+    "inside": "SELECT u, v FROM rag_edges JOIN rag_nodes a ON a.id = u JOIN rag_nodes b ON b.id = v WHERE merge_score <= 0.3 AND a.center_z = b.center_z",
+    **components_cte("inside", "rag_nodes", "local"),
+}
+
+
+@query(_cte("SELECT local.id, center_z, component FROM local JOIN rag_nodes ON rag_nodes.id = local.id", _SLICES))
+def slicewise_segments(v):
+    return rag.slicewise_segments(v.rag_nodes(), v.rag_edges(), 0.3)
+
+
+_BY_HAND = {
+    "hand": "SELECT id AS u, id + 1 AS v FROM rag_nodes WHERE id % 100 = 3 AND id + 1 IN (SELECT id FROM rag_nodes)",
+    "cut": "SELECT u, v FROM rag_edges WHERE merge_score <= 0.3 UNION ALL SELECT u, v FROM hand",
+    **components_cte("cut", "rag_nodes"),
+}
+
+
+@query(_cte("SELECT id, component FROM cc", _BY_HAND))
+def user_merge_regrow(v):
+    n = v.rag_nodes().select("id")
+    points = n.filter("id % 100 = 3").select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = materialize(rag.segments(n, v.rag_edges(), 0.3), "regrow")
+    return rag.merge_segments(found, points)
+
+
+def _volumes_sql() -> str:
+    more, parts = {}, []
+    for t in (10, 30):
+        more |= {f"cut{t}": f"SELECT u, v FROM rag_edges WHERE merge_score <= {t / 100}"} | components_cte(f"cut{t}", "rag_nodes", f"cc{t}")
+        parts.append(f"SELECT {t} AS threshold, coalesce(component, l_orderkey) AS segment, count(*) AS n FROM lineitem LEFT JOIN cc{t} ON id = l_orderkey GROUP BY 2")
+    return with_views(" UNION ALL ".join(parts), "rag_nodes", "rag_edges", recursive=True, more=more)
+
+
+@query(_volumes_sql())
+def segment_volumes(v):
+    from tessera.operators.volume import segment_volumes as f
+
+    own = v.table("lineitem").select(F.col("l_orderkey").cast("bigint").alias("value"), F.col("l_orderkey").alias("z"), F.col("l_linenumber").alias("y"), F.lit(0).alias("x"))
+    found = rag.segment_sweep(v.rag_nodes(), materialize(v.rag_edges(), "volume-edges"), [0.1, 0.3])
+    return f(own, found).groupBy("threshold", "segment").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(with_views("SELECT u, v, merge_score FROM rag_edges WHERE u IN (SELECT id FROM rag_nodes WHERE id % 10 <> 0 AND center_z >= 0 AND center_z < 40000 AND center_y >= 0 AND center_y < 2048 AND center_x >= 0 AND center_x < 8192)", "rag_nodes", "rag_edges"))
+def rag_unplaced_nodes(v):
+    n = v.rag_nodes().withColumn("center_z", F.when(F.col("id") % 10 != 0, F.col("center_z")))
+    return rag.in_roi(n, v.rag_edges(), ROI)[1]
+
+
+@query(with_views("SELECT id, block_id FROM rag_nodes WHERE id IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)", "rag_nodes"))
+def existing_fragments(v):
+    meshes = v.table("lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").cast("bigint").alias("id"))
+    return rag.existing(v.rag_nodes().select("id", "block_id"), meshes)
+
+
+@query()
+def merge_history_blocks(v):
+    return kernels.merge_history(v.rag_nodes(), v.rag_edges(), 0.5)
+
+
+def _pins(v):
+    return v.table("orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").cast("bigint").alias("id"), (F.col("o_custkey") % 7).alias("skeleton"))
+
+
+@query()
+def merge_correction(v):
+    edges = materialize(rag.under_threshold(v.rag_edges(), 0.3), "correct-edges")
+    found = materialize(rag.segments(v.rag_nodes(), edges, 0.3), "correct-segments")
+    return kernels.merge_correction(edges, found, _pins(v))[0]
+
+
+@query()
+def reagglomerate_apart(v):
+    edges = materialize(rag.under_threshold(v.rag_edges(), 0.3), "apart-edges")
+    found = materialize(rag.segments(v.rag_nodes(), edges, 0.3), "apart-segments")
+    ends = found.groupBy("component").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b")
+    return kernels.reagglomerate(edges, found, ends.select("a", "b"), 0.3)
+
+
 _SPLIT = {
     **{f"cut{t}": f"SELECT u, v FROM rag_edges WHERE merge_score <= {t / 100}" for t in (10, 30)},
     **components_cte("cut10", "rag_nodes", "cc10"),
@@ -275,7 +375,7 @@ _SPLIT = {
 
 @query(_cte("SELECT e.u, e.v FROM rag_edges e JOIN cc30 a ON a.id = e.u JOIN cc30 b ON b.id = e.v JOIN cc10 c ON c.id = e.u JOIN cc10 d ON d.id = e.v WHERE a.component = b.component AND c.component <> d.component", _SPLIT))
 def rag_split_neighbours(v):
-    n, e = v.rag_nodes(), v.rag_edges()
+    n, e = v.rag_nodes(), materialize(v.rag_edges(), "split-edges")
     return rag.split_neighbours(e.select("u", "v"), rag.segments(n, e, 0.3), rag.segments(n, e, 0.1))
 
 

@@ -186,9 +186,9 @@ def upsample_min(v):
     return volume.upsampled_min(v.voxels(), coarse, (1, 2, 2))
 
 
-@query(_v("SELECT l.label, count(*) AS n FROM (SELECT z, y, x FROM voxels WHERE value % 5 = 0) p JOIN label_voxels l USING (z, y, x) GROUP BY 1"))
+@query(_v("SELECT l.label, count(*) AS n FROM voxels p JOIN label_voxels l USING (z, y, x) GROUP BY 1"))
 def point_labels(v):
-    p = v.voxels().filter("value % 5 = 0").select((F.col("z") * 40 + 13).alias("z"), (F.col("y") * 4 + 1).alias("y"), (F.col("x") * 4 + 3).alias("x"))
+    p = v.voxels().select((F.col("z") * 40 + 13).alias("z"), (F.col("y") * 4 + 1).alias("y"), (F.col("x") * 4 + 3).alias("x"))
     return volume.points_labelled(p, v.label_voxels(), (40, 4, 4)).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -227,10 +227,10 @@ def ttest_stat(v):
     return stats.t_statistic(v.table("orders"), "o_orderstatus", "o_totalprice", "F", "O").withColumn("t", F.round("t", 6))
 
 
-@query("""WITH p AS (SELECT c_acctbal AS x, (c_custkey % 97)::DOUBLE AS y FROM customer), s AS (SELECT count(*) AS n, stddev_samp(x) * pow(count(*), -1.0 / 6) AS hx, stddev_samp(y) * pow(count(*), -1.0 / 6) AS hy FROM p),
-    q AS (SELECT s_suppkey AS i, s_acctbal AS qx, (s_suppkey % 97)::DOUBLE AS qy FROM supplier)
-    SELECT i, round(sum(exp(-(pow((qx - x) / hx, 2) + pow((qy - y) / hy, 2)) / 2)) / (2 * pi() * any_value(hx) * any_value(hy) * any_value(n)), 9) AS density
-    FROM q, p, s WHERE abs(qx - x) <= 5 * hx AND abs(qy - y) <= 5 * hy GROUP BY i""")
+@query("""WITH p AS (SELECT c_acctbal AS x, (c_custkey % 97)::DOUBLE AS y FROM customer), m AS (SELECT count(*) AS n, covar_samp(x, x) * pow(count(*), -1.0 / 3) AS xx, covar_samp(x, y) * pow(count(*), -1.0 / 3) AS xy, covar_samp(y, y) * pow(count(*), -1.0 / 3) AS yy FROM p),
+    s AS (SELECT *, xx * yy - xy * xy AS det FROM m), q AS (SELECT s_suppkey AS i, s_acctbal AS qx, (s_suppkey % 97)::DOUBLE AS qy FROM supplier)
+    SELECT i, round(sum(exp(-(pow(qx - x, 2) * yy - 2 * (qx - x) * (qy - y) * xy + pow(qy - y, 2) * xx) / det / 2)) / (2 * pi() * sqrt(any_value(det)) * any_value(n)), 9) AS density
+    FROM q, p, s GROUP BY i""")
 def kde_density(v):
     points = v.table("customer").select(F.col("c_acctbal").alias("x"), (F.col("c_custkey") % 97).cast("double").alias("y"))
     at = v.table("supplier").select(F.col("s_suppkey").alias("i"), F.col("s_acctbal").alias("x"), (F.col("s_suppkey") % 97).cast("double").alias("y"))
@@ -278,9 +278,21 @@ def mincut_split(v):
     return kernels.min_cut(e, seg, seeds)
 
 
-@query()
+_BALL = {
+    "steps": "SELECT * FROM (SELECT unnest(generate_series(-2, 2)) AS dz), (SELECT unnest(generate_series(-2, 2)) AS dy), (SELECT unnest(generate_series(-2, 2)) AS dx) WHERE dz * dz + dy * dy + dx * dx <= 4",
+    "near": "SELECT a.z, a.y, a.x, dz, dy, dx FROM label_voxels a CROSS JOIN steps JOIN label_voxels b ON b.z = a.z + dz AND b.y = a.y + dy AND b.x = a.x + dx AND b.label = a.label WHERE a.label <> 0",
+    "sums": "SELECT z, y, x, count(*)::DOUBLE AS n, avg(dz) AS mz, avg(dy) AS my, avg(dx) AS mx, avg(dz * dz) AS zz, avg(dy * dy) AS yy, avg(dx * dx) AS xx, avg(dz * dy) AS zy, avg(dz * dx) AS zx, avg(dy * dx) AS yx FROM near GROUP BY ALL",
+    "spreads": "SELECT *, greatest(zz - mz * mz, 0) AS vz, greatest(yy - my * my, 0) AS vy, greatest(xx - mx * mx, 0) AS vx FROM sums",
+    "found": "SELECT l.z, l.y, l.x, " + ", ".join(f"round(coalesce({c}, 0), 6) + 0.0 AS {n}" for c, n in [
+        ("n", "n"), *[(f"m{a}", f"mean_{a}") for a in "zyx"], *[(f"v{a}", f"var_{a}") for a in "zyx"],
+        *[(f"CASE WHEN sqrt(v{a} * v{b}) > 1e-12 THEN ({a}{b} - m{a} * m{b}) / sqrt(v{a} * v{b}) ELSE 0 END", f"r_{a}{b}") for a, b in ("zy", "zx", "yx")]]) + " FROM label_voxels l LEFT JOIN spreads s ON s.z = l.z AND s.y = l.y AND s.x = l.x",
+}
+
+
+@query(_v("SELECT * FROM found", _BALL))
 def local_descriptors(v):
-    return kernels.descriptors(v.label_voxels(), (10, 8, 8), 2)
+    found = kernels.descriptors(v.label_voxels(), (10, 8, 8), 2)
+    return found.withColumns({c: F.round(c, 6) + 0.0 for c in found.columns if c not in "zyx"})
 
 
 @query()
@@ -288,9 +300,22 @@ def distance_transform(v):
     return kernels.edt(v.label_voxels(), (50, 8, 8), (40, 4, 4))
 
 
-@query()
+def _weights(sigma: float, reach: int) -> str:
+    w = f"exp(-0.5 * pow(d / {sigma}, 2))"
+    return f"SELECT d, {w} / sum({w}) OVER () AS w FROM (SELECT unnest(generate_series(-{reach}, {reach})) AS d)"
+
+
+def _smoothed(t: str, axis: str, w: str) -> str:
+    rest = [a for a in "zyx" if a != axis]
+    return f"SELECT a.z, a.y, a.x, sum(b.value * w) AS value FROM {t} a CROSS JOIN {w} JOIN {t} b ON b.{axis} = a.{axis} + d AND b.{rest[0]} = a.{rest[0]} AND b.{rest[1]} = a.{rest[1]} GROUP BY ALL"
+
+
+_GAUSS = {"fine": _weights(0.7, 3), "wide": _weights(1.0, 3), "along_z": _smoothed("voxels", "z", "fine"), "along_y": _smoothed("along_z", "y", "wide"), "along_x": _smoothed("along_y", "x", "wide")}
+
+
+@query(_v("SELECT z, y, x, round(value, 6) AS value FROM along_x", _GAUSS))
 def gaussian_smooth(v):
-    return kernels.gaussian(v.voxels(), (50, 8, 8), (0.7, 1.0, 1.0))
+    return kernels.gaussian(v.voxels(), (50, 8, 8), (0.7, 1.0, 1.0)).withColumn("value", F.round("value", 6))
 
 
 @query(_v("SELECT z, y, x, (CASE WHEN label IN (2, 5) THEN 1 ELSE 0 END)::BIGINT AS mask FROM label_voxels"))
@@ -340,3 +365,72 @@ def next_label(v):
     from tessera.operators.rag import next_label as f
 
     return f(v.label_voxels())
+
+
+@query(_v("SELECT z, y, x, label, label * 255 AS myelin, (CASE WHEN label = 0 AND NOT ignored THEN 1 ELSE 0 END)::BIGINT AS mask FROM (SELECT z, y, x, (CASE WHEN l.label IN (0, 2, 5) THEN 0 ELSE 1 END)::BIGINT AS label, value % 4 = 1 AS ignored FROM label_voxels l JOIN voxels v USING (z, y, x))"))
+def ground_truth_masks(v):
+    ids = lambda *n: v.spark.createDataFrame([(i,) for i in n], "label bigint")
+    fragments = v.voxels().select("z", "y", "x", (F.col("value") % 4).alias("label"))
+    return volume.ground_truth(v.label_voxels(), ids(2, 5), fragments, ids(1))
+
+
+_BOUNDS = " UNION ALL ".join(f"SELECT z * 2 + {int(a == 'z')} AS z, y * 2 + {int(a == 'y')} AS y, x * 2 + {int(a == 'x')} AS x FROM near WHERE h{a} = {a} + 1 AND n{a} <> label" for a in "zyx")
+
+
+@query(_v(_BOUNDS, {"near": f"SELECT * FROM {_beside('label_voxels', 'label')}"}))
+def boundary_map(v):
+    return volume.boundary_map(v.label_voxels())
+
+
+_ERODED = _OBJECTS | {
+    "objects": "SELECT o.z, o.y, o.x, min(object) AS object FROM walk JOIN on_ o USING (pos) GROUP BY 1, 2, 3",
+    "e1": "SELECT a.* FROM objects a WHERE (SELECT count(*) FROM objects b WHERE b.object = a.object AND b.z = a.z AND abs(b.y - a.y) + abs(b.x - a.x) = 1) = 4",
+}
+
+
+@query(_v("SELECT object AS label, count(*) * 16 AS area_erode0, coalesce(any_value(n), 0) * 16 AS area_erode1 FROM objects LEFT JOIN (SELECT object, count(*) AS n FROM e1 GROUP BY 1) USING (object) GROUP BY 1", _ERODED, recursive=True))
+def synapse_areas(v):
+    return volume.synapse_areas(_objects(v), (40, 4, 4), (0, 1))
+
+
+@query()
+def slice_centres(v):
+    return volume.slice_centres(_objects(v))
+
+
+_TOPS = _OBJECTS | {
+    "on_": """SELECT z, y, x, z * 64 + y * 8 + x AS pos, value FROM voxels a WHERE value > 160 AND NOT EXISTS (SELECT 1 FROM voxels b WHERE b.value > a.value AND b.z IN (a.z - 1, a.z, a.z + 1) AND pow(b.z - a.z, 2) + pow(b.y - a.y, 2) / 4 + pow(b.x - a.x, 2) / 4 <= 1)""",
+    "tops": "SELECT pos, min(object) AS object FROM walk GROUP BY 1",
+}
+
+
+@query(_v("SELECT object, round(avg(z), 6) AS z, round(avg(y), 6) AS y, round(avg(x), 6) AS x, count(*) AS size, max(value) AS score FROM tops JOIN on_ USING (pos) GROUP BY 1", _TOPS, recursive=True))
+def nms_centres(v):
+    return volume.maxima_centres(v.voxels(), (1, 2, 2), 160, (8, 8)).withColumns({a: F.round(a, 6) for a in "zyx"})
+
+
+@query("""WITH s AS (SELECT max(c_custkey) AS most FROM customer), e AS (SELECT i, trunc(i * most / 12) AS low, CASE WHEN i = 11 THEN 1e18 ELSE trunc((i + 1) * most / 12) END AS high FROM s, (SELECT unnest(generate_series(0, 11)) AS i))
+    SELECT i AS bin, low::DOUBLE AS low, count(*) AS n FROM customer JOIN e ON c_custkey >= low AND c_custkey < high GROUP BY 1, 2""")
+def node_histogram(v):
+    return stats.node_histogram(v.table("customer"), "c_custkey", 12)
+
+
+_AUTO = """WITH s AS (SELECT count(*) AS n, min(o_totalprice) AS low, max(o_totalprice) AS high, quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25) AS iqr FROM orders {where}),
+    b AS (SELECT low, high, ceil((high - low) / least((high - low) / (log2(n) + 1), 2 * iqr / pow(n, 1.0 / 3))) AS bins FROM s),
+    h AS (SELECT least(floor((o_totalprice - low) / ((high - low) / bins)), bins - 1)::BIGINT AS bin, count(*) AS n FROM orders, b {where} GROUP BY 1) """
+
+
+@query(_AUTO.format(where="") + "SELECT bin, n, (sum(n) OVER (ORDER BY bin))::BIGINT AS total, round(sum(n) OVER (ORDER BY bin) / sum(n) OVER (), 9) AS share FROM h")
+def auto_histogram(v):
+    return stats.auto_histogram(v.table("orders"), "o_totalprice", True).withColumn("share", F.round("share", 9))
+
+
+@query("SELECT 'a' AS kind, bin, n FROM (" + _AUTO.format(where="WHERE o_orderstatus = 'F'") + "SELECT * FROM h) UNION ALL SELECT 'b', bin, n FROM (" + _AUTO.format(where="WHERE o_orderstatus = 'O'") + "SELECT * FROM h)")
+def paired_histograms(v):
+    o = v.table("orders")
+    return stats.paired_histograms(o.filter("o_orderstatus = 'F'"), o.filter("o_orderstatus = 'O'"), "o_totalprice")
+
+
+@query(_v("SELECT round((SELECT count(*) FROM voxels WHERE value > 200) / sum(CASE WHEN label <> 0 THEN 1 ELSE 0 END), 9) AS density FROM label_voxels"))
+def density_by_area(v):
+    return stats.density_by_area(v.voxels().filter("value > 200"), volume.unlabelled_mask(v.label_voxels())).withColumn("density", F.round("density", 9))
