@@ -153,10 +153,8 @@ def together(docs: DataFrame, base: DataFrame, size: int, text_column: str = "te
     # a term is in at least as many documents as it is here: what falls short never gets there
     known = materialize(held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") >= support) & (F.col("n") <= most(F.lit(top)))).select("term"), "pii-known")
     words = docs.select(F.explode(terms(F.coalesce(F.col(f"`{text_column}`"), F.lit("")))).alias("term"))
-    if known.count() <= SMALL_TERMS:
-        of_term = words.join(F.broadcast(known), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    else:  # counted before the exchange, for some words are in all documents
-        of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(known, "term", "left_semi")
+    # counted before the exchange and the join, for some words are in all documents
+    of_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(known, "term", "left_semi")
     of_term = materialize(of_term.filter(F.col("n_t") <= most(F.lit(top))), "pii-terms")
     pairs = _met(held.select("row_id", "entities", F.explode("terms").alias("term")), of_term, "term", "n_t").select("row_id", "term", "n_t", F.explode("entities").alias("e"))
     near = materialize(pairs.select("row_id", "e.entity", "term", "e.n_e", "n_t").filter(F.col("n_t") <= most(F.col("n_e"))), "pii-near")
