@@ -23,7 +23,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tessera.llm.base import named, table
+from tessera.llm.base import named, small_batches, table
 from tessera.session import materialize, scratch_path
 
 BLOCK, RATE, TARGET = 576, 8000, 16000
@@ -214,8 +214,6 @@ PAYLOAD = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 s
 FEATURES = f"{PAYLOAD}, feature string"
 #: Of the stored files: the PCM is several times the payload, but tells no more.
 COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
-#: Rows of PCM are long: few of them are held at once where they are read.
-SMALL_BATCHES = {"spark.sql.parquet.columnarReaderBatchSize": "128", "spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def expanded(media: DataFrame, target: int = TARGET) -> DataFrame:
@@ -260,10 +258,7 @@ def store_pcm(media: DataFrame, path: str, target: int = TARGET) -> DataFrame:
     """Write the columns of ``expanded`` to Parquet, and read them back."""
     pcm = expanded(media, target)
     pcm.write.options(**COMPRESSION).parquet(path)
-    reading = media.sparkSession.newSession()  # the caller's settings stay as they are
-    for key, value in SMALL_BATCHES.items():
-        reading.conf.set(key, value)
-    return reading.read.schema(pcm.schema).parquet(path)
+    return small_batches(media.sparkSession).read.schema(pcm.schema).parquet(path)
 
 
 def op5_telephony_audio(spark, sf_dir: str) -> DataFrame:

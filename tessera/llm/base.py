@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,6 +49,38 @@ def for_salts(keyed: DataFrame, key: str | list[str], hot: DataFrame, salts: int
     return keyed.join(marks, key, "left").select(*keyed.columns, each.alias("salt"))
 
 
+#: Rows of the list of (range, group) up to which it is sent to every executor; beyond it, a shuffled join.
+SMALL_STARTS = 100_000
+
+
+def placed(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with ``index`` (from 0, by ``order`` within its group) and ``n``, the rows of the group.
+
+    Rows are dealt by ranges of (group, order) and sorted there; only one row a (range, group) is counted, so that
+    a group with most of all rows is not one task. Group columns are not null.
+    """
+    spread = rows.repartitionByRange(*[F.col(c) for c in (*group, *order)]).sortWithinPartitions(*group, *order)
+    spread = materialize(spread.withColumn("at", F.monotonically_increasing_id()).withColumn("range", F.shiftright("at", 33)), "placed")
+    starts = spread.groupBy(*group, "range").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
+    own = W.partitionBy(*group)
+    before = F.sum("rows").over(own.orderBy("range")) - F.col("rows")
+    starts = materialize(starts.select(*group, "range", (before - F.col("first")).alias("shift"), F.sum("rows").over(own).alias("n")), "placed-starts")
+    small = F.broadcast(starts) if starts.count() <= SMALL_STARTS else starts
+    return spread.join(small, [*group, "range"]).select(*rows.columns, (F.col("at") + F.col("shift")).alias("index"), "n")
+
+
+#: For rows of megabytes: few of them in a batch.
+SMALL_BATCHES = {"spark.sql.parquet.columnarReaderBatchSize": "128", "spark.sql.execution.arrow.maxRecordsPerBatch": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """A session over the same context that reads and sends rows in small batches; the caller's settings stay as they are."""
+    reading = spark.newSession()
+    for key, value in SMALL_BATCHES.items():
+        reading.conf.set(key, value)
+    return reading
+
+
 def batches(rows, schema, size: int = 4096):
     """Arrow batches of an iterator of tuples."""
     import pyarrow as pa

@@ -21,15 +21,12 @@ table gives no rows; texts of any length are hashed whole; other columns are ign
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.base import named, table
+from tessera.llm.base import SMALL_STARTS, named, placed, table
 from tessera.session import drop_table, materialize
 
 FANOUT, TIER = 3, 4
-#: Rows of the list of (range, source) up to which it is sent to every executor; beyond it, a shuffled join.
-SMALL_STARTS = 100_000
 #: Where a row's path goes on: its ancestor's index in the next tier, or the path of its whole tree.
 _TOP = -1
 
@@ -62,18 +59,6 @@ def leaves(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     return rows.select("doc_id", "source", leaf_of(*head, F.col("text")).alias("leaf"), changed.alias("tampered"))
 
 
-def placed(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
-    """``rows`` with ``index`` (from 0, by ``order`` within its tree) and ``n``, the rows of the tree."""
-    spread = rows.repartitionByRange(*[F.col(c) for c in (tree, *order)]).sortWithinPartitions(tree, *order)
-    spread = materialize(spread.withColumn("at", F.monotonically_increasing_id()).withColumn("range", F.shiftright("at", 33)), "merkle-sorted")
-    starts = spread.groupBy(tree, "range").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("rows"))
-    own = W.partitionBy(tree)
-    before = F.sum("rows").over(own.orderBy("range")) - F.col("rows")
-    starts = materialize(starts.select(tree, "range", (before - F.col("first")).alias("shift"), F.sum("rows").over(own).alias("n")), "merkle-starts")
-    small = F.broadcast(starts) if starts.count() <= SMALL_STARTS else starts
-    return spread.join(small, [tree, "range"]).select(*rows.columns, (F.col("at") + F.col("shift")).alias("index"), "n")
-
-
 def height_of(n: Column, fanout: int = FANOUT) -> Column:
     """Levels above the leaves of a tree of n leaves."""
     powers, power = [], 1
@@ -172,10 +157,10 @@ def manifest(docs: DataFrame, tampered: Column | None = None, fanout: int = FANO
     """A row for each row of ``docs``: doc_id, source, index (in its source's tree), leaf, tampered (null: as it is), subroot, root, steps."""
     key = F.when(F.col("source").isNull(), "0").otherwise(F.concat(F.lit("1"), "source"))
     own = materialize(leaves(docs, tampered).withColumn("key", key), "merkle-leaves")
-    rows = materialize(placed(own, "key", ["doc_id", "leaf"]), "merkle-placed")
+    rows = placed(own, ["key"], ["doc_id", "leaf"])
     drop_table(own)
     trees = rows.groupBy("key").agg(F.max("n").alias("n_rows")).withColumn("all", F.lit(0))
-    trees = materialize(placed(trees, "all", ["key"]).select("key", "n_rows", F.col("index").alias("tree"), F.col("n").alias("n_trees")), "merkle-trees")
+    trees = materialize(placed(trees, ["all"], ["key"]).select("key", "n_rows", F.col("index").alias("tree"), F.col("n").alias("n_trees")), "merkle-trees")
     small = F.broadcast(trees) if trees.count() <= SMALL_STARTS else trees
     rows = rows.join(small.select("key", "tree"), "key").drop("key")
     rows = materialize(rows.select("doc_id", "source", "tree", "n", "index", "leaf", "tampered"), "merkle-rows")

@@ -15,7 +15,7 @@
    the members outside the largest component share with all others and names links
    between components only, so that a bucket gives as many rows as it has components. Those links
    are verified on the full sets, too. Only the members outside the largest component are copied to
-   several groups, and joins by band key deal the members of a hot key over many tasks.
+   several groups, and joins by band key, or by the first end of a pair, deal the rows of a hot one over many tasks.
 
 At similarity 0.75 a pair shares no band with probability (1 - 0.75**5)**40, about 2e-5.
 
@@ -29,6 +29,7 @@ rows; other columns are ignored by ``components`` and kept by ``distinct``.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -269,11 +270,21 @@ def _crossing(percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v) of the pairs (a, b) whose full sets reach ``percent``."""
-    sides = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-    sides = sides.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
-    sure = sides.mapInArrow(_verified(width, percent), "a bigint, b bigint")
+def _beside(pairs: DataFrame, rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Pairs (a, b) with columns of ``rows`` (node, ...) for both ends; ``columns`` names each one's two copies.
+
+    A node that is the first end of very many pairs is dealt over many tasks.
+    """
+    hot = hot_keys(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "a")
+    side = lambda c, i: rows.select(F.col("node").alias(c), *[F.col(old).alias(new.split()[i]) for old, new in columns.items()])
+    met = pairs.select("a", "b").join(side("b", 1), "b")
+    met = salted(met, "a", hot, F.col("b")).join(for_salts(side("a", 0), "a", hot), ["a", "salt"])
+    return met.select("a", "b", *[c for new in columns.values() for c in new.split()])
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(u, v) of the pairs (a, b) whose full sets reach ``percent``; ``pairs`` are read twice."""
+    sure = _beside(pairs, texts, {"text": "ta tb"}).mapInArrow(_verified(width, percent), "a bigint, b bigint")
     return sure.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
@@ -306,46 +317,61 @@ def _rest(members: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     of_inner = F.transform(upto("outer_parts"), lambda o: group(o, -1 - me, no, yes))
     dealt = placed.select("key", "node", "component", F.explode(F.when(F.col("outer"), F.concat(with_outer, with_inner)).otherwise(of_inner)).alias("g")).select("key", "node", "component", "g.*")
     grouped = dealt.join(sets.select("node", "shingles"), "node").groupBy("key", "i", "j")
-    pairs = materialize(grouped.applyInArrow(_crossing(percent), "a bigint, b bigint"), "near-crossing")
+    pairs = materialize(grouped.applyInArrow(_crossing(percent), "a bigint, b bigint").distinct(), "near-crossing")
     drop_table(sets)
-    return _confirmed(pairs.distinct(), texts, width, percent)
+    return confirmed(pairs, texts, width, percent)
 
 
-def component_links(classes: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of all classes (node, registers) that are linked with another; ``texts`` has (node, text).
+def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest: Callable, width: int, percent: int) -> DataFrame:
+    """(node, component) of the nodes that are linked with another one; linked nodes share a key of ``every`` (key, node).
 
+    First each member of a bucket meets only its least one: ``likely(pairs, nodes)`` keeps those of the pairs (a, b) that
+    may be linked. Then ``rest(unsettled, stars, texts)`` gives the links between components that share a bucket.
     Buckets are joined by (key, salt): the members of a hot key are dealt over many tasks.
     """
-    every = classes.select("node", "registers").mapInArrow(_banded, "key bigint, node bigint")
     buckets = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a")).filter("n > 1"), "near-keys")
     hot = hot_keys(buckets, "key")
     members = salted(every, "key", hot, F.col("node")).join(for_salts(buckets.select("key", "a"), "key", hot), ["key", "salt"])
     members = materialize(members.select("key", "salt", "node", "a"), "near-buckets")
-    wanted = members.select("node").distinct()
+    wanted = materialize(members.select("node").distinct(), "near-wanted")
     texts = materialize(texts.join(wanted, "node"), "near-texts")
-    registers = materialize(classes.select("node", "registers").join(wanted, "node"), "near-registers")
-    pairs = members.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
-    both = pairs.join(registers.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
-    both = both.join(registers.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b").select("a", "b", "ra", "rb")
-    likely = materialize(both.mapInArrow(_estimated(estimate_floor(percent)), "a bigint, b bigint"), "near-likely")
-    stars = materialize(component_edges(_confirmed(likely, texts, width, percent)), "near-stars")
+    pairs = materialize(members.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "near-pairs")
+    close = materialize(likely(pairs, wanted), "near-likely")
+    stars = materialize(component_edges(confirmed(close, texts, width, percent)), "near-stars")
     placed = members.join(stars, "node", "left").select("key", "salt", "node", F.coalesce("component", "node").alias("component"))
     unsettled = materialize(_unsettled(placed), "near-unsettled")
-    drop_table(buckets, members, registers, likely)
+    drop_table(buckets, members, wanted, pairs, close)
     if unsettled.isEmpty():
         drop_table(texts, unsettled)
         return stars
-    more = materialize(_rest(unsettled, texts, width, percent), "near-rest")
+    more = materialize(rest(unsettled, stars, texts), "near-rest")
+    out = joined_components(stars, more)
+    drop_table(texts, unsettled, more)
+    return out
+
+
+def joined_components(stars: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) of components (node, component) and further links (u, v) between their nodes or others."""
     top = lambda c: stars.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top"))
-    lifted = more.join(top("u"), "u", "left").join(top("v"), "v", "left").select(F.coalesce("u_top", "u").alias("u"), F.coalesce("v_top", "v").alias("v"))
+    lifted = links.join(top("u"), "u", "left").join(top("v"), "v", "left").select(F.coalesce("u_top", "u").alias("u"), F.coalesce("v_top", "v").alias("v"))
     joined = component_edges(lifted).select(F.col("node").alias("mid"), F.col("component").alias("top"))
     joined = materialize(joined, "near-joined")
-    drop_table(texts, unsettled, more)
     moved = stars.join(joined, F.col("component") == F.col("mid"), "left").select("node", F.coalesce("top", "component").alias("component"))
     alone = joined.join(stars.select(F.col("node").alias("mid")), "mid", "left_anti").select(F.col("mid").alias("node"), F.col("top").alias("component"))
     return moved.union(alone)
 
 
+def component_links(classes: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of all classes (node, registers) that are linked with another; ``texts`` has (node, text)."""
+    every = classes.select("node", "registers").mapInArrow(_banded, "key bigint, node bigint")
+
+    def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        registers = classes.select("node", "registers").join(nodes, "node")
+        return _beside(pairs, registers, {"registers": "ra rb"}).mapInArrow(_estimated(estimate_floor(percent)), "a bigint, b bigint")
+
+    return bucket_components(every, texts, likely, lambda unsettled, stars, held: _rest(unsettled, held, width, percent), width, percent)
+
+
 def _unique_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, reached (the least id of the component, null without an id) of rows (doc_id, text) whose ids do not repeat."""
     own = materialize(sketches(docs, "doc_id", "text", width), "near-sketches")
@@ -359,11 +385,11 @@ def _unique_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "doc_id")).alias("reached"))
 
 
-def _repeated_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """As ``_unique_components`` for ids that repeat: rows are numbered and linked, then components with an id in common are one."""
+def _repeated_components(docs: DataFrame, unique: Callable, sizes: Callable) -> DataFrame:
+    """As ``unique(docs)`` for ids that repeat: rows are numbered and linked, then components with an id in common are one."""
     number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
     rows = materialize(docs.select(number.alias("row"), "doc_id", "text"), "near-rows")
-    found = _unique_components(rows.select(F.col("row").alias("doc_id"), "text"), width, percent).select(F.col("doc_id").alias("row"), "n_shingles", F.col("reached").alias("part"))
+    found = unique(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "n_shingles", F.col("reached").alias("part"))
     found = materialize(rows.select("row", "doc_id").filter("row is not null").join(found, "row"), "near-parts")
     first = found.groupBy("doc_id").agg(F.min("part").alias("u"), F.max("part").alias("v")).filter("u <> v")
     links = found.select("doc_id", "part").distinct().join(first.select("doc_id", "u"), "doc_id").select("u", F.col("part").alias("v"))
@@ -374,14 +400,19 @@ def _repeated_components(docs: DataFrame, width: int, percent: int) -> DataFrame
     counts = found.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(counts, "part")
     out = salted(found, "part", hot, F.col("row")).join(for_salts(reached, "part", hot), ["part", "salt"]).select("doc_id", "n_shingles", "reached")
-    nameless = sketches(rows.filter("row is null"), "doc_id", "text", width).select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("reached"))
+    nameless = sizes(rows.filter("row is null")).select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("reached"))
     return out.union(nameless)
 
 
+def row_components(docs: DataFrame, unique: Callable, sizes: Callable) -> DataFrame:
+    """doc_id, n_shingles, reached of all rows (doc_id, text): ``unique`` gives it where ids do not repeat, ``sizes`` gives doc_id and n_shingles."""
+    return _repeated_components(docs, unique, sizes) if _repeats(docs) else unique(docs)
+
+
 def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """A row for each row of ``docs``: doc_id, n_shingles, component_id (the least id reachable), kept."""
     rows = named(docs, doc_id=id_column, text=text_column)
-    found = (_repeated_components if _repeats(rows) else _unique_components)(rows, width, percent)
+    found = row_components(rows, lambda r: _unique_components(r, width, percent), lambda r: sketches(r, "doc_id", "text", width))
     return found.select("doc_id", "n_shingles", F.col("reached").alias("component_id"), F.coalesce(F.col("reached") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["rans", "pack", "mixing", "exact_dedup", "audio", "quality", "privacy", "urls", "warc", "near_dedup", "merkle", "filter_audit"]
+MODULES = ["rans", "pack", "mixing", "exact_dedup", "audio", "quality", "privacy", "urls", "warc", "near_dedup", "merkle", "count_join", "filter_audit"]
 
 
 def _all(kind: str) -> dict:
