@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import named, table
+from tessera.llm.base import named, small_batches, table
 from tessera.llm.tokens import default_path, tokenizer
 from tessera.session import materialize, scratch_path
 
@@ -217,6 +217,8 @@ def shifted_crc(crc: int, after: int) -> int:
     return _times(power, crc)
 
 
+#: Rows of one id beyond which they are dealt over several ranges.
+SAME_ID = 1000
 SEGMENTS = "part int, start bigint, n_tokens bigint, payload binary, doc_ids array<bigint>, doc_starts array<bigint>, doc_tokens array<bigint>, doc_befores array<bigint>"
 
 
@@ -259,10 +261,15 @@ def _segments(path: str, end_id: int, most: int):
 def write_tokens(docs: DataFrame, out: str, tokenizer_path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text", segment: int = SEGMENT) -> None:
     """Write all texts' ids, each followed by ``end_id``, as segments in ascending id order to a Parquet folder.
 
-    One range exchange on the id puts the order; a worker holds one segment at a time.
+    One range exchange on the id puts the order; a worker holds one segment at a time. Rows of an id that
+    very many rows share (or of no id) are dealt over several ranges by their text's hash and a number, and stay together.
     """
     rows = named(docs, doc_id=id_column, text=text_column)
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = [F.col("doc_id")]
+    if (rows.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0) > SAME_ID:
+        rows = rows.withColumns({"hash": F.xxhash64("text"), "number": F.monotonically_increasing_id()})
+        order += [F.col("hash"), F.col("number")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, *([] if len(order) > 1 else ["text"])).select("doc_id", "text")
     # payloads are random bits: packing or indexing them again only costs time
     ordered.mapInArrow(_segments(tokenizer_path, end_id, segment), SEGMENTS).write.option("compression", "uncompressed").option("parquet.enable.dictionary", "false").parquet(out)
 
@@ -288,9 +295,9 @@ def read_index(spark, path: str) -> DataFrame:
     The table of parts has one row for each task that wrote; a document cut by a
     segment's end is put together by xor of its pieces' crc shares.
     """
-    stored = spark.read.schema(SEGMENTS).parquet(path)
+    stored = small_batches(spark).read.schema(SEGMENTS).parquet(path)
     pieces = stored.mapInArrow(_read, "part int, doc_id bigint, start bigint, n_tokens bigint, before bigint, size bigint, crc bigint")
-    pieces = materialize(pieces, "rans-index")  # read twice below; decoded once
+    pieces = spark.read.schema(pieces.schema).parquet(materialize(pieces, "rans-index")._scratch)  # read twice below; decoded once
     parts = sorted((r["part"], r["n"]) for r in stored.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     bases, total = [], 0
     for part, n in parts:
@@ -325,7 +332,7 @@ def read_blocks(spark, path: str, blocks: int = 8) -> DataFrame:
                 ids = Segment(batch.column("payload")[i].as_py()).all_ids()
                 yield pa.RecordBatch.from_arrays([batch.column("part").slice(i, 1), batch.column("start").slice(i, 1), pa.array([len(ids)], pa.int64()), pa.array([ids.tobytes()], pa.binary())], names=["part", "start", "n_tokens", "ids"])
 
-    runs = spark.read.schema(SEGMENTS).parquet(path).mapInArrow(cut, "part int, start bigint, payload binary")
+    runs = small_batches(spark).read.schema(SEGMENTS).parquet(path).mapInArrow(cut, "part int, start bigint, payload binary")
     return runs.repartition("part", "start").mapInArrow(decode, "part int, start bigint, n_tokens bigint, ids binary")
 
 

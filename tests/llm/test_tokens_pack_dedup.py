@@ -69,6 +69,20 @@ def test_token_file(spark, docs, tmp_path):
     assert rans.read_index(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_rows_without_an_id_are_dealt_over_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rans, "SAME_ID", 50)
+    path = default_path("byte_bpe_50k.json")
+    rows = [(None, f"row {k % 90}") for k in range(400)] + [(5, "same")] * 60 + [(3, "first"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    rans.write_tokens(docs, f"file://{tmp_path}/n", path, 2)
+    assert spark.read.parquet(f"file://{tmp_path}/n").select("part").distinct().count() > 1
+    got = sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rans.read_index(spark, f"file://{tmp_path}/n").collect()), key=lambda r: r[1])
+    kinds = {t: plain("byte_bpe_50k.json", 2, t) for _, t in rows}
+    assert sorted((str(i), n, c) for i, _, n, c in got) == sorted((str(i), len(kinds[t]), zlib.crc32(kinds[t].tobytes())) for i, t in rows)
+    assert [r[0] for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    assert [r[1] for r in got] == [sum(r[2] for r in got[:k]) for k in range(len(got))]
+
+
 def test_blocks_decode_in_any_task(spark, docs, tmp_path):
     ids = (np.random.default_rng(1).zipf(1.3, 2 * rans.BLOCK + 4000) % 50_000).astype("<u4")
     runs = rans.block_groups(rans.encode_segment(ids), 1)
