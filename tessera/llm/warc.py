@@ -9,8 +9,9 @@ and shuffled by payload digest and length; each group's response is the record w
 the largest id; payloads under ``LEAST`` bytes are responses always. Members that
 become revisits are joined to their originals and every record gets fresh headers
 in new archives. Groups are reduced within each task before the exchange. Archives
-stay where they are while the list of revisits is at most SMALL_LIST long; beyond it,
-they are shuffled to their lists.
+stay where they are: they are stored in buckets by name, and the lists of revisits, a few bytes a
+record, are dealt to the same buckets. No payload is ever shuffled. A list of at most SMALL_LIST
+is sent to every executor.
 
 A response's block is an HTTP head and the payload; a revisit's is the head alone, with the
 original's record id, target URI and date.
@@ -33,11 +34,11 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import batches, for_salts, hot_keys, named, salted, table
-from tessera.session import materialize
+from tessera.llm.base import batches, for_salts, hot_keys, named, salted, small_batches, table
+from tessera.session import materialize, scratch_path
 
 LEAST, ARCHIVE = 1000, 4_000_000
-#: Revisits up to which their list is sent to every executor; beyond it, archives are shuffled to their lists.
+#: Revisits up to which their list is sent to every executor; beyond it, lists are dealt to the buckets of the archives.
 SMALL_LIST = 200_000
 DATE = "1970-01-01T00:00:00Z"
 ARCHIVES = "archive string, data binary"
@@ -142,6 +143,15 @@ def write_archives(pages: DataFrame, id_column: str = "page_id", url_column: str
     return named(pages, page_id=id_column, url=url_column, html=html_column).mapInArrow(run, ARCHIVES)
 
 
+def store_archives(archives: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Write archives to the shared folder in buckets by their name, and read them back a few at a time. Every task writes its own rows: no exchange."""
+    spark = archives.sparkSession
+    path, name = scratch_path(spark, "warc"), f"warc_{uuid.uuid4().hex}"
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    archives.write.bucketBy(n, "archive").option("path", path).option("compression", "uncompressed").saveAsTable(name)
+    return small_batches(spark).table(name)
+
+
 def read_headers(archives: DataFrame, check: bool = False) -> DataFrame:
     """The headers of every record. ``check`` hashes the payload read and raises if it is not the digest's."""
     def run(stream):
@@ -176,14 +186,16 @@ def revisits(headers: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def deduplicate(archives: DataFrame, least: int = LEAST, most: int = ARCHIVE) -> DataFrame:
-    """Archives with fresh headers: copies become revisits. ``archives`` must be a written table.
+    """Archives with fresh headers: copies become revisits. ``archives`` come from ``store_archives``.
 
-    An archive meets its own list of revisits (at most one a record in it).
+    An archive meets its own list of revisits (at most one a record in it); other written tables are shuffled to
+    their lists if these are long.
     """
     headers = materialize(read_headers(archives), "warc-headers")  # both sides of the join read it
     again = materialize(revisits(headers, least), "warc-again")
     lists = again.groupBy("archive").agg(F.collect_list(F.struct("page_id", "digest", "refers_to", "refers_uri")).alias("again"))
-    both = archives.join(F.broadcast(lists) if again.count() <= SMALL_LIST else lists, "archive", "left").select("archive", "data", "again")
+    # the lists are hashed, so that archives are not sorted either
+    both = archives.join(F.broadcast(lists) if again.count() <= SMALL_LIST else lists.hint("shuffle_hash"), "archive", "left").select("archive", "data", "again")
 
     def run(stream):
         def members():
@@ -202,8 +214,9 @@ def deduplicate(archives: DataFrame, least: int = LEAST, most: int = ARCHIVE) ->
 
 def op9_warc_revisits(spark, sf_dir: str) -> DataFrame:
     """Archive all of ``pages``, resolve the revisits, read the new archives back."""
-    crawl = materialize(write_archives(table(spark, sf_dir, "pages")), "warc-crawl")
-    final = materialize(deduplicate(crawl), "warc-final")
+    crawl = store_archives(write_archives(table(spark, sf_dir, "pages")))
+    final = materialize(deduplicate(crawl), "warc-final", compression="uncompressed")
+    final = small_batches(spark).read.schema(ARCHIVES).parquet(final._scratch)
     return read_headers(final, check=True).select(
         "page_id", F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to"
     )
