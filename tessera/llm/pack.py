@@ -104,12 +104,12 @@ def _packer(path: str, end_id: int, width: int, open_bins: int, with_ids: bool):
     return run
 
 
-def _moved(left: DataFrame, width: int) -> DataFrame:
+def _moved(left: DataFrame, width: int, open_bins: int) -> DataFrame:
     """(sequence_id, into, shift): bins (sequence_id, length) put behind others, longest first; those that stay are left out."""
     def run(rows):
         import pandas as pd
 
-        rows, bins, first, out = rows.sort_values(["length", "sequence_id"], ascending=[False, True]), BestFit(width, len(rows) + 1), {}, []
+        rows, bins, first, out = rows.sort_values(["length", "sequence_id"], ascending=[False, True]), BestFit(width, open_bins), {}, []
         for own, length in zip(rows.sequence_id.tolist(), rows.length.tolist()):
             number, shift = bins.put(length)
             if first.setdefault(number, own) != own:
@@ -124,7 +124,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 4096, o
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset; ``with_ids`` adds the ids (uint32, little endian)."""
     rows = named(docs, doc_id=id_column, text=text_column)
     placed = materialize(rows.mapInArrow(_packer(tokenizer_path, end_id, width, open_bins, with_ids), PACKED + ", ids binary" * with_ids), "packed")
-    moved = materialize(_moved(placed.filter("piece is null"), width), "packed-moved")
+    moved = materialize(_moved(placed.filter("piece is null"), width, open_bins), "packed-moved")
     if moved.count() <= SMALL_LIST:
         moved = F.broadcast(moved)
     both = placed.filter("piece is not null").join(moved, "sequence_id", "left")
