@@ -12,8 +12,9 @@ row that crosses the budget is found by a descent through hash ranges: token sum
 of FANOUT ranges, then of the ranges within the crossing one, and so on, so that no
 task ever orders more than FANOUT ranges or, in the last step, about SMALL rows of a leaf, whatever its size.
 
-Of each leaf (a domain, language and source that occur together) one row with its token sum reaches the
-driver, which shares the budget out; all else stays distributed. The leaves' plan is broadcast up to
+The tree is the table of leaves (a domain, language and source that occur together): token sums go up it by grouping,
+budgets come down it level by level, and one task shares a node's budget among the node's children. Only the sum of all tokens
+reaches the driver. The leaves' plan is broadcast up to
 SMALL_LEAVES leaves; beyond it, rows of hot leaves are salted. Tokens are words between blanks.
 
 Edge cases: null language or source is a leaf of its own named by the empty string;
@@ -75,22 +76,33 @@ def fill(budget: float, capacity: list[float], weight: list[float]) -> list[floa
     return taken
 
 
-def budgets(available: Mapping[tuple, int], total: float, weights: Mapping, epochs: int = EPOCHS, default: float = 1.0) -> dict[tuple, int]:
-    """Whole tokens for each leaf path of ``available`` (path -> tokens of one epoch)."""
-    def share(paths: list[tuple], depth: int, budget: float, level: Mapping) -> dict[tuple, float]:
-        if depth == len(paths[0]):
-            return {paths[0]: budget}
-        groups: dict = {}
-        for p in sorted(paths):
-            groups.setdefault(p[depth], []).append(p)
-        found = [level.get(k, level.get("*", (default, {}))) for k in groups]
-        parts = fill(budget, [epochs * sum(available[p] for p in g) for g in groups.values()], [w for w, _ in found])
-        out: dict = {}
-        for own, part, (_, below) in zip(groups.values(), parts, found):
-            out |= share(own, depth + 1, part, below)
-        return out
+def _below(weights: Mapping, path: tuple, default: float) -> Mapping:
+    """The weights of a node's children."""
+    for name in path:
+        weights = weights.get(name, weights.get("*", (default, {})))[1]
+    return weights
 
-    return {p: round(b) for p, b in share(list(available), 0, total, weights).items()} if available else {}
+
+def budgets(available: DataFrame, total: float, weights: Mapping, epochs: int = EPOCHS, default: float = 1.0, keys: list[str] | None = None) -> DataFrame:
+    """``available`` (keys, n: tokens of one epoch of each leaf) with ``budget``, whole tokens for each leaf."""
+    keys = keys or KEYS
+
+    def shared(depth: int):
+        def run(rows):
+            level = _below(weights, tuple(rows[k].iloc[0] for k in keys[:depth]), default)
+            rows = rows.sort_values(keys[depth])
+            own = [level.get(name, level.get("*", (default, {})))[0] for name in rows[keys[depth]]]
+            return rows.assign(budget=fill(float(rows.budget.iloc[0]), [epochs * n for n in rows.n.tolist()], own))[[*keys[: depth + 1], "n", "budget"]]
+
+        return run
+
+    above = None
+    for depth in range(len(keys)):
+        sums = available.groupBy(*keys[: depth + 1]).agg(F.sum("n").alias("n"))
+        asked = sums.withColumn("budget", F.lit(float(total))) if above is None else sums.join(above.drop("n"), keys[:depth])
+        columns = ", ".join(f"{k} string" for k in keys[: depth + 1])
+        above = asked.groupBy(*keys[:depth]).applyInPandas(shared(depth), f"{columns}, n bigint, budget double")
+    return above.withColumn("budget", F.bround("budget").cast("bigint"))
 
 
 def _rank(seed: int, epoch: Column, id_: Column, more: Column) -> Column:
@@ -154,18 +166,14 @@ def mix(docs: DataFrame, weights: Mapping, budget: int | float, domain: Column |
     named_epoch = [F.col("__epoch").alias(epoch_column)] if epoch_column else []
     slim = materialize(leafed.drop("row"), "mix-leaves")
     leaves = materialize(slim.groupBy(*KEYS).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")), "mix-sums")
-    available = {tuple(r)[:3]: r["n"] for r in leaves.collect()}  # one row a leaf
-    total = sum(available.values())
-    want = budgets(available, budget * total if isinstance(budget, float) and budget < 1 else budget, weights, epochs, default)
-    plan: list[tuple] = []
-    for leaf, tokens in want.items():
-        n = available[leaf]
-        full = min(epochs, tokens // n) if n else 0
-        plan.append((*leaf, full, tokens - full * n if n and full < epochs else 0))
-    if not plan:
+    total = leaves.agg(F.sum("n")).first()[0]
+    if total is None:
         return leafed.limit(0).withColumn("__epoch", F.lit(0)).select("row.*", *named_epoch)
-    few = len(plan) <= SMALL_LEAVES
-    frame = docs.sparkSession.createDataFrame(plan, "domain string, lang_ string, source_ string, full int, need bigint")
+    want = budgets(leaves.select(*KEYS, "n"), budget * total if isinstance(budget, float) and budget < 1 else budget, weights, epochs, default)
+    full = F.when(F.col("n") > 0, F.least(F.lit(epochs), F.expr("budget div n"))).otherwise(0)
+    frame = want.withColumn("full", full.cast("int")).withColumn("need", F.when((F.col("n") > 0) & (F.col("full") < epochs), F.col("budget") - F.col("full") * F.col("n")).otherwise(0))
+    frame = materialize(frame.select(*KEYS, "full", "need"), "mix-plan")
+    few = leaves.count() <= SMALL_LEAVES
     ranked = lambda df: df.withColumn("rank", _rank(seed, F.col("full"), F.col("id_"), F.col("of_text")))
     cut = frame.filter("need > 0")
     cuts = _cuts(ranked(_of_leaf(slim, cut.select(*KEYS, "full"), leaves, few)).drop("full"), cut.select(*KEYS, "need"), leaves, few)

@@ -216,6 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     known = known.groupBy("label_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most").drop("most")
     chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     rows = named(docs, doc_id=id_column, text=text_column).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # one row a label, however often an id is repeated
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(stream):

@@ -7,12 +7,31 @@ import pytest
 from tessera.llm import mixing, near_dedup
 
 
-def test_shortages_go_to_siblings_first():
+def budgets(available, total, weights, epochs=mixing.EPOCHS, default=1.0):
+    """Whole tokens for each leaf path, by recursion from the root."""
+    def share(paths, depth, budget, level):
+        if depth == len(paths[0]):
+            return {paths[0]: budget}
+        groups = {}
+        for p in sorted(paths):
+            groups.setdefault(p[depth], []).append(p)
+        found = [level.get(k, level.get("*", (default, {}))) for k in groups]
+        parts = mixing.fill(budget, [epochs * sum(available[p] for p in g) for g in groups.values()], [w for w, _ in found])
+        out = {}
+        for own, part, (_, below) in zip(groups.values(), parts, found):
+            out |= share(own, depth + 1, part, below)
+        return out
+
+    return {p: round(b) for p, b in share(list(available), 0, total, weights).items()}
+
+
+def test_shortages_go_to_siblings_first(spark):
     have = {("a", "x"): 10, ("a", "y"): 100, ("b", "x"): 1000}
     weights = {"a": (1, {"x": (1, {}), "y": (1, {})}), "b": (1, {})}
-    assert mixing.budgets(have, 100, weights, 1) == {("a", "x"): 10, ("a", "y"): 40, ("b", "x"): 50}
-    assert mixing.budgets(have, 600, weights, 1) == {("a", "x"): 10, ("a", "y"): 100, ("b", "x"): 490}
-    assert mixing.budgets(have, 9999, weights, 2) == {("a", "x"): 20, ("a", "y"): 200, ("b", "x"): 2000}
+    leaves = spark.createDataFrame([(*k, n) for k, n in have.items()], "domain string, lang_ string, n bigint")
+    got = lambda total, epochs: {(r.domain, r.lang_): r.budget for r in mixing.budgets(leaves, total, weights, epochs, keys=["domain", "lang_"]).collect()}
+    for total, epochs, want in ((100, 1, (10, 40, 50)), (600, 1, (10, 100, 490)), (9999, 2, (20, 200, 2000))):
+        assert got(total, epochs) == dict(zip(have, want)) == budgets(have, total, weights, epochs)
     assert mixing.fill(10, [5, 5, 50], [0, 0, 1]) == [0, 0, 10]
     assert mixing.fill(60, [5, 5, 50], [0, 0, 1]) == [5, 5, 50]
 
@@ -42,7 +61,7 @@ def test_mix_equals_brute_force(spark, sources, monkeypatch, budget, small, few)
         leaves["head" if r.source == "src0" else "tail", r.lang or "", r.source or ""].append((r.doc_id, len((r.text or "").split())))
     have = {k: sum(n for _, n in v) for k, v in leaves.items()}
     want = Counter()
-    for leaf, tokens in mixing.budgets(have, budget * sum(have.values()) if budget < 1 else budget, weights).items():
+    for leaf, tokens in budgets(have, budget * sum(have.values()) if budget < 1 else budget, weights).items():
         for e in range(mixing.EPOCHS):
             whole = have[leaf] and tokens >= have[leaf]
             by_rank = defaultdict(list)  # repeated rows have one rank and are taken together
@@ -132,6 +151,27 @@ def test_ids_that_repeat_with_other_texts(spark):
     assert sorted(str(r.doc_id) for r in kept) == ["3", "3", "5", "5", "None"]
 
 
+def test_many_near_copies_of_one_text_are_dealt_to_salts(spark, monkeypatch):
+    """Nearly all pairs of the stars have one first end: its rows are salted, and the answer is the same."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm import base
+
+    random = np.random.default_rng(12)
+    start = [f"w{x}" for x in random.integers(0, 9999, 60)]
+    rows = [(k, " ".join([*start, f"n{k}", f"m{k % 7}"])) for k in range(3000)] + [(9000, "something else altogether, in one line")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = []
+    first = near_dedup.salted
+    monkeypatch.setattr(near_dedup, "salted", lambda rows, key, hot, by, *a: seen.append((key, hot.count())) or first(rows, key, hot, by, *a))
+    got = {r.doc_id: r.component_id for r in near_dedup.components(docs).collect()}
+    assert {c for i, c in got.items() if i < 9000} == {0} and got[9000] == 9000
+    assert ("a", 1) in seen
+    pairs = spark.createDataFrame([(0, k) for k in range(1, 3000)], "a bigint, b bigint")
+    met = near_dedup._beside(pairs, docs.select(F.col("doc_id").alias("node"), "text"), {"text": "ta tb"})
+    assert met.count() == 2999 and base.SALTS > 1
+
+
 def test_large_buckets_are_dealt_to_parts(spark, monkeypatch):
     """Hot band keys, salts and parts: many small components that share all of a passage, beside one large component."""
     from tessera.llm import base

@@ -75,3 +75,12 @@ def test_vector_sums_equal_brute_force(spark):
 def test_calibration_softens_overconfidence():
     y = np.array([1.0, 0, 1, 0, 1, 1, 0, 1] * 20)
     assert quality.calibrated(np.where(np.arange(160) % 8 < 6, 2 * y - 1, 1 - 2 * y) * 8, y) > 2
+
+
+def test_ids_that_repeat_are_one_row_of_the_sample(spark):
+    rows = [(k, f"good words here {k}" if k % 2 else "bad bad bad", 1) for k in range(40)] + [(3, "good words here 3", 1)] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score int")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, quality int")
+    again = docs.dropDuplicates()
+    one, many = (quality.score(docs, quality.fit(d, labels)) for d in (again, docs))
+    assert many.count() == len(rows) and one.columns == ["doc_id", "score"]  # a column called score does not clash
