@@ -4,8 +4,9 @@
    counts by group are its point. Two sets share at most the sum of the lesser counts. Long sets have more groups, a power of two, so that a group
    holds about PER_GROUP shingles; counts fold to fewer groups by adding halves. Equal sets are one class from here on.
 2. *Partitions.* Linked sets share one of each one's first ``prefix_size`` tokens in any order of all tokens. The
-   order is by hash, with COMMON tokens behind all others: a passage that many documents share
-   is no partition of theirs unless they hold little else. Rows of a token are a partition of the join.
+   order is by hash, with common tokens behind all others: a passage that many documents share
+   is no partition of theirs unless they hold little else. What is common is read from counts of all tokens of all documents, by
+   hash, in CELLS cells at most. Rows of a token are a partition of the join.
 3. *Stars.* Each member of a partition first meets only the least one; pairs within the bound are verified, and
    verified links give components, so that copies of one text need no pairs among each other.
 4. *Tree.* Members of partitions with several components are bulk-loaded: those of one size band are sorted by large
@@ -38,13 +39,15 @@ from tessera.operators.components import component_edges
 from tessera.session import drop_table, materialize
 
 WIDTH, PERCENT = 5, 80
-GROUPS, PER_GROUP = 64, 8
+GROUPS, PER_GROUP = 64, 2
 #: Points of a leaf of the tree.
 LEAF = 128
 #: Rows of leaf members that one task of the tree join holds at about.
 DEALT = 4000
-#: A token in more documents than this, and in more than one in MOST_COMMON of all rows of tokens, is common.
-COMMON, MOST_COMMON = 500, 200_000
+#: Tokens of a cell with more than COMMON of them, and more than OVER_MEAN times a cell's mean, are common. Cells: one for LOAD tokens, within bounds.
+COMMON, OVER_MEAN, LOAD, FEWEST_CELLS, MOST_CELLS, CELL_SLICE = 128, 4, 32, 1 << 16, 1 << 22, 1 << 13
+#: Tokens that a document is taken to have where the number of cells is chosen.
+TOKENS_PER_ROW = 512
 #: Rows of small lists up to which they are sent to every executor; beyond it, a shuffled join.
 SMALL_LIST = 200_000
 
@@ -55,22 +58,26 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
 
 
 def group_counts(shingles: np.ndarray, per_group: int = PER_GROUP) -> np.ndarray:
-    """Counts by group of a set: GROUPS times a power of two of them, uint16."""
+    """Counts by group of a set, uint8: GROUPS times a power of two of them, so many that every count fits."""
     groups = GROUPS
     while groups * per_group < len(shingles):
         groups *= 2
-    return np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.uint16)
+    counts = np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    while counts.max(initial=0) > 255:
+        groups *= 2
+        counts = np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return counts.astype(np.uint8)
 
 
 def fold(counts: np.ndarray, groups: int) -> np.ndarray:
     """Rows of counts in fewer groups: a group's number keeps its low bits."""
-    return counts.reshape(len(counts), -1, groups).sum(axis=1, dtype=np.int64)
+    return counts.reshape(len(counts), -1, groups).sum(axis=1, dtype=np.int32) if counts.shape[1] > groups else counts
 
 
 def most_shared(a: np.ndarray, b: np.ndarray) -> int:
     """The bound: the sum of the lesser counts."""
     groups = min(len(a), len(b))
-    return int(np.minimum(fold(a[None], groups), fold(b[None], groups)).sum())
+    return int(np.minimum(fold(a[None], groups), fold(b[None], groups)).sum(dtype=np.int64))
 
 
 def may_link(shared, n, m, percent: int):
@@ -81,15 +88,86 @@ def may_link(shared, n, m, percent: int):
 def morton(counts: np.ndarray) -> int:
     """Interleaved bits of eight coarse coordinates, as shares of the whole, in 32 levels."""
     coarse = fold(counts[None], 8)[0]
-    level = np.minimum(31, coarse * 8 * 16 // max(1, int(coarse.sum()))).astype(np.int64)
+    level = np.minimum(31, coarse.astype(np.int64) * 8 * 16 // max(1, int(coarse.sum())))
     return int(sum(int((level[i] >> (4 - bit)) & 1) << (39 - bit * 8 - i) for bit in range(5) for i in range(8)))
 
 
-def points(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, digest, counts, curve and the first tokens by hash of every row (doc_id, text)."""
+def cell_of(tokens: np.ndarray, cells: int) -> np.ndarray:
+    return ((tokens >> np.uint64(16)) & np.uint64(cells - 1)).astype(np.int64)
+
+
+def common_cells(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
+    """Which cells hold common tokens, from all tokens of all rows (doc_id, text).
+
+    A task counts in one array and sends it in slices, each count up to 255; sums of a slice are taken row by row. One bit a cell
+    reaches the driver, and from there the workers: MOST_CELLS bits at most, whatever the corpus. Where cells are few for a corpus, fewer tokens
+    stand out; that changes the order of tokens and with it the work, never a result.
+    """
+    cells = FEWEST_CELLS
+    rows = docs.count()
+    while cells < MOST_CELLS and cells * LOAD < rows * TOKENS_PER_ROW:
+        cells *= 2
+
+    def counted(stream):
+        import pyarrow as pa
+
+        counts, held, size = np.zeros(cells, np.int32), [], 0
+        for batch in stream:
+            for own in shingle_sets(batch.column("text"), width):
+                held.append(own)
+                size += len(own)
+                if size > 1_000_000:
+                    counts += np.bincount(cell_of(np.concatenate(held), cells), minlength=cells).astype(np.int32)
+                    held, size = [], 0
+        if held:
+            counts += np.bincount(cell_of(np.concatenate(held), cells), minlength=cells).astype(np.int32)
+        few = np.minimum(counts, 255).astype(np.uint8)
+        for k in range(0, cells if few.any() else 0, CELL_SLICE):
+            yield pa.RecordBatch.from_arrays([pa.array([k // CELL_SLICE], pa.int32()), pa.array([few[k : k + CELL_SLICE].tobytes()], pa.binary())], names=["slice", "counts"])
+
+    def summed(stream):
+        import pyarrow as pa
+
+        def row(at, total):
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([int(total.sum())], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["slice", "total", "sums"])
+
+        at, total = None, None
+        for batch in stream:
+            for own, counts in zip(batch.column("slice").to_pylist(), batch.column("counts")):
+                if own != at:
+                    if at is not None:
+                        yield row(at, total)
+                    at, total = own, np.zeros(CELL_SLICE, np.int64)
+                total += np.frombuffer(counts.as_buffer(), np.uint8)
+        if at is not None:
+            yield row(at, total)
+
+    parts = docs.select("text").mapInArrow(counted, "slice int, counts binary").repartition("slice").sortWithinPartitions("slice")
+    sums = materialize(parts.mapInArrow(summed, "slice int, total bigint, sums binary"), "join-cells")
+    most = max(COMMON, OVER_MEAN * (sums.agg(F.sum("total")).first()[0] or 0) / cells)
+
+    def marked(stream):
+        import pyarrow as pa
+
+        for batch in stream:
+            bits = [np.packbits(np.frombuffer(x.as_buffer(), np.int64) > most).tobytes() for x in batch.column("sums")]
+            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(bits, pa.binary())], names=["slice", "bits"])
+
+    out = np.zeros((cells // CELL_SLICE, CELL_SLICE // 8), np.uint8)
+    for r in sums.select("slice", "sums").mapInArrow(marked, "slice int, bits binary").collect():
+        out[r.slice] = np.frombuffer(r.bits, np.uint8)
+    drop_table(sums)
+    return np.unpackbits(out.ravel()).astype(bool)
+
+
+def points(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, common: np.ndarray | None = None) -> DataFrame:
+    """doc_id, n_shingles, digest, counts, curve and the first tokens of every row (doc_id, text), in the order of (common cell, hash)."""
+    shared = docs.sparkSession.sparkContext.broadcast(np.zeros(1, bool) if common is None else common)
+
     def run(stream):
         import pyarrow as pa
 
+        last = shared.value
         for batch in stream:
             sizes, digests, counts, curves, tokens = [], [], [], [], []
             for own in shingle_sets(batch.column("text"), width):
@@ -99,7 +177,7 @@ def points(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if some else None)
                 counts.append(count.tobytes() if some else None)
                 curves.append(morton(count))
-                tokens.append(own[: prefix_size(len(own), percent)].view(np.int64))
+                tokens.append(reordered(own, last[cell_of(own, len(last))], percent).view(np.int64))
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(counts, pa.binary()), pa.array(curves, pa.int64()), _lists(tokens)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "counts", "curve", "tokens"])
 
@@ -113,60 +191,23 @@ def _lists(arrays: list[np.ndarray]):
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64), pa.int64()))
 
 
-def reordered(own: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The first tokens of a sorted set in the order (common, hash); ``common`` is sorted."""
-    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-    last = common[at] == own
-    return np.concatenate([own[~last], own[last]])[: prefix_size(len(own), percent)]
-
-
-def _retold(common: np.ndarray | None, width: int, percent: int):
-    """(node, tokens) of texts: all tokens, or the first ones once the common ones are known."""
-    def run(stream):
-        import pyarrow as pa
-
-        for batch in stream:
-            sets = [own if common is None else reordered(own, common, percent) for own in shingle_sets(batch.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), _lists([s.view(np.int64) for s in sets])], names=["node", "tokens"])
-
-    return run
+def reordered(own: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    """The first tokens of a sorted set; those marked ``last`` come behind the others."""
+    most = prefix_size(len(own), percent)
+    first = own[~last][:most]
+    return first if len(first) == most else np.concatenate([first, own[last][: most - len(first)]])
 
 
 def _near_list(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_LIST else df
 
 
-def partitions(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, node): the first tokens of all classes (node, tokens), common tokens last; ``texts`` has (node, text).
-
-    The list of common tokens is on every worker: it is at most about 100 / (100 - percent) * MOST_COMMON long, as each has more than a
-    share of all rows of tokens.
-    """
-    every = classes.select(F.explode("tokens").alias("key"), "node")
-    seen = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > COMMON), "join-seen")
-    total = classes.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    most = max(COMMON, total / MOST_COMMON)
-    seen = seen.filter(F.col("n") > most).select("key")
-    if seen.isEmpty():
-        return every
-    holders = lambda keys: materialize(every.join(_near_list(keys), "key", "left_semi").select("node").distinct(), "join-holders")
-    told = lambda nodes, tokens: texts.join(_near_list(nodes), "node", "left_semi").select("node", "text").mapInArrow(_retold(tokens, width, percent), "node bigint, tokens array<bigint>")
-    # what the holders of a common token hold besides is counted whole: else its neighbours would take its place
-    whole = told(holders(seen), None).select(F.explode("tokens").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    common = materialize(whole.filter(F.col("n") > most).select("key").union(seen).distinct(), "join-common")
-    known = np.sort(np.array([r.key for r in common.collect()], np.int64).view(np.uint64))
-    changed = holders(common)
-    out = materialize(told(changed, known), "join-tokens")
-    kept = classes.select("node", "tokens").join(_near_list(changed), "node", "left_anti")
-    return kept.unionByName(out).select(F.explode("tokens").alias("key"), "node")
-
-
 def _bounded(percent: int):
     def run(stream):
         import pyarrow as pa
 
         for batch in stream:
-            shared = [most_shared(np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)) for a, b in zip(batch.column("ca").to_pylist(), batch.column("cb").to_pylist())]
+            shared = [most_shared(np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)) for a, b in zip(batch.column("ca").to_pylist(), batch.column("cb").to_pylist())]
             n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
             yield batch.select(["a", "b"]).filter(pa.array(may_link(np.array(shared, np.int64), n, m, percent)))
 
@@ -178,7 +219,7 @@ def _boxed(stream):
     import pyarrow as pa
 
     for batch in stream:
-        boxes = [fold(np.frombuffer(c, np.uint16)[None], GROUPS)[0] for c in batch.column("counts").to_pylist()]
+        boxes = [fold(np.frombuffer(c, np.uint8)[None], GROUPS)[0].astype(np.int64) for c in batch.column("counts").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("node"), _lists(boxes)], names=["node", "box"])
 
 
@@ -217,25 +258,26 @@ def meeting(placed_: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
 
 
 def crossing(nodes: np.ndarray, components: np.ndarray, sizes: np.ndarray, counts: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int, int, int, int]]:
-    """(a, b, component of a, of b, bound) of the pairs of a left and a right point in two components that the bound leaves; a < b."""
+    """(a, b, component of a, of b, bound) of the pairs of a left and a right point in two components that the bound leaves; a < b.
+
+    Counts in GROUPS coordinates are tried first, all of them only for the pairs that these leave.
+    """
     lengths = np.array([len(c) for c in counts])
-    tables: dict = {}
+    coarse = np.stack([fold(c[None], GROUPS)[0] for c in counts]).astype(np.int32)
+    others = np.flatnonzero(right)
     out = []
     for x in np.flatnonzero(left):
-        near = right & (components != components[x]) & (100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x]))
-        near &= ~left | (nodes > nodes[x])  # a pair within one leaf is met once
-        for length in np.unique(lengths[near]):
-            groups = min(int(length), int(lengths[x]))
-            if (length, groups) not in tables:
-                at = np.flatnonzero(lengths == length)
-                tables[length, groups] = at, fold(np.stack([counts[i] for i in at]), groups)
-            at, folded = tables[length, groups]
-            wanted = near[at]
-            shared = np.minimum(folded[wanted], fold(counts[x][None], groups)).sum(axis=1)
-            for y, s in zip(at[wanted], shared):
-                if may_link(s, sizes[x], sizes[y], percent):
-                    a, b = (x, y) if nodes[x] < nodes[y] else (y, x)
-                    out.append((int(nodes[a]), int(nodes[b]), int(components[a]), int(components[b]), int(s)))
+        y = others[components[others] != components[x]]
+        y = y[(100 * sizes[y] >= percent * sizes[x]) & (100 * sizes[x] >= percent * sizes[y])]
+        y = y[~left[y] | (nodes[y] > nodes[x])]  # a pair within one leaf is met once
+        if len(y):
+            y = y[may_link(np.minimum(coarse[y], coarse[x]).sum(axis=1), sizes[x], sizes[y], percent)]
+        for length in np.unique(lengths[y]):
+            groups, own = min(int(length), int(lengths[x])), y[lengths[y] == length]
+            shared = np.minimum(fold(np.stack([counts[i] for i in own]), groups), fold(counts[x][None], groups)).sum(axis=1, dtype=np.int64)
+            for i, s in zip(own[may_link(shared, sizes[x], sizes[own], percent)], shared[may_link(shared, sizes[x], sizes[own], percent)]):
+                a, b = (x, i) if nodes[x] < nodes[i] else (i, x)
+                out.append((int(nodes[a]), int(nodes[b]), int(components[a]), int(components[b]), int(s)))
     return out
 
 
@@ -249,7 +291,7 @@ def _crossing(percent: int):
         pair = group.column("pair").to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero(pair[1:] != pair[:-1]) + 1, [len(pair)]])
         nodes, components, sizes = (group.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
-        counts = [np.frombuffer(c, np.uint16) for c in group.column("counts").to_pylist()]
+        counts = [np.frombuffer(c, np.uint8) for c in group.column("counts").to_pylist()]
         left, right = (group.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
         out = []
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -294,7 +336,7 @@ def tree_links(members: DataFrame, nodes: DataFrame, stars: DataFrame, texts: Da
 
 def linked_components(classes: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(node, component) of all classes (node, n_shingles, counts, curve, tokens) that are linked with another; ``texts`` has (node, text)."""
-    every = partitions(classes, texts, width, percent)
+    every = classes.select(F.explode("tokens").alias("key"), "node")
     nodes = classes.select("node", "n_shingles", "counts", "curve")
 
     def likely(pairs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -309,14 +351,18 @@ def linked_components(classes: DataFrame, texts: DataFrame, width: int = WIDTH,
 
 def _unique_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, reached (the least id of the component, null without an id) of rows (doc_id, text) whose ids do not repeat."""
-    own = materialize(points(docs, width, percent), "join-points")
+    own = materialize(points(docs, width, percent, common_cells(docs, width)), "join-points")
     some = own.filter("digest is not null and doc_id is not null")
     sets = materialize(some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")), "join-classes")
-    shown = own.select(F.col("doc_id").alias("node"), "n_shingles", "counts", "curve", "tokens")
-    classes = materialize(shown.join(sets.select("node"), "node", "left_semi"), "join-class-points")
+    # points stay where they are: the few that are copies of another are taken out
+    again = sets.filter("n > 1").select("digest", "node")
+    hot = hot_keys(sets, "digest")
+    copies = salted(some.select("doc_id", "digest"), "digest", hot, F.col("doc_id")).join(for_salts(again, "digest", hot), ["digest", "salt"]).filter("doc_id <> node")
+    copies = materialize(copies.select(F.col("doc_id").alias("node")), "join-copies")
+    shown = some.select(F.col("doc_id").alias("node"), "n_shingles", "counts", "curve", "tokens")
+    classes = shown.join(_near_list(copies), "node", "left_anti")
     joined = linked_components(classes, docs.withColumnRenamed("doc_id", "node"), width, percent).withColumnRenamed("node", "member")
     of_class = sets.select("digest", "node").join(joined, F.col("node") == F.col("member"), "left").select("digest", F.coalesce("component", "node").alias("reached"))
-    hot = hot_keys(sets, "digest")
     rows = salted(own.select("doc_id", "n_shingles", "digest"), "digest", hot, F.col("doc_id"))
     out = rows.join(for_salts(of_class, "digest", hot), ["digest", "salt"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("reached", "doc_id")).alias("reached"))

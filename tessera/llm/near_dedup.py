@@ -282,8 +282,14 @@ def _beside(pairs: DataFrame, rows: DataFrame, columns: dict[str, str]) -> DataF
     return met.select("a", "b", *[c for new in columns.values() for c in new.split()])
 
 
+#: Rows of a list of nodes up to which it is sent to every executor; beyond it, a shuffled join.
+SMALL_LIST = 200_000
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v) of the pairs (a, b) whose full sets reach ``percent``; ``pairs`` are read twice."""
+    """(u, v) of the pairs (a, b) whose full sets reach ``percent``; ``pairs`` are a written table. Only texts of their ends move."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = texts.join(F.broadcast(ends) if pairs.count() <= SMALL_LIST // 2 else ends, "node", "left_semi")
     sure = _beside(pairs, texts, {"text": "ta tb"}).mapInArrow(_verified(width, percent), "a bigint, b bigint")
     return sure.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -334,7 +340,6 @@ def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest
     members = salted(every, "key", hot, F.col("node")).join(for_salts(buckets.select("key", "a"), "key", hot), ["key", "salt"])
     members = materialize(members.select("key", "salt", "node", "a"), "near-buckets")
     wanted = materialize(members.select("node").distinct(), "near-wanted")
-    texts = materialize(texts.join(wanted, "node"), "near-texts")
     pairs = materialize(members.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "near-pairs")
     close = materialize(likely(pairs, wanted), "near-likely")
     stars = materialize(component_edges(confirmed(close, texts, width, percent)), "near-stars")
@@ -342,11 +347,11 @@ def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest
     unsettled = materialize(_unsettled(placed), "near-unsettled")
     drop_table(buckets, members, wanted, pairs, close)
     if unsettled.isEmpty():
-        drop_table(texts, unsettled)
+        drop_table(unsettled)
         return stars
     more = materialize(rest(unsettled, stars, texts), "near-rest")
     out = joined_components(stars, more)
-    drop_table(texts, unsettled, more)
+    drop_table(unsettled, more)
     return out
 
 

@@ -31,11 +31,11 @@ def table_of(random):
     return rows
 
 
-@pytest.mark.parametrize("common, leaf", [(500, 128), (8, 4), (2, 3)])
+@pytest.mark.parametrize("common, leaf", [(128, 128), (8, 4), (2, 3)])
 def test_join_equals_brute_force(spark, monkeypatch, common, leaf):
     """Also with small bounds: common tokens, salts, many leaves and boxes."""
     monkeypatch.setattr(count_join, "COMMON", common)
-    monkeypatch.setattr(count_join, "MOST_COMMON", 10**9)
+    monkeypatch.setattr(count_join, "OVER_MEAN", 0)
     if leaf < 128:
         monkeypatch.setattr(base, "HOT_ROWS", 5)
         monkeypatch.setattr(count_join, "DEALT", 20)
@@ -73,13 +73,30 @@ def test_linked_sets_share_a_first_token():
         n = int(random.integers(1, 60))
         a = np.unique(random.integers(0, 200, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[random.random(len(a)) < 0.9], random.integers(0, 200, 3).astype(np.uint64)]))
-        common = np.unique(random.integers(0, 200, 30).astype(np.uint64))
+        common = random.integers(0, 200, 30)
         both = len(np.intersect1d(a, b))
         if 100 * both >= 80 * (len(a) + len(b) - both):
-            first = [set(count_join.reordered(x, common, 80).tolist()) for x in (a, b)]
+            first = [set(count_join.reordered(x, np.isin(x, common), 80).tolist()) for x in (a, b)]
             assert first[0] & first[1]
 
 
+def test_common_cells_are_counted_over_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(count_join, "FEWEST_CELLS", 1 << 13)
+    monkeypatch.setattr(count_join, "LOAD", 4)
+    random = np.random.default_rng(7)
+    shared = " ".join(f"p{k}" for k in range(20))
+    rows = [(k, shared + " " + " ".join(f"q{x}" for x in random.integers(0, 10**6, 40))) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    marks = count_join.common_cells(docs)
+    assert len(marks) == 1 << 15
+    import pyarrow as pa
+
+    sets = list(count_join.shingle_sets(pa.array([t for _, t in rows])))
+    counts = np.bincount(count_join.cell_of(np.concatenate(sets), len(marks)), minlength=len(marks))
+    assert (marks == (counts > 128)).all() and 16 <= marks.sum() <= 32
+    assert not count_join.common_cells(docs.limit(0)).any()
+
+
 def test_boxes_keep_pairs_that_may_link_and_drop_others(spark):
     """Leaves of unlike counts do not meet; those that hold a link do."""
     random = np.random.default_rng(6)
