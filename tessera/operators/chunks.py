@@ -1,8 +1,8 @@
 """Volumes as chunk rows: one row holds a dense block (bz, by, bx, z, y, x, nz, ny, nx, dtype, data), a byte or a few a voxel.
 
 Steps that look at one block run where it lies, without an exchange. Steps that look at neighbours
-get them by ``with_halo``: a chunk goes to its own group, and only its faces, edges and corners go to those
-of its neighbours. A group holds one block and its halo, whatever the volume's size. Voxels that no chunk holds are
+get them by ``with_halo``: a chunk goes to its own group, and only what lies in their halos goes to the groups
+of other blocks. A group holds one block and its halo, whatever the volume's size. Voxels that no chunk holds are
 told to the kernel as absent. Chunks lie on the grid of their size; those at a volume's end may be smaller.
 """
 
@@ -19,6 +19,8 @@ from tessera.geometry import AXES, Roi
 from tessera.sources.volumes import CHUNKS
 
 NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
+#: Size of whole chunks; None: measure it.
+Size = tuple[int, int, int] | None
 
 
 def _array(r) -> np.ndarray:
@@ -40,23 +42,35 @@ def each(chunks: DataFrame, kernel: Callable[[np.ndarray], np.ndarray]) -> DataF
     return chunks.mapInPandas(run, CHUNKS)
 
 
-def with_halo(chunks: DataFrame, halo: tuple[int, int, int], kernel: Callable[[np.ndarray, np.ndarray], np.ndarray | dict], schema: str = CHUNKS) -> DataFrame:
-    """``kernel(values, present)`` on each block grown by ``halo`` (at most a chunk's size), cropped to the block.
+def grid_size(chunks: DataFrame) -> tuple[int, int, int]:
+    """The size of whole chunks, from one pass over their shapes."""
+    return tuple(n or 1 for n in chunks.agg(*[F.max(f"n{a}") for a in AXES]).first())
 
-    A kernel that returns a dict gives a row of chunks for each entry, with its key in a column ``channel``: name that in ``schema``.
+
+def with_halo(chunks: DataFrame, halo: tuple[int, int, int], kernel: Callable[..., np.ndarray | dict], schema: str = CHUNKS, size: Size = None) -> DataFrame:
+    """``kernel(values, present, begin)`` on each block grown by ``halo``, cropped to the block; ``begin`` is the grown block's.
+
+    A halo may be wider than a chunk: each chunk is sent to all blocks whose grown box it touches, cut to that box.
+    ``size`` is that of whole chunks; if it is not given it is measured, which reads the chunks once more.
+    A kernel that returns a dict gives a row of chunks for each entry, with its key in a column ``channel``; one that returns
+    a pandas frame gives its rows: name them in ``schema``.
     """
+    size = size or grid_size(chunks)
+
     def pieces(stream):
         import pandas as pd
 
         for rows in stream:
             out = []
             for r in rows.itertuples(index=False):
-                values, begin = _array(r), (r.z, r.y, r.x)
-                for d in product(*[(-1, 0, 1) if h else (0,) for h in halo]):
-                    # the neighbour at +1 wants our end, the one at -1 our begin
-                    part = tuple(slice(max(0, n - h), n) if k > 0 else slice(0, min(h, n)) if k < 0 else slice(0, n) for k, h, n in zip(d, halo, values.shape))
-                    at = [b + p.start for b, p in zip(begin, part)]
-                    out.append([*_row((r.bz + d[0], r.by + d[1], r.bx + d[2]), at, values[part]), d == (0, 0, 0)])
+                values, begin, block = _array(r), (r.z, r.y, r.x), (r.bz, r.by, r.bx)
+                reached = [range(min(k, (b - h) // s), max(k, (b + n - 1 + h) // s) + 1) if h else (k,) for k, b, n, h, s in zip(block, begin, values.shape, halo, size)]
+                for to in product(*reached):
+                    own = to == block
+                    low = [b if own or not h else max(b, k * s - h) for k, b, h, s in zip(to, begin, halo, size)]
+                    high = [b + n if own or not h else min(b + n, (k + 1) * s + h) for k, b, n, h, s in zip(to, begin, values.shape, halo, size)]
+                    if all(lo < hi for lo, hi in zip(low, high)):
+                        out.append([*_row(to, low, values[tuple(slice(lo - b, hi - b) for lo, hi, b in zip(low, high, begin))]), own])
             yield pd.DataFrame(out, columns=[*NAMES, "own"])
 
     def run(rows):
@@ -70,16 +84,22 @@ def with_halo(chunks: DataFrame, halo: tuple[int, int, int], kernel: Callable[[n
         low = [b - h for b, h in zip((own.z, own.y, own.x), halo)]
         values, present = np.zeros(shape, own.dtype), np.zeros(shape, bool)
         for r in rows.itertuples(index=False):
-            at = tuple(slice(b - o, b - o + n) for b, o, n in zip((r.z, r.y, r.x), low, (r.nz, r.ny, r.nx)))
-            values[at], present[at] = _array(r), True
+            # a block at the volume's end is smaller than the piece was cut for
+            begin = [max(b - o, 0) for b, o in zip((r.z, r.y, r.x), low)]
+            end = [min(b - o + n, m) for b, o, n, m in zip((r.z, r.y, r.x), low, (r.nz, r.ny, r.nx), shape)]
+            if all(a < e for a, e in zip(begin, end)):
+                at = tuple(slice(a, e) for a, e in zip(begin, end))
+                values[at], present[at] = _array(r)[tuple(slice(a - b + o, e - b + o) for a, e, b, o in zip(begin, end, (r.z, r.y, r.x), low))], True
         inner = tuple(slice(h, h + n) for h, n in zip(halo, (own.nz, own.ny, own.nx)))
-        made = kernel(values, present)
+        made = kernel(values, present, tuple(low))
         place = ((own.bz, own.by, own.bx), (own.z, own.y, own.x))
+        if isinstance(made, pd.DataFrame):
+            return made
         if isinstance(made, dict):
             return pd.DataFrame([[*_row(*place, v[inner]), k] for k, v in made.items()], columns=[*NAMES, "channel"])
         return pd.DataFrame([_row(*place, made[inner])], columns=NAMES)
 
-    return chunks.mapInPandas(pieces, f"{CHUNKS}, own boolean").groupBy("bz", "by", "bx").applyInPandas(run, schema)
+    return chunks.select(*NAMES).mapInPandas(pieces, f"{CHUNKS}, own boolean").groupBy("bz", "by", "bx").applyInPandas(run, schema)
 
 
 def _near(a: np.ndarray, axis: int, step: int, fill) -> np.ndarray:
@@ -95,9 +115,9 @@ def _axes(axes: str) -> list[int]:
     return [AXES.index(a) for a in axes]
 
 
-def eroded_min(chunks: DataFrame, axes: str = "z", steps: int = 1) -> DataFrame:
+def eroded_min(chunks: DataFrame, axes: str = "z", steps: int = 1, size: Size = None) -> DataFrame:
     """The least of a voxel and its neighbours along some axes, axis by axis, repeated; absent voxels count as nothing."""
-    def kernel(values, present):
+    def kernel(values, present, begin):
         most = np.iinfo(values.dtype).max if values.dtype.kind in "iu" else np.inf
         values = np.where(present, values, most).astype(values.dtype)
         for _ in range(steps):
@@ -106,14 +126,14 @@ def eroded_min(chunks: DataFrame, axes: str = "z", steps: int = 1) -> DataFrame:
                 values = np.where(present, values, most).astype(values.dtype)
         return values
 
-    return with_halo(chunks, tuple(steps if a in axes else 0 for a in AXES), kernel)
+    return with_halo(chunks, tuple(steps if a in axes else 0 for a in AXES), kernel, size=size)
 
 
-def mask_propagated(chunks: DataFrame, xy_steps: int, z_steps: int) -> DataFrame:
+def mask_propagated(chunks: DataFrame, xy_steps: int, z_steps: int, size: Size = None) -> DataFrame:
     """Zeros of a mask spread to face neighbours: in all axes while both counts last, then in the one that is left."""
     both = min(xy_steps, z_steps)
 
-    def kernel(values, present):
+    def kernel(values, present, begin):
         values = np.where(present, values, 255).astype(np.uint8)
         for axes in [(0, 1, 2)] * both + [(1, 2)] * (xy_steps - both) + [(0,)] * (z_steps - both):
             before = values
@@ -122,12 +142,12 @@ def mask_propagated(chunks: DataFrame, xy_steps: int, z_steps: int) -> DataFrame
             values = np.where(present, values, 255).astype(np.uint8)
         return values
 
-    return with_halo(chunks, (z_steps, xy_steps, xy_steps), kernel)
+    return with_halo(chunks, (z_steps, xy_steps, xy_steps), kernel, size=size)
 
 
-def boundary_grown(chunks: DataFrame, steps: int = 1, axes: str = "zyx") -> DataFrame:
+def boundary_grown(chunks: DataFrame, steps: int = 1, axes: str = "zyx", size: Size = None) -> DataFrame:
     """A voxel with a neighbour of another label becomes 0; absent voxels count as the same."""
-    def kernel(values, present):
+    def kernel(values, present, begin):
         for _ in range(steps):
             same = np.ones(values.shape, bool)
             for axis in _axes(axes):
@@ -136,12 +156,12 @@ def boundary_grown(chunks: DataFrame, steps: int = 1, axes: str = "zyx") -> Data
             values = np.where(same, values, 0).astype(values.dtype)
         return values
 
-    return with_halo(chunks, tuple(steps if a in axes else 0 for a in AXES), kernel)
+    return with_halo(chunks, tuple(steps if a in axes else 0 for a in AXES), kernel, size=size)
 
 
-def dilated(chunks: DataFrame, steps_3d: int = 1, steps_2d: int = 0) -> DataFrame:
+def dilated(chunks: DataFrame, steps_3d: int = 1, steps_2d: int = 0, size: Size = None) -> DataFrame:
     """A mask (not 0) and its face neighbours, in space and then in the plane, within the chunks there are."""
-    def kernel(values, present):
+    def kernel(values, present, begin):
         on = values != 0
         for axes in ["zyx"] * steps_3d + ["yx"] * steps_2d:
             before = on
@@ -150,25 +170,25 @@ def dilated(chunks: DataFrame, steps_3d: int = 1, steps_2d: int = 0) -> DataFram
             on &= present
         return on.astype(np.uint8)
 
-    return with_halo(chunks, (steps_3d, steps_3d + steps_2d, steps_3d + steps_2d), kernel)
+    return with_halo(chunks, (steps_3d, steps_3d + steps_2d, steps_3d + steps_2d), kernel, size=size)
 
 
-def probability_affinities(chunks: DataFrame, pad: int = 255) -> DataFrame:
+def probability_affinities(chunks: DataFrame, pad: int = 255, size: Size = None) -> DataFrame:
     """Chunks with a channel column aff_z, aff_y, aff_x: in the plane the value itself; along z the least of it and the section before."""
-    def kernel(values, present):
+    def kernel(values, present, begin):
         before = np.where(_near(present, 0, -1, False), _near(values, 0, -1, 0), pad).astype(values.dtype)
         return {"aff_z": np.minimum(values, before), "aff_y": values, "aff_x": values}
 
-    return with_halo(chunks, (1, 0, 0), kernel, f"{CHUNKS}, channel string")
+    return with_halo(chunks, (1, 0, 0), kernel, f"{CHUNKS}, channel string", size=size)
 
 
-def label_affinities(chunks: DataFrame) -> DataFrame:
+def label_affinities(chunks: DataFrame, size: Size = None) -> DataFrame:
     """Chunks with a channel column: 255 where a voxel has the same label, not 0, as its lower neighbour along an axis."""
-    def kernel(values, present):
+    def kernel(values, present, begin):
         same = lambda i: (values != 0) & _near(present, i, -1, False) & (_near(values, i, -1, 0) == values)
         return {f"aff_{a}": np.where(same(i), 255, 0).astype(np.uint8) for i, a in enumerate(AXES)}
 
-    return with_halo(chunks, (1, 1, 1), kernel, f"{CHUNKS}, channel string")
+    return with_halo(chunks, (1, 1, 1), kernel, f"{CHUNKS}, channel string", size=size)
 
 
 _REDUCE = {"mean": None, "max": np.maximum, "min": np.minimum}
@@ -256,30 +276,35 @@ def pyramid_levels(chunks: DataFrame, voxel: tuple[int, int, int], roi: Roi, siz
     return out
 
 
-def predicted(chunks: DataFrame, model: Callable[[np.ndarray], np.ndarray | dict], context: tuple[int, int, int], xy_downsample: int = 1, schema: str = CHUNKS) -> DataFrame:
+def predicted(chunks: DataFrame, model: Callable[[np.ndarray], np.ndarray | dict], context: tuple[int, int, int], xy_downsample: int = 1, schema: str = CHUNKS, size: Size = None) -> DataFrame:
     """A model on each block with its context: values scaled from bytes to -1 to 1, results (0 to 1) times 255, clipped to bytes.
 
     ``model`` takes a float array with context and returns one of the same shape, or a dict of them (then name a
-    channel column in ``schema``); it is sent to the workers. With ``xy_downsample`` it sees means over as many pixels, and
-    its results are spread over them again.
+    channel column in ``schema``); it is sent to the workers. With ``xy_downsample`` it sees means over cells of as many
+    pixels, and its results are spread over them again. Cells lie on the grid from 0, whatever the block and the context;
+    their means are over the voxels there are, 0 if there is none.
     """
     k = xy_downsample
+    halo = (context[0], context[1] + k - 1, context[2] + k - 1)  # so that all cells that block and context touch are whole
 
-    def kernel(values, present):
-        scaled = values.astype(np.float32) / 255
-        full = scaled.shape
+    def kernel(values, present, begin):
+        cut = [((b + k - 1) // k * k - b, (b + n) // k * k - b) for b, n in zip(begin[1:], values.shape[1:])]
+        inside = (slice(None), *[slice(lo, hi) for lo, hi in cut])
+        scaled = values[inside].astype(np.float32) / 255
         if k > 1:
-            padded = np.pad(scaled, [(0, 0), (0, -full[1] % k), (0, -full[2] % k)], mode="edge")
-            scaled = padded.reshape(full[0], padded.shape[1] // k, k, padded.shape[2] // k, k).mean(axis=(2, 4))
+            # sums of whole numbers are exact: the same whatever the block
+            cells = lambda a: a.reshape(a.shape[0], a.shape[1] // k, k, a.shape[2] // k, k).sum(axis=(2, 4), dtype=np.float64)
+            scaled = (cells(np.where(present, values, 0)[inside]) / np.maximum(cells(present[inside]), 1) / 255).astype(np.float32)
         made = model(scaled * 2 - 1)
 
         def bytes_of(v):
-            v = np.repeat(np.repeat(v, k, 1), k, 2)[:, : full[1], : full[2]] if k > 1 else v
-            return np.clip(v * 255, 0, 255).astype(np.uint8)
+            out = np.zeros(values.shape, np.uint8)
+            out[inside] = np.clip((np.repeat(np.repeat(v, k, 1), k, 2) if k > 1 else v) * 255, 0, 255).astype(np.uint8)
+            return out
 
         return {c: bytes_of(v) for c, v in made.items()} if isinstance(made, dict) else bytes_of(made)
 
-    return with_halo(chunks, context, kernel, schema)
+    return with_halo(chunks, halo, kernel, schema, size=size)
 
 
 def emptiness(chunks: DataFrame) -> DataFrame:
@@ -296,3 +321,102 @@ def constant(grid: DataFrame, size: tuple[int, int, int], value: int = 0, dtype:
     """Chunks of one value for each row of a grid (``geometry.chunks``): null, dummy and constant masks."""
     data = np.full(size, value, dtype).tobytes()
     return grid.select("bz", "by", "bx", *AXES, *[F.lit(n).cast("int").alias(f"n{a}") for n, a in zip(size, AXES)], F.lit(dtype).alias("dtype"), F.lit(data).alias("data"))
+
+
+def distances(chunks: DataFrame, voxel: tuple[int, int, int], size: Size = None, most: int = 4_000_000) -> DataFrame:
+    """Chunks (float64) of the world distance from each voxel to the nearest one of another label; NaN where there is none.
+
+    Exact: a pass along each axis keeps the nearest two labels of every voxel. A pass's group is the part of a line of chunks that goes through a
+    face, which is halved until the line has about ``most`` voxels or is one voxel thick.
+    """
+    from tessera.operators.kernels import nearest_two
+
+    size = size or grid_size(chunks)
+    names, kinds = ["l1", "d1", "l2", "d2"], [np.int64, np.float64, np.int64, np.float64]
+    state = ", ".join([*[f"b{a} bigint" for a in AXES], *[f"{a} bigint" for a in AXES], *[f"n{a} int" for a in AXES], *[f"{n} binary" for n in names]])
+    columns = [c.split()[0] for c in state.split(", ")]
+    empty = lambda shape: (np.zeros(shape, np.int64), np.full(shape, np.inf), np.zeros(shape, np.int64), np.full(shape, np.inf))
+
+    def start(stream):
+        import pandas as pd
+
+        for rows in stream:
+            out = []
+            for r in rows.itertuples(index=False):
+                held = empty((r.nz, r.ny, r.nx))
+                held[0][:], held[1][:] = _array(r), 0
+                out.append([r.bz, r.by, r.bx, r.z, r.y, r.x, r.nz, r.ny, r.nx, *[a.tobytes() for a in held]])
+            yield pd.DataFrame(out, columns=columns)
+
+    def parts(axis: int, pieces: list[int]):
+        """Each chunk cut across its face; a part's key is its place there."""
+        def run(stream):
+            import pandas as pd
+
+            for rows in stream:
+                out = []
+                for r in rows.itertuples(index=False):
+                    begin, shape = (r.z, r.y, r.x), (r.nz, r.ny, r.nx)
+                    held = [np.frombuffer(getattr(r, n), k).reshape(shape) for n, k in zip(names, kinds)]
+                    for cut in product(*[range(0, n, p) for n, p in zip(shape, pieces)]):
+                        at = tuple(slice(c, c + p) for c, p in zip(cut, pieces))
+                        some = held[0][at].shape
+                        out.append([r.bz, r.by, r.bx, *[b + c for b, c in zip(begin, cut)], *some, *[np.ascontiguousarray(a[at]).tobytes() for a in held]])
+                yield pd.DataFrame(out, columns=columns)
+
+        return run
+
+    def along(axis: int):
+        def run(rows):
+            import pandas as pd
+
+            rows = rows.sort_values(AXES[axis])
+            shapes = [(r.nz, r.ny, r.nx) for r in rows.itertuples(index=False)]
+            low = int(rows[AXES[axis]].iloc[0])
+            upto = int((rows[AXES[axis]] + rows[f"n{AXES[axis]}"]).max()) - low
+            line = empty(tuple(upto if i == axis else max(s[i] for s in shapes) for i in range(3)))
+            starts = (rows[AXES[axis]] - low).tolist()
+            spots = [tuple(slice(b, b + s[i]) if i == axis else slice(0, s[i]) for i in range(3)) for b, s in zip(starts, shapes)]
+            for r, s, at in zip(rows.itertuples(index=False), shapes, spots):
+                for whole, n, k in zip(line, names, kinds):
+                    whole[at] = np.frombuffer(getattr(r, n), k).reshape(s)
+            best = [np.moveaxis(a, 0, axis) for a in nearest_two(tuple(np.moveaxis(a, axis, 0) for a in line), voxel[axis])]
+            out = rows.copy()
+            for n, a in zip(names, best):
+                out[n] = [np.ascontiguousarray(a[at]).tobytes() for at in spots]
+            return out
+
+        return run
+
+    def end(stream):
+        import pandas as pd
+
+        for rows in stream:
+            out = []
+            for r in rows.itertuples(index=False):
+                far = np.frombuffer(r.d2, np.float64).reshape(r.nz, r.ny, r.nx)
+                out.append(_row((r.bz, r.by, r.bx), (r.z, r.y, r.x), np.where(np.isfinite(far), np.sqrt(far), np.nan)))
+            yield pd.DataFrame(out, columns=NAMES)
+
+    def joined(rows):
+        import pandas as pd
+
+        begin = [int(rows[a].min()) for a in AXES]
+        shape = [int((rows[a] + rows[f"n{a}"]).max()) - b for a, b in zip(AXES, begin)]
+        values = np.zeros(shape, np.float64)
+        for r in rows.itertuples(index=False):
+            values[tuple(slice(b - o, b - o + n) for b, o, n in zip((r.z, r.y, r.x), begin, (r.nz, r.ny, r.nx)))] = _array(r)
+        return pd.DataFrame([_row([int(rows[f"b{a}"].iloc[0]) for a in AXES], begin, values)], columns=NAMES)
+
+    ends = chunks.agg(*[F.max(F.col(a) + F.col(f"n{a}")).alias(a) for a in AXES], *[F.min(a).alias(f"low_{a}") for a in AXES]).first()
+    if ends[0] is None:
+        return chunks.limit(0).select(*NAMES)
+    now = chunks.select(*NAMES).mapInPandas(start, state)
+    for axis in (2, 1, 0):
+        pieces, length = list(size), ends[axis] - ends[3 + axis]
+        across = [i for i in range(3) if i != axis]
+        while max(pieces[i] for i in across) > 1 and length * pieces[across[0]] * pieces[across[1]] > most:
+            widest = max(across, key=lambda i: pieces[i])
+            pieces[widest] = -(-pieces[widest] // 2)
+        now = now.mapInPandas(parts(axis, pieces), state).groupBy(*[AXES[i] for i in across]).applyInPandas(along(axis), state)
+    return now.mapInPandas(end, CHUNKS).groupBy("bz", "by", "bx").applyInPandas(joined, CHUNKS)

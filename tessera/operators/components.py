@@ -75,11 +75,12 @@ def _united(edges: DataFrame) -> DataFrame:
     return edges.coalesce(1).mapInArrow(run, "node bigint, component bigint")
 
 
-def component_edges(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def component_edges(edges: DataFrame, max_rounds: int = 60, small: int | None = None) -> DataFrame:
     """(u, v) links to (node, component): every linked node with the least node id it reaches.
 
-    Self links and null ends are ignored; repeated and reversed links count once.
+    Self links and null ends are ignored; repeated and reversed links count once. ``small`` replaces SMALL.
     """
+    small = SMALL if small is None else small
     links = (
         edges.select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v"))
         .filter("u <> v")
@@ -88,7 +89,7 @@ def component_edges(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     current, *before = counted(links, "cc", "u", "v")
     for _ in range(max_rounds):
-        if before[0] <= SMALL:
+        if before[0] <= small:
             found = materialize(_united(current), "cc-united")
             drop_table(current)
             return found

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.operators.components import component_edges
+from tessera.session import counted, drop_table, materialize
 
 
 def split_errors(links: DataFrame, labels: DataFrame, ignored: DataFrame | None = None) -> DataFrame:
@@ -36,8 +38,6 @@ def breaking_edges(links: DataFrame, labels: DataFrame, most: int = 1) -> DataFr
     From a split edge (a, b), tried both ways, a break grows from b through neighbours whose label is not a's. If all nodes at
     its border have a's label, its border edges and the split edges within it are breaks. Neighbours come by joins, a step each.
     """
-    from tessera.session import materialize
-
     of = lambda c: labels.select(F.col("id").alias(c), F.col("label").alias(f"l{c}"))
     both = links.select(F.col("u").alias("a"), F.col("v").alias("b")).union(links.select("v", "u")).distinct()
     both = materialize(both.join(of("a"), "a").join(of("b"), "b").select("a", "b", "la", "lb"), "break-links")
@@ -83,47 +83,102 @@ def merged_labels(labels: DataFrame) -> DataFrame:
     return labels.filter("label <> -1").groupBy("label").agg(F.countDistinct("skeleton_id").alias("n_skeletons")).filter("n_skeletons > 1")
 
 
+#: Pairs of nodes for each node beyond which cells are halved once more, and how often at most.
+NODE_PAIRS, MOST_LEVELS = 8, 24
+
+
 def merge_sites(nodes: DataFrame, z_weight: int = 1) -> DataFrame:
     """(label, skeleton_a, skeleton_b, a, b, d): the closest pair of nodes for each two skeletons in a label.
 
     Squared distance, z times ``z_weight``; ties by node ids. ``nodes`` has id, skeleton_id, label, z, y, x; to pair
     clusters, give their ids as skeleton_id.
+
+    Two skeletons' nodes are not all paired. Their boxes are halved together, level by level: of two boxes neither the
+    nearest pair can be nearer than the gap between them, nor need it be farther than two of their nodes are; pairs of boxes
+    whose gap is more than the least such distance go. What is left when few pairs of nodes remain is paired.
     """
-    nodes = nodes.withColumn("z", F.col("z") * z_weight)
-    bad = nodes.join(merged_labels(nodes).select("label"), "label", "left_semi")
-    side = lambda s: bad.select("label", F.col("skeleton_id").alias(f"skeleton_{s}"), F.col("id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in "zyx"])
-    pairs = side("a").join(side("b"), "label").filter("skeleton_a < skeleton_b")
-    d = sum(((F.col(f"a_{c}") - F.col(f"b_{c}")) * (F.col(f"a_{c}") - F.col(f"b_{c}")) for c in "zyx"), F.lit(0)).cast("bigint")
-    best = pairs.withColumn("d", d).groupBy("label", "skeleton_a", "skeleton_b").agg(F.min(F.struct("d", "a", "b")).alias("m"))
-    return best.select("label", "skeleton_a", "skeleton_b", "m.a", "m.b", "m.d")
+    nodes = nodes.select("id", "skeleton_id", "label", (F.col("z") * z_weight).alias("z"), "y", "x")
+    bad = materialize(nodes.join(merged_labels(nodes).select("label"), "label", "left_semi"), "near-nodes")
+    ends = bad.agg(F.count(F.lit(1)), *[f(c) for c in "zyx" for f in (F.min, F.max)]).first()
+    keys, axes = ["label", "skeleton_id"], "zyx"
+    low = dict(zip(axes, ends[1::2])) if ends[0] else dict.fromkeys(axes, 0)
+    width = max([1, *[hi - lo + 1 for lo, hi in zip(ends[1::2], ends[2::2])]]) if ends[0] else 1
+    deepest = min(MOST_LEVELS, int(width).bit_length())
+    square = lambda c: c * c
+
+    def cells(level: int) -> DataFrame:
+        """Boxes of each skeleton's nodes by cell, with their least node."""
+        at = [F.shiftright((F.col(c) - low[c]).cast("bigint"), deepest - level).alias(f"c{c}") for c in axes]
+        first = F.min(F.struct("id", *axes)).alias("one")
+        return bad.select(*keys, "id", *axes, *at).groupBy(*keys, *[f"c{c}" for c in axes]).agg(first, F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{e}{c}") for c in axes for e, f in (("lo", F.min), ("hi", F.max))])
+
+    def side(boxes: DataFrame, s: str) -> DataFrame:
+        return boxes.select("label", *[F.col(c).alias(f"{c}_{s}") for c in boxes.columns if c != "label"])
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        """Pairs of boxes that may hold the nearest nodes."""
+        gap = sum((square(F.greatest(F.lit(0), F.col(f"lo{c}_a") - F.col(f"hi{c}_b"), F.col(f"lo{c}_b") - F.col(f"hi{c}_a"))) for c in axes), F.lit(0))
+        seen = sum((square(F.col(f"one_a.{c}") - F.col(f"one_b.{c}")) for c in axes), F.lit(0))
+        pairs = pairs.withColumns({"gap": gap, "seen": seen})
+        best = F.min("seen").over(W.partitionBy("label", "skeleton_id_a", "skeleton_id_b"))
+        return pairs.withColumn("best", best).filter("gap <= best").drop("best", "seen", "gap")
+
+    top = materialize(cells(0), "near-cells")
+    pairs = bounded(side(top, "a").join(side(top, "b"), "label").filter("skeleton_id_a < skeleton_id_b"))
+    pairs, at_level = materialize(pairs, "near-boxes"), 0
+    for level in range(1, deepest + 1):
+        if (pairs.agg(F.sum(F.col("n_a") * F.col("n_b"))).first()[0] or 0) <= NODE_PAIRS * ends[0]:
+            break
+        boxes = materialize(cells(level), "near-cells")
+        parents = boxes.columns
+        up = boxes.select(*parents, *[F.shiftright(f"c{c}", 1).alias(f"p{c}") for c in axes])
+        for s in "ab":
+            place = {f"c{c}_{s}": f"q{c}_{s}" for c in axes}
+            kept = [c for c in pairs.columns if not c.endswith(f"_{s}") or c in ("skeleton_id_a", "skeleton_id_b", *place)]
+            old = pairs.select(*kept).withColumnsRenamed(place)
+            parts = side(up, s).withColumnsRenamed({"label": "of_label", f"skeleton_id_{s}": "of_skeleton"})
+            same = [F.col("label") == F.col("of_label"), F.col(f"skeleton_id_{s}") == F.col("of_skeleton"), *[F.col(f"q{c}_{s}") == F.col(f"p{c}_{s}") for c in axes]]
+            pairs = old.join(parts, same).drop("of_label", "of_skeleton", *[f"q{c}_{s}" for c in axes], *[f"p{c}_{s}" for c in axes])
+        pairs = materialize(bounded(pairs), "near-boxes")
+        drop_table(boxes)
+        at_level = level
+    at = [F.shiftright((F.col(c) - low[c]).cast("bigint"), deepest - at_level).alias(f"c{c}") for c in axes]
+    spots = bad.select(*keys, "id", *axes, *at)
+    own = pairs.select("label", *[f"{c}_{s}" for s in "ab" for c in ("skeleton_id", "cz", "cy", "cx")])
+    for s in "ab":
+        own = own.join(side(spots, s), ["label", *[f"{c}_{s}" for c in ("skeleton_id", "cz", "cy", "cx")]])
+    d = sum((square(F.col(f"{c}_a") - F.col(f"{c}_b")) for c in axes), F.lit(0)).cast("bigint")
+    best = own.withColumn("d", d).groupBy("label", "skeleton_id_a", "skeleton_id_b").agg(F.min(F.struct("d", "id_a", "id_b")).alias("m"))
+    return best.select("label", F.col("skeleton_id_a").alias("skeleton_a"), F.col("skeleton_id_b").alias("skeleton_b"), F.col("m.id_a").alias("a"), F.col("m.id_b").alias("b"), "m.d")
 
 
 def minimal_sites(sites: DataFrame) -> DataFrame:
     """The sites that connect each label's skeletons at least distance: a spanning tree for each label.
 
-    Grouped by label: a label holds as many rows as pairs of skeletons meet in it.
+    In rounds: each group of skeletons takes its least site (by distance, then ids) to another group, and groups that are
+    joined are one in the next. All labels are gone through at once, and a label is no task of its own.
     """
-    import pandas as pd
-
-    def tree(rows: pd.DataFrame) -> pd.DataFrame:
-        root: dict = {}
-
-        def find(i):
-            root.setdefault(i, i)
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        rows = rows.sort_values(["d", "a", "b"])
-        keep = []
-        for p, q in zip(rows.skeleton_a, rows.skeleton_b):
-            p, q = find(p), find(q)
-            keep.append(p != q)
-            root[p] = q
-        return rows[keep]
-
-    return sites.groupBy("label").applyInPandas(tree, sites.schema)
+    ends = sites.select("label", F.col("skeleton_a").alias("s")).union(sites.select("label", "skeleton_b")).distinct()
+    vertices = materialize(ends.withColumn("vertex", F.monotonically_increasing_id()), "tree-vertices")
+    at = lambda c, v: vertices.select("label", F.col("s").alias(f"skeleton_{c}"), F.col("vertex").alias(v))
+    known = materialize(sites.join(at("a", "u"), ["label", "skeleton_a"]).join(at("b", "v"), ["label", "skeleton_b"]), "tree-sites")
+    left, taken = known, []
+    while True:
+        order = F.min(F.struct("d", "a", "b", "skeleton_a", "skeleton_b", "label", "u", "v")).alias("s")
+        named = left.groupBy(F.col("u").alias("g")).agg(order).union(left.groupBy(F.col("v").alias("g")).agg(order))
+        least, some, _ = counted(named.groupBy("g").agg(F.min("s").alias("s")).select("s.*").distinct(), "tree-least")
+        if not some:
+            break
+        taken.append(least)
+        found = component_edges(least.select("u", "v"))
+        of = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_g"))  # noqa: E731, B023
+        moved = left.join(of("u"), "u", "left").join(of("v"), "v", "left")
+        moved = moved.withColumns({"u": F.coalesce("u_g", "u"), "v": F.coalesce("v_g", "v")}).drop("u_g", "v_g").filter("u <> v")
+        left = materialize(moved, "tree-sites")
+    out = sites.limit(0)
+    for part in taken:
+        out = out.unionByName(part.select(*sites.columns))
+    return out
 
 
 def contingency(labels: DataFrame, truth: str = "skeleton_id", found: str = "label") -> DataFrame:

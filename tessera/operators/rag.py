@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.geometry import Roi, threshold_key
 from tessera.operators.components import component_edges, connected_components
 from tessera.operators.relabel import relabel_edges
-from tessera.session import materialize
+from tessera.session import counted, drop_table, materialize, scratch_path
 
 
 def under_threshold(edges: DataFrame, threshold: float) -> DataFrame:
@@ -87,7 +89,7 @@ def resolve_outward(outward: DataFrame, nodes: DataFrame, lut: DataFrame, blocks
     """
     far = outward.join(nodes.select(F.col("id").alias("fragment"), F.col("block_id").alias("far")), "fragment")
     near = neighbour_blocks(blocks).withColumnRenamed("neighbour", "far").withColumn("is_near", F.lit(True))
-    far = far.join(F.broadcast(near), ["block_id", "far"], "left").join(lut.select(F.col("src").alias("fragment"), F.col("dst")), "fragment", "left")
+    far = far.join(near, ["block_id", "far"], "left").join(lut.select(F.col("src").alias("fragment"), F.col("dst")), "fragment", "left")
     return far.select("block_id", F.col("local").alias("u"), F.when(F.col("is_near"), F.coalesce("dst", "fragment")).otherwise(F.col("fragment")).alias("v")).distinct()
 
 
@@ -121,18 +123,29 @@ def seed_component(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     return found.join(of_seeds, "component", "left_semi").select(F.col("node").alias("id")).union(seeds.select("id")).distinct()
 
 
+def _rounds(spark, name: str, schema: str) -> tuple[str, Callable[[], DataFrame]]:
+    """A folder that rounds are appended to, and the table of all of them: its plan stays as it is, however many there are."""
+    path = scratch_path(spark, name)
+    spark.createDataFrame([], schema).write.parquet(path)
+    return path, lambda: spark.read.schema(schema).parquet(path)
+
+
 def grow(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     """(id, hop): nodes within a number of hops of the seeds, and the least one."""
     both = materialize(edges.select("u", "v").union(edges.select("v", "u")).distinct(), "grow-edges")
-    reached = materialize(seeds.select("id").distinct().withColumn("hop", F.lit(0)), "grow")
+    path, reached = _rounds(edges.sparkSession, "grow", "id bigint, hop int")
+    seeds.select(F.col("id").cast("bigint").alias("id")).distinct().withColumn("hop", F.lit(0)).write.mode("append").parquet(path)
     for hop in range(1, hops + 1):
-        front = reached.filter(F.col("hop") == hop - 1).select(F.col("id").alias("u"))
-        new = both.join(front, "u").select(F.col("v").alias("id")).distinct().join(reached, "id", "left_anti")
-        new = materialize(new.withColumn("hop", F.lit(hop)), "grow")
-        if new.isEmpty():
+        front = reached().filter(F.col("hop") == hop - 1).select(F.col("id").alias("u"))
+        new = both.join(front, "u").select(F.col("v").alias("id")).distinct().join(reached(), "id", "left_anti")
+        new, some, _ = counted(new.withColumn("hop", F.lit(hop)), "grow-step")
+        if some:
+            new.write.mode("append").parquet(path)
+        drop_table(new)
+        if not some:
             break
-        reached = reached.union(new)
-    return reached
+    drop_table(both)
+    return reached()
 
 
 def grow_loop(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, threshold: float, block: str = "block_id", most: int | None = None, max_rounds: int = 1000) -> DataFrame:
@@ -141,27 +154,33 @@ def grow_loop(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, threshold: f
     A work queue holds block segments. A round takes all of it (or the ``most`` least), labels their nodes, and puts in
     for each face and segment beyond it one continuation, if it is not labelled yet.
     """
-    lut = materialize(local_lut(nodes, edges, threshold, block), "grow-local")
-    segment = lambda c, n: lut.select(F.col("src").alias(c), F.col("dst").alias(n))
-    own = under_threshold(edges, threshold).select("u", "v")
-    cross = own.join(segment("u", "a"), "u").join(segment("v", "b"), "v").filter("a <> b").select("a", "b").distinct()
-    cross = materialize(cross.union(cross.select("b", "a")).distinct(), "grow-cross")
-    queue = materialize(seeds.select("id").join(segment("id", "segment"), "id").select("segment").distinct(), "grow-queue")
-    done = None
+    lut, cross = block_segments(nodes, edges, threshold, block)
+    queue = materialize(seeds.select("id").join(lut.select(F.col("src").alias("id"), F.col("dst").alias("segment")), "id").select("segment").distinct(), "grow-queue")
+    path, done = _rounds(nodes.sparkSession, "grow-done", "segment bigint, round int")
     for number in range(max_rounds):
         taken = queue if most is None else first_n(queue, "segment", most)
-        step = materialize(taken.select("segment", F.lit(number).alias("round")), "grow-step")
-        if step.isEmpty():
+        step, some, _ = counted(taken.select("segment", F.lit(number).alias("round")), "grow-step")
+        if not some:
             break
-        done = step if done is None else done.union(step)
+        step.write.mode("append").parquet(path)
         found = cross.join(step.select(F.col("segment").alias("a")), "a").select(F.col("b").alias("segment"))
         rest = queue.join(step, "segment", "left_anti")
-        queue = materialize(rest.union(found).distinct().join(done, "segment", "left_anti"), "grow-queue")
+        following = materialize(rest.union(found).distinct().join(done(), "segment", "left_anti"), "grow-queue")
+        drop_table(queue, step)
+        queue = following
     else:
         raise RuntimeError("growth did not end")
-    if done is None:
-        return seeds.select("id", F.lit(0).alias("round")).limit(0)
-    return lut.join(done, F.col("dst") == F.col("segment")).select(F.col("src").alias("id"), "round")
+    drop_table(queue, cross)
+    return lut.join(done(), F.col("dst") == F.col("segment")).select(F.col("src").alias("id"), "round")
+
+
+def block_segments(nodes: DataFrame, edges: DataFrame, threshold: float, block: str = "block_id") -> tuple[DataFrame, DataFrame]:
+    """Written tables (src, dst) of each node's segment in its block, and (a, b) of the segments that an edge joins across blocks, both ways."""
+    lut = materialize(local_lut(nodes, edges, threshold, block), "grow-local")
+    segment = lambda c, n: lut.select(F.col("src").alias(c), F.col("dst").alias(n))
+    own = under_threshold(edges, threshold).select("u", "v")
+    cross = own.join(segment("u", "a"), "u").join(segment("v", "b"), "v").filter("a <> b").select("a", "b").distinct()
+    return lut, materialize(cross.union(cross.select("b", "a")).distinct(), "grow-cross")
 
 
 def first_n(queue: DataFrame, column: str, n: int) -> DataFrame:

@@ -107,14 +107,15 @@ def next_factor(voxel: tuple[int, int, int]) -> tuple[int, int, int]:
     return finer if 2 in finer else (2, 2, 2)
 
 
-def near_isotropic(voxel: tuple[int, int, int], most: int) -> tuple[int, ...]:
-    """A chunk of about ``most`` voxels that is as long along every axis: the axis that is shortest so far doubles."""
-    dims, length, count = [1] * len(voxel), list(voxel), 1
-    while count < most:
-        for i in range(len(voxel)):
-            if count < most and length[i] == min(length):
-                dims[i], length[i], count = 2 * dims[i], 2 * length[i], 2 * count
-    return tuple(dims)
+def near_isotropic(voxel: tuple[int, ...], most: int) -> tuple[int, ...]:
+    """Powers of two whose product is the least that reaches ``most``, for a chunk about as long along every axis.
+
+    The k-th doubling of an axis starts from a length of voxel * 2**k: the product needs as many doublings as
+    its exponent, and the shortest starts, over all axes, are the ones to take.
+    """
+    needed = max(0, most - 1).bit_length()
+    starts = sorted((size << k, axis) for axis, size in enumerate(voxel) for k in range(needed))[:needed]
+    return tuple(1 << sum(axis == own for _, axis in starts) for own in range(len(voxel)))
 
 
 def pooled(v: DataFrame, k: int, how: str, column: str = "value") -> DataFrame:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.geometry import Roi
-from tessera.operators import chunks
+from tessera.operators import chunk_labels, chunks, kernels, surface
 from tessera.plans.fixtures import Views
-from tessera.plans.volumes import _MOVES, _SAME, _beside, _v
+from tessera.plans.volumes import _DISTANCE, _MOVES, _OBJECTS, _SAME, _beside, _v
 from tessera.session import scratch_path
-from tessera.sources import datasets, volumes
+from tessera.sources import arrays, datasets, volumes
 
 QUERIES, ORACLE = {}, {}
 SIZE = (64, 4, 4)
@@ -45,7 +45,13 @@ def _rows(c: DataFrame, name: str = "value", kind: str = "bigint") -> DataFrame:
 
 @query(_v(f"SELECT z, y, x, least(value, CASE WHEN lz = z - 1 THEN vz END, CASE WHEN hz = z + 1 THEN nz END) AS value FROM {_beside('voxels', 'value')}"))
 def chunk_erode_min(v):
-    return _rows(chunks.eroded_min(_values(v)))
+    return _rows(chunks.eroded_min(_values(v), size=SIZE))
+
+
+@query(_v("SELECT a.z, a.y, a.x, min(b.value) AS value FROM voxels a JOIN voxels b ON b.y = a.y AND b.x = a.x AND b.z BETWEEN a.z - 5 AND a.z + 5 GROUP BY ALL"))
+def chunk_erode_wide(v):
+    """A halo wider than a chunk."""
+    return _rows(chunks.eroded_min(_values(v, (2, 4, 4)), steps=5, size=(2, 4, 4)))
 
 
 @query(_v("SELECT floor(z / 2)::BIGINT AS z, floor(y / 2)::BIGINT AS y, floor(x / 2)::BIGINT AS x, avg(value) AS value FROM voxels GROUP BY 1, 2, 3"))
@@ -65,12 +71,12 @@ def chunk_pool_max(v):
 
 @query(_v(f"SELECT z, y, x, CASE WHEN {_SAME} THEN label ELSE 0 END AS label FROM {_beside('coarse', 'label')}", {"coarse": "SELECT z, y, x, CASE WHEN value > 100 THEN 1 ELSE 0 END::BIGINT AS label FROM voxels"}))
 def chunk_grow_boundary(v):
-    return _rows(chunks.boundary_grown(chunks.each(_values(v), lambda a: (a > 100).astype("uint8"))), "label")
+    return _rows(chunks.boundary_grown(chunks.each(_values(v), lambda a: (a > 100).astype("uint8")), size=SIZE), "label")
 
 
 @query(_v(f"SELECT DISTINCT z, y, x FROM (SELECT (z + dz)::BIGINT AS z, (y + dy)::BIGINT AS y, (x + dx)::BIGINT AS x FROM label_voxels, {_MOVES} WHERE label = 3) SEMI JOIN voxels USING (z, y, x)"))
 def chunk_dilate(v):
-    return volumes.voxels_of(chunks.dilated(chunks.each(_labels(v), lambda a: (a == 3).astype("uint8")))).select("z", "y", "x")
+    return volumes.voxels_of(chunks.dilated(chunks.each(_labels(v), lambda a: (a == 3).astype("uint8")), size=SIZE)).select("z", "y", "x")
 
 
 _AFF = f"SELECT z, y, x, least(value, coalesce(CASE WHEN lz = z - 1 THEN vz END, 255)) AS aff_z, value AS aff_y, value AS aff_x FROM {_beside('voxels', 'value')}"
@@ -79,7 +85,7 @@ _LONG = " UNION ALL ".join(f"SELECT z, y, x, aff_{a} AS value, 'aff_{a}' AS chan
 
 @query(_v(_LONG, {"affs": _AFF}))
 def chunk_prob_to_affs(v):
-    return volumes.voxels_of(chunks.probability_affinities(_values(v)), True)
+    return volumes.voxels_of(chunks.probability_affinities(_values(v), size=SIZE), True)
 
 
 _SEG = "SELECT z, y, x, " + ", ".join(f"CASE WHEN label <> 0 AND l{a} = {a} - 1 AND v{a} = label THEN 255 ELSE 0 END::BIGINT AS aff_{a}" for a in "zyx") + f" FROM {_beside('label_voxels', 'label')}"
@@ -87,7 +93,7 @@ _SEG = "SELECT z, y, x, " + ", ".join(f"CASE WHEN label <> 0 AND l{a} = {a} - 1
 
 @query(_v(_LONG, {"affs": _SEG}))
 def chunk_seg_to_affs(v):
-    return volumes.voxels_of(chunks.label_affinities(_labels(v)), True)
+    return volumes.voxels_of(chunks.label_affinities(_labels(v), size=SIZE), True)
 
 
 
@@ -101,7 +107,7 @@ def _cross(axes: str) -> str:
     "m2": f"SELECT z, y, x, {_cross('yx')} AS value FROM {_beside('m1', 'value')}",
 }))
 def chunk_mask_propagated(v):
-    return _rows(chunks.mask_propagated(chunks.each(_values(v), lambda a: (a > 60).astype("uint8")), 2, 1))
+    return _rows(chunks.mask_propagated(chunks.each(_values(v), lambda a: (a > 60).astype("uint8")), 2, 1, size=SIZE))
 
 
 _LEVELS = {
@@ -131,7 +137,14 @@ def rechunk_blocks(v):
 
 @query(_v("SELECT z, y, x, CASE WHEN value > 127 THEN 255 ELSE 0 END::BIGINT AS value FROM voxels"))
 def predicted_blocks(v):
-    return _rows(chunks.predicted(_values(v), lambda a: (a > 0).astype("float32"), (2, 1, 1)))
+    return _rows(chunks.predicted(_values(v), lambda a: (a > 0).astype("float32"), (2, 1, 1), size=SIZE))
+
+
+@query(_v("""SELECT z, y, x, CASE WHEN m > 127.5 THEN 255 ELSE 0 END::BIGINT AS value
+    FROM (SELECT z, y, x, avg(value) OVER (PARTITION BY z, y // 3, x // 3) AS m FROM voxels)"""))
+def predicted_coarse(v):
+    """A model that sees means over 3 x 3 pixels, which no chunk's size is a multiple of."""
+    return _rows(chunks.predicted(_values(v), lambda a: (a > 0).astype("float32"), (0, 1, 1), xy_downsample=3, size=SIZE))
 
 
 @query(_v("SELECT floor(z / 4)::BIGINT AS z, floor(y / 2)::BIGINT AS y, floor(x / 2)::BIGINT AS x, max(label) = 0 AS empty FROM label_voxels GROUP BY 1, 2, 3"))
@@ -147,9 +160,68 @@ def dataset_box(v):
     return datasets.open_dataset(v.spark, folder, "volumes/raw").in_box(Roi((120, 4, 8), (2800, 24, 32)))
 
 
-@query(_v("SELECT floor(z / 64)::BIGINT AS bz, floor(y / 4)::BIGINT AS \"by\", floor(x / 4)::BIGINT AS bx FROM voxels GROUP BY ALL"))
+@query(_v("SELECT z, y, x, (CASE WHEN z % 128 < 64 THEN value ELSE 0 END)::BIGINT AS value FROM voxels"))
 def constant_mask(v):
+    """Chunks of ones and of zeros, laid over the volume."""
     from tessera.geometry import chunks as grid
 
-    made = chunks.constant(grid(v.spark, _roi(v), SIZE), SIZE, 1)
-    return made.filter(F.length("data") == 64 * 16).select("bz", "by", "bx")
+    spots = grid(v.spark, _roi(v), SIZE)
+    mask = chunks.constant(spots.filter("bz % 2 = 0"), SIZE, 1).union(chunks.constant(spots.filter("bz % 2 = 1"), SIZE, 0))
+    on = volumes.voxels_of(mask, True).withColumnRenamed("value", "mask")
+    return v.voxels().join(on, ["z", "y", "x"]).select("z", "y", "x", (F.col("value") * F.col("mask")).alias("value"))
+
+
+@query(_v("SELECT o.z, o.y, o.x, min(object) + 1 AS object FROM walk JOIN on_ o USING (pos) GROUP BY 1, 2, 3", _OBJECTS, recursive=True))
+def chunk_label_voxels(v):
+    found = chunk_labels.labelled(chunks.each(_values(v), lambda a: (a > 160).astype("uint8")), (8, 8))
+    return volumes.voxels_of(found).withColumnRenamed("value", "object")
+
+
+_LUT = "SELECT l_orderkey::BIGINT % 40 AS src, max(l_partkey)::BIGINT AS dst FROM lineitem WHERE l_orderkey % 3 <> 0 GROUP BY 1"
+
+
+def _lut(v) -> DataFrame:
+    lines = v.table("lineitem").filter("l_orderkey % 3 <> 0")
+    return lines.groupBy((F.col("l_orderkey") % 40).cast("bigint").alias("src")).agg(F.max("l_partkey").cast("bigint").alias("dst"))
+
+
+@query(_v(f"SELECT z, y, x, CASE WHEN label = 0 THEN 0 ELSE coalesce(dst, label) END AS label FROM label_voxels LEFT JOIN ({_LUT}) ON src = label"))
+def chunk_relabel(v):
+    return _rows(chunk_labels.relabelled(_labels(v), _lut(v)), "label")
+
+
+@query(_v("SELECT label, count(*) AS n FROM label_voxels WHERE label <> 0 GROUP BY label"))
+def chunk_label_volumes(v):
+    return chunk_labels.volumes(_labels(v))
+
+
+@query(_v("SELECT label, count(*) AS n, " + ", ".join(f"min({a}) AS {a}0, max({a}) + 1 AS {a}1" for a in "zyx") + " FROM label_voxels WHERE label <> 0 GROUP BY label"))
+def chunk_label_boxes(v):
+    return chunk_labels.boxes(_labels(v))
+
+
+@query(_DISTANCE)
+def chunk_distances(v):
+    return _rows(chunks.distances(_labels(v), (40, 4, 4), size=SIZE), "distance", "double")
+
+
+@query(_v("SELECT z, y, x, value FROM voxels WHERE z >= 3 AND z < 70 AND y >= 1 AND y < 6 AND x >= 2 AND x < 8"))
+def array_folder_box(v):
+    """Written as a chunked array folder through the data source; the box opens only the chunks it touches."""
+    v.spark.dataSource.register(arrays.ArrayFolder)
+    folder, end = scratch_path(v.spark, "array"), _roi(v).end
+    _values(v).write.format("array_folder").mode("append").options(shape=",".join(map(str, end)), size=",".join(map(str, SIZE))).save(folder)
+    roi = Roi((3, 1, 2), (70, 6, 8))
+    return volumes.voxels_of(arrays.in_box(v.spark, folder, roi), True).filter(roi.contains())
+
+
+@query()
+def chunk_watershed(v):
+    return _rows(kernels.watershed_chunks(_values(v), SIZE, 140, context=2), "fragment")
+
+
+@query()
+def mesh_measures(v):
+    """Closed surfaces of all labels: triangles, volume and area."""
+    mesh = surface.triangles(_labels(v), SIZE)
+    return surface.measures(mesh, (40.0, 4.0, 4.0)).select("label", "triangles", F.round("volume", 3).alias("volume"), F.round("area", 3).alias("area"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.geometry import Roi
-from tessera.operators import kernels, rag, relabel
+from tessera.operators import agglomeration, kernels, rag, relabel
 from tessera.operators.components import connected_components
 from tessera.plans.fixtures import SQL, Views, components_cte, with_views
 from tessera.session import materialize
@@ -384,3 +384,35 @@ def segment_skeletons(v):
     o = v.table("orders").select(F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 50).alias("skeleton"))
     found = rag.segments(v.rag_nodes(), v.rag_edges(), 0.3).join(o, "id")
     return rag.associated(found.select(F.col("component").alias("segment"), "skeleton", F.col("id").alias("fragment")))
+
+
+@query(_cc(0.3, "SELECT id, component FROM cc"))
+def components_by_stars(v):
+    """By star rounds to the end: no list is short enough for one task."""
+    from tessera.operators.components import component_edges
+
+    found = component_edges(rag.under_threshold(v.rag_edges(), 0.3).select("u", "v"), small=0)
+    return v.rag_nodes().select("id").join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+@query(with_views("SELECT u AS a, v AS b, round(any_value(merge_score), 6) AS score FROM near GROUP BY u, v HAVING count(*) = 2", "rag_edges", more={
+    "own": "SELECT * FROM rag_edges WHERE merge_score <= 0.5",
+    "near": "SELECT * FROM (SELECT u AS g, * FROM own UNION ALL SELECT v, * FROM own) QUALIFY row_number() OVER (PARTITION BY g ORDER BY merge_score, u, v) = 1",
+}))
+def agglomerate_first_round(v):
+    scores = agglomeration.scored(agglomeration.state_of_scores(v.rag_edges()), "mean").withColumn("score", F.round("score", 6))
+    return agglomeration.mutual(scores, 0.5)
+
+
+@query()
+def agglomerate_mean(v):
+    """The whole graph, without blocks."""
+    history = agglomeration.agglomerate(agglomeration.state_of_scores(v.rag_edges()), "mean", 0.5)
+    return agglomeration.segments(v.rag_nodes(), history)
+
+
+@query()
+def agglomerate_hist_quant(v):
+    """Merge tree by the median of affinity histograms, which are added as regions merge."""
+    samples = _samples(v).withColumn("v", F.col("v") + 10_000_000)  # parts and suppliers are different regions
+    return agglomeration.agglomerate(agglomeration.edge_state(samples, "hist_quant_50"), "hist_quant_50", 0.5)

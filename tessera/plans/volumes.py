@@ -295,7 +295,12 @@ def local_descriptors(v):
     return found.withColumns({c: F.round(c, 6) + 0.0 for c in found.columns if c not in "zyx"})
 
 
-@query()
+#: All other labels within two sections are tried: what is found there is under 3 * 40, so nothing farther off is nearer.
+_DISTANCE = _v("""SELECT a.z, a.y, a.x, (SELECT min(sqrt((40 * (a.z - b.z)) ** 2 + (4 * (a.y - b.y)) ** 2 + (4 * (a.x - b.x)) ** 2))
+    FROM label_voxels b WHERE b.z BETWEEN a.z - 2 AND a.z + 2 AND b.label <> a.label) AS distance FROM label_voxels a""")
+
+
+@query(_DISTANCE)
 def distance_transform(v):
     return kernels.edt(v.label_voxels(), (50, 8, 8), (40, 4, 4))
 
