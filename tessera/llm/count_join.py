@@ -9,7 +9,7 @@
    hash, in CELLS cells at most. Rows of a token are a partition of the join.
 3. *Stars.* Each member of a partition first meets only the least one; pairs within the bound are verified, and
    verified links give components, so that copies of one text need no pairs among each other.
-4. *Tree.* Members of partitions with several components are bulk-loaded: those of one size band are sorted by large
+4. *Tree.* The other members of partitions with several components are bulk-loaded: those of one size band are sorted by large
    component and a Morton code of their counts, and cut in leaves of LEAF points. A leaf's box is the greatest count in each
    group. Leaves of the same or neighbouring bands meet if they are not of one component and the sum of the lesser
    box coordinates allows a link; in such pairs of leaves points meet by the same bound on their own counts.
@@ -346,7 +346,7 @@ def linked_components(classes: DataFrame, texts: DataFrame, width: int = WIDTH,
     def rest(unsettled: DataFrame, stars: DataFrame, held: DataFrame) -> DataFrame:
         return tree_links(unsettled, nodes, stars, held, width, percent)
 
-    return bucket_components(every, texts, likely, rest, width, percent)
+    return bucket_components(every, texts, likely, rest, width, percent, exact=True)
 
 
 def _unique_components(docs: DataFrame, width: int, percent: int) -> DataFrame:

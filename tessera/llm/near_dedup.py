@@ -328,11 +328,12 @@ def _rest(members: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return confirmed(pairs, texts, width, percent)
 
 
-def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest: Callable, width: int, percent: int) -> DataFrame:
+def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest: Callable, width: int, percent: int, exact: bool = False) -> DataFrame:
     """(node, component) of the nodes that are linked with another one; linked nodes share a key of ``every`` (key, node).
 
     First each member of a bucket meets only its least one: ``likely(pairs, nodes)`` keeps those of the pairs (a, b) that
     may be linked. Then ``rest(unsettled, stars, texts)`` gives the links between components that share a bucket.
+    With ``exact``, ``likely`` leaves out no linked pair: all pairs with a bucket's least member are settled then, and the rest is without it.
     Buckets are joined by (key, salt): the members of a hot key are dealt over many tasks.
     """
     buckets = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a")).filter("n > 1"), "near-keys")
@@ -343,7 +344,7 @@ def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest
     pairs = materialize(members.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "near-pairs")
     close = materialize(likely(pairs, wanted), "near-likely")
     stars = materialize(component_edges(confirmed(close, texts, width, percent)), "near-stars")
-    placed = members.join(stars, "node", "left").select("key", "salt", "node", F.coalesce("component", "node").alias("component"))
+    placed = (members.filter("a <> node") if exact else members).join(stars, "node", "left").select("key", "salt", "node", F.coalesce("component", "node").alias("component"))
     unsettled = materialize(_unsettled(placed), "near-unsettled")
     drop_table(buckets, members, wanted, pairs, close)
     if unsettled.isEmpty():
