@@ -325,13 +325,13 @@ def tree_links(members: DataFrame, nodes: DataFrame, stars: DataFrame, texts: Da
     found = tree_candidates(members, nodes, stars, percent)
     best = found.groupBy(F.least("ca", "cb").alias("c"), F.greatest("ca", "cb").alias("d")).agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p"))
     first = materialize(best.select("p.*"), "join-first")
-    sure = materialize(confirmed(first, texts, width, percent), "join-sure")
+    sure = materialize(confirmed(first, texts, width, percent, True), "join-sure")
     ends = sure.select(F.col("u").alias("a"), F.col("v").alias("b")).join(found.select("a", "b", "ca", "cb"), ["a", "b"])
     whole = materialize(component_edges(ends.select(F.col("ca").alias("u"), F.col("cb").alias("v"))), "join-whole")
     of = lambda c: whole.select(F.col("node").alias(c), F.col("component").alias(f"{c}_whole"))
     apart = found.join(of("ca"), "ca", "left").join(of("cb"), "cb", "left").filter(F.coalesce("ca_whole", "ca") != F.coalesce("cb_whole", "cb"))
     rest = materialize(apart.select("a", "b").join(first, ["a", "b"], "left_anti"), "join-rest")
-    return sure.union(confirmed(rest, texts, width, percent))
+    return sure.union(confirmed(rest, texts, width, percent, True))
 
 
 def linked_components(classes: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

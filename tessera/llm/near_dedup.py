@@ -283,13 +283,14 @@ def _beside(pairs: DataFrame, rows: DataFrame, columns: dict[str, str]) -> DataF
 
 
 #: Rows of a list of nodes up to which it is sent to every executor; beyond it, a shuffled join.
-SMALL_LIST = 200_000
+SMALL_LIST = 2_000_000
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v) of the pairs (a, b) whose full sets reach ``percent``; ``pairs`` are a written table. Only texts of their ends move."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = texts.join(F.broadcast(ends) if pairs.count() <= SMALL_LIST // 2 else ends, "node", "left_semi")
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int, all_texts: bool = False) -> DataFrame:
+    """(u, v) of the pairs (a, b) whose full sets reach ``percent``; ``pairs`` are a written table. With ``all_texts``, most texts are no end: those of a list that is not too long are sought out first."""
+    if all_texts and pairs.count() <= SMALL_LIST // 2:
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        texts = texts.join(F.broadcast(ends), "node", "left_semi")
     sure = _beside(pairs, texts, {"text": "ta tb"}).mapInArrow(_verified(width, percent), "a bigint, b bigint")
     return sure.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -333,7 +334,8 @@ def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest
 
     First each member of a bucket meets only its least one: ``likely(pairs, nodes)`` keeps those of the pairs (a, b) that
     may be linked. Then ``rest(unsettled, stars, texts)`` gives the links between components that share a bucket.
-    With ``exact``, ``likely`` leaves out no linked pair: all pairs with a bucket's least member are settled then, and the rest is without it.
+    With ``exact``, ``likely`` leaves out no linked pair: all pairs with a bucket's least member are settled then, and the rest is without it; few pairs
+    are verified, so that texts are read where they are. Else the texts of all members are written once.
     Buckets are joined by (key, salt): the members of a hot key are dealt over many tasks.
     """
     buckets = materialize(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("a")).filter("n > 1"), "near-keys")
@@ -341,18 +343,19 @@ def bucket_components(every: DataFrame, texts: DataFrame, likely: Callable, rest
     members = salted(every, "key", hot, F.col("node")).join(for_salts(buckets.select("key", "a"), "key", hot), ["key", "salt"])
     members = materialize(members.select("key", "salt", "node", "a"), "near-buckets")
     wanted = materialize(members.select("node").distinct(), "near-wanted")
+    held = texts if exact else materialize(texts.join(wanted, "node"), "near-texts")
     pairs = materialize(members.filter("a <> node").select("a", F.col("node").alias("b")).distinct(), "near-pairs")
     close = materialize(likely(pairs, wanted), "near-likely")
-    stars = materialize(component_edges(confirmed(close, texts, width, percent)), "near-stars")
+    stars = materialize(component_edges(confirmed(close, held, width, percent, exact)), "near-stars")
     placed = (members.filter("a <> node") if exact else members).join(stars, "node", "left").select("key", "salt", "node", F.coalesce("component", "node").alias("component"))
     unsettled = materialize(_unsettled(placed), "near-unsettled")
     drop_table(buckets, members, wanted, pairs, close)
     if unsettled.isEmpty():
-        drop_table(unsettled)
+        drop_table(held, unsettled)
         return stars
-    more = materialize(rest(unsettled, stars, texts), "near-rest")
+    more = materialize(rest(unsettled, stars, held), "near-rest")
     out = joined_components(stars, more)
-    drop_table(unsettled, more)
+    drop_table(held, unsettled, more)
     return out
 
 
