@@ -166,7 +166,7 @@ def test_many_near_copies_of_one_text_are_dealt_to_salts(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "salted", lambda rows, key, hot, by, *a: seen.append((key, hot.count())) or first(rows, key, hot, by, *a))
     got = {r.doc_id: r.component_id for r in near_dedup.components(docs).collect()}
     assert {c for i, c in got.items() if i < 9000} == {0} and got[9000] == 9000
-    assert ("a", 1) in seen
+    assert any(key == "a" and n for key, n in seen)
     pairs = spark.createDataFrame([(0, k) for k in range(1, 3000)], "a bigint, b bigint")
     met = near_dedup._beside(pairs, docs.select(F.col("doc_id").alias("node"), "text"), {"text": "ta tb"})
     assert met.count() == 2999 and base.SALTS > 1
