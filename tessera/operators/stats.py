@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 def histogram(df: DataFrame, column: str, bins: int, low: float, high: float) -> DataFrame:
     """(bin, n): equal bins from ``low`` to ``high``; the last takes its upper end, what is outside goes."""
@@ -31,28 +33,46 @@ def t_statistic(df: DataFrame, group: str, column: str, a: str, b: str) -> DataF
 def density(points: DataFrame, at: DataFrame, reach: float | None = None, most: int = 2_000) -> DataFrame:
     """(i, density) at points ``at`` (i, x, y) of a Gaussian kernel estimate with the points' full covariance times Scott's factor n ** (-1/3).
 
-    Every point counts at every place, so the work is their product: places are sent out in lists of ``most`` at most,
-    and each point meets them where it lies. With ``reach``, only points within so many bandwidths along each axis count.
+    Every point counts at every place, so the work is their product. Equal points are counted first; then points and places are packed in
+    lists of about ``most``, each list of places meets each list of points in some task, and the sums of a place are added. With
+    ``reach``, only points within so many bandwidths along each axis count. Fewer than two points give no rows.
     """
     import math
 
     s = points.agg(F.count(F.lit(1)).alias("n"), *[F.covar_samp(a, b).alias(a + b) for a, b in (("x", "x"), ("x", "y"), ("y", "y"))]).first()
+    if s["n"] < 2:
+        return at.select("i", F.lit(0.0).alias("density")).limit(0)
     h = s["n"] ** (-1 / 3)
     xx, xy, yy = s["xx"] * h, s["xy"] * h, s["yy"] * h
     det = xx * yy - xy * xy
-    dx, dy = F.col("p.x") - F.col("px"), F.col("p.y") - F.col("py")
-    form = (dx * dx * yy - 2 * dx * dy * xy + dy * dy * xx) / det
-    own = points.select(F.col("x").alias("px"), F.col("y").alias("py"))
-    parts, out = max(1, -(-at.count() // most)), None
-    for k in range(parts):
-        few = at.filter(F.pmod(F.xxhash64("i"), F.lit(parts)) == k) if parts > 1 else at
-        places = few.agg(F.collect_list(F.struct("i", "x", "y")).alias("places"))  # one row of a bounded list
-        both = own.join(F.broadcast(places)).select("px", "py", F.explode("places").alias("p"))
-        if reach is not None:
-            both = both.filter((F.abs(dx) <= reach * math.sqrt(xx)) & (F.abs(dy) <= reach * math.sqrt(yy)))
-        found = both.groupBy(F.col("p.i").alias("i")).agg((F.sum(F.exp(-form / 2)) / F.lit(2 * math.pi * math.sqrt(det) * s["n"])).alias("density"))
-        out = found if out is None else out.union(found)
-    return out
+    own = materialize(points.groupBy(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).agg(F.count(F.lit(1)).alias("w")), "kde-points")
+    parts, spots = (max(1, -(-df.count() // most)) for df in (own, at))
+
+    def packed(df: DataFrame, n: int, name: str, columns: list[str]) -> DataFrame:
+        part = F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int").alias(name)
+        lists = df.select(part, *columns).groupBy(name).agg(F.collect_list(F.struct(*columns)).alias("l"))
+        return lists.select(name, *[F.transform("l", lambda v, c=c: v[c]).alias(f"{name}_{c}") for c in columns])
+
+    places = packed(at.select("i", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), spots, "q", ["i", "x", "y"])
+    met = places.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(packed(own, parts, "p", ["x", "y", "w"]), "p")
+
+    def run(stream):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in stream:
+            for r in batch.to_pylist():
+                x, y, w = (np.array(r[f"p_{c}"], np.float64) for c in ("x", "y", "w"))
+                i, px, py = np.array(r["q_i"]), np.array(r["q_x"], np.float64), np.array(r["q_y"], np.float64)
+                for k in range(0, len(i), 256):
+                    dx, dy = px[k : k + 256, None] - x, py[k : k + 256, None] - y
+                    near = np.exp(-(dx * dx * yy - 2 * dx * dy * xy + dy * dy * xx) / (2 * det)) * w
+                    if reach is not None:
+                        near *= (np.abs(dx) <= reach * math.sqrt(xx)) & (np.abs(dy) <= reach * math.sqrt(yy))
+                    yield pa.RecordBatch.from_arrays([pa.array(i[k : k + 256], pa.int64()), pa.array(near.sum(axis=1))], names=["i", "near"])
+
+    found = met.mapInArrow(run, "i bigint, near double")
+    return found.groupBy("i").agg((F.sum("near") / F.lit(2 * math.pi * math.sqrt(det) * s["n"])).alias("density"))
 
 
 def auto_bins(df: DataFrame, column: str) -> tuple[int, float, float]:
