@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import SALTS, for_salts, hot_keys, salted
 from tessera.session import materialize
 
+__all__ = ["SALTS", "batches", "claim", "for_salts", "hot_keys", "named", "placed", "release", "salted", "slices", "small_batches", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,37 +21,6 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
-#: A key with more rows than this, and more than one in MOST_HOT of all rows, is hot and dealt over SALTS tasks.
-HOT_ROWS, MOST_HOT, SALTS = 100, 10_000, 64
-
-
-def _names(key: str | list[str]) -> list[str]:
-    return [key] if isinstance(key, str) else key
-
-
-def hot_keys(counts: DataFrame, key: str | list[str], n: str = "n") -> DataFrame:
-    """The hot keys of a table with one row a key and its number of rows: MOST_HOT keys at most, whatever its size.
-
-    A key with more than total / MOST_HOT rows is one of fewer than MOST_HOT; where that is less
-    than HOT_ROWS, so are those with more than HOT_ROWS of at most HOT_ROWS * MOST_HOT rows.
-    """
-    total = counts.agg(F.sum(n)).first()[0] or 0
-    return counts.filter(F.col(n) > max(HOT_ROWS, total / MOST_HOT)).select(*_names(key))
-
-
-def salted(rows: DataFrame, key: str | list[str], hot: DataFrame, by: Column, salts: int = SALTS) -> DataFrame:
-    """Adds ``salt``: 0, but for rows of a hot key a number below ``salts`` by a hash of ``by``."""
-    marks = F.broadcast(hot.select(*_names(key), F.lit(True).alias("__hot")))
-    return rows.join(marks, key, "left").withColumn("salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(by), F.lit(salts))).otherwise(0).cast("int")).drop("__hot")
-
-
-def for_salts(keyed: DataFrame, key: str | list[str], hot: DataFrame, salts: int = SALTS) -> DataFrame:
-    """One row a key to one for each of its salts: joins a ``salted`` table by (key, salt), so that no task gets all rows of a hot key."""
-    marks = F.broadcast(hot.select(*_names(key), F.lit(True).alias("__hot")))
-    each = F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    return keyed.join(marks, key, "left").select(*keyed.columns, each.alias("salt"))
-
-
 #: Rows of the list of (range, group) up to which it is sent to every executor; beyond it, a shuffled join.
 SMALL_STARTS = 100_000
 

@@ -111,7 +111,7 @@ def test_headers_follow_the_standard(spark):
 
 
 def test_lists_of_revisits_beyond_the_broadcast(spark, monkeypatch):
-    from tessera.llm import base
+    from tessera.operators import skew
 
     pages = spark.createDataFrame([(i, f"u{i}", "x" * 1200 if i % 3 else f"{i}" * 1200) for i in range(60)], "page_id bigint, url string, html string")
     crawl = warc.store_archives(warc.write_archives(pages.repartition(4), most=500), buckets=4)
@@ -119,7 +119,7 @@ def test_lists_of_revisits_beyond_the_broadcast(spark, monkeypatch):
     monkeypatch.setattr(warc, "SMALL_LIST", 0)
     plan = warc.deduplicate(crawl)._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and not [x for x in plan.splitlines() if "Exchange" in x and "data" in x] and plan.count("Exchange") == 1  # the lists alone are dealt
-    monkeypatch.setattr(base, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
     assert sorted((r.page_id, r.record_type, r.refers_to) for r in warc.read_headers(warc.deduplicate(crawl)).collect()) == want
     assert sum(w[1] == "revisit" for w in want) == 39
 

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import base, count_join
+from tessera.llm import count_join
+from tessera.operators import skew
 from tests.llm.test_mixing_near import brute as brute_near
 
 
@@ -37,7 +38,7 @@ def test_join_equals_brute_force(spark, monkeypatch, common, leaf):
     monkeypatch.setattr(count_join, "COMMON", common)
     monkeypatch.setattr(count_join, "OVER_MEAN", 0)
     if leaf < 128:
-        monkeypatch.setattr(base, "HOT_ROWS", 5)
+        monkeypatch.setattr(skew, "HOT_ROWS", 5)
         monkeypatch.setattr(count_join, "DEALT", 20)
         links = count_join.tree_candidates
         monkeypatch.setattr(count_join, "tree_candidates", lambda *a: links(*a, leaf=leaf))

@@ -5,6 +5,7 @@ from itertools import permutations
 import pytest
 
 from tessera.llm import base, filter_audit, merkle
+from tessera.operators import skew
 
 
 def h(*parts):
@@ -138,7 +139,7 @@ def test_audit_equals_brute_force(spark, monkeypatch):
 
     assert got(docs) == want
     monkeypatch.setattr(filter_audit, "SMALL_CLASSES", -1)
-    monkeypatch.setattr(base, "HOT_ROWS", 20)
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
     assert got(docs) == want
     assert filter_audit.audit(filter_audit.labelled_masks(filter_audit.masks(docs.limit(0)), marks)).count() == 0
 

@@ -174,9 +174,9 @@ def test_many_near_copies_of_one_text_are_dealt_to_salts(spark, monkeypatch):
 
 def test_large_buckets_are_dealt_to_parts(spark, monkeypatch):
     """Hot band keys, salts and parts: many small components that share all of a passage, beside one large component."""
-    from tessera.llm import base
+    from tessera.operators import skew
 
-    monkeypatch.setattr(base, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
     monkeypatch.setattr(near_dedup, "GROUP_ROWS", 7)
     random = np.random.default_rng(9)
     shared = [f"p{k}" for k in range(70)]

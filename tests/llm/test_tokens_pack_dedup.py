@@ -186,9 +186,9 @@ def test_exact_dedup(spark, docs):
 
 
 def test_hot_digests_are_salted_and_repeated_rows_have_a_rule(spark, monkeypatch):
-    from tessera.llm import base
+    from tessera.operators import skew
 
-    monkeypatch.setattr(base, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
     rows = [(i, "hot" if i % 3 else f"text {i % 40}", i % 7) for i in range(300)] + [(None, "hot", 0), (7000, "hot", 2), (7000, "hot", 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, digest int")
     got = exact_dedup.groups(docs).collect()
