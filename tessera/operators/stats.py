@@ -51,7 +51,7 @@ def density(points: DataFrame, at: DataFrame, reach: float | None = None, most:
     def packed(df: DataFrame, n: int, name: str, columns: list[str]) -> DataFrame:
         part = F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int").alias(name)
         lists = df.select(part, *columns).groupBy(name).agg(F.collect_list(F.struct(*columns)).alias("l"))
-        return lists.select(name, *[F.transform("l", lambda v, c=c: v[c]).alias(f"{name}_{c}") for c in columns])
+        return lists.select(name, *[F.col(f"l.{c}").alias(f"{name}_{c}") for c in columns])
 
     places = packed(at.select("i", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), spots, "q", ["i", "x", "y"])
     met = places.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(packed(own, parts, "p", ["x", "y", "w"]), "p")
