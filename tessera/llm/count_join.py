@@ -6,7 +6,7 @@
 2. *Partitions.* Linked sets share one of each one's first ``prefix_size`` tokens in any order of all tokens. The
    order is by hash, with common tokens behind all others: a passage that many documents share
    is no partition of theirs unless they hold little else. What is common is read from counts of all tokens of all documents, by
-   hash, in CELLS cells at most. Rows of a token are a partition of the join.
+   hash, in MOST_CELLS cells at most. Rows of a token are a partition of the join.
 3. *Stars.* Each member of a partition first meets only the least one; pairs within the bound are verified, and
    verified links give components, so that copies of one text need no pairs among each other.
 4. *Tree.* The other members of partitions with several components are bulk-loaded: those of one size band are sorted by large
@@ -16,7 +16,7 @@
 5. *Verification.* Of the surviving pairs between two components the one of greatest bound is verified on the full sets first; the others
    only if the components are still apart.
 
-No step loses a link: the order of tokens, bounds, bands and boxes are all exact.
+No step loses a link: the order of tokens, bounds, bands and boxes are all exact; shingles are told apart by 64 bits.
 
 Edge cases: as in the near-duplicate operator: null, empty and blank texts have no shingles and are linked with nothing;
 fewer words than a shingle are one shingle of the whole sequence; a null id has no component;
