@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.base import for_salts, hot_keys, named, placed, salted, table
+from tessera.llm.base import for_salts, hot_keys, named, placed, salted, slices, table
 from tessera.llm.near_dedup import ORACLE as _NEAR
 from tessera.llm.near_dedup import _beside, bucket_components, confirmed, row_components, shingle_sets
 from tessera.operators.components import component_edges
@@ -48,6 +48,8 @@ DEALT = 4000
 COMMON, OVER_MEAN, LOAD, FEWEST_CELLS, MOST_CELLS, CELL_SLICE = 128, 4, 32, 1 << 16, 1 << 22, 1 << 13
 #: Tokens that a document is taken to have where the number of cells is chosen.
 TOKENS_PER_ROW = 512
+#: Documents that a worker holds the tokens of at once.
+ROWS = 500
 #: Rows of small lists up to which they are sent to every executor; beyond it, a shuffled join.
 SMALL_LIST = 200_000
 
@@ -112,7 +114,7 @@ def common_cells(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
         import pyarrow as pa
 
         counts, held, size = np.zeros(cells, np.int32), [], 0
-        for batch in stream:
+        for batch in slices(stream, ROWS):
             for own in shingle_sets(batch.column("text"), width):
                 held.append(own)
                 size += len(own)
@@ -168,7 +170,7 @@ def points(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, common:
         import pyarrow as pa
 
         last = shared.value
-        for batch in stream:
+        for batch in slices(stream, ROWS):
             sizes, digests, counts, curves, tokens = [], [], [], [], []
             for own in shingle_sets(batch.column("text"), width):
                 some = len(own) > 0
