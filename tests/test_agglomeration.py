@@ -205,3 +205,17 @@ def test_stars_to_the_end(spark):
     df = spark.createDataFrame(links, "u bigint, v bigint")
     got = {r.node: r.component for r in components.component_edges(df, small=0).collect()}
     assert got == {r.node: r.component for r in components.component_edges(df).collect()} and len(set(got.values())) == 7
+
+
+@pytest.mark.parametrize("name", ["mean", "hist_quant_50"])
+def test_components_have_their_own_queues(spark, monkeypatch, name):
+    """Equal scores along chains would take a round a merge; a component that a queue can hold takes none."""
+    monkeypatch.setattr(agglomeration, "SMALL", 150)
+    rng = random.Random(3)
+    samples = [(100 * g + k, 100 * g + k + 1, 0.9) for g in range(6) for k in range(60)]
+    samples += [(100 * g + rng.randrange(61), 100 * h + rng.randrange(61), 0.2) for g in range(6) for h in range(6)]
+    state = agglomeration.edge_state(spark.createDataFrame(samples, "u bigint, v bigint, aff double"), name)
+    want = agglomeration.queued([tuple(r) for r in state.collect()], name, 0.5)
+    got = agglomeration.agglomerate(state, name, 0.5).collect()
+    assert {(r.a, r.b, round(r.score, 9)) for r in got} == {(a, b, round(s, 9)) for a, b, s in want} and len(got) == len(want) > 300
+    assert {r.round for r in got} == {0}
