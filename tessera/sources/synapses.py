@@ -32,10 +32,10 @@ def read_tree(spark: SparkSession, path: str, roi: Roi, size: tuple[int, int, in
     return rows.filter(roi.contains("post_")).filter(F.col("score") > score).drop("z0", "y0", "x0")
 
 
-def by_ids(rows: DataFrame, ids: DataFrame | None = None, score: float | None = None, key: str = "id") -> DataFrame:
-    """Rows with one of ``ids`` (key), all without; score strictly above ``score``. Serves synapses and superfragments."""
+def by_ids(rows: DataFrame, ids: DataFrame | None = None, score: float | None = None, key: str | list[str] = "id") -> DataFrame:
+    """Rows with one of ``ids`` (key, or several that together name a row), all without; score strictly above ``score``. Serves synapses and superfragments."""
     if ids is not None:
-        rows = rows.join(ids.select(F.col(key)).distinct(), key, "left_semi")
+        rows = rows.join(ids.select(key).distinct(), key, "left_semi")
     return rows if score is None else rows.filter(F.col("score") > score)
 
 
