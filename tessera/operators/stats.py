@@ -30,11 +30,11 @@ def t_statistic(df: DataFrame, group: str, column: str, a: str, b: str) -> DataF
     return s.select(((F.col("m_a") - F.col("m_b")) / F.sqrt(shared * (1 / F.col("n_a") + 1 / F.col("n_b")))).alias("t"), free.alias("df"))
 
 
-def density(points: DataFrame, at: DataFrame, reach: float | None = None, most: int = 2_000) -> DataFrame:
+def density(points: DataFrame, at: DataFrame, reach: float | None = None, most: int = 8_000) -> DataFrame:
     """(i, density) at points ``at`` (i, x, y) of a Gaussian kernel estimate with the points' full covariance times Scott's factor n ** (-1/3).
 
-    Every point counts at every place, so the work is their product. Equal points are counted first; then points and places are packed in
-    lists of about ``most``, each list of places meets each list of points in some task, and the sums of a place are added. With
+    Every point counts at every place, so the work is their product. Equal points are counted first; then points and places are dealt to
+    parts of about ``most``, each part of places meets each part of points in a group of its own, and the sums of a place are added. With
     ``reach``, only points within so many bandwidths along each axis count. Fewer than two points give no rows.
     """
     import math
@@ -48,30 +48,28 @@ def density(points: DataFrame, at: DataFrame, reach: float | None = None, most:
     own = materialize(points.groupBy(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).agg(F.count(F.lit(1)).alias("w")), "kde-points")
     parts, spots = (max(1, -(-df.count() // most)) for df in (own, at))
 
-    def packed(df: DataFrame, n: int, name: str, columns: list[str]) -> DataFrame:
-        part = F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int").alias(name)
-        lists = df.select(part, *columns).groupBy(name).agg(F.collect_list(F.struct(*columns)).alias("l"))
-        return lists.select(name, *[F.col(f"l.{c}").alias(f"{name}_{c}") for c in columns])
+    def dealt(df: DataFrame, name: str, n: int, other: str, m: int) -> DataFrame:
+        own_part = F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int").alias(name)
+        return df.select("*", own_part).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
 
-    places = packed(at.select("i", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), spots, "q", ["i", "x", "y"])
-    met = places.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(packed(own, parts, "p", ["x", "y", "w"]), "p")
+    places = dealt(at.select("i", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), "q", spots, "p", parts)
 
-    def run(stream):
+    def run(there, here):
         import numpy as np
         import pyarrow as pa
 
-        for batch in stream:
-            for r in batch.to_pylist():
-                x, y, w = (np.array(r[f"p_{c}"], np.float64) for c in ("x", "y", "w"))
-                i, px, py = np.array(r["q_i"]), np.array(r["q_x"], np.float64), np.array(r["q_y"], np.float64)
-                for k in range(0, len(i), 256):
-                    dx, dy = px[k : k + 256, None] - x, py[k : k + 256, None] - y
-                    near = np.exp(-(dx * dx * yy - 2 * dx * dy * xy + dy * dy * xx) / (2 * det)) * w
-                    if reach is not None:
-                        near *= (np.abs(dx) <= reach * math.sqrt(xx)) & (np.abs(dy) <= reach * math.sqrt(yy))
-                    yield pa.RecordBatch.from_arrays([pa.array(i[k : k + 256], pa.int64()), pa.array(near.sum(axis=1))], names=["i", "near"])
-
-    found = met.mapInArrow(run, "i bigint, near double")
+        x, y, w = (there.column(c).to_numpy().astype(np.float64) for c in ("x", "y", "w"))
+        i, px, py = here.column("i").to_numpy(), here.column("x").to_numpy(), here.column("y").to_numpy()
+        near = np.zeros(len(i))
+        for k in range(0, len(i), 64):
+            dx, dy = px[k : k + 64, None] - x, py[k : k + 64, None] - y
+            some = np.exp(-(dx * dx * yy - 2 * dx * dy * xy + dy * dy * xx) / (2 * det)) * w
+            if reach is not None:
+                some *= (np.abs(dx) <= reach * math.sqrt(xx)) & (np.abs(dy) <= reach * math.sqrt(yy))
+            near[k : k + 64] = some.sum(axis=1)
+        return pa.table({"i": pa.array(i, pa.int64()), "near": pa.array(near)})
+
+    found = dealt(own, "p", parts, "q", spots).groupBy("p", "q").cogroup(places.groupBy("p", "q")).applyInArrow(run, "i bigint, near double")
     return found.groupBy("i").agg((F.sum("near") / F.lit(2 * math.pi * math.sqrt(det) * s["n"])).alias("density"))
 
 

@@ -376,3 +376,22 @@ def test_names_and_configuration(spark, tmp_path):
     program = [("rescale", {"scale": 1.0, "shift": 1.0}), ("chunks", {"size": [1, 1, 2]}), ("chunk_erode", {"axes": "x"}), ("voxels", {"keep_zero": True}), ("save", {"name": "t"}), ("segment", {"least": 50, "shape": [1, 4]})]
     assert {(r.x, r.object) for r in steps.run(v, program).collect()} == {(2, 2), (3, 2)}
     assert volume.near_isotropic((40, 4, 4), 64) == (1, 8, 8) and volume.near_isotropic((1, 1, 1), 8) == (2, 2, 2)
+
+
+def test_density_hands_python_no_more_than_one_pair_of_parts(spark):
+    points = spark.createDataFrame([(float(k % 31), float(k * k % 17)) for k in range(300)], "x double, y double")
+    places = spark.createDataFrame([(k, float(k % 29), float(k % 13)) for k in range(120)], "i bigint, x double, y double")
+    found = stats.density(points, places, most=40)
+    whole = {r.i: r.density for r in stats.density(points, places).collect()}
+    assert {r.i: round(r.density, 12) for r in found.collect()} == {i: round(d, 12) for i, d in whole.items()} and len(whole) == 120
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" in plan and "MapInArrow" not in plan  # batches of packed lists grew with both tables
+
+
+def test_synapses_of_one_id_are_told_apart(spark):
+    from tessera.sources import synapses
+
+    key = ["id", "u", "v"]
+    rows = spark.createDataFrame([(5, 1, 2, 0.9), (5, 3, 4, 0.8), (6, 1, 7, 0.1)], "id bigint, u bigint, v bigint, score double")
+    assert [r.score for r in synapses.by_ids(rows, rows.filter("u = 1").select(key), 0.5, key).collect()] == [0.9]
+    assert synapses.by_ids(rows, rows.filter("u = 1")).count() == 3
