@@ -219,3 +219,28 @@ def test_components_have_their_own_queues(spark, monkeypatch, name):
     got = agglomeration.agglomerate(state, name, 0.5).collect()
     assert {(r.a, r.b, round(r.score, 9)) for r in got} == {(a, b, round(s, 9)) for a, b, s in want} and len(got) == len(want) > 300
     assert {r.round for r in got} == {0}
+
+
+def test_small_groups_share_a_pack_and_blocks_are_parted(spark, monkeypatch):
+    """The packs change no result; a block's merges keep the order of one queue over the block."""
+    from tessera.operators import skew
+
+    rng = random.Random(5)
+    edges = [(10 * g + a, 10 * g + b, rng.choice([0.1, 0.2, 0.3, 0.6])) for g in range(30) for a in range(8) for b in range(a + 1, 8) if rng.random() < 0.4]
+    e = spark.createDataFrame(edges, "u bigint, v bigint, merge_score double")
+    nodes = spark.createDataFrame([(10 * g + a, g % 2) for g in range(30) for a in range(8)], "id bigint, block_id bigint")
+    want = {}
+    for block in (0, 1):
+        made: list = []
+        kernels.agglomerated(sorted(x for x in edges if x[0] // 10 % 2 == block), 0.3, history=made)
+        want |= {(block, k): m for k, m in enumerate(made)}
+    found = components.connected_components(nodes, e.filter("merge_score <= 0.3"))
+    ends = found.groupBy("component").agg({"id": "max"}).toDF("a", "b").filter("a < b")
+    again = []
+    for rows in (1, 1_000_000):
+        monkeypatch.setattr(skew, "PACK_ROWS", rows)
+        assert {(r.block_id, r.step): (r.a, r.b, r.score) for r in kernels.merge_history(nodes, e, 0.3).collect()} == want
+        apart = kernels.reagglomerate(e.filter("merge_score <= 0.3"), found, ends, 0.3)
+        again.append(sorted(map(tuple, apart.collect())))
+        assert "pack" in apart._jdf.queryExecution().executedPlan().toString()
+    assert again[0] == again[1]
