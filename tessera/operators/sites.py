@@ -55,8 +55,7 @@ def near_far(truth: DataFrame, found: DataFrame, met: DataFrame, reach: float) -
     Near ones come from a cell join; far ones are counted by label, so that no list of them is made.
     """
     missed = truth.join(met.select(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).distinct(), ["u", "v"], "left_anti")
-    close = node_matches(missed, found, reach).join(missed.select(F.col("u").alias("gt_u"), F.col("v").alias("gt_v"), F.col("pre_label").alias("gt_pre")), ["gt_u", "gt_v"])
-    close = close.join(found.select(F.col("u").alias("pred_u"), F.col("v").alias("pred_v"), "pre_label"), ["pred_u", "pred_v"]).filter("pre_label <> gt_pre")
+    close = node_matches(missed, found, reach, "post", "pre_label").filter("pred_pre_label <> gt_pre_label")
     near = close.groupBy(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).agg(F.sort_array(F.collect_set(F.array("pred_u", "pred_v"))).alias("near"))
     pairs = found.groupBy("pre_label", "post_label").agg(F.count(F.lit(1)).alias("same"))
     posts = pairs.groupBy("post_label").agg(F.sum("same").alias("all_"))
@@ -65,32 +64,41 @@ def near_far(truth: DataFrame, found: DataFrame, met: DataFrame, reach: float) -
     return out.select(F.col("u").alias("gt_u"), F.col("v").alias("gt_v"), F.coalesce("near", F.array().cast("array<array<bigint>>")).alias("near"), far.alias("far"))
 
 
+#: Width of a cell in reaches. A site goes to the cells that its reach touches: (1 + 2 / CELL) ** 3 on average, where cells of one reach take 27.
+CELL = 2
+
+
+def _cells(df: DataFrame, points: list[str], reach: float, around: bool) -> DataFrame:
+    """Adds the cell (cz, cy, cx) of a point or, ``around``, one row for each cell within ``reach`` of it."""
+    at = lambda p, d: F.floor((F.col(p) + F.lit(d)) / F.lit(CELL * reach)).cast("bigint")
+    for p, a in zip(points, AXES):
+        df = df.withColumn(f"c{a}", F.explode(F.sequence(at(p, -reach), at(p, reach))) if around else at(p, 0.0))
+    return df
+
+
 def matches(truth: DataFrame, found: DataFrame, reach: float) -> DataFrame:
     """(gt_u, gt_v, pred_u, pred_v, pre_d, post_d): equal labels at both ends and both ends within ``reach``.
 
-    The label pair is an equi-join key, and the pre end's cell of size ``reach`` one more, so that a
+    The label pair is an equi-join key, and the pre end's cell one more, so that a
     neuron pair with very many sites is not compared all with all.
     """
-    cell = lambda df: df.select("*", *[F.floor(F.col(f"pre_{a}") / F.lit(reach)).cast("bigint").alias(f"c{a}") for a in AXES])
-    ends = [f"{k}_{a}" for k in ("pre", "post") for a in AXES]
-    own = cell(truth.select("u", "v", "pre_label", "post_label", *ends)).withColumnsRenamed({"u": "gt_u", "v": "gt_v"} | {e: f"g{e}" for e in ends})
-    for a in AXES:
-        own = own.withColumn(f"c{a}", F.explode(F.sequence(F.col(f"c{a}") - 1, F.col(f"c{a}") + 1)))
-    other = cell(found.select("u", "v", "pre_label", "post_label", *ends)).withColumnsRenamed({"u": "pred_u", "v": "pred_v"})
+    points, ends = [f"pre_{a}" for a in AXES], [f"{k}_{a}" for k in ("pre", "post") for a in AXES]
+    own = _cells(truth.select("u", "v", "pre_label", "post_label", *ends), points, reach, True).withColumnsRenamed({"u": "gt_u", "v": "gt_v"} | {e: f"g{e}" for e in ends})
+    other = _cells(found.select("u", "v", "pre_label", "post_label", *ends), points, reach, False).withColumnsRenamed({"u": "pred_u", "v": "pred_v"})
     both = own.join(other, ["pre_label", "post_label", *[f"c{a}" for a in AXES]])
     both = both.withColumn("pre_d", distance("gpre_", "pre_")).withColumn("post_d", distance("gpost_", "post_"))
     return both.filter((F.col("pre_d") <= reach) & (F.col("post_d") <= reach)).select("gt_u", "gt_v", "pred_u", "pred_v", "pre_d", "post_d")
 
 
-def node_matches(truth: DataFrame, found: DataFrame, reach: float, end: str = "post") -> DataFrame:
-    """(gt_u, gt_v, pred_u, pred_v, d): equal label and distance of one end."""
+def node_matches(truth: DataFrame, found: DataFrame, reach: float, end: str = "post", *more: str) -> DataFrame:
+    """(gt_u, gt_v, pred_u, pred_v, d): equal label and distance of one end. Columns ``more`` of both are added, as gt_ and pred_."""
     points = [f"{end}_{a}" for a in AXES]
-    cell = lambda df: df.select("u", "v", F.col(f"{end}_label").alias("label"), *points, *[F.floor(F.col(p) / F.lit(reach)).cast("bigint").alias(f"c{a}") for p, a in zip(points, AXES)])
-    own = cell(truth).withColumnsRenamed({"u": "gt_u", "v": "gt_v"} | {p: f"g{p}" for p in points})
-    for a in AXES:
-        own = own.withColumn(f"c{a}", F.explode(F.sequence(F.col(f"c{a}") - 1, F.col(f"c{a}") + 1)))
-    both = own.join(cell(found).withColumnsRenamed({"u": "pred_u", "v": "pred_v"}), ["label", *[f"c{a}" for a in AXES]])
-    return both.withColumn("d", distance(f"g{end}_", f"{end}_")).filter(F.col("d") <= reach).select("gt_u", "gt_v", "pred_u", "pred_v", "d")
+    own, other = (df.select("u", "v", F.col(f"{end}_label").alias("label"), *points, *[F.col(m).alias(f"m_{m}") for m in more]) for df in (truth, found))
+    own = _cells(own, points, reach, True).withColumnsRenamed({"u": "gt_u", "v": "gt_v"} | {p: f"g{p}" for p in points} | {f"m_{m}": f"gt_{m}" for m in more})
+    other = _cells(other, points, reach, False).withColumnsRenamed({"u": "pred_u", "v": "pred_v"} | {f"m_{m}": f"pred_{m}" for m in more})
+    both = own.join(other, ["label", *[f"c{a}" for a in AXES]])
+    both = both.withColumn("d", distance(f"g{end}_", f"{end}_")).filter(F.col("d") <= reach)
+    return both.select("gt_u", "gt_v", "pred_u", "pred_v", "d", *[f"{k}_{m}" for k in ("gt", "pred") for m in more])
 
 
 def best(met: DataFrame, d: str = "pre_d") -> DataFrame:

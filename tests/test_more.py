@@ -395,3 +395,17 @@ def test_synapses_of_one_id_are_told_apart(spark):
     rows = spark.createDataFrame([(5, 1, 2, 0.9), (5, 3, 4, 0.8), (6, 1, 7, 0.1)], "id bigint, u bigint, v bigint, score double")
     assert [r.score for r in synapses.by_ids(rows, rows.filter("u = 1").select(key), 0.5, key).collect()] == [0.9]
     assert synapses.by_ids(rows, rows.filter("u = 1")).count() == 3
+
+
+def test_sites_go_to_few_cells(spark):
+    """A site takes eight cells at most, and every pair within reach is met, over cell ends and below zero too."""
+    from tessera.operators import sites
+
+    at = [(k, -k - 1, (37 * k) % 101 - 50, (53 * k) % 97 - 40, (71 * k) % 89, k % 2) for k in range(120)]
+    names = ["u", "v", "post_z", "post_y", "post_x", "post_label", "pre_label"]
+    df = spark.createDataFrame([(*r, r[0] % 3) for r in at], names)
+    points = ["post_z", "post_y", "post_x"]
+    assert sites._cells(df, points, 10.0, True).groupBy("u").count().agg({"count": "max"}).first()[0] <= 8
+    near = lambda a, b: sum((p - q) ** 2 for p, q in zip(a[2:5], b[2:5])) <= 100 and a[5] == b[5]
+    got = {(r.gt_u, r.pred_u): (r.gt_pre_label, r.pred_pre_label) for r in sites.node_matches(df, df, 10.0, "post", "pre_label").collect()}
+    assert got == {(a[0], b[0]): (a[0] % 3, b[0] % 3) for a in at for b in at if near(a, b)}
