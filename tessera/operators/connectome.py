@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.geometry import AXES, Roi, distance, packed_id
 from tessera.operators.components import component_edges
+from tessera.session import drop_table, materialize
 
 
 def with_ids(synapses: DataFrame) -> DataFrame:
@@ -172,22 +175,81 @@ def dense(edges: DataFrame, columns: list[str]) -> DataFrame:
 def clustered(pairs: DataFrame, reach: float, fuse: str = "mean", with_equal_points: bool = False) -> DataFrame:
     """Synapses of a (pre, post) pair whose post ends are within ``reach`` of each other are one.
 
-    The pair join is cut into cells of size ``reach``, and each cell meets itself and the thirteen neighbours that come
-    after it, so a pair with very many synapses is not compared all with all. Points that coincide are linked only on request. ``mean`` averages
-    the post ends, ``max_score`` takes the best one's (ties: least id).
+    Points of a pair are cut into cells of side ``reach`` / 2, whose points are all within ``reach`` of each other, and from there on cells are linked, not
+    points: a pair with very many synapses is not compared all with all. Points that coincide are linked only on request, else through a third one: a
+    cell with a single place links its points only if another cell's are near. ``mean`` averages the post ends, ``max_score`` takes the best one's (ties: least id).
     """
-    cell = [F.floor(F.col(f"post_{a}") / F.lit(reach)).cast("bigint") for a in AXES]
-    own = pairs.select("id", "pre", "post", *[f"post_{a}" for a in AXES], *[c.alias(f"c{a}") for c, a in zip(cell, AXES)])
-    after = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
-    near = F.explode(F.array(*[F.struct(*[(F.col(f"c{a}") + d).alias(f"c{a}") for a, d in zip(AXES, step)], F.lit(step == (0, 0, 0)).alias("same")) for step in after]))
-    other = own.select(F.col("id").alias("other"), "pre", "post", *[F.col(f"post_{a}").alias(f"o_{a}") for a in AXES], near.alias("n")).select("other", "pre", "post", *[f"o_{a}" for a in AXES], "n.*")
-    met = own.join(other, ["pre", "post", *[f"c{a}" for a in AXES]]).filter("not same or id < other").withColumn("d", distance("post_", "o_"))
-    met = met.filter((F.col("d") <= reach) & (F.lit(with_equal_points) | (F.col("d") > 0)))
-    groups = component_edges(met.select(F.col("id").alias("u"), F.col("other").alias("v")))
-    joined = pairs.join(groups, F.col("id") == F.col("node"), "left").withColumn("cluster", F.coalesce("component", "id"))
+    ends, key = [f"post_{a}" for a in AXES], ["pre", "post", *[f"c{a}" for a in AXES]]
+    cell = [F.floor(F.col(c) / F.lit(reach / 2)).cast("bigint").alias(f"c{a}") for c, a in zip(ends, AXES)]
+    points = materialize(pairs.select("id", "pre", "post", *ends, "score", *cell), "cluster-points")
+    box = [f for c, a in zip(ends, AXES) for f in (F.min(c).alias(f"low_{a}"), F.max(c).alias(f"high_{a}"))]
+    place = F.struct(*ends)
+    cells = points.groupBy(*key).agg(*box, F.min(place).alias("first"), F.max(place).alias("last"))
+    cells = materialize(cells.withColumn("cell", F.monotonically_increasing_id()), "cluster-cells")
+    roots = _cell_components(points, cells, key, reach)
+    tied = cells.join(roots, F.col("cell") == F.col("node"), "left")
+    if not with_equal_points:
+        tied = tied.filter("node is not null or first <> last")
+    held = points.join(tied.select(*key, F.coalesce("component", "cell").alias("root")), key).select("id", "root").distinct()
+    held = materialize(held, "cluster-held")
+    # ids are not unique: one that is in several clusters makes them one
+    least = held.groupBy("id").agg(F.min("root").alias("root"), F.max("root").alias("most"))
+    several = least.filter("root <> most").select("id", F.col("root").alias("v"))
+    tops = component_edges(held.join(several, "id").select(F.col("root").alias("u"), "v"))
+    least = least.join(tops, F.col("root") == F.col("node"), "left").select("id", F.coalesce("component", "root").alias("top"))
+    least = materialize(least, "cluster-ids")
+    groups = least.join(least.groupBy("top").agg(F.min("id").alias("least")), "top").select("id", "least")
+    joined = points.join(groups, "id", "left").withColumn("cluster", F.coalesce("least", "id"))
     if fuse == "mean":
-        points = [F.avg(f"post_{a}").alias(f"post_{a}") for a in AXES]
+        fused = [F.avg(c).alias(c) for c in ends]
     else:
         best = lambda c: F.max_by(c, F.struct(F.col("score"), -F.col("id")))
-        points = [best(f"post_{a}").cast("double").alias(f"post_{a}") for a in AXES]
-    return joined.groupBy("cluster", "pre", "post").agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("score"), *points)
+        fused = [best(c).cast("double").alias(c) for c in ends]
+    drop_table(cells, roots, held)
+    return joined.groupBy("cluster", "pre", "post").agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("score"), *fused)
+
+
+def _cell_components(points: DataFrame, cells: DataFrame, key: list[str], reach: float) -> DataFrame:
+    """A written table (node, component) of the cells that have points within ``reach`` of another's; cells that others link already are not compared.
+
+    Boxes and two points of each cell tell of nearly all cells. Points are only compared for those of which they do not, and which are in different
+    components of what is known then.
+    """
+    axes = [f"c{a}" for a in AXES]
+    other = cells.select("pre", "post", *[F.col(c).alias(f"o_{c}") for c in [*axes, *[f"{e}_{a}" for a in AXES for e in ("low", "high")], "first", "last", "cell"]])
+    length = lambda parts: F.sqrt(reduce(lambda p, q: p + q, [F.pow(d.cast("double"), F.lit(2.0)) for d in parts]))
+    gap = length([F.greatest(F.col(f"low_{a}") - F.col(f"o_high_{a}"), F.col(f"o_low_{a}") - F.col(f"high_{a}"), F.lit(0)) for a in AXES])
+    span = length([F.greatest(F.col(f"high_{a}") - F.col(f"o_low_{a}"), F.col(f"o_high_{a}") - F.col(f"low_{a}")) for a in AXES])
+    between = lambda p, q: length([F.col(f"{p}.post_{a}") - F.col(f"{q}.post_{a}") for a in AXES])
+    sure = reduce(lambda p, q: p | q, [d <= reach for d in (span, *[between(p, f"o_{q}") for p in ("first", "last") for q in ("first", "last")])])
+
+    # faces first: where points lie densely, these join all cells there are
+    faces = F.explode(F.array(*[F.struct(*[(F.col(f"o_{c}") - int(c == axis)).alias(c) for c in axes]) for axis in axes]))
+    beside = cells.join(other.withColumn("at", faces).select("*", *[f"at.{c}" for c in axes]).drop("at"), key)
+    near = materialize(beside.filter(sure).select(F.col("cell").alias("u"), F.col("o_cell").alias("v")), "cluster-near")
+    found = materialize(component_edges(near), "cluster-found")
+    root = lambda df, c: df.join(found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_root")), c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+
+    # then all cells at most two apart, which are in the same or neighbouring blocks of two; pairs of neurons with one component have nothing left to link
+    rest = materialize(root(cells, "cell"), "cluster-rest")
+    several = rest.groupBy("pre", "post").agg(F.min("cell_root").alias("a"), F.max("cell_root").alias("b")).filter("a <> b").select("pre", "post")
+    left = rest.join(several, ["pre", "post"], "left_semi")
+    block = [F.floor(F.col(c) / 2).cast("bigint").alias(f"b{c}") for c in axes]
+    after = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
+    to = F.explode(F.array(*[F.struct(*[(F.col(f"b{c}") + d).alias(f"b{c}") for c, d in zip(axes, step)], F.lit(step == (0, 0, 0)).alias("same")) for step in after]))
+    own, keys = left.select("*", *block), ["pre", "post", *[f"b{c}" for c in axes]]
+    far = own.select("pre", "post", *[F.col(c).alias(f"o_{c}") for c in rest.columns if c not in ("pre", "post")], to.alias("to")).select("*", "to.*").drop("to")
+    met = own.join(far, keys).filter("not same or cell < o_cell").filter("cell_root <> o_cell_root").filter(gap <= reach)
+    met = materialize(met.withColumn("sure", sure).select("pre", "post", *axes, *[f"o_{c}" for c in axes], "cell", "o_cell", "sure"), "cluster-met")
+    links = near.union(met.filter("sure").select("cell", "o_cell"))
+
+    # and the points of cells that are still apart
+    now = materialize(component_edges(links), "cluster-now")
+    top = lambda df, c: df.join(now.select(F.col("node").alias(c), F.col("component").alias(f"{c}_top")), c, "left").withColumn(f"{c}_top", F.coalesce(f"{c}_top", c))
+    doubt = top(top(met.filter("not sure"), "cell"), "o_cell").filter("cell_top <> o_cell_top")
+    here = points.select(*key, *[f"post_{a}" for a in AXES]).distinct()
+    there = here.select("pre", "post", *[F.col(c).alias(f"o_{c}") for c in axes], *[F.col(f"post_{a}").alias(f"o_{a}") for a in AXES])
+    compared = doubt.join(here, key).join(there, ["pre", "post", *[f"o_{c}" for c in axes]]).filter(distance("post_", "o_") <= reach)
+    roots = materialize(component_edges(links.union(compared.select("cell", "o_cell").distinct())), "cluster-roots")
+    drop_table(near, found, rest, met, now)
+    return roots

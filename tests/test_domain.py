@@ -80,6 +80,44 @@ def test_connectome_pieces(spark):
     assert sorted(map(tuple, connectome.segment_map(n).collect())) == [(5, "n_1"), (6, "n_2")]
 
 
+def test_clusters_of_dense_synapses(spark, monkeypatch):
+    """Equal to all pairs compared, with shared ids and coincident points; links grow with the cells, not with the pairs of points."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for pre, n, side in ((1, 60, 60), (2, 25, 40), (3, 400, 6), (4, 40, 25)):
+        spots = rng.integers(-side, side, (n, 3))
+        spots[n // 2 :: 7] = spots[: len(spots[n // 2 :: 7])]
+        rows += [(int(i), pre, 9, *map(int, p), float(k % 5)) for i, k, p in zip(rng.integers(0, 4000, n), range(n), spots)]
+    rows += [(5001, 5, 9, 0, 0, 0, 1.0), (5002, 5, 9, 0, 0, 0, 1.0), (5001, 6, 9, 0, 0, 0, 1.0), (5003, 6, 9, 0, 0, 10, 1.0), (5004, 7, 9, 0, 0, 0, 1.0), (5005, 7, 9, 0, 0, 11, 1.0)]
+    root = {r[0]: r[0] for r in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in rows:
+        for b in rows:
+            if a[1] == b[1] and 0 < sum((p - q) ** 2 for p, q in zip(a[3:6], b[3:6])) <= 100:
+                low, high = sorted((top(a[0]), top(b[0])))
+                root[high] = low
+    want = {}
+    for r in rows:
+        want.setdefault((top(r[0]), r[1], r[2]), []).append(r[5])
+    given, found = [], connectome.component_edges
+
+    def counted(links, *more):
+        links = links.localCheckpoint()
+        given.append(links.count())
+        return found(links, *more)
+
+    monkeypatch.setattr(connectome, "component_edges", counted)
+    s = spark.createDataFrame(rows, "id bigint, pre bigint, post bigint, post_z bigint, post_y bigint, post_x bigint, score double")
+    got = {(r.cluster, r.pre, r.post): (r.n, round(r.post_x, 9)) for r in connectome.clustered(s, 10.0).collect()}
+    assert got == {k: (len(v), round(sum(v) / len(v), 9)) for k, v in want.items()}
+    assert sum(given) < 4 * len(rows)  # of 400 points in a few cells, all pairs were links before
+
+
 def test_mirrored_site_matching(spark):
     row = "u bigint, v bigint, pre_label bigint, post_label bigint, pre_z bigint, pre_y bigint, pre_x bigint, post_z bigint, post_y bigint, post_x bigint"
     truth = spark.createDataFrame([(1, 2, 1, 2, 0, 0, 0, 0, 0, 9), (3, 4, 1, 2, 0, 0, 500, 0, 0, 509)], row)
