@@ -9,16 +9,15 @@ told to the kernel as absent. Chunks lie on the grid of their size; those at a v
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.geometry import AXES, Roi
-from tessera.sources.volumes import CHUNKS
+from tessera.sources.volumes import CHUNKS, NAMES, arrow_schema, dealt, groups_of, lots, rows_of
 
-NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
 #: Size of whole chunks; None: measure it.
 Size = tuple[int, int, int] | None
 
@@ -34,12 +33,9 @@ def _row(block, begin, values: np.ndarray) -> list:
 def each(chunks: DataFrame, kernel: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """``kernel`` on every block, shape kept. No exchange."""
     def run(stream):
-        import pandas as pd
-
-        for rows in stream:
-            yield pd.DataFrame([_row((r.bz, r.by, r.bx), (r.z, r.y, r.x), kernel(_array(r))) for r in rows.itertuples(index=False)], columns=NAMES)
+        yield from lots((_row((r.bz, r.by, r.bx), (r.z, r.y, r.x), kernel(_array(r))) for r in rows_of(stream)), CHUNKS)
 
-    return chunks.mapInPandas(run, CHUNKS)
+    return chunks.select(*NAMES).mapInArrow(run, CHUNKS)
 
 
 def grid_size(chunks: DataFrame) -> tuple[int, int, int]:
@@ -58,11 +54,8 @@ def with_halo(chunks: DataFrame, halo: tuple[int, int, int], kernel: Callable[..
     size = size or grid_size(chunks)
 
     def pieces(stream):
-        import pandas as pd
-
-        for rows in stream:
-            out = []
-            for r in rows.itertuples(index=False):
+        def made():
+            for r in rows_of(stream):
                 values, begin, block = _array(r), (r.z, r.y, r.x), (r.bz, r.by, r.bx)
                 reached = [range(min(k, (b - h) // s), max(k, (b + n - 1 + h) // s) + 1) if h else (k,) for k, b, n, h, s in zip(block, begin, values.shape, halo, size)]
                 for to in product(*reached):
@@ -70,36 +63,58 @@ def with_halo(chunks: DataFrame, halo: tuple[int, int, int], kernel: Callable[..
                     low = [b if own or not h else max(b, k * s - h) for k, b, h, s in zip(to, begin, halo, size)]
                     high = [b + n if own or not h else min(b + n, (k + 1) * s + h) for k, b, n, h, s in zip(to, begin, values.shape, halo, size)]
                     if all(lo < hi for lo, hi in zip(low, high)):
-                        out.append([*_row(to, low, values[tuple(slice(lo - b, hi - b) for lo, hi, b in zip(low, high, begin))]), own])
-            yield pd.DataFrame(out, columns=[*NAMES, "own"])
+                        yield [*_row(to, low, values[tuple(slice(lo - b, hi - b) for lo, hi, b in zip(low, high, begin))]), own]
 
-    def run(rows):
-        import pandas as pd
+        yield from lots(made(), f"{CHUNKS}, own boolean")
 
-        mine = rows[rows.own]
-        if not len(mine):
-            return pd.DataFrame([], columns=[c.split()[0] for c in schema.split(", ")])
-        own = next(mine.itertuples(index=False))
+    def grown(rows):
+        """A group's block with its halo, where it is present, and its first row."""
+        own = next((r for r in rows if r.own), None)
+        if own is None:
+            return None
         shape = [n + 2 * h for n, h in zip((own.nz, own.ny, own.nx), halo)]
         low = [b - h for b, h in zip((own.z, own.y, own.x), halo)]
         values, present = np.zeros(shape, own.dtype), np.zeros(shape, bool)
-        for r in rows.itertuples(index=False):
+        for r in rows:
             # a block at the volume's end is smaller than the piece was cut for
             begin = [max(b - o, 0) for b, o in zip((r.z, r.y, r.x), low)]
             end = [min(b - o + n, m) for b, o, n, m in zip((r.z, r.y, r.x), low, (r.nz, r.ny, r.nx), shape)]
             if all(a < e for a, e in zip(begin, end)):
                 at = tuple(slice(a, e) for a, e in zip(begin, end))
                 values[at], present[at] = _array(r)[tuple(slice(a - b + o, e - b + o) for a, e, b, o in zip(begin, end, (r.z, r.y, r.x), low))], True
-        inner = tuple(slice(h, h + n) for h, n in zip(halo, (own.nz, own.ny, own.nx)))
-        made = kernel(values, present, tuple(low))
-        place = ((own.bz, own.by, own.bx), (own.z, own.y, own.x))
-        if isinstance(made, pd.DataFrame):
-            return made
-        if isinstance(made, dict):
-            return pd.DataFrame([[*_row(*place, v[inner]), k] for k, v in made.items()], columns=[*NAMES, "channel"])
-        return pd.DataFrame([_row(*place, made[inner])], columns=NAMES)
+        return own, values, present, tuple(low)
 
-    return chunks.select(*NAMES).mapInPandas(pieces, f"{CHUNKS}, own boolean").groupBy("bz", "by", "bx").applyInPandas(run, schema)
+    def run(stream):
+        import pyarrow as pa
+
+        frames = []
+
+        def made():
+            for rows in groups_of(stream, ["bz", "by", "bx"]):
+                found = grown(rows)
+                if found is None:
+                    continue
+                own, values, present, low = found
+                inner = tuple(slice(h, h + n) for h, n in zip(halo, (own.nz, own.ny, own.nx)))
+                out = kernel(values, present, low)
+                place = ((own.bz, own.by, own.bx), (own.z, own.y, own.x))
+                if isinstance(out, dict):
+                    for k, v in out.items():
+                        yield [*_row(*place, v[inner]), k]
+                elif isinstance(out, np.ndarray):
+                    yield _row(*place, out[inner])
+                else:
+                    frames.append(out)
+                    yield None
+
+        rows = made()
+        for first in rows:
+            if first is None:  # frames: one a block
+                yield pa.RecordBatch.from_pandas(frames.pop(), arrow_schema(schema), preserve_index=False)
+            else:
+                yield from lots(chain([first], rows), schema)
+
+    return dealt(chunks.select(*NAMES).mapInArrow(pieces, f"{CHUNKS}, own boolean"), "bz", "by", "bx").mapInArrow(run, schema)
 
 
 def _near(a: np.ndarray, axis: int, step: int, fill) -> np.ndarray:
@@ -200,11 +215,8 @@ def downsampled(chunks: DataFrame, factor: tuple[int, int, int], how: str = "mea
     Cells that a volume's end cuts are reduced over what there is; a label needs the whole way to its voxel.
     """
     def run(stream):
-        import pandas as pd
-
-        for rows in stream:
-            out = []
-            for r in rows.itertuples(index=False):
+        def made():
+            for r in rows_of(stream):
                 begin, values = (r.z, r.y, r.x), _array(r)
                 if any(b % k for b, k in zip(begin, factor)):
                     raise ValueError("a chunk begins inside a cell: rechunk first")
@@ -220,10 +232,11 @@ def downsampled(chunks: DataFrame, factor: tuple[int, int, int], how: str = "mea
                         else:
                             values = _REDUCE[how].reduceat(values, at, axis)
                 if values.size:
-                    out.append(_row((r.bz, r.by, r.bx), [b // k for b, k in zip(begin, factor)], values))
-            yield pd.DataFrame(out, columns=NAMES)
+                    yield _row((r.bz, r.by, r.bx), [b // k for b, k in zip(begin, factor)], values)
+
+        yield from lots(made(), CHUNKS)
 
-    return chunks.mapInPandas(run, CHUNKS)
+    return chunks.select(*NAMES).mapInArrow(run, CHUNKS)
 
 
 def rechunked(chunks: DataFrame, size: tuple[int, int, int]) -> DataFrame:
@@ -309,12 +322,12 @@ def predicted(chunks: DataFrame, model: Callable[[np.ndarray], np.ndarray | dict
 
 def emptiness(chunks: DataFrame) -> DataFrame:
     """(bz, by, bx, empty): blocks without a value other than 0. No exchange."""
+    schema = "bz bigint, by bigint, bx bigint, empty boolean"
+
     def run(stream):
-        for rows in stream:
-            rows = rows.assign(empty=[not _array(r).any() for r in rows.itertuples(index=False)])
-            yield rows[["bz", "by", "bx", "empty"]]
+        yield from lots(([r.bz, r.by, r.bx, not _array(r).any()] for r in rows_of(stream)), schema)
 
-    return chunks.mapInPandas(run, "bz bigint, by bigint, bx bigint, empty boolean")
+    return chunks.select(*NAMES).mapInArrow(run, schema)
 
 
 def constant(grid: DataFrame, size: tuple[int, int, int], value: int = 0, dtype: str = "uint8") -> DataFrame:
@@ -323,6 +336,23 @@ def constant(grid: DataFrame, size: tuple[int, int, int], value: int = 0, dtype:
     return grid.select("bz", "by", "bx", *AXES, *[F.lit(n).cast("int").alias(f"n{a}") for n, a in zip(size, AXES)], F.lit(dtype).alias("dtype"), F.lit(data).alias("data"))
 
 
+def multiplied(chunks: DataFrame, mask: DataFrame) -> DataFrame:
+    """Values times a mask's on the same grid, over the chunks that both have and as far as both reach. Chunks meet, not voxels."""
+    block = ["bz", "by", "bx"]
+    both = chunks.select(*NAMES).join(mask.select(*block, *[F.col(n).alias(f"m{n}") for n in ("nz", "ny", "nx", "dtype", "data")]), block)
+
+    def run(stream):
+        def made():
+            for r in rows_of(stream):
+                values, on = _array(r), np.frombuffer(r.mdata, r.mdtype).reshape(r.mnz, r.mny, r.mnx)
+                inside = tuple(slice(0, min(n, m)) for n, m in zip(values.shape, on.shape))
+                yield _row((r.bz, r.by, r.bx), (r.z, r.y, r.x), values[inside] * on[inside].astype(values.dtype))
+
+        yield from lots(made(), CHUNKS)
+
+    return both.mapInArrow(run, CHUNKS)
+
+
 def distances(chunks: DataFrame, voxel: tuple[int, int, int], size: Size = None, most: int = 4_000_000) -> DataFrame:
     """Chunks (float64) of the world distance from each voxel to the nearest one of another label; NaN where there is none.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import namedtuple
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,35 +14,141 @@ from tessera.geometry import AXES, Roi
 CHUNKS = "bz bigint, by bigint, bx bigint, z bigint, y bigint, x bigint, nz int, ny int, nx int, dtype string, data binary"
 
 
+NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
+#: Voxels that a Python step makes rows of at once, unless one chunk has more.
+LOT = 1 << 18
+_ARROW = {"bigint": "int64", "int": "int32", "string": "string", "binary": "binary", "boolean": "bool_", "double": "float64"}
+
+
+def arrow_schema(schema: str):
+    """Of a schema of names and simple types."""
+    import pyarrow as pa
+
+    return pa.schema([(name, getattr(pa, _ARROW[kind])()) for name, kind in map(str.split, schema.split(", "))])
+
+
+def rows_of(stream) -> Iterator:
+    """Rows of Arrow batches as named tuples, a few at once."""
+    kind = None
+    for batch in stream:
+        kind = kind or namedtuple("Row", batch.schema.names)
+        for at in range(0, batch.num_rows, 256):
+            yield from map(kind, *[c.to_pylist() for c in batch.slice(at, 256).columns])
+
+
+def lots(rows: Iterator, schema: str, most: int = 1 << 22) -> Iterator:
+    """Arrow batches of about ``most`` bytes of an iterator of rows, so that Python holds no more than that."""
+    import pyarrow as pa
+
+    kinds = arrow_schema(schema)
+    batch = lambda held: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), kinds)], schema=kinds)
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 64 + sum(len(c) for c in row if isinstance(c, bytes))
+        if size >= most:
+            yield batch(held)
+            held, size = [], 0
+    if held:
+        yield batch(held)
+
+
+def groups_of(stream, keys: list[str]) -> Iterator[list]:
+    """Rows with the same key, of batches sorted by it: a call of Python serves all groups of a task, one is held at a time."""
+    held, key = [], None
+    for r in rows_of(stream):
+        own = tuple(getattr(r, k) for k in keys)
+        if held and own != key:
+            yield held
+            held = []
+        held.append(r)
+        key = own
+    if held:
+        yield held
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt to as many tasks as the session shuffles to, by a key, and sorted by it there. Rows of a chunk are few bytes but much work: tasks are not merged by size."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+
+
 def chunks_of(voxels: DataFrame, size: tuple[int, int, int], dtype: str = "uint8", column: str = "value", roi: Roi | None = None) -> DataFrame:
-    """Dense chunk rows from voxel rows; absent voxels are 0. Chunks end where a box (in voxels) does, if one is given."""
-    keys = [F.floor(F.col(a) / F.lit(n)).cast("bigint").alias(f"b{a}") for a, n in zip(AXES, size)]
+    """Dense chunk rows from voxel rows; absent voxels are 0. Chunks end where a box (in voxels) does, if one is given.
+
+    Voxels are packed by chunk where they lie, batch by batch, so that parts of chunks are exchanged and not voxels. A task of either side makes all its chunks in one call.
+    """
+    per = int(np.prod(size))
+    kind = np.int32 if per < 1 << 31 else np.int64
+
+    def pack(stream):
+        import pyarrow as pa
+
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            places = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:3]]
+            values = batch.column(3).to_numpy(zero_copy_only=False).astype(dtype)
+            blocks = [c // n for c, n in zip(places, size)]
+            inner = [c - b * n for c, b, n in zip(places, blocks, size)]
+            at = ((inner[0] * size[1] + inner[1]) * size[2] + inner[2]).astype(kind)
+            order = np.lexsort(blocks[::-1])
+            blocks, at, values = [b[order] for b in blocks], at[order], values[order]
+            starts = np.flatnonzero(np.concatenate([[True], np.any([b[1:] != b[:-1] for b in blocks], axis=0)]))
+            ends = [*starts[1:].tolist(), len(at)]
+            cut = lambda a: pa.array([a[i:j].tobytes() for i, j in zip(starts.tolist(), ends)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[pa.array(b[starts]) for b in blocks], cut(at), cut(values)], names=["bz", "by", "bx", "at", "data"])
 
-    def run(key, rows):
-        import pandas as pd
+    def run(stream):
+        def made():
+            for rows in groups_of(stream, ["bz", "by", "bx"]):
+                block = (rows[0].bz, rows[0].by, rows[0].bx)
+                begin = [k * n for k, n in zip(block, size)]
+                shape = [n if roi is None else min(n, e - b) for n, b, e in zip(size, begin, roi.end if roi else size)]
+                data = np.zeros(per, dtype)
+                for r in rows:
+                    if shape != list(size) and any((c >= n).any() for c, n in zip(np.unravel_index(np.frombuffer(r.at, kind), size), shape)):
+                        raise ValueError("a voxel lies outside the box")
+                    data[np.frombuffer(r.at, kind)] = np.frombuffer(r.data, dtype)
+                data = data.reshape(size)[tuple(slice(0, n) for n in shape)]
+                yield [*block, *begin, *shape, dtype, data.tobytes()]
 
-        begin = [int(k) * n for k, n in zip(key, size)]
-        shape = [n if roi is None else min(n, e - b) for n, b, e in zip(size, begin, roi.end if roi else size)]
-        data = np.zeros(shape, dtype)
-        data[tuple((rows[a].to_numpy() - b).astype(int) for a, b in zip(AXES, begin))] = rows[column].to_numpy()
-        return pd.DataFrame([[*key, *begin, *shape, dtype, data.tobytes()]], columns=[c.split()[0] for c in CHUNKS.split(", ")])
+        yield from lots(made(), CHUNKS)
 
-    return voxels.select(*AXES, column, *keys).groupBy("bz", "by", "bx").applyInPandas(run, CHUNKS)
+    kinds = "bz bigint, by bigint, bx bigint, at binary, data binary"
+    return dealt(voxels.select(*AXES, column).mapInArrow(pack, kinds), "bz", "by", "bx").mapInArrow(run, CHUNKS)
 
 
 def voxels_of(chunks: DataFrame, keep_zero: bool = False, kind: str = "bigint") -> DataFrame:
     """Voxel rows of chunk rows; zeros are left out unless asked for. A column ``channel`` stays."""
     more = [c for c in chunks.columns if c == "channel"]
-    def run(stream):
-        import pandas as pd
 
-        for rows in stream:
-            for r in rows.itertuples(index=False):
-                data = np.frombuffer(r.data, r.dtype).reshape(r.nz, r.ny, r.nx)
-                at = np.nonzero(np.ones_like(data, bool) if keep_zero else data)
-                yield pd.DataFrame({"z": at[0] + r.z, "y": at[1] + r.y, "x": at[2] + r.x, "value": data[at].astype(np.int64 if kind == "bigint" else np.float64)} | {c: getattr(r, c) for c in more})
-
-    return chunks.mapInPandas(run, f"z bigint, y bigint, x bigint, value {kind}" + ", channel string" * len(more))
+    def run(stream):
+        import pyarrow as pa
+
+        def rows(held):
+            shape = held[0][3:6]
+            data = np.frombuffer(b"".join(h[7] for h in held), held[0][6]).reshape(len(held), *shape)
+            at = np.nonzero(np.ones(data.shape, bool) if keep_zero else data)
+            begins = np.array([h[:3] for h in held], np.int64)
+            arrays = [pa.array(at[i + 1] + begins[at[0], i]) for i in range(3)]
+            arrays.append(pa.array(data[at].astype(np.int64 if kind == "bigint" else np.float64)))
+            if more:
+                arrays.append(pa.array([h[8] for h in held], pa.string()).take(pa.array(at[0])))
+            return pa.RecordBatch.from_arrays(arrays, names=["z", "y", "x", "value", *more])
+
+        held, n = [], 0
+        for r in rows_of(stream):
+            own = (r.z, r.y, r.x, r.nz, r.ny, r.nx, r.dtype, r.data, *[getattr(r, c) for c in more])
+            if held and (own[3:7] != held[0][3:7] or n >= LOT):
+                yield rows(held)
+                held, n = [], 0
+            held.append(own)
+            n += r.nz * r.ny * r.nx
+        if held:
+            yield rows(held)
+
+    return chunks.mapInArrow(run, f"z bigint, y bigint, x bigint, value {kind}" + ", channel string" * len(more))
 
 
 def chunks_in(chunks: DataFrame, roi: Roi, size: tuple[int, int, int]) -> DataFrame:

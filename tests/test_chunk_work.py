@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.geometry import Roi
 from tessera.operators import chunk_labels, chunks, kernels, surface, volume
 from tessera.sources import volumes
 
@@ -223,3 +224,31 @@ def test_near_isotropic_chunks():
             grown = [n for n, d in zip(lengths, dims) if d > 1]
             assert not grown or max(grown) <= 2 * min(lengths)
     assert volume.near_isotropic((40, 4, 4), 64) == (1, 8, 8)
+
+
+def test_chunks_of_scattered_voxels_in_a_call_a_task(spark, noise):
+    """Voxels in any order, parts of chunks of many batches; neither a chunk nor a block with its halo is a call of its own."""
+    size = (2, 3, 4)
+    places = [(z, y, x) for z, y, x in np.ndindex(noise.shape) if noise[z, y, x] > 20]
+    np.random.default_rng(2).shuffle(places)
+    v = spark.createDataFrame([(int(z), int(y), int(x), int(noise[z, y, x])) for z, y, x in places], "z long, y long, x long, value long").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        made = volumes.chunks_of(v, size, roi=Roi((0, 0, 0), noise.shape))
+        assert (whole(made, noise.shape) == np.where(noise > 20, noise, 0)).all()
+        least = chunks.eroded_min(made, size=size)
+        back = volumes.voxels_of(made, True).collect()
+        assert len(back) == noise.size and all(r.value == (noise[r.z, r.y, r.x] if noise[r.z, r.y, r.x] > 20 else 0) for r in back)
+        with pytest.raises(Exception, match="outside the box"):
+            volumes.chunks_of(v, size, roi=Roi((0, 0, 0), (5, 11, 13))).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for df in (made, least):
+        plan = df._jdf.queryExecution().toString()
+        assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+
+
+def test_python_holds_few_rows_of_a_large_batch():
+    rows = ([*[0] * 6, 1, 1, 1 << 16, "uint8", bytes(1 << 16)] for _ in range(1000))
+    sizes = [b.num_rows for b in volumes.lots(rows, volumes.CHUNKS)]
+    assert sum(sizes) == 1000 and max(sizes) <= 64
