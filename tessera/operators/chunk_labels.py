@@ -11,7 +11,7 @@ very many chunks is dealt over many tasks), and a chunk gets the list of its own
 
 from __future__ import annotations
 
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,9 +22,11 @@ from tessera.operators.chunks import NAMES, _array, _row
 from tessera.operators.components import component_edges
 from tessera.operators.skew import looked_up
 from tessera.session import materialize
-from tessera.sources.volumes import CHUNKS
+from tessera.sources.volumes import CHUNKS, dealt, groups_of, lots, rows_of
 
 BLOCK = ["bz", "by", "bx"]
+NAMED = f"{CHUNKS}, was binary, was_dtype string"
+FACES = f"axis int, upper boolean, {NAMED}"
 
 
 def united(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -65,11 +67,8 @@ def _named_by_voxel(r, root: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
 def _faces(same: bool):
     """Rows (axis, block of the lower of two chunks, upper, place, labels and values) of each chunk's outer layers."""
     def run(stream):
-        import pandas as pd
-
-        for rows in stream:
-            out = []
-            for r in rows.itertuples(index=False):
+        def made():
+            for r in rows_of(stream):
                 labels = _array(r)
                 values = np.frombuffer(r.was, r.was_dtype).reshape(labels.shape) if same else None
                 for axis, upper in product(range(3), (False, True)):
@@ -80,23 +79,22 @@ def _faces(same: bool):
                         begin = [r.z, r.y, r.x]
                         begin[axis] += 0 if upper else labels.shape[axis] - 1
                         was = np.ascontiguousarray(values[at]).tobytes() if same else None
-                        out.append([axis, upper, *_row(block, begin, face), was, r.was_dtype if same else None])
-            yield pd.DataFrame(out, columns=["axis", "upper", *NAMES, "was", "was_dtype"])
+                        yield [axis, upper, *_row(block, begin, face), was, r.was_dtype if same else None]
+
+        yield from lots(made(), FACES)
 
     return run
 
 
 def _met(same: bool):
-    def run(rows):
-        import pandas as pd
-
-        low, high = rows[~rows.upper], rows[rows.upper]
+    def met(rows):
+        low, high = [r for r in rows if not r.upper], [r for r in rows if r.upper]
         if len(low) != 1 or len(high) != 1:
-            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
-        a, b = next(low.itertuples(index=False)), next(high.itertuples(index=False))
+            return []
+        a, b = low[0], high[0]
         begins = [(a.z, a.y, a.x), (b.z, b.y, b.x)]
         if begins[0][a.axis] + 1 != begins[1][a.axis]:
-            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+            return []
         cuts = []
         for r, own in ((a, begins[0]), (b, begins[1])):
             at = []
@@ -109,7 +107,10 @@ def _met(same: bool):
         u, v = u[p].ravel(), v[q].ravel()
         both = (u != 0) & (v != 0) & ((x[p].ravel() == y[q].ravel()) if same else True)
         pairs = np.unique(np.stack([u[both], v[both]], axis=1), axis=0)
-        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+        return pairs.tolist()
+
+    def run(stream):
+        yield from lots(chain.from_iterable(met(rows) for rows in groups_of(stream, ["axis", *BLOCK])), "u bigint, v bigint")
 
     return run
 
@@ -121,35 +122,35 @@ def labelled(chunks: DataFrame, shape: tuple[int, int], same: bool = False) -> D
     and of two chunks that touch, their layers there.
     """
     def local(stream):
-        import pandas as pd
-
-        for rows in stream:
-            out = []
-            for r in rows.itertuples(index=False):
+        def made():
+            for r in rows_of(stream):
                 values = _array(r)
                 own = _named_by_voxel(r, block_objects(values, same), shape)
-                out.append([*_row((r.bz, r.by, r.bx), (r.z, r.y, r.x), own), *((r.data, r.dtype) if same else (None, None))])
-            yield pd.DataFrame(out, columns=[*NAMES, "was", "was_dtype"])
+                yield [*_row((r.bz, r.by, r.bx), (r.z, r.y, r.x), own), *((r.data, r.dtype) if same else (None, None))]
 
-    own = materialize(chunks.select(*NAMES).mapInPandas(local, f"{CHUNKS}, was binary, was_dtype string"), "chunk-labels")
-    faces = own.mapInPandas(_faces(same), f"axis int, upper boolean, {CHUNKS}, was binary, was_dtype string")
-    links = faces.groupBy("axis", *BLOCK).applyInPandas(_met(same), "u bigint, v bigint")
+        yield from lots(made(), NAMED)
+
+    own = materialize(chunks.select(*NAMES).mapInArrow(local, NAMED), "chunk-labels")
+    links = dealt(own.mapInArrow(_faces(same), FACES), "axis", *BLOCK).mapInArrow(_met(same), "u bigint, v bigint")
     found = component_edges(links.distinct()).filter("node <> component")
     return relabelled(own.select(*NAMES), found.select(F.col("node").alias("src"), F.col("component").alias("dst")))
 
 
 def labels_in(chunks: DataFrame) -> DataFrame:
     """(bz, by, bx, label, n): the labels of each chunk but 0, and their voxels. No exchange."""
-    def run(stream):
-        import pandas as pd
+    schema = "bz bigint, by bigint, bx bigint, label bigint, n bigint"
 
-        for rows in stream:
-            for r in rows.itertuples(index=False):
+    def run(stream):
+        def made():
+            for r in rows_of(stream):
                 labels, n = np.unique(_array(r), return_counts=True)
-                some = labels != 0
-                yield pd.DataFrame({"bz": r.bz, "by": r.by, "bx": r.bx, "label": labels[some].astype(np.int64), "n": n[some]})
+                for label, k in zip(labels.tolist(), n.tolist()):
+                    if label:
+                        yield [r.bz, r.by, r.bx, label, k]
 
-    return chunks.select(*NAMES).mapInPandas(run, "bz bigint, by bigint, bx bigint, label bigint, n bigint")
+        yield from lots(made(), schema)
+
+    return chunks.select(*NAMES).mapInArrow(run, schema)
 
 
 def relabelled(chunks: DataFrame, lut: DataFrame) -> DataFrame:
@@ -163,20 +164,18 @@ def relabelled(chunks: DataFrame, lut: DataFrame) -> DataFrame:
     lists = lists.select(*BLOCK, F.transform("pairs", lambda p: p["src"]).alias("src"), F.transform("pairs", lambda p: p["dst"]).alias("dst"))
 
     def run(stream):
-        import pandas as pd
-
-        for rows in stream:
-            out = []
-            for r in rows.itertuples(index=False):
+        def made():
+            for r in rows_of(stream):
                 values = _array(r).astype(np.int64)
                 if r.src is not None:
                     src, dst = np.asarray(r.src, np.int64), np.asarray(r.dst, np.int64)
                     at = np.minimum(np.searchsorted(src, values), len(src) - 1)
                     values = np.where(src[at] == values, dst[at], values)
-                out.append(_row((r.bz, r.by, r.bx), (r.z, r.y, r.x), values))
-            yield pd.DataFrame(out, columns=NAMES)
+                yield _row((r.bz, r.by, r.bx), (r.z, r.y, r.x), values)
+
+        yield from lots(made(), CHUNKS)
 
-    return chunks.select(*NAMES).join(lists.hint("shuffle_hash"), BLOCK, "left").mapInPandas(run, CHUNKS)
+    return chunks.select(*NAMES).join(lists.hint("shuffle_hash"), BLOCK, "left").mapInArrow(run, CHUNKS)
 
 
 def volumes(chunks: DataFrame) -> DataFrame:
