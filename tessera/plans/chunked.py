@@ -167,8 +167,7 @@ def constant_mask(v):
 
     spots = grid(v.spark, _roi(v), SIZE)
     mask = chunks.constant(spots.filter("bz % 2 = 0"), SIZE, 1).union(chunks.constant(spots.filter("bz % 2 = 1"), SIZE, 0))
-    on = volumes.voxels_of(mask, True).withColumnRenamed("value", "mask")
-    return v.voxels().join(on, ["z", "y", "x"]).select("z", "y", "x", (F.col("value") * F.col("mask")).alias("value"))
+    return _rows(chunks.multiplied(_values(v), mask))
 
 
 @query(_v("SELECT o.z, o.y, o.x, min(object) + 1 AS object FROM walk JOIN on_ o USING (pos) GROUP BY 1, 2, 3", _OBJECTS, recursive=True))
