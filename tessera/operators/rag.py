@@ -29,21 +29,23 @@ def segments(nodes: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
     return connected_components(nodes, under_threshold(edges, threshold))
 
 
+def contracted(edges: DataFrame, lut: DataFrame) -> DataFrame:
+    """Edges (u, v, merge_score) between the components of a table (src, dst), each once with its least score."""
+    moved = relabel_edges(edges.select("u", "v", "merge_score"), lut).filter("u <> v")
+    return moved.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min("merge_score").alias("merge_score"))
+
+
 def segment_sweep(nodes: DataFrame, edges: DataFrame, thresholds: list[float]) -> DataFrame:
-    """(threshold, id, component) for rising thresholds; each starts from the components of the one before."""
-    out, lut, ids = None, None, nodes.select("id").distinct()
-    for t in sorted(thresholds):
-        own = under_threshold(edges, t).select("u", "v")
-        if lut is not None:
-            own = relabel_edges(own, lut)
-        step = component_edges(own).select(F.col("node").alias("src"), F.col("component").alias("dst"))
-        if lut is not None:
-            top = step.select(F.col("src").alias("mid"), F.col("dst").alias("top"))
-            moved = lut.join(top, F.col("dst") == F.col("mid"), "left").select("src", F.coalesce("top", "dst").alias("dst"))
-            step = moved.union(step.join(lut.select("src"), "src", "left_anti").select("src", "dst"))
-        lut = materialize(step, "sweep")
-        found = ids.join(lut, F.col("id") == F.col("src"), "left").select(F.lit(threshold_key(t)).alias("threshold"), "id", F.coalesce("dst", "id").alias("component"))
+    """(threshold, id, component) for rising thresholds; each starts from the components of the one before, and edges from what it left of them."""
+    out, steps = None, sorted(thresholds)
+    held = nodes.select("id").distinct().withColumn("component", F.col("id"))
+    for t in steps:
+        step = materialize(component_edges(under_threshold(edges, t).select("u", "v")).select(F.col("node").alias("src"), F.col("component").alias("dst")), "sweep")
+        held = materialize(held.join(step, F.col("component") == F.col("src"), "left").select("id", F.coalesce("dst", "component").alias("component")), "sweep-ids")
+        found = held.select(F.lit(threshold_key(t)).alias("threshold"), "id", "component")
         out = found if out is None else out.union(found)
+        if t != steps[-1]:
+            edges = materialize(contracted(under_threshold(edges, steps[-1]), step), "sweep-edges")
     return out
 
 
@@ -116,6 +118,17 @@ def between_thresholds(base: DataFrame, target: DataFrame) -> DataFrame:
     return both.groupBy("segment").agg(F.sort_array(F.collect_set("part")).alias("parts")).filter(F.size("parts") > 1)
 
 
+def joined_segments(nodes: DataFrame, edges: DataFrame, low: float, high: float) -> DataFrame:
+    """``between_thresholds`` of the segments at two thresholds: those of the lower one are linked by what is left of the edges, so only they are gone through again."""
+    lut = materialize(component_edges(under_threshold(edges, low).select("u", "v")).select(F.col("node").alias("src"), F.col("component").alias("dst")), "between-low")
+    links = contracted(under_threshold(edges, high), lut)
+    parts = component_edges(links.select("u", "v")).select(F.col("node").alias("part"), F.col("component").alias("segment"))
+    # of parts, those that a node is in: ends of edges may be no nodes
+    held = nodes.select("id").join(lut, F.col("id") == F.col("src"), "left").select(F.coalesce("dst", "id").alias("part"))
+    both = parts.join(held, "part", "left_semi")
+    return both.groupBy("segment").agg(F.sort_array(F.collect_set("part")).alias("parts")).filter(F.size("parts") > 1)
+
+
 def seed_component(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(id) of all nodes that the seeds reach. By components: a walk would take as many rounds as the longest path."""
     found = component_edges(edges.select("u", "v"))

@@ -209,7 +209,7 @@ def _inter_sql() -> str:
 @query(_inter_sql())
 def interthreshold_map(v):
     edges = materialize(rag.under_threshold(v.rag_edges(), 0.3), "between-edges")
-    return rag.between_thresholds(rag.segments(v.rag_nodes(), edges, 0.1), rag.segments(v.rag_nodes(), edges, 0.3))
+    return rag.joined_segments(v.rag_nodes(), edges, 0.1, 0.3)
 
 
 def _reach(hops: int, tail: str) -> str:

@@ -153,3 +153,28 @@ def test_min_cut_splits_every_merged_segment(spark):
         got = volumes.QUERIES["mincut_split"](spark, sf).groupBy("component").agg(F.count("id"), F.countDistinct("side")).collect()
         assert {r[0]: r[1] for r in got} == sizes and max(sizes.values()) > 60 and min(sizes.values()) == 2
         assert {r[2] for r in got} == {2}
+
+
+def test_later_thresholds_go_through_what_is_left(spark, monkeypatch):
+    """Of a graph whose lower threshold joins nearly all, only few edges are sought out again; ends that are no nodes connect, but are not returned."""
+    from tessera.operators import rag
+
+    edges = [(i, i + 1, 0.1) for i in range(60) if i % 20 != 19] + [(i, i + 2, 0.2) for i in range(58)] + [(100, 59, 0.3), (100, 200, 0.3), (7, 300, None)]
+    e = spark.createDataFrame(edges, "u long, v long, merge_score double")
+    n = spark.createDataFrame([(i,) for i in [*range(60), 61, 200, 300]], "id long")
+    want = {t: {(r.id, r.component) for r in rag.segments(n, e, t).collect()} for t in (0.1, 0.2, 0.3)}
+    maps = {tuple(map(str, r)) for r in rag.between_thresholds(rag.segments(n, e, 0.1), rag.segments(n, e, 0.3)).collect()}
+    given, found = [], rag.component_edges
+
+    def counted(links, *more):
+        links = links.localCheckpoint()
+        given.append(links.count())
+        return found(links, *more)
+
+    monkeypatch.setattr(rag, "component_edges", counted)
+    got = {}
+    for r in rag.segment_sweep(n, e, [0.1, 0.2, 0.3]).collect():
+        got.setdefault(r.threshold / 100, set()).add((r.id, r.component))
+    assert got == want and given[1] <= 3 and given[2] <= 2
+    del given[:]
+    assert {tuple(map(str, r)) for r in rag.joined_segments(n, e, 0.1, 0.3).collect()} == maps and given[1] <= 4
