@@ -22,6 +22,7 @@ import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.llm.base import named, small_batches, table
 from tessera.session import materialize, scratch_path
@@ -177,43 +178,70 @@ def described(pcm: bytes, target: int = TARGET) -> str:
 CODECS = ("mulaw", "alaw", "adpcm")
 
 
+def _spans(sizes, most: int = 4_000_000):
+    """(from, to) of runs of rows of about ``most`` bytes together."""
+    at = 0
+    while at < len(sizes):
+        upto, total = at, 0
+        while upto < len(sizes) and (upto == at or total + sizes[upto] <= most):
+            total += sizes[upto]
+            upto += 1
+        yield at, upto
+        at = upto
+
+
 def _by_bytes(stream, column: str, most: int = 4_000_000):
     """Slices of batches of about ``most`` bytes of a column."""
     import pyarrow.compute as pc
 
     for batch in stream:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        at = 0
-        while at < len(sizes):
-            upto, total = at, 0
-            while upto < len(sizes) and (upto == at or total + sizes[upto] <= most):
-                total += sizes[upto]
-                upto += 1
+        for at, upto in _spans(sizes, most):
             yield batch.slice(at, upto - at)
-            at = upto
 
 
-def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_bytes, media: each text's padded UTF-8 bytes as a WAV, its codec chosen by the bytes' crc32."""
+#: Bytes of text that a task holds to put like recordings side by side.
+LOT = 48_000_000
+
+
+def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", like_column: str | None = None, lot: int = LOT) -> DataFrame:
+    """doc_id, n_bytes, media: each text's padded UTF-8 bytes as a WAV, its codec chosen by the bytes' crc32.
+
+    Rows come by codec, ``like_column`` (such as the language; it changes no value) and bytes within about ``lot`` bytes
+    of text, so that what is alike is stored side by side and files compress better.
+    """
     def run(stream):
         import pyarrow as pa
 
+        def made(rows):
+            rows.sort(key=lambda row: row[:3])
+            for at, upto in _spans([len(row[2]) for row in rows]):
+                cut = rows[at:upto]
+                media = [store(raw, CODECS[code]) for code, _, raw, _, _ in cut]
+                yield pa.RecordBatch.from_arrays([pa.array([r[4] for r in cut], pa.int64()), pa.array([r[3] for r in cut], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+
+        held, size = [], 0
         for batch in _by_bytes(stream, "text"):
-            sizes, media = [], []
-            for text in batch.column("text").to_pylist():
+            for key, text, like in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "like")]):
                 raw = (text or "").encode()
-                sizes.append(len(raw))
-                raw += b"\xff" * (-len(raw) % BLOCK or BLOCK * (not raw))
-                media.append(store(raw, CODECS[zlib.crc32(raw) % 3]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+                n = len(raw)
+                raw += b"\xff" * (-n % BLOCK or BLOCK * (not n))
+                held.append((zlib.crc32(raw) % 3, like or "", raw, n, key))
+                size += len(raw)
+            if size >= lot:
+                yield from made(held)
+                held, size = [], 0
+        yield from made(held)
 
-    return named(docs, doc_id=id_column, text=text_column).mapInArrow(run, "doc_id bigint, n_bytes bigint, media binary")
+    own = named(docs, doc_id=id_column, text=text_column, **({"like": like_column} if like_column else {}))
+    own = own.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumn("like", F.col("like").cast("string") if like_column else F.lit(None).cast("string"))
+    return own.mapInArrow(run, "doc_id bigint, n_bytes bigint, media binary")
 
 
 PAYLOAD = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, codec string"
 FEATURES = f"{PAYLOAD}, feature string"
-#: Of the stored files: the PCM is several times the payload, but tells no more.
-COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+#: Of the stored files: the PCM is several times the payload, but tells no more. Pages hold many recordings that are alike.
+COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "12", "parquet.page.size": str(16 << 20)}
 
 
 def expanded(media: DataFrame, target: int = TARGET) -> DataFrame:
@@ -263,7 +291,8 @@ def store_pcm(media: DataFrame, path: str, target: int = TARGET) -> DataFrame:
 
 def op5_telephony_audio(spark, sf_dir: str) -> DataFrame:
     """Store all texts of ``documents`` as telephony audio, store the resampled PCM of that, and describe what was stored."""
-    media = materialize(encode(table(spark, sf_dir, "documents")), "media", **COMPRESSION)
+    docs = table(spark, sf_dir, "documents")
+    media = materialize(encode(docs, like_column="lang" if "lang" in docs.columns else None), "media", **COMPRESSION)
     return pcm_features(store_pcm(media, scratch_path(spark, "pcm")))
 
 

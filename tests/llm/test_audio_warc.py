@@ -96,6 +96,18 @@ def test_the_query_stores_the_pcm_it_describes(spark, tmp_path, monkeypatch):
         assert r.feature.endswith(f"crc={zlib.crc32(stored[i].pcm)}") and f":n={len(stored[i].pcm) // 2}:" in r.feature
 
 
+def test_like_recordings_are_stored_side_by_side(spark):
+    rows = [(i, None if i == 7 else f"{('ein', 'the')[i % 2]} text {i % 40}", ("de", "en")[i % 2]) for i in range(120)] + [(None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1)
+    got = audio.encode(docs, like_column="lang").collect()
+    langs = {i: lang for i, _, lang in rows}
+    runs = [k for k, r in enumerate(got) if k == 0 or (audio.open_wav(r.media)[0], langs[r.doc_id]) != (audio.open_wav(got[k - 1].media)[0], langs[got[k - 1].doc_id])]
+    assert len(runs) <= 7 and len(got) == 121  # three codecs by two languages, and the row without one
+    small = audio.encode(docs, like_column="lang", lot=2000).collect()  # many lots, the same rows
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    assert sorted(small, key=key) == sorted(got, key=key) == sorted(audio.encode(docs).collect(), key=key)
+
+
 def test_headers_follow_the_standard(spark):
     big = "<p>" + "a" * 1000
     rows = [(1, "http://a/x y\r\nWARC-Type: bad", big), (2, "http://b/ü%20", big), (3, " ", "s" * 2_000_000), (4, "http://c", None)]
