@@ -6,7 +6,8 @@ O(log^2 n) rounds, and keeps at most one edge per input edge, so a chain, a
 hub or one giant component behave alike. Nothing but two checksums, taken while a round is
 written, reaches the driver. Each round is written to the shared scratch folder. The minima are
 combined before the exchange; the join that hands a node's least neighbour to its links deals
-a hub's links by its id, and AQE splits that task.
+the links of hubs over several tasks. Rounds have a session of their own, with tasks of about
+TASK_ROWS rows, so that memory of a task does not grow with the links.
 
 Edge lists of at most SMALL rows are finished by union-find in one task: SMALL bounds its memory. Longer ones
 come to that after some rounds, where stars shrink them, or run to the end.
@@ -14,28 +15,80 @@ come to that after some rounds, where stars shrink them, or run to the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import for_salts, salted
 from tessera.session import counted, drop_table, materialize
 
 
 SMALL = 200_000
 
+#: Rows of a task of a round, about; links of a node beyond which it is a hub.
+TASK_ROWS, HUB = 500_000, 100_000
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star round on (u, v) rows with u > v. Hubs are reduced map-side before the join."""
+#: Row groups that tasks can share a file by: about TASK_ROWS links.
+ROW_GROUPS = {"parquet.block.size": str(4 << 20)}
+
+
+def _sized(spark: SparkSession, rows: int) -> SparkSession:
+    """A session over the same context, whose tasks get about TASK_ROWS of so many links in both directions; the caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // TASK_ROWS))))
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        own.conf.set(key, "4m")
+    return own
+
+
+def _read_by(spark: SparkSession, table: DataFrame) -> DataFrame:
+    """A frame of ``materialize``, read by another session."""
+    moved = spark.read.schema(table.schema).parquet(table._scratch)
+    moved._scratch = table._scratch
+    return moved
+
+
+def _with_least(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (u, v) with the least m of u and all its v, and (u, m, n) by itself. A hub's rows are dealt over several tasks."""
+    least, most = _degrees(both)
+    if most <= HUB:
+        return both.join(least.select("u", "m"), "u"), least
+    hubs = least.filter(F.col("n") > HUB).select("u")
+    return salted(both, "u", hubs, F.col("v")).join(for_salts(least.select("u", "m"), "u", hubs), ["u", "salt"]).drop("salt"), least
+
+
+def _degrees(both: DataFrame) -> tuple[DataFrame, int]:
+    """(u, m, n) with each u's least node and number of rows, and the largest such number."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+    table = materialize(least.observe(seen, F.max("n").alias("most")), "cc-least", **ROW_GROUPS)
+    return table, seen.get["most"] or 0
+
+
+def _star(edges: DataFrame, large: bool) -> tuple[DataFrame, DataFrame]:
+    """One star round on (u, v) rows with u > v, and the table that it reads besides. Hubs are reduced map-side before the join."""
     if large:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select("u", "v")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    linked = both.join(least, "u")
+    linked, least = _with_least(both)
     if large:
         out = linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return out.filter(F.col("u") != F.col("v")).distinct()
+    return out.filter(F.col("u") != F.col("v")).distinct(), least
+
+
+def _round(edges: DataFrame) -> tuple[DataFrame, int, int | None]:
+    """A large and a small star, written, with the number of rows and their checksum."""
+    large, first = _star(edges, True)
+    between = materialize(large, "cc-large", **ROW_GROUPS)
+    drop_table(first)
+    small, second = _star(between, False)
+    found = counted(small, "cc", "u", "v", **ROW_GROUPS)
+    drop_table(second, between)
+    return found
 
 
 def _united(edges: DataFrame) -> DataFrame:
@@ -87,13 +140,16 @@ def component_edges(edges: DataFrame, max_rounds: int = 60, small: int | None =
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    current, *before = counted(links, "cc", "u", "v")
+    caller = edges.sparkSession
+    current, *before = counted(links, "cc", "u", "v", **ROW_GROUPS)
+    if before[0] > small:
+        current = _read_by(_sized(caller, before[0]), current)
     for _ in range(max_rounds):
         if before[0] <= small:
             found = materialize(_united(current), "cc-united")
             drop_table(current)
-            return found
-        following, *after = counted(_star(_star(current, True), False), "cc", "u", "v")
+            return _read_by(caller, found)
+        following, *after = _round(current)
         drop_table(current)
         current = following
         if after == before:
@@ -101,6 +157,7 @@ def component_edges(edges: DataFrame, max_rounds: int = 60, small: int | None =
         before = after
     else:
         raise RuntimeError("components did not converge")
+    current = _read_by(caller, current)
     members = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.union(roots)

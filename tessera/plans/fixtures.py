@@ -14,6 +14,9 @@ from tessera.geometry import packed_id
 
 BLOCK = (50_000, 2_048, 4_096)
 
+#: Rows of a table in a task of a self-join, at most about.
+JOIN_ROWS = 1_000_000
+
 
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -34,8 +37,14 @@ class Views:
 
     def rag_edges(self) -> DataFrame:
         li = self.table("lineitem").select("l_partkey", (F.col("l_suppkey") % 10).alias("s"), "l_linenumber", F.col("l_orderkey").cast("bigint").alias("o"), F.col("l_discount").alias("d"))
+        tasks = -(-li.count() // JOIN_ROWS)
+        large = tasks > int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if large:  # a task's memory does not grow with the table
+            li = li.repartition(tasks, "l_partkey", "s", "l_linenumber")
         a, b = li.withColumnsRenamed({"o": "u", "d": "du"}), li.withColumnsRenamed({"o": "v", "d": "dv"})
         pairs = a.join(b, ["l_partkey", "s", "l_linenumber"]).filter("u < v")
+        if large:
+            pairs = pairs.repartition(tasks, "u", "v")
         return pairs.groupBy("u", "v").agg(F.min(F.round(F.abs(F.col("du") - F.col("dv")) * 10, 1)).alias("merge_score"))
 
     def seeds(self) -> DataFrame:

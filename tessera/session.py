@@ -49,14 +49,14 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     return table
 
 
-def counted(df: DataFrame, name: str, *columns: str) -> tuple[DataFrame, int, int | None]:
+def counted(df: DataFrame, name: str, *columns: str, **options: str) -> tuple[DataFrame, int, int | None]:
     """``materialize`` with the number of rows and an order-free checksum of some columns, taken while they are written."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
     sums = [F.count(F.lit(1)).alias("n"), *([F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("s")] if columns else [])]
-    table = materialize(df.observe(seen, *sums), name)
+    table = materialize(df.observe(seen, *sums), name, **options)
     return table, seen.get["n"], seen.get.get("s")
 
 

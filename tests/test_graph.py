@@ -31,6 +31,37 @@ def test_components_of_a_chain_and_a_hub(spark, monkeypatch, small):
     assert all(found[i] == 0 for i in range(301)) and all(found[1000 + i] == 1000 for i in range(300)) and len(found) == 601
 
 
+def test_rounds_deal_a_hub_and_many_links_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(cc, "HUB", 50)
+    monkeypatch.setattr(cc, "TASK_ROWS", 500)
+    monkeypatch.setattr(cc, "SMALL", 0)
+    star = [(0, k) for k in range(1, 2001)]
+    apart = spark.newSession()
+    for key, value in (("adaptive.enabled", "false"), ("autoBroadcastJoinThreshold", "-1"), ("shuffle.partitions", "8")):
+        apart.conf.set(f"spark.sql.{key}", value)  # or AQE puts these few rows together again
+    both = apart.createDataFrame([*star, *[(v, u) for u, v in star]], "u bigint, v bigint")
+    linked, least = cc._with_least(both)
+    assert sorted(map(tuple, linked.collect())) == sorted([*[(u, v, 0) for u, v in star], *[(v, u, 0) for u, v in star]])
+    assert {r.u: r.n for r in least.collect()}[0] == 2000
+    parts = cc._with_least(both)[0].filter("u = 0").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(parts) < 1500
+    made, sized = [], cc._sized
+    monkeypatch.setattr(cc, "_sized", lambda *a: made.append(sized(*a)) or made[-1])
+    found = cc.component_edges(edges(spark, [(u, v, 0.0) for u, v in star]))
+    assert [int(x.conf.get("spark.sql.shuffle.partitions")) for x in made] == [8] and found.sparkSession is spark
+    assert dict(map(tuple, found.collect())) == dict.fromkeys(range(2001), 0) and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_the_join_of_rag_edges_has_tasks_by_its_rows(spark, monkeypatch):
+    from tessera.plans import fixtures
+
+    view = fixtures.Views(spark, "/root/testdata/sf0.001")
+    want = sorted(map(tuple, view.rag_edges().collect()))
+    monkeypatch.setattr(fixtures, "JOIN_ROWS", 500)
+    dealt = view.rag_edges()
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString() and sorted(map(tuple, dealt.collect())) == want
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
 def test_components_equal_union_find(spark, pairs):
