@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.base import named, small_batches, table
-from tessera.session import materialize, scratch_path
+from tessera.session import scratch_path
 
 BLOCK, RATE, TARGET = 576, 8000, 16000
 #: WAV format tags.
@@ -201,32 +201,42 @@ def _by_bytes(stream, column: str, most: int = 4_000_000):
 
 
 #: Bytes of text that a task holds to put like recordings side by side.
-LOT = 48_000_000
+LOT = 128_000_000
+#: Bytes that most texts have: small letters, blanks, stops, and all beyond ASCII.
+PLAIN = np.array([b > 127 or chr(b) in "abcdefghijklmnopqrstuvwxyz \n.," for b in range(256)])
+
+
+def style(raw: bytes) -> int:
+    """The most frequent capital, digit or sign of a text, if it is more than a fiftieth of its bytes; else 0."""
+    counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
+    counts[PLAIN] = 0
+    top = int(counts.argmax())
+    return top if 50 * counts[top] > len(raw) else 0
 
 
 def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", like_column: str | None = None, lot: int = LOT) -> DataFrame:
     """doc_id, n_bytes, media: each text's padded UTF-8 bytes as a WAV, its codec chosen by the bytes' crc32.
 
-    Rows come by codec, ``like_column`` (such as the language; it changes no value) and bytes within about ``lot`` bytes
-    of text, so that what is alike is stored side by side and files compress better.
+    Rows come by codec, ``like_column`` (such as the language; it changes no value), ``style`` and bytes within about
+    ``lot`` bytes of text, so that what is alike is stored side by side and files compress better.
     """
     def run(stream):
         import pyarrow as pa
 
         def made(rows):
-            rows.sort(key=lambda row: row[:3])
-            for at, upto in _spans([len(row[2]) for row in rows]):
+            rows.sort(key=lambda row: row[:4])
+            for at, upto in _spans([len(row[3]) for row in rows]):
                 cut = rows[at:upto]
-                media = [store(raw, CODECS[code]) for code, _, raw, _, _ in cut]
-                yield pa.RecordBatch.from_arrays([pa.array([r[4] for r in cut], pa.int64()), pa.array([r[3] for r in cut], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+                media = [store(raw, CODECS[code]) for code, _, _, raw, _, _ in cut]
+                yield pa.RecordBatch.from_arrays([pa.array([r[5] for r in cut], pa.int64()), pa.array([r[4] for r in cut], pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
         held, size = [], 0
         for batch in _by_bytes(stream, "text"):
             for key, text, like in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "like")]):
                 raw = (text or "").encode()
-                n = len(raw)
+                n, kind = len(raw), style(raw)
                 raw += b"\xff" * (-n % BLOCK or BLOCK * (not n))
-                held.append((zlib.crc32(raw) % 3, like or "", raw, n, key))
+                held.append((zlib.crc32(raw) % 3, like or "", kind, raw, n, key))
                 size += len(raw)
             if size >= lot:
                 yield from made(held)
@@ -242,6 +252,17 @@ PAYLOAD = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 s
 FEATURES = f"{PAYLOAD}, feature string"
 #: Of the stored files: the PCM is several times the payload, but tells no more. Pages hold many recordings that are alike.
 COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "12", "parquet.page.size": str(16 << 20)}
+#: Of the PCM of ADPCM: the longest of all, and the one that a further search shortens most for its time.
+DENSE = COMPRESSION | {"parquet.compression.codec.zstd.level": "13"}
+#: Of the media: row groups of about two pages (one being filled, one compressed), so that many tasks expand them.
+SHORT_GROUPS = COMPRESSION | {"parquet.block.size": str(20 << 20)}
+
+
+def in_splits(spark, size: str):
+    """A session over the same context that reads files in splits of at most ``size``; the caller's settings stay as they are."""
+    reading = spark.newSession()
+    reading.conf.set("spark.sql.files.maxPartitionBytes", size)
+    return reading
 
 
 def expanded(media: DataFrame, target: int = TARGET) -> DataFrame:
@@ -283,16 +304,21 @@ def features(media: DataFrame, target: int = TARGET) -> DataFrame:
 
 
 def store_pcm(media: DataFrame, path: str, target: int = TARGET) -> DataFrame:
-    """Write the columns of ``expanded`` to Parquet, and read them back."""
-    pcm = expanded(media, target)
-    pcm.write.options(**COMPRESSION).parquet(path)
+    """Write the columns of ``expanded`` to Parquet, those of ADPCM to files of their own, and read them back."""
+    # the tag in files of ``wav``; others are whole as well, in either half
+    adpcm = F.substring("media", 21, 2).eqNullSafe(F.lit(struct.pack("<H", TAGS["adpcm"])))
+    for rows, options, mode in ((media.where(~adpcm), COMPRESSION, "error"), (media.where(adpcm), DENSE, "append")):
+        pcm = expanded(rows, target)
+        pcm.write.options(**options).mode(mode).parquet(path)
     return small_batches(media.sparkSession).read.schema(pcm.schema).parquet(path)
 
 
 def op5_telephony_audio(spark, sf_dir: str) -> DataFrame:
     """Store all texts of ``documents`` as telephony audio, store the resampled PCM of that, and describe what was stored."""
-    docs = table(spark, sf_dir, "documents")
-    media = materialize(encode(docs, like_column="lang" if "lang" in docs.columns else None), "media", **COMPRESSION)
+    docs, path = table(in_splits(spark, "128m"), sf_dir, "documents"), scratch_path(spark, "media")  # a task reads about a lot; small tables still go to all cores
+    made = encode(docs, like_column="lang" if "lang" in docs.columns else None)
+    made.write.options(**SHORT_GROUPS).parquet(path)
+    media = in_splits(spark, "8m").read.schema(made.schema).parquet(path)  # about a row group a task
     return pcm_features(store_pcm(media, scratch_path(spark, "pcm")))
 
 

@@ -108,6 +108,30 @@ def test_like_recordings_are_stored_side_by_side(spark):
     assert sorted(small, key=key) == sorted(got, key=key) == sorted(audio.encode(docs).collect(), key=key)
 
 
+def test_texts_of_one_style_are_stored_side_by_side(spark):
+    assert [audio.style(t.encode()) for t in ("", "Plain text, é.", "LOUD!! TEXT!!!!", "a | b | c", "x" * 99 + "#", "x" * 40 + "#")] == [0, ord("P"), ord("!"), ord("|"), 0, ord("#")]
+    kinds = ("{} plain text", "{} loud!!!! text!!!!", "{} cells | and | cells")
+    rows = [(i, kinds[i % 3].format(chr(97 + i % 26) * (1 + i % 5))) for i in range(180)]
+    got = audio.encode(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
+    runs = [k for k, r in enumerate(got) if k == 0 or (audio.open_wav(r.media)[0], r.doc_id % 3) != (audio.open_wav(got[k - 1].media)[0], got[k - 1].doc_id % 3)]
+    assert len(got) == 180 and len(runs) <= 9  # three codecs by three styles
+
+
+def test_the_pcm_of_adpcm_has_files_of_its_own_that_are_denser(spark, tmp_path):
+    parts = np.array(["an", "er", "th", "tion", "ou", "re", "st", "le", " ", " the ", ". "])
+    rng = np.random.default_rng(5)
+    rows = [(i, "".join(rng.choice(parts, 900))) for i in range(150)]
+    media = materialize(audio.encode(spark.createDataFrame([*rows, (None, None)], "doc_id bigint, text string").coalesce(1)), "media")
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    stored = audio.store_pcm(media, f"file://{tmp_path}/pcm")
+    assert sorted(stored.collect(), key=key) == sorted(audio.expanded(media).collect(), key=key)  # no row is lost or doubled
+    codecs = [{r.codec for r in spark.read.parquet(f"file://{f}").select("codec").distinct().collect()} for f in (tmp_path / "pcm").glob("*.parquet")]
+    assert {"adpcm"} in codecs and not [c for c in codecs if "adpcm" in c and len(c) > 1]
+    stored.where("codec = 'adpcm'").coalesce(1).write.options(**audio.COMPRESSION).parquet(f"file://{tmp_path}/before")
+    size = lambda folder: sum(f.stat().st_size for f in folder.glob("*.parquet") if spark.read.parquet(f"file://{f}").where("codec = 'adpcm'").count())
+    assert size(tmp_path / "pcm") < 0.97 * size(tmp_path / "before")
+
+
 def test_headers_follow_the_standard(spark):
     big = "<p>" + "a" * 1000
     rows = [(1, "http://a/x y\r\nWARC-Type: bad", big), (2, "http://b/ü%20", big), (3, " ", "s" * 2_000_000), (4, "http://c", None)]
