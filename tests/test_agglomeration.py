@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import agglomeration, components, evaluate, kernels, peeling
 
@@ -221,6 +222,41 @@ def test_components_have_their_own_queues(spark, monkeypatch, name):
     assert {r.round for r in got} == {0}
 
 
+def test_queues_get_tasks_by_rows_and_keep_the_order_of_ties(spark, monkeypatch):
+    monkeypatch.setattr(agglomeration, "QUEUE_ROWS", 20)
+    rng = random.Random(3)
+    samples = [(u + k, v + k, rng.choice([0.1, 0.6, 1.0])) for k in range(0, 400, 20) for u, v in (rng.sample(range(20), 2) for _ in range(30))]
+    state = agglomeration.edge_state(spark.createDataFrame(samples, "u bigint, v bigint, aff double"), "hist_quant_50")
+    rows = state.count()
+    done = agglomeration._groups_finished(state.withColumn("pack", (F.col("u") / 20).cast("int")), rows, "hist_quant_50", 0.5)
+    assert done.rdd.getNumPartitions() == -(-rows // 20)
+    want = {(a, b, s) for a, b, s in brute(samples, "hist_quant_50", 0.5)}
+    assert {(r.a, r.b, round(r.score, 9)) for r in done.collect()} == want
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_edges_within_a_threshold_need_no_lists(spark, name):
+    state = agglomeration.edge_state(spark.createDataFrame(samples_of(random.Random(5), 30, 200), "u bigint, v bigint, aff double"), name)
+    for threshold in (-0.1, 0.2, 0.5, 1.0):
+        got = agglomeration.within(state, name, threshold)
+        assert "collect_list" not in got._jdf.queryExecution().toString()
+        want = {(r.u, r.v) for r in agglomeration.scored(state, name).collect() if r.score <= threshold}
+        assert {(r.u, r.v) for r in got.collect()} == want
+
+
+def test_links_of_near_ids_need_no_star_rounds(spark, monkeypatch):
+    monkeypatch.setattr(components, "SMALL", 100)
+    monkeypatch.setattr(components, "TASK_ROWS", 150)
+    monkeypatch.setattr(components, "_round", lambda edges: pytest.fail("a round of stars"))
+    rng = random.Random(7)
+    chains = [list(range(k, k + 30)) for k in range(0, 900, 30)]
+    for c in chains:
+        rng.shuffle(c)
+    links = [pair for c in chains for pair in zip(c, c[1:])]
+    got = components.component_edges(spark.createDataFrame(links, "u bigint, v bigint")).collect()
+    assert sorted(tuple(r) for r in got) == [(n, n - n % 30) for n in range(900)]
+
+
 def test_small_groups_share_a_pack_and_blocks_are_parted(spark, monkeypatch):
     """The packs change no result; a block's merges keep the order of one queue over the block."""
     from tessera.operators import skew
