@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.geometry import AXES, Roi, distance
+from tessera.operators.skew import for_salts, salted
+from tessera.session import materialize
 
 
 def intra_removed(edges: DataFrame) -> DataFrame:
@@ -52,16 +58,62 @@ def postsynaptic(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFra
 def near_far(truth: DataFrame, found: DataFrame, met: DataFrame, reach: float) -> DataFrame:
     """(gt_u, gt_v, near, far) of the true sites that nothing met: predictions with the same post label and another pre label, those within ``reach``, as sorted [u, v] pairs, and the number of all.
 
-    Near ones come from a cell join; far ones are counted by label, so that no list of them is made.
+    Near ones are listed where a true site meets the predictions around its cell, so that pairs are written nowhere; far ones are counted by
+    label, so that no list of them is made. Sites of a cell with more than MOST_SITES are dealt over several groups.
     """
     missed = truth.join(met.select(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).distinct(), ["u", "v"], "left_anti")
-    close = node_matches(missed, found, reach, "post", "pre_label").filter("pred_pre_label <> gt_pre_label")
-    near = close.groupBy(F.col("gt_u").alias("u"), F.col("gt_v").alias("v")).agg(F.sort_array(F.collect_set(F.array("pred_u", "pred_v"))).alias("near"))
     pairs = found.groupBy("pre_label", "post_label").agg(F.count(F.lit(1)).alias("same"))
     posts = pairs.groupBy("post_label").agg(F.sum("same").alias("all_"))
-    out = missed.select("u", "v", "pre_label", "post_label").join(near, ["u", "v"], "left").join(pairs, ["pre_label", "post_label"], "left").join(posts, "post_label", "left")
+    counted = missed.join(pairs, ["pre_label", "post_label"], "left").join(posts, "post_label", "left")
+    points, keys = [f"post_{a}" for a in AXES], ["post_label", *[f"c{a}" for a in AXES]]
+    place = [F.when(F.col("pre_label").isNotNull(), F.col(p).cast("double")).alias(p) for p in points]  # without a label, no other one is near
     far = F.coalesce("all_", F.lit(0)) - F.coalesce("same", F.lit(0))
-    return out.select(F.col("u").alias("gt_u"), F.col("v").alias("gt_v"), F.coalesce("near", F.array().cast("array<array<bigint>>")).alias("near"), far.alias("far"))
+    asks = materialize(_cells(counted.select("u", "v", "pre_label", "post_label", *place, far.alias("far")), points, reach, False), "sites-missed")
+    gives = _cells(found.dropna(subset=["pre_label", "post_label"]).select("u", "v", "pre_label", "post_label", *place, F.lit(None).cast("bigint").alias("far")), points, reach, True)
+    cells = asks.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    crowded = cells.filter(F.col("n") > MOST_SITES)
+    lone = asks.filter(" or ".join(f"{k} is null" for k in keys))
+    both = salted(asks.dropna(subset=keys), keys, crowded, F.xxhash64("u", "v")).unionByName(for_salts(gives.join(cells.select(*keys), keys, "left_semi"), keys, crowded))
+    listed = both.groupBy(*keys, "salt").applyInArrow(_near_lists(reach), "gt_u bigint, gt_v bigint, near array<array<bigint>>, far bigint")
+    return listed.union(lone.select("u", "v", F.array().cast("array<array<bigint>>"), "far"))
+
+
+#: True sites of a cell beyond which they are dealt over several groups, and pairs that are compared at once.
+MOST_SITES, AT_ONCE = 50_000, 1_000_000
+
+
+def _near_lists(reach: float) -> Callable:
+    """From the true sites (with ``far``) and predictions of a group to (gt_u, gt_v, near, far), some true sites at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        valid = rows.column("far").is_valid().to_numpy()
+        if not valid.any():
+            return
+        columns = {c: rows.column(c).to_numpy() for c in ("u", "v", "pre_label", "post_z", "post_y", "post_x")}
+        asks, gives = np.flatnonzero(valid), np.flatnonzero(~valid)
+        asks, gives = asks[np.argsort(columns["post_z"][asks])], gives[np.lexsort((columns["v"][gives], columns["u"][gives]))]
+        here, there = ([columns[c][k] for c in ("post_z", "post_y", "post_x", "pre_label")] for k in (asks, gives))
+        (u, v), ids, far = (columns[c][asks] for c in "uv"), np.column_stack([columns[c][gives] for c in "uv"]), rows.column("far").take(pa.array(asks)).to_numpy()
+        again = len(ids) > 1 and (ids[1:] == ids[:-1]).all(axis=1).any()
+        some = max(1, min(4096, AT_ONCE // max(1, len(ids))))
+        for k in range(0, len(asks), some):
+            z, y, x, own = (c[k : k + some, None] for c in here)
+            level = np.flatnonzero((there[0] >= z[0] - reach) & (there[0] <= z[-1] + reach))
+            oz, oy, ox, other = (c[level] for c in there)
+            met = np.sqrt((z - oz) ** 2 + (y - oy) ** 2 + (x - ox) ** 2) <= reach
+            met &= own != other
+            at, which = np.nonzero(met)
+            near = ids[level[which]]
+            if again:  # a prediction of several rows is named once
+                new = np.ones(len(at), bool)
+                new[1:] = (at[1:] != at[:-1]) | (near[1:] != near[:-1]).any(axis=1)
+                at, near = at[new], near[new]
+            ends = np.arange(0, 2 * len(near) + 1, 2, dtype=np.int32)
+            starts = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(z)))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(starts, pa.ListArray.from_arrays(ends, near.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([pa.array(u[k : k + some]), pa.array(v[k : k + some]), lists, pa.array(far[k : k + some])], names=["gt_u", "gt_v", "near", "far"])
+
+    return run
 
 
 #: Width of a cell in reaches. A site goes to the cells that its reach touches: (1 + 2 / CELL) ** 3 on average, where cells of one reach take 27.

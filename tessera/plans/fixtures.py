@@ -83,11 +83,16 @@ class Views:
         label = F.when(F.col("event_type") == "error", F.col("skeleton_id") + 1_000_000).when(F.col("k") % 10 == 0, F.lit(-1)).otherwise(F.floor(F.col("skeleton_id") / 2)).cast("bigint")
         return e.join(parent, ["skeleton_id", "parent_rn"], "left").select("treenode_id", "skeleton_id", "parent_id", "z", "y", "x", label.alias("label"))
 
-    def sites(self, kind: str) -> DataFrame:
+    def sites_all(self) -> DataFrame:
         s = self.synapses()
         m = self.sf_neurons()
         s = s.join(m.select(F.col("sf").alias("id_superfrag_pre"), F.substring("neuron", 3, 9).cast("bigint").alias("pre_label")), "id_superfrag_pre")
         s = s.join(m.select(F.col("sf").alias("id_superfrag_post"), F.substring("neuron", 3, 9).cast("bigint").alias("post_label")), "id_superfrag_post")
+        return s
+
+    def sites(self, kind: str, among: DataFrame | None = None) -> DataFrame:
+        """Sites of a kind ``among`` those of sites_all, which a query that reads both kinds may have stored."""
+        s = self.sites_all() if among is None else among
         if kind == "pred":
             s, move = s.filter("merge_score < 0.5"), F.lit(0)
         else:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.geometry import Roi
 from tessera.operators import evaluate, sites, skeleton
 from tessera.plans.fixtures import Views, with_views
+from tessera.session import materialize
 
 QUERIES, ORACLE = {}, {}
 BOX = Roi((0, 0, 0), (60_000, 3_000, 6_000))
@@ -296,7 +297,9 @@ _FAR = _MET | {
 
 @query(_s("SELECT m.u AS gt_u, m.v AS gt_v, coalesce(list_sort(list([o.u, o.v]) FILTER (d <= 2000)), []) AS near, count(o.u) AS far FROM missed m LEFT JOIN others o ON o.gt_u = m.u AND o.gt_v = m.v GROUP BY 1, 2", _FAR))
 def site_near_far(v):
-    return sites.near_far(v.sites("gt"), v.sites("pred"), _met(v), 2000.0)
+    stored = materialize(v.sites_all().drop("z", "y", "x"), "sites")
+    gt, pred = v.sites("gt", stored), v.sites("pred", stored)
+    return sites.near_far(gt, pred, sites.matches(gt, pred, 2000.0), 2000.0)
 
 
 @query(_s("SELECT u, v FROM sites_pred WHERE u NOT IN (SELECT n FROM low) AND v NOT IN (SELECT n FROM low)", {"low": "SELECT unnest([v, -v]) AS n FROM sites_pred WHERE score <= 0.7"}))

@@ -409,3 +409,29 @@ def test_sites_go_to_few_cells(spark):
     near = lambda a, b: sum((p - q) ** 2 for p, q in zip(a[2:5], b[2:5])) <= 100 and a[5] == b[5]
     got = {(r.gt_u, r.pred_u): (r.gt_pre_label, r.pred_pre_label) for r in sites.node_matches(df, df, 10.0, "post", "pre_label").collect()}
     assert got == {(a[0], b[0]): (a[0] % 3, b[0] % 3) for a in at for b in at if near(a, b)}
+
+
+def test_near_sites_are_listed_without_an_exchange_of_pairs(spark, monkeypatch):
+    from tessera.operators import sites
+
+    monkeypatch.setattr(sites, "MOST_SITES", 3)
+    monkeypatch.setattr(sites, "AT_ONCE", 50)
+    rng = random.Random(2)
+    at = lambda: [rng.randrange(30) for _ in range(6)]
+    columns = "u bigint, v bigint, pre_label bigint, post_label bigint, pre_z bigint, pre_y bigint, pre_x bigint, post_z bigint, post_y bigint, post_x bigint"
+    truth = [(k, k + 1, rng.randrange(3), rng.randrange(3), *at()) for k in range(60)] + [(900, 901, None, 1, *at()), (902, 903, 1, None, *at()), (904, 905, 7, 8, *at())]
+    found = [(k, 9 - k, rng.randrange(3), rng.randrange(3), *at()) for k in range(80)] + [(990, 1, None, 1, *at())]
+    t, f = spark.createDataFrame(truth, columns), spark.createDataFrame(found, columns)
+    met = spark.createDataFrame([(1, 2), (5, 6)], "gt_u bigint, gt_v bigint")
+    got = sites.near_far(t, f, met, 12.0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "gt_u" not in "".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    want = {}
+    for u, v, pre, post, *p in truth:
+        if (u, v) in {(1, 2), (5, 6)}:
+            continue
+        others = [g for g in found if g[3] == post and post is not None]
+        near = sorted([g[0], g[1]] for g in others if None not in (pre, g[2]) and g[2] != pre and sum((a - b) ** 2 for a, b in zip(p[3:], g[7:])) <= 144)
+        want[u, v] = near, len(others) - sum(g[2] == pre and pre is not None for g in others)
+    assert {(r.gt_u, r.gt_v): ([list(p) for p in r.near], r.far) for r in got.collect()} == want
+    assert sum(len(n) for n, _ in want.values()) > 50
