@@ -435,3 +435,23 @@ def test_near_sites_are_listed_without_an_exchange_of_pairs(spark, monkeypatch):
         want[u, v] = near, len(others) - sum(g[2] == pre and pre is not None for g in others)
     assert {(r.gt_u, r.gt_v): ([list(p) for p in r.near], r.far) for r in got.collect()} == want
     assert sum(len(n) for n, _ in want.values()) > 50
+
+
+def test_moments_of_crowded_cells_equal_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(5e5, 700, 3000)
+    y = 0.02 * x + rng.normal(0, 20, 3000)
+    points = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    at = [(k, float(a), float(b)) for k, (a, b) in enumerate(zip(rng.normal(5e5, 900, 80), rng.normal(1e4, 40, 80)))] + [(80, 9e6, -3e6)]
+    places = spark.createDataFrame(at, "i bigint, x double, y double")
+    monkeypatch.setattr(stats, "CROWDED", 10**9)
+    want = {r.i: r.density for r in stats.density(points, places).collect()}
+    monkeypatch.setattr(stats, "CROWDED", 5)
+    monkeypatch.setattr(stats, "PLACES", 30)
+    met = []
+    whole = stats._moments
+    monkeypatch.setattr(stats, "_moments", lambda *a: met.append(whole(*a)) or met[-1])
+    got = {r.i: r.density for r in stats.density(points, places).collect()}
+    assert met[0][0].count() < 1000  # most points are summed up
+    top = max(want.values())
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-13 * top for k in want)
