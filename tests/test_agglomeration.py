@@ -103,6 +103,17 @@ def test_finish_in_one_task_is_the_same(spark):
         agglomeration.parsed("hist_quant_x")
 
 
+def test_small_segments_are_peeled_without_rounds(spark, monkeypatch):
+    rng = random.Random(11)
+    links = [(c, c + v, c + rng.randrange(v)) for c in range(0, 1200, 40) for v in range(1, 40)] + [(c, c + 3, c + 17) for c in range(0, 1200, 40)]
+    edges = spark.createDataFrame(links, "component bigint, u bigint, v bigint")
+    kept = spark.createDataFrame([(c + k,) for c in range(0, 1200, 40) for k in (0, 39)], "id bigint")
+    want = {tuple(r) for r in peeling.peeled(edges, kept).collect()}
+    monkeypatch.setattr(peeling, "SMALL", 60)
+    monkeypatch.setattr(peeling, "peeled", lambda *a: pytest.fail("rounds"))
+    assert {tuple(r) for r in peeling.peeled_segments(edges, kept).collect()} == want
+
+
 @pytest.mark.parametrize("small", [10**6, 0])
 def test_peeling_keeps_cycles_and_seeds(spark, small):
     rng = random.Random(5)
